@@ -36,6 +36,7 @@ def get_session(master: str | None = None, app: str = "wayfare",
     b = SparkSession.builder.master(master).appName(app)
     conf = {**CORRECTNESS_CONF, **SCALE_CONF,
             "spark.ui.enabled": "false",
+            "spark.ui.showConsoleProgress": "false",
             "spark.driver.memory": os.environ.get("WAYFARE_DRIVER_MEMORY", "16g")}
     if shuffle_partitions is not None:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
