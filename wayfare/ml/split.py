@@ -32,16 +32,24 @@ def train_test_split(df: DataFrame, key: str, train_pct: int = 80, seed: int = 4
 def stratified_flag(df: DataFrame, key: str, label: str, test_fraction: float = 0.2,
                     seed: int = 42) -> DataFrame:
     """Adds ``is_train``: per class, the round(test_fraction * n) rows with the
-    smallest key hash (ties by key) form the test split.
-
-    The class count comes from a grouped aggregate (one row per class) and
-    the rank from a window per class ordered by the hash; classes are few, so
-    each window partition is a class — acceptable for label columns, and the
-    ranking is a sort that spills rather than a collect.
+    smallest (key hash, key) form the test split.
+
+    Exact, and no task ever sorts a whole class: the key hash takes at most
+    ``MODULUS`` values, so a class is first reduced to a histogram
+    (class, hash) -> rows (partial aggregation, at most MODULUS rows per
+    class), a running sum over that histogram gives the rows in smaller
+    buckets, and the rank inside a bucket comes from a window partitioned by
+    (class, hash), whose partitions hold about n / MODULUS rows each.
     """
     h = key_hash(key, seed)
-    w = Window.partitionBy(label).orderBy(h, F.col(key))
-    n = F.count(F.lit(1)).over(Window.partitionBy(label))
-    ranked = df.withColumn("_r", F.row_number().over(w)).withColumn("_n", n)
+    base = df.withColumn("_h", h)
+    hist = base.groupBy(label, "_h").agg(F.count(F.lit(1)).alias("_c"))
+    wc = Window.partitionBy(label).orderBy("_h").rowsBetween(Window.unboundedPreceding, -1)
+    hist = (hist.withColumn("_before", F.coalesce(F.sum("_c").over(wc), F.lit(0)))
+                .withColumn("_n", F.sum("_c").over(Window.partitionBy(label))))
+    hist = hist.drop("_c").withColumnRenamed(label, "_lab").withColumnRenamed("_h", "_hh")
+    # null-safe on the class so rows with a NULL label form their own stratum
+    j = base.join(hist, base[label].eqNullSafe(hist["_lab"]) & (base["_h"] == hist["_hh"])).drop("_lab", "_hh")
+    rank = F.col("_before") + F.row_number().over(Window.partitionBy(label, "_h").orderBy(F.col(key)))
     n_test = F.floor(F.col("_n") * test_fraction + 0.5)
-    return ranked.withColumn("is_train", F.col("_r") > n_test).drop("_r", "_n")
+    return j.withColumn("is_train", rank > n_test).drop("_h", "_before", "_n")

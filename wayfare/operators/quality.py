@@ -8,6 +8,8 @@ asks ``raise_on_fail``, which pulls the handful of check rows only.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -135,30 +137,35 @@ def dataset_info(df: DataFrame, name: str) -> DataFrame:
                   F.lit(",".join(df.columns)).alias("column_list"))
 
 
-# Fixed generator rules of the original data (used as audit rules).
+# Fixed generator rules of the original data (used as audit rules). Decimal
+# literals keep the bounds exact, so a value on a boundary is judged the
+# same way by any engine.
 FLIGHT_DISTANCE_RANGE = (500, 5000)
-FLIGHT_EXTRA_HOURS = (0.5, 2.0)         # time - distance / 500
-FLIGHT_PRICE_PER_DISTANCE = 0.15        # base price per unit distance
-FLIGHT_CLASS_BANDS = {"economic": (0.8, 1.2), "business": (1.5, 2.5), "firstClass": (2.5, 4.0)}
+FLIGHT_EXTRA_HOURS = (Decimal("0.5"), Decimal("2.0"))   # time - distance / 500
+FLIGHT_PRICE_PER_DISTANCE = Decimal("0.15")             # base price per unit distance
+FLIGHT_CLASS_BANDS = {"economic": (Decimal("0.8"), Decimal("1.2")),
+                      "business": (Decimal("1.5"), Decimal("2.5")),
+                      "firstClass": (Decimal("2.5"), Decimal("4.0"))}
 HOTEL_DAYS_RANGE = (1, 14)
 HOTEL_PRICE_RANGE = (80, 500)
+HOTEL_TOTAL_TOLERANCE = Decimal("0.005")               # per day, plus the same once
 
 
-def audit_flights(flights: DataFrame, tol: float = 0.01) -> DataFrame:
+def audit_flights(flights: DataFrame, tol: Decimal = Decimal("0.01")) -> DataFrame:
     """Violation counts of the flight rules, one row per rule."""
     d, t, p = F.col("distance"), F.col("time"), F.col("price")
     lo, hi = FLIGHT_DISTANCE_RANGE
     elo, ehi = FLIGHT_EXTRA_HOURS
     extra = t - d / 500
-    ratio = p / (FLIGHT_PRICE_PER_DISTANCE * d)
+    ratio = p / (F.lit(FLIGHT_PRICE_PER_DISTANCE) * d)
     band = None
     for cls, (blo, bhi) in FLIGHT_CLASS_BANDS.items():
         cond = F.col("flightType") == cls
-        ok = (ratio >= blo - tol) & (ratio <= bhi + tol)
+        ok = (ratio >= F.lit(blo - tol)) & (ratio <= F.lit(bhi + tol))
         band = F.when(cond, ok) if band is None else band.when(cond, ok)
     rules = [("from_differs_to", F.col("from") != F.col("to")),
              ("distance_in_range", (d >= lo) & (d <= hi)),
-             ("time_matches_distance", (extra >= elo - tol) & (extra <= ehi + tol)),
+             ("time_matches_distance", (extra >= F.lit(elo - tol)) & (extra <= F.lit(ehi + tol))),
              ("price_in_class_band", band)]
     checks = [(n, ~F.coalesce(r, F.lit(False))) for n, r in rules]
     return _checks_frame(flights, "flights", checks)
@@ -179,7 +186,7 @@ def audit_hotels(hotels: DataFrame, flights: DataFrame) -> DataFrame:
                    .select("travelCode", F.col("to").alias("_dest")).distinct()
                    .withColumn("_m", F.lit(True)))
     hj = hotels.join(dest, (hotels.travelCode == dest.travelCode) & (hotels.place == dest._dest), "left")
-    tol = 0.005 * F.col("days") + 0.005
+    tol = F.lit(HOTEL_TOTAL_TOLERANCE) * F.col("days") + F.lit(HOTEL_TOTAL_TOLERANCE)
     rules = [("total_matches_days_price", F.abs(F.col("total") - F.col("days") * F.col("price")) <= tol),
              ("days_in_range", (F.col("days") >= dlo) & (F.col("days") <= dhi)),
              ("price_in_range", (F.col("price") >= plo) & (F.col("price") <= phi)),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import q_analytics, q_features, q_recommend  # noqa: F401
+from . import q_analytics, q_features, q_ml, q_quality, q_recommend  # noqa: F401
 from .catalog import REGISTRY
 
 
