@@ -136,8 +136,8 @@ def _rff_stage(cols: list[str], dim: int, gamma: float, seed: int = SEED) -> SQL
     scale = math.sqrt(2.0 / dim)
     exprs = []
     for j in range(dim):
-        dot = " + ".join(f"CAST('{w[j, i]!r}' AS DOUBLE) * `{c}`" for i, c in enumerate(cols))
-        exprs.append(f"CAST('{scale!r}' AS DOUBLE) * cos({dot} + CAST('{b[j]!r}' AS DOUBLE)) AS rff_{j}")
+        dot = " + ".join(f"CAST('{float(w[j, i])!r}' AS DOUBLE) * `{c}`" for i, c in enumerate(cols))
+        exprs.append(f"CAST('{float(scale)!r}' AS DOUBLE) * cos({dot} + CAST('{float(b[j])!r}' AS DOUBLE)) AS rff_{j}")
     return SQLTransformer(statement=f"SELECT *, {', '.join(exprs)} FROM __THIS__")
 
 
