@@ -5,8 +5,9 @@ vector (a user's rating of a hotel, or one feature of a hotel profile).
 
 Plan (no pair rows are ever materialised):
 
-1. Query ids and candidate ids are hashed into blocks of at most
-   ``block_rows`` ids (block counts come from two distinct-count jobs).
+1. Query ids and candidate ids are hashed into blocks of about
+   ``block_rows`` ids (block counts come from two distinct-count jobs over
+   the persisted inputs).
 2. Every query entry is sent to each candidate block and every candidate
    entry to each query block (``explode`` over the block range), keyed by
    ``(query_block, candidate_block)``. A group therefore holds at most
@@ -34,16 +35,50 @@ import math
 
 import numpy as np
 import pandas as pd
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def _blocks(df: DataFrame, id_col: str, block_rows: int) -> int:
-    n = df.select(id_col).distinct().count()
-    return max(1, math.ceil(n / block_rows))
+MIN_BLOCK = 256
 
+# The kernel runs in Python workers; ship this module's code by value so the
+# executors do not need the package installed (only numpy and pandas).
+try:
+    import sys as _sys
 
-def _kernel(k: int, exclude_self: bool, min_score, digits: int, cid_is_str: bool):
+    from pyspark import cloudpickle as _cp
+    _cp.register_pickle_by_value(_sys.modules[__name__])
+except Exception:  # pragma: no cover - older cloudpickle
+    pass
+
+
+def _topk_rows(S: np.ndarray, k: int):
+    """Per row, the k best columns by (score desc, column asc); -inf = invalid.
+
+    Vectorised: a partition finds each row's k-th score, all columns at or
+    above it (ties included) are sorted by (row, -score, column) and the
+    first k per row are kept.
+    """
+    n, m = S.shape
+    kk = min(k, m)
+    if kk < m:
+        kth = np.partition(S, m - kk, axis=1)[:, m - kk]
+        mask = (S >= kth[:, None]) & np.isfinite(S)
+    else:
+        mask = np.isfinite(S)
+    r, c = np.nonzero(mask)
+    if r.size == 0:
+        return r, c
+    sc = S[r, c]
+    order = np.lexsort((c, -sc, r))
+    r, c = r[order], c[order]
+    start = np.searchsorted(r, r, side="left")
+    keep = (np.arange(r.size) - start) < k
+    return r[keep], c[keep]
+
+
+def _kernel(k: int, exclude_self: bool, min_score, digits: int, cid_is_str: bool, chunk: int = 1024):
     scale = float(10 ** digits)
     cid_dtype = object if cid_is_str else "int64"
 
@@ -68,38 +103,28 @@ def _kernel(k: int, exclude_self: bool, min_score, digits: int, cid_is_str: bool
         np.add.at(Cm, (cinv, kinv[~isq]), c["value"].to_numpy(dtype="float64"))
         nq = np.sqrt((Qm * Qm).sum(axis=1))
         nc = np.sqrt((Cm * Cm).sum(axis=1))
-        denom = np.outer(nq, nc)
-        dots = Qm @ Cm.T
-        S = np.where(denom == 0, 0.0, dots / np.where(denom == 0, 1.0, denom))
-        S = np.floor(S * scale + 0.5) / scale
-        valid = np.ones(S.shape, dtype=bool)
-        if exclude_self and not cid_is_str:
-            valid &= qids[:, None] != cids[None, :]
-        if min_score is not None:
-            valid &= S > min_score
-        Sm = np.where(valid, S, -np.inf)
+        CmT = Cm.T
         out_q, out_c, out_s = [], [], []
-        kk = min(k, Sm.shape[1])
-        for i in range(Sm.shape[0]):
-            row = Sm[i]
-            if kk < row.shape[0]:
-                thr = np.partition(row, -kk)[-kk]
-                cand = np.nonzero(row >= thr)[0]
-            else:
-                cand = np.arange(row.shape[0])
-            cand = cand[np.isfinite(row[cand])]
-            if cand.size == 0:
-                continue
-            # score desc, then candidate id asc (columns are in id order)
-            order = cand[np.lexsort((cand, -row[cand]))][:k]
-            out_q.extend([int(qids[i])] * len(order))
-            out_c.extend(cids[order].tolist())
-            out_s.extend(row[order].tolist())
-        if not out_q:
+        # query rows in chunks bound the similarity block to chunk x |C| doubles
+        for lo in range(0, len(qids), chunk):
+            hi = min(lo + chunk, len(qids))
+            denom = np.outer(nq[lo:hi], nc)
+            S = np.where(denom == 0, 0.0, (Qm[lo:hi] @ CmT) / np.where(denom == 0, 1.0, denom))
+            S = np.floor(S * scale + 0.5) / scale
+            if exclude_self and not cid_is_str:
+                S[qids[lo:hi, None] == cids[None, :]] = -np.inf
+            if min_score is not None:
+                S[~(S > min_score)] = -np.inf
+            r, cc = _topk_rows(S, k)
+            out_q.append(qids[lo + r])
+            out_c.append(cids[cc])
+            out_s.append(S[r, cc])
+        qv = np.concatenate(out_q)
+        if qv.size == 0:
             return empty()
-        return pd.DataFrame({"qid": np.asarray(out_q, dtype="int64"),
-                             "cid": pd.Series(out_c, dtype=cid_dtype),
-                             "score": np.asarray(out_s, dtype="float64")})
+        return pd.DataFrame({"qid": qv.astype("int64"),
+                             "cid": pd.Series(np.concatenate(out_c), dtype=cid_dtype),
+                             "score": np.concatenate(out_s).astype("float64")})
 
     return run
 
@@ -115,8 +140,19 @@ def topk_cosine(queries: DataFrame, candidates: DataFrame, k: int, *,
     """
     ctype = dict(candidates.dtypes)["id"]
     cid_is_str = ctype == "string"
-    bq = _blocks(queries, "id", block_rows)
-    bc = _blocks(candidates, "id", block_rows)
+    # Both inputs are read twice (distinct-id count, then the kernel):
+    # persist them so the upstream plan runs once. Lost cached blocks are
+    # recomputed from lineage.
+    queries = queries.select("id", "key", "value").persist(StorageLevel.MEMORY_AND_DISK)
+    candidates = candidates.select("id", "key", "value").persist(StorageLevel.MEMORY_AND_DISK)
+    nq = queries.select("id").distinct().count()
+    nc = candidates.select("id").distinct().count()
+    bc = max(1, math.ceil(nc / block_rows))
+    # Enough (query, candidate) groups to occupy every task slot twice, but
+    # no block smaller than MIN_BLOCK ids (tiny blocks only add replication).
+    slots = queries.sparkSession.sparkContext.defaultParallelism
+    bq = max(math.ceil(nq / block_rows), math.ceil(2 * slots / bc))
+    bq = max(1, min(bq, math.ceil(nq / MIN_BLOCK)))
     key_t = dict(queries.dtypes)["key"]
     q = queries.select(
         F.lit(0).alias("role"), F.col("id").cast("long").alias("qid"),
@@ -131,7 +167,10 @@ def topk_cosine(queries: DataFrame, candidates: DataFrame, k: int, *,
         F.explode(F.sequence(F.lit(0), F.lit(bq - 1))).alias("qb"),
         F.pmod(F.xxhash64("id"), F.lit(bc)).cast("int").alias("cb"))
     schema = f"qid long, cid {ctype}, score double"
-    local = (q.unionByName(c).groupBy("qb", "cb")
+    # One task per group: an explicit repartition on the group key (which AQE
+    # does not coalesce) keeps the compute-heavy groups spread over all slots;
+    # the groupBy reuses this partitioning without another shuffle.
+    local = (q.unionByName(c).repartition(bq * bc, "qb", "cb").groupBy("qb", "cb")
               .applyInPandas(_kernel(k, exclude_self, min_score, digits, cid_is_str), schema))
     w = Window.partitionBy("qid").orderBy(F.col("score").desc(), F.col("cid").asc())
     return local.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
