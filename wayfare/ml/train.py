@@ -71,8 +71,9 @@ def regressor(model_type: str, n: int, y_sd: float, num_trees: int = 100, max_de
     if model_type == "linear":
         return LinearRegression(regParam=0.0, solver="normal", standardization=False, **common)
     if model_type == "ridge":
+        # exact normal-equation solve (one pass over the data)
         return LinearRegression(regParam=RIDGE_ALPHA * y_sd / max(n, 1), elasticNetParam=0.0,
-                                standardization=False, solver="l-bfgs", maxIter=1000, tol=1e-10, **common)
+                                standardization=False, solver="normal", **common)
     if model_type == "lasso":
         return LinearRegression(regParam=LASSO_ALPHA, elasticNetParam=1.0, standardization=False,
                                 maxIter=1000, tol=1e-10, **common)

@@ -19,6 +19,7 @@ users is served by one plan; nothing loops on the driver.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -57,7 +58,9 @@ def user_item(hotels: DataFrame) -> DataFrame:
     h = hotel_table(hotels).where(F.col("userCode").isNotNull() & F.col("hotel_id").isNotNull()
                                   & F.col("total").isNotNull())
     pairs = h.groupBy("userCode", "hotel_id").agg(exact_sum("total").alias("spend"))
-    return row_normalize(pairs, "userCode", "spend")
+    # read by the similarity search (twice), the scoring join and the
+    # booked-hotel anti join: persisted once
+    return row_normalize(pairs, "userCode", "spend").persist(StorageLevel.MEMORY_AND_DISK)
 
 
 # ----------------------------------------------------------- hotel profiles
@@ -69,13 +72,16 @@ def hotel_features(hotels: DataFrame):
     scaler (population statistics over hotels) is returned so query vectors
     are scaled with the same numbers.
     """
-    info = hotel_info(hotels)
+    # The profile table (one row per hotel) is read by the kNN search, the
+    # scaler and the result lookup: persist it rather than re-aggregate the
+    # stays for each use.
+    info = hotel_info(hotels).persist(StorageLevel.MEMORY_AND_DISK)
     places = E.build_dictionary(info, "place")
     enc = E.encode(info, "place", places, "place_encoded")
     scaler = fit_scaler(enc, RAW_FEATURES)
     scaled = apply_scaler(enc, scaler, RAW_FEATURES, "_s")
     out = scaled.select(*enc.columns, *[F.col(f"{r}_s").alias(f) for r, f in zip(RAW_FEATURES, FEATURES)])
-    return out, scaler, places
+    return out.persist(StorageLevel.MEMORY_AND_DISK), scaler, places
 
 
 def _long_vectors(df: DataFrame, id_col: str, cols: list[str]) -> DataFrame:

@@ -13,6 +13,7 @@ import os
 import uuid
 from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
 from ..functions.scalar import stable
@@ -287,8 +288,11 @@ def q_pipeline_report(spark, sf):
 # ------------------------------------------------------------ model fits
 
 def _flight_splits(spark, sf, features=None):
+    """Model table persisted once: the scaler fit, the estimator's passes and
+    the evaluation all read it (lost blocks are recomputed from lineage)."""
     _, f, _ = tables(spark, sf)
     ff = MF.flight_features(f, keep=["travelCode"]).withColumn("is_train", SP.split_flag("travelCode"))
+    ff = ff.persist(StorageLevel.MEMORY_AND_DISK)
     return ff.where("is_train"), ff.where(~F.col("is_train"))
 
 
@@ -308,7 +312,7 @@ for _key, _mt in [("price_linear", "linear"), ("price_ridge", "ridge"), ("price_
 def _user_splits(spark, sf):
     u, f, h = tables(spark, sf)
     uf = MF.user_model_table(FT.user_features(u, f, h))
-    st = SP.stratified_flag(uf, "code", "gender")
+    st = SP.stratified_flag(uf, "code", "gender").persist(StorageLevel.MEMORY_AND_DISK)
     return st.where("is_train"), st.where(~F.col("is_train"))
 
 
