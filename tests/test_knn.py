@@ -48,7 +48,8 @@ def test_topk_matches_brute_force(spark):
 
 
 def test_kernel_handles_string_candidates():
-    pdf = pd.DataFrame({"role": [0, 0, 1, 1, 1], "qid": [1, 1, -1, -1, -1], "cid": ["", "", "b", "a", "a"],
-                        "key": [0, 1, 0, 0, 1], "value": [1.0, 1.0, 1.0, 1.0, 1.0]})
+    pdf = pd.DataFrame({"role": [0, 1, 1], "qid": [1, -1, -1], "cid": ["", "b", "a"],
+                        "keys": [np.array([0, 1]), np.array([0]), np.array([0, 1])],
+                        "vals": [np.array([1.0, 1.0]), np.array([1.0]), np.array([1.0, 1.0])]})
     out = _kernel(1, False, None, 9, True)(pdf)
     assert out.cid.tolist() == ["a"] and out.score.tolist() == [1.0]

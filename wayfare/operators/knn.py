@@ -8,8 +8,9 @@ Plan (no pair rows are ever materialised):
 1. Query ids and candidate ids are hashed into blocks of about
    ``block_rows`` ids (block counts come from two distinct-count jobs over
    the persisted inputs).
-2. Every query entry is sent to each candidate block and every candidate
-   entry to each query block (``explode`` over the block range), keyed by
+2. Each vector is packed into one row (key and value arrays), and every
+   query vector is sent to each candidate block and every candidate vector
+   to each query block (``explode`` over the block range), keyed by
    ``(query_block, candidate_block)``. A group therefore holds at most
    ``2 * block_rows`` whole vectors no matter how the keys are skewed: a
    hotel booked by a third of all users does not make any group larger.
@@ -91,16 +92,28 @@ def _kernel(k: int, exclude_self: bool, min_score, digits: int, cid_is_str: bool
         isq = (pdf["role"] == 0).to_numpy()
         if isq.all() or not isq.any():
             return empty()
-        keys, kinv = np.unique(pdf["key"].to_numpy(), return_inverse=True)
+        # one row per vector: keys / values arrays -> flat entries
+        lens = pdf["keys"].map(len).to_numpy()
+        flat_k = np.concatenate(pdf["keys"].to_numpy()) if lens.sum() else np.array([])
+        flat_v = (np.concatenate(pdf["vals"].to_numpy()).astype("float64") if lens.sum()
+                  else np.array([], dtype="float64"))
+        row = np.repeat(np.arange(len(pdf)), lens)
+        keys, kinv = np.unique(flat_k, return_inverse=True)
+        eq = isq[row]
         q = pdf[isq]
         c = pdf[~isq]
-        qids, qinv = np.unique(q["qid"].to_numpy(dtype="int64"), return_inverse=True)
-        craw = c["cid"].to_numpy(dtype=object) if cid_is_str else c["cid"].to_numpy(dtype="int64")
-        cids, cinv = np.unique(craw, return_inverse=True)  # ascending candidate ids
+        qids = q["qid"].to_numpy(dtype="int64")
+        cids = c["cid"].to_numpy(dtype=object) if cid_is_str else c["cid"].to_numpy(dtype="int64")
+        qpos = np.full(len(pdf), -1)
+        qpos[np.nonzero(isq)[0]] = np.arange(len(qids))
+        corder = np.argsort(cids, kind="stable")   # candidate columns in ascending id order
+        cids = cids[corder]
+        cpos = np.full(len(pdf), -1)
+        cpos[np.nonzero(~isq)[0][corder]] = np.arange(len(cids))
         Qm = np.zeros((len(qids), len(keys)))
-        np.add.at(Qm, (qinv, kinv[isq]), q["value"].to_numpy(dtype="float64"))
+        np.add.at(Qm, (qpos[row[eq]], kinv[eq]), flat_v[eq])
         Cm = np.zeros((len(cids), len(keys)))
-        np.add.at(Cm, (cinv, kinv[~isq]), c["value"].to_numpy(dtype="float64"))
+        np.add.at(Cm, (cpos[row[~eq]], kinv[~eq]), flat_v[~eq])
         nq = np.sqrt((Qm * Qm).sum(axis=1))
         nc = np.sqrt((Cm * Cm).sum(axis=1))
         CmT = Cm.T
@@ -140,30 +153,35 @@ def topk_cosine(queries: DataFrame, candidates: DataFrame, k: int, *,
     """
     ctype = dict(candidates.dtypes)["id"]
     cid_is_str = ctype == "string"
-    # Both inputs are read twice (distinct-id count, then the kernel):
-    # persist them so the upstream plan runs once. Lost cached blocks are
-    # recomputed from lineage.
-    queries = queries.select("id", "key", "value").persist(StorageLevel.MEMORY_AND_DISK)
-    candidates = candidates.select("id", "key", "value").persist(StorageLevel.MEMORY_AND_DISK)
-    nq = queries.select("id").distinct().count()
-    nc = candidates.select("id").distinct().count()
+    key_t = dict(queries.dtypes)["key"]
+
+    # Pack each vector into one row (key and value arrays) before it is
+    # replicated: a vector has at most one entry per key (bounded by the key
+    # catalog), so the kernel receives bq / bc copies of one row per id
+    # instead of one row per entry. Both packed inputs are read twice (row
+    # count, then the kernel) and are persisted; lost blocks are recomputed.
+    def packed(df):
+        return (df.groupBy("id").agg(F.collect_list(F.col("key").cast(key_t)).alias("keys"),
+                                     F.collect_list(F.col("value").cast("double")).alias("vals"))
+                  .persist(StorageLevel.MEMORY_AND_DISK))
+    qp, cp = packed(queries), packed(candidates)
+    nq, nc = qp.count(), cp.count()
     bc = max(1, math.ceil(nc / block_rows))
     # Enough (query, candidate) groups to occupy every task slot twice, but
     # no block smaller than MIN_BLOCK ids (tiny blocks only add replication).
     slots = queries.sparkSession.sparkContext.defaultParallelism
     bq = max(math.ceil(nq / block_rows), math.ceil(2 * slots / bc))
     bq = max(1, min(bq, math.ceil(nq / MIN_BLOCK)))
-    key_t = dict(queries.dtypes)["key"]
-    q = queries.select(
+    q = qp.select(
         F.lit(0).alias("role"), F.col("id").cast("long").alias("qid"),
         F.lit("" if cid_is_str else 0).cast(ctype).alias("cid"),  # placeholder, never null
-        F.col("key").cast(key_t).alias("key"), F.col("value").cast("double").alias("value"),
+        "keys", "vals",
         F.pmod(F.xxhash64("id"), F.lit(bq)).cast("int").alias("qb"),
         F.explode(F.sequence(F.lit(0), F.lit(bc - 1))).alias("cb"))
-    c = candidates.select(
+    c = cp.select(
         F.lit(1).alias("role"), F.lit(-1).cast("long").alias("qid"),  # placeholder
         F.col("id").cast(ctype).alias("cid"),
-        F.col("key").cast(key_t).alias("key"), F.col("value").cast("double").alias("value"),
+        "keys", "vals",
         F.explode(F.sequence(F.lit(0), F.lit(bq - 1))).alias("qb"),
         F.pmod(F.xxhash64("id"), F.lit(bc)).cast("int").alias("cb"))
     schema = f"qid long, cid {ctype}, score double"

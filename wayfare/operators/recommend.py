@@ -128,8 +128,13 @@ def user_similarity(ratings: DataFrame, users: DataFrame | None = None,
     ``users`` (column ``user_code``; default: every user with ratings).
     Only positive similarities are kept (a zero-similarity neighbour adds
     nothing to a score)."""
-    cand = ratings.select(F.col("userCode").alias("id"), F.col("hotel_id").alias("key"),
-                          F.col("rating").alias("value"))
+    # Integer keys: the kernel factorises keys per group, which is much
+    # cheaper on int64 than on strings. Codes come from the hotel dictionary
+    # (a bounded catalog).
+    hotels_dict = E.build_dictionary(ratings, "hotel_id")
+    coded = E.encode(ratings, "hotel_id", hotels_dict, "_hcode", unseen=None)
+    cand = coded.select(F.col("userCode").alias("id"), F.col("_hcode").cast("long").alias("key"),
+                        F.col("rating").alias("value"))
     q = cand
     if users is not None:
         q = cand.join(users.select(F.col("user_code").alias("id")).distinct(), "id", "left_semi")

@@ -26,6 +26,11 @@ SCALE_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
+    # Python workers run numpy kernels one per task slot: one BLAS thread
+    # each, or 8 workers x 8 BLAS threads oversubscribe the cores.
+    "spark.executorEnv.OMP_NUM_THREADS": "1",
+    "spark.executorEnv.OPENBLAS_NUM_THREADS": "1",
+    "spark.executorEnv.MKL_NUM_THREADS": "1",
 }
 
 

@@ -25,8 +25,30 @@ from pyspark.sql import functions as F
 BASE_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
 
 
+FACT_KEYS = {"lineitem": "l_orderkey", "orders": "o_orderkey"}
+
+
 def base(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    if name in FACT_KEYS:
+        df = spread_small_scan(df, FACT_KEYS[name])
+    return df
+
+
+def spread_small_scan(df: DataFrame, key: str) -> DataFrame:
+    """Give a fact scan at least one partition per task slot.
+
+    Parquet is split by row group; a small file written as one row group is
+    read by a single task, and every join and projection fused into that
+    scan stage then runs on one core. Only in that case the scan is spread by
+    a hash of its key (one shuffle of the pruned columns; deterministic, so a
+    retried stage sees the same rows); a scan that already has enough
+    partitions (any large input) is returned unchanged.
+    """
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < slots:
+        return df.repartition(slots, key)
+    return df
 
 
 def round2(c):
