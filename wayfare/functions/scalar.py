@@ -61,6 +61,13 @@ def day_name_to_index(name) -> Column:
     return m[col(name)]
 
 
+def parse_date(c, fmt: str = "yyyy-MM-dd") -> Column:
+    """String -> DATE. With ANSI mode (the Spark 4 default) a malformed value
+    raises, as the original eager parser did; ``try_to_date`` semantics are
+    available through ``F.try_to_date`` when NULL is wanted instead."""
+    return F.to_date(col(c), fmt)
+
+
 def month_bucket(d) -> Column:
     return F.date_format(col(d), "yyyy-MM")
 

@@ -44,6 +44,15 @@ def q_kpi_metrics(spark, sf):
     return an.kpi_metrics(*tables(spark, sf))
 
 
+@query("category_share", """
+SELECT gender, count(*) AS "count", count(*) / sum(count(*)) OVER () AS share
+FROM users WHERE gender IS NOT NULL GROUP BY gender
+""")
+def q_category_share(spark, sf):
+    u, _, _ = tables(spark, sf)
+    return an.category_share(u, "gender")
+
+
 @query("category_share_gender", """
 SELECT gender, count(*) AS "count", count(*) / sum(count(*)) OVER () AS share
 FROM users WHERE gender IS NOT NULL GROUP BY gender

@@ -259,6 +259,18 @@ def q_day_name_map(spark, sf):
              .agg(F.count(F.lit(1)).alias("flights")))
 
 
+@query("parse_dates", """
+SELECT o_orderkey, strftime(CAST(o_orderdate AS DATE), '%Y-%m-%d') AS date_text,
+       CAST(strptime(strftime(CAST(o_orderdate AS DATE), '%Y-%m-%d'), '%Y-%m-%d') AS DATE) AS "date"
+FROM orders
+""")
+def q_parse_dates(spark, sf):
+    """Order dates rendered as text (as in the CSV sources) and parsed back."""
+    o = A.base(spark, sf, "orders")
+    txt = F.date_format(F.col("o_orderdate").cast("date"), "yyyy-MM-dd")
+    return o.select("o_orderkey", txt.alias("date_text"), S.parse_date(txt).alias("date"))
+
+
 @query("month_bucket", """
 SELECT "travelCode", "date", strftime("date", '%Y-%m') AS month_year FROM flights
 """)
