@@ -77,8 +77,14 @@ def user_features(users: DataFrame, flights: DataFrame, hotels: DataFrame,
     fa = flight_agg(flights)
     ha = hotel_agg(hotels).withColumnRenamed("userCode", "_h_user")
     j = users.join(fa, users.code == fa.userCode, "left")
-    key = fa.userCode if hotel_key == "flight" else users.code
-    j = j.join(ha, key == ha._h_user, "left").drop("_h_user")
+    # fa.userCode equals users.code whenever it is not NULL, so the original
+    # chain is "same user AND the user has flights"; keying both joins on
+    # users.code lets the second join reuse the first join's partitioning
+    # (no second shuffle of the user table).
+    cond = users.code == ha._h_user
+    if hotel_key == "flight":
+        cond = cond & fa.userCode.isNotNull()
+    j = j.join(ha, cond, "left").drop("_h_user")
     return fill_numeric(j)
 
 
@@ -94,7 +100,7 @@ def user_features_slim(users: DataFrame, flights: DataFrame, hotels: DataFrame)
         F.count("total").alias("hotel_count"),
         F.avg("days").alias("avg_days")))
     j = (users.join(fa, users.code == fa.userCode, "left")
-              .join(ha, fa.userCode == ha._h_user, "left").drop("_h_user"))
+              .join(ha, (users.code == ha._h_user) & fa.userCode.isNotNull(), "left").drop("_h_user"))
     return fill_numeric(j)
 
 

@@ -25,7 +25,9 @@ from pyspark.sql import functions as F
 BASE_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
 
 
-FACT_KEYS = {"lineitem": "l_orderkey", "orders": "o_orderkey"}
+# The probe side of the adapter joins (orders is a build side or is large
+# enough to be split already).
+FACT_KEYS = {"lineitem": "l_orderkey"}
 
 
 def base(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
