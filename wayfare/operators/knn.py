@@ -40,6 +40,8 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import task_slots
+
 
 MIN_BLOCK = 256
 
@@ -169,7 +171,7 @@ def topk_cosine(queries: DataFrame, candidates: DataFrame, k: int, *,
     bc = max(1, math.ceil(nc / block_rows))
     # Enough (query, candidate) groups to occupy every task slot twice, but
     # no block smaller than MIN_BLOCK ids (tiny blocks only add replication).
-    slots = queries.sparkSession.sparkContext.defaultParallelism
+    slots = task_slots(queries.sparkSession)
     bq = max(math.ceil(nq / block_rows), math.ceil(2 * slots / bc))
     bq = max(1, min(bq, math.ceil(nq / MIN_BLOCK)))
     q = qp.select(

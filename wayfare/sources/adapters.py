@@ -47,8 +47,13 @@ def spread_small_scan(df: DataFrame, key: str) -> DataFrame:
     retried stage sees the same rows); a scan that already has enough
     partitions (any large input) is returned unchanged.
     """
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < slots:
+    from ..session import task_slots
+    slots = task_slots(df.sparkSession)
+    try:
+        parts = df.rdd.getNumPartitions()
+    except Exception:  # pragma: no cover - no RDD access (e.g. a remote session)
+        return df
+    if parts < slots:
         return df.repartition(slots, key)
     return df
 
