@@ -30,8 +30,20 @@ BASE_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "li
 FACT_KEYS = {"lineitem": "l_orderkey"}
 
 
+# Parquet schema per path, inferred once per process. Without a declared
+# schema every ``spark.read.parquet`` runs a footer-reading job before
+# planning, and one query reads up to a dozen base tables.
+_SCHEMAS: dict[str, object] = {}
+
+
 def base(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    path = f"{sf_dir}/{name}.parquet"
+    schema = _SCHEMAS.get(path)
+    if schema is None:
+        df = spark.read.parquet(path)
+        _SCHEMAS[path] = df.schema
+    else:
+        df = spark.read.schema(schema).parquet(path)
     if name in FACT_KEYS:
         df = spread_small_scan(df, FACT_KEYS[name])
     return df
