@@ -96,3 +96,26 @@ def test_kpis(t):
     u, f, h = t
     k = an.kpi_metrics(u, f, h).first()
     assert k.total_revenue == 5800.0 and k.active_users == 4 and k.avg_hotel_spend == 200.0
+
+
+def test_exact_quantiles_match_numpy_on_skewed_groups(spark):
+    import collections
+
+    import numpy as np
+    rng = np.random.default_rng(1)
+    # a hot value holding most of a group, a far outlier (all other values
+    # fall in the first histogram bucket), single-row and all-equal groups
+    rows = [("hot", float(x)) for x in np.concatenate([np.full(3000, 5.0), rng.exponential(10, 2000), [1e9]])]
+    rows += [("one", 3.0), ("two", 1.0), ("two", 2.0)] + [("dup", 7.0)] * 10 + [(None, 1.0), ("two", None)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    probs = [0.0, 0.25, 0.5, 0.999, 1.0]
+    got = {r["g"]: [r[f"q{i}"] for i in range(len(probs))]
+           for r in an.exact_quantiles(df, "g", "v", probs, buckets=64).collect()}
+    d = collections.defaultdict(list)
+    for g, v in rows:
+        if g is not None and v is not None:
+            d[g].append(v)
+    assert set(got) == set(d)
+    for g, vs in d.items():
+        exp = [float(np.quantile(np.array(vs), p)) for p in probs]
+        assert got[g] == pytest.approx(exp, rel=1e-12, abs=1e-12), g

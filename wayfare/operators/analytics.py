@@ -181,34 +181,101 @@ def hotel_price_histogram(hotels: DataFrame, bins: int = 30) -> DataFrame:
     return histogram(hotels, "price", bins)
 
 
+def exact_quantiles(df: DataFrame, group: str, value: str, probs: list[float],
+                    buckets: int = 1 << 20) -> DataFrame:
+    """Exact linear-interpolation quantiles per group without one task
+    holding a group's values.
+
+    1. distinct (group, value) counts (partial aggregation; a hot value is one
+       row per partition);
+    2. an equal-width histogram of at most ``buckets`` buckets per group over
+       [min, max]. The bucket index is a monotone function of the value, so
+       the buckets are in value order and cumulative counts over them give
+       the rank range of every bucket (a window over <= ``buckets`` rows);
+    3. only the buckets that hold a target rank (two per probability) are
+       ranked value by value.
+
+    Returns ``group, q0, q1, ...`` (NULL-free values only).
+    """
+    return quantiles_from_counts(value_counts(df, group, value), group, value, probs, buckets)
+
+
+def value_counts(df: DataFrame, group: str, value: str) -> DataFrame:
+    """Distinct (group, value) rows with their count ``_c`` (NULLs dropped).
+    The one pass over the facts that the exact quantiles and box statistics
+    share; partial aggregation makes a hot value one row per partition."""
+    v = F.col(value)
+    return (df.where(F.col(group).isNotNull() & v.isNotNull())
+              .groupBy(group, value).agg(F.count(F.lit(1)).alias("_c")))
+
+
+def quantiles_from_counts(counts: DataFrame, group: str, value: str, probs: list[float],
+                          buckets: int = 1 << 20) -> DataFrame:
+    """``exact_quantiles`` over a ``value_counts`` table."""
+    v = F.col(value)
+    stats = counts.groupBy(group).agg(F.sum("_c").alias("_n"), F.min(v).alias("_lo"),
+                                      F.max(v).alias("_hi"))
+    span = F.col("_hi") - F.col("_lo")
+    bucket = F.when(span > 0, F.least(F.floor((v - F.col("_lo")) / span * buckets),
+                                      F.lit(buckets - 1))).otherwise(F.lit(0)).cast("long")
+    vc = counts.join(stats, group).select(group, value, "_c", bucket.alias("_b"))
+    hist = vc.groupBy(group, "_b").agg(F.sum("_c").alias("_bc"))
+    wb = Window.partitionBy(group).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    hist = hist.withColumn("_below", F.coalesce(F.sum("_bc").over(wb), F.lit(0)))
+    # target ranks (0-based): floor and ceil of (n - 1) * p for every p
+    tp = F.explode(F.array(*[F.struct(F.lit(i).alias("_i"), F.lit(float(p)).alias("_p"))
+                             for i, p in enumerate(probs)])).alias("_t")
+    t = stats.select(group, "_n", tp).select(group, "_t._i", ((F.col("_n") - 1) * F.col("_t._p")).alias("_pos"))
+    t = t.select(group, "_i", "_pos", F.explode(F.array(F.floor("_pos").cast("long"), F.ceil("_pos").cast("long"))).alias("_r"))
+    tb = (t.join(hist, group)
+           .where((F.col("_r") >= F.col("_below")) & (F.col("_r") < F.col("_below") + F.col("_bc")))
+           .select(group, "_i", "_pos", "_r", "_b", "_below"))
+    keys = tb.select(group, "_b", "_below").distinct()
+    wv = Window.partitionBy(group, "_b").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
+    cand = (vc.join(keys, [group, "_b"])
+              .withColumn("_start", F.col("_below") + F.coalesce(F.sum("_c").over(wv), F.lit(0)))
+              .select(group, "_b", value, "_start", "_c"))
+    hit = (tb.drop("_below").join(cand, [group, "_b"])
+             .where((F.col("_r") >= F.col("_start")) & (F.col("_r") < F.col("_start") + F.col("_c")))
+             .select(group, "_i", "_pos", "_r", F.col(value).alias("_v")))
+    per = hit.groupBy(group, "_i", "_pos").agg(
+        F.min_by("_v", "_r").alias("_vlo"), F.max_by("_v", "_r").alias("_vhi"))
+    q = F.col("_vlo") + (F.col("_pos") - F.floor("_pos")) * (F.col("_vhi") - F.col("_vlo"))
+    per = per.select(group, "_i", q.alias("_q"))
+    return per.groupBy(group).agg(*[F.max(F.when(F.col("_i") == i, F.col("_q"))).alias(f"q{i}")
+                                    for i in range(len(probs))])
+
+
 def price_box(flights: DataFrame, group: str = "flightType", value: str = "price",
               approx: bool = False, accuracy: int = 10000) -> DataFrame:
     """Box-plot statistics per group: quartiles, IQR fences, whiskers, outliers.
 
-    ``percentile`` is exact with linear interpolation; it pre-aggregates
-    (value -> count) maps per partition, so its memory grows with the distinct
-    values of a group, not its rows. ``approx=True`` uses the mergeable
-    quantile sketch instead for very high-cardinality values.
+    Quartiles are exact with linear interpolation (``exact_quantiles``: no
+    task holds a whole group); ``approx=True`` uses the mergeable quantile
+    sketch instead.
     """
     v = F.col(value)
-    probs = F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))
-    q = F.percentile_approx(v, probs, accuracy) if approx else F.percentile(v, probs)
-    base = flights.where(F.col(group).isNotNull() & v.isNotNull())
-    quart = base.groupBy(group).agg(q.alias("_q"), F.count(v).alias("n"),
-                                    F.min(v).alias("min"), F.max(v).alias("max"))
-    quart = quart.select(group, "n", "min", "max",
-                         F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"),
-                         F.col("_q")[2].alias("q3"))
+    vc = value_counts(flights, group, value)
+    agg = vc.groupBy(group).agg(F.sum("_c").alias("n"), F.min(v).alias("min"), F.max(v).alias("max"))
+    if approx:
+        probs = F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))
+        base = flights.where(F.col(group).isNotNull() & v.isNotNull())
+        qs = base.groupBy(group).agg(F.percentile_approx(v, probs, accuracy).alias("_q")).select(
+            group, F.col("_q")[0].alias("q0"), F.col("_q")[1].alias("q1"), F.col("_q")[2].alias("q2"))
+    else:
+        qs = quantiles_from_counts(vc, group, value, [0.25, 0.5, 0.75])
+    quart = agg.join(qs, group).select(group, "n", "min", "max", F.col("q0").alias("q1"),
+                                       F.col("q1").alias("median"), F.col("q2").alias("q3"))
     quart = quart.withColumn("iqr", F.col("q3") - F.col("q1")) \
                  .withColumn("lower_fence", F.col("q1") - 1.5 * F.col("iqr")) \
                  .withColumn("upper_fence", F.col("q3") + 1.5 * F.col("iqr"))
-    # Second pass over the facts with the per-group fences (one row per group).
-    j = base.join(quart.select(group, "lower_fence", "upper_fence"), group)
+    # Whiskers and outliers from the distinct values with the per-group fences.
+    j = vc.join(quart.select(group, "lower_fence", "upper_fence"), group)
     inside = (v >= F.col("lower_fence")) & (v <= F.col("upper_fence"))
     wh = j.groupBy(group).agg(
         F.min(F.when(inside, v)).alias("lower_whisker"),
         F.max(F.when(inside, v)).alias("upper_whisker"),
-        F.count_if(~inside).alias("outliers"))
+        F.sum(F.when(~inside, F.col("_c")).otherwise(F.lit(0))).alias("outliers"))
     return quart.join(wh, group)
 
 

@@ -98,21 +98,34 @@ def numeric_columns(df: DataFrame) -> list[str]:
 
 
 def describe(df: DataFrame, cols: list[str] | None = None, approx: bool = False) -> DataFrame:
-    """count, mean, std (sample), min, 25%, 50%, 75%, max per numeric column,
-    one aggregate pass; one output row per column. Exact percentiles by
-    default (linear interpolation); ``approx`` uses the mergeable sketch."""
+    """count, mean, std (sample), min, 25%, 50%, 75%, max per numeric column;
+    one output row per column. Moments are one aggregate pass; exact
+    percentiles (linear interpolation) come from ``exact_quantiles`` over the
+    (column, value) long form, so no task holds a whole column's values.
+    ``approx`` uses the mergeable sketch in the aggregate pass instead."""
+    from .analytics import exact_quantiles
     cols = cols or numeric_columns(df)
+    probs = [0.25, 0.5, 0.75]
     aggs = []
     for i, c in enumerate(cols):
         x = F.col(f"`{c}`").cast("double")
-        probs = F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))
-        q = F.percentile_approx(x, probs, 10000) if approx else F.percentile(x, probs)
-        aggs.append(F.struct(F.lit(c).alias("column"), F.count(x).alias("count"), F.avg(x).alias("mean"),
-                             F.stddev_samp(x).alias("std"), F.min(x).alias("min"),
-                             q[0].alias("p25"), q[1].alias("p50"), q[2].alias("p75"),
-                             F.max(x).alias("max")).alias(f"s{i}"))
+        fields = [F.lit(c).alias("column"), F.count(x).alias("count"), F.avg(x).alias("mean"),
+                  F.stddev_samp(x).alias("std"), F.min(x).alias("min"), F.max(x).alias("max")]
+        if approx:
+            q = F.percentile_approx(x, F.array(*[F.lit(p) for p in probs]), 10000)
+            fields += [q[0].alias("p25"), q[1].alias("p50"), q[2].alias("p75")]
+        aggs.append(F.struct(*fields).alias(f"s{i}"))
     a = df.agg(*aggs)
-    return a.select(F.explode(F.array(*[F.col(f"s{i}") for i in range(len(cols))])).alias("s")).select("s.*")
+    stats = a.select(F.explode(F.array(*[F.col(f"s{i}") for i in range(len(cols))])).alias("s")).select("s.*")
+    order = ["column", "count", "mean", "std", "min", "p25", "p50", "p75", "max"]
+    if approx:
+        return stats.select(*order)
+    long = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"),
+                                                  F.col(f"`{c}`").cast("double").alias("x"))
+                                         for c in cols])).alias("s")).select("s.*")
+    qs = exact_quantiles(long, "column", "x", probs).select(
+        "column", F.col("q0").alias("p25"), F.col("q1").alias("p50"), F.col("q2").alias("p75"))
+    return stats.join(qs, "column", "left").select(*order)
 
 
 def missing_counts(df: DataFrame) -> DataFrame:
