@@ -5,8 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from .bpe import bpe_round_trip
+from .chat import conversation_events, fold_events, format_digests, render
 from .packing import pack
+from .quality import COUNTS, quality_rules
 from .tokenfile import token_files
+from .urls import url_filter
+
+URL_RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
+             ("net", "/es/", "block"), ("net", "/fr/", "block")]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,6 +24,19 @@ def tokenizer_file() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_quality_rules(spark, sf_dir):
+    judged = quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return judged.select("doc_id", *COUNTS[:5], "base_failed", "kept", "rejected_by")
+
+
+def op4_chat_formatting(spark, sf_dir):
+    probe = "</s>[INST] ok [/INST]"
+    own = spark.range(2).selectExpr("-7L AS conv_id", "id AS turn", "if(id = 0, 'user', 'assistant') AS role",
+                                    f"'{probe}' AS text")
+    conversations = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(own)
+    return format_digests(render(fold_events(conversation_events(conversations))))
+
+
 def op7_best_fit_packing(spark, sf_dir):
     return pack(table(spark, sf_dir, "documents"), tokenizer_file(), capacity=2048, end_id=0)
 
@@ -30,5 +49,77 @@ def op9_huffman_token_files(spark, sf_dir):
     return token_files(table(spark, sf_dir, "documents"), tokenizer_file(), end_id=0)
 
 
-QUERIES = {f.__name__: f for f in (op7_best_fit_packing, op8_bpe_pair_index, op9_huffman_token_files)}
-ORACLE_SQL: dict[str, str] = {}
+def op10_url_filter(spark, sf_dir):
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return url_filter(table(spark, sf_dir, "pages"), rules).select("page_id", "host", "path", "rule", "verdict")
+
+
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op4_chat_formatting, op7_best_fit_packing, op8_bpe_pair_index,
+                                   op9_huffman_token_files, op10_url_filter)}
+
+ORACLE_SQL = {
+    "op4_chat_formatting": r"""
+WITH rows_ AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce("text", '') AS t FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+sized AS (
+  SELECT *, length(role) + length(t) + length(regexp_replace(role || t, '[^\\<\[]', '', 'g')) + 20 AS n FROM rows_)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || t || chr(10), '' ORDER BY turn, role, t)) AS turns_sha256,
+       CAST(coalesce(sum(length(t)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(t, '' ORDER BY turn, role, t) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(n) AS BIGINT) AS formatted_chars
+FROM sized GROUP BY conv_id
+""",
+    "op10_url_filter": r"""
+WITH RECURSIVE rules(rhost, rpath, decision) AS (
+  VALUES ('com', '/', 'allow'), ('example.com', '/en/', 'block'), ('www.example.com', '/en/', 'allow'),
+         ('net', '/es/', 'block'), ('net', '/fr/', 'block')),
+split_ AS (
+  SELECT page_id, url, html, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) END AS rest,
+         lower(CASE WHEN instr(url, '://') > 0 THEN substr(url, 1, instr(url, '://') - 1) END) AS scheme FROM pages),
+p AS (
+  SELECT page_id, html, scheme,
+         translate(coalesce(regexp_extract(rest, '^[^/?#]*', 0), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                   'abcdefghijklmnopqrstuvwxyz') AS host,
+         coalesce(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1), '') AS path,
+         regexp_extract(rest, '^[^/?#]*([^#]*)', 1) AS tail FROM split_),
+tags AS (
+  SELECT *, scheme || '://' || host || tail AS node,
+    regexp_extract(list_filter(regexp_extract_all(html, '(?is)<link\b[^>]*>'),
+      lambda x: regexp_matches(x, '(?is)\brel\s*=\s*["'']?canonical\b'))[1], '(?is)\bhref\s*=\s*["'']?([^\s"''>]+)', 1) AS canonical,
+    regexp_extract(list_filter(regexp_extract_all(html, '(?is)<meta\b[^>]*>'),
+      lambda x: regexp_matches(x, '(?is)\bhttp-equiv\s*=\s*["'']?refresh\b'))[1], '(?is)\burl\s*=\s*[''"]?([^\s"''>]+)', 1) AS refresh
+  FROM p),
+targets AS (
+  SELECT node, scheme, host, replace(target, '&amp;', '&') AS target
+  FROM (SELECT node, scheme, host, unnest([canonical, refresh]) AS target FROM tags) WHERE target <> ''),
+absolute AS (
+  SELECT node, CASE WHEN instr(target, '://') > 0 THEN target WHEN starts_with(target, '//') THEN scheme || ':' || target
+                    WHEN starts_with(target, '/') THEN scheme || '://' || host || target END AS target FROM targets),
+ends AS (
+  SELECT node AS a, lower(substr(target, 1, instr(target, '://') - 1)) || '://'
+    || translate(regexp_extract(substr(target, instr(target, '://') + 3), '^[^/?#]*', 0), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                 'abcdefghijklmnopqrstuvwxyz')
+    || regexp_extract(substr(target, instr(target, '://') + 3), '^[^/?#]*([^#]*)', 1) AS b
+  FROM absolute WHERE target IS NOT NULL),
+links AS (SELECT a, b FROM ends UNION SELECT b, a FROM ends),
+reach(a, b) AS (SELECT a, a FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+urls AS (
+  SELECT DISTINCT host, path FROM p
+  UNION SELECT translate(regexp_extract(a, '://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+               regexp_extract(a, '://[^/?#]*([^?#]*)', 1) FROM links),
+own AS (
+  SELECT host, path, arg_max(rhost || rpath, length(rhost || rpath)) AS rule,
+         arg_max(decision, length(rhost || rpath)) AS decision
+  FROM urls JOIN rules ON (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath) GROUP BY host, path),
+votes AS (
+  SELECT r.a AS node, max(CASE WHEN o.decision = 'allow' THEN 2 ELSE 1 END) AS vote
+  FROM reach r JOIN own o ON o.host = regexp_extract(r.b, '://([^/?#]*)', 1)
+                         AND o.path = regexp_extract(r.b, '://[^/?#]*([^?#]*)', 1) GROUP BY r.a)
+SELECT page_id, t.host, t.path, o.rule,
+       coalesce(o.decision, CASE v.vote WHEN 2 THEN 'allow' WHEN 1 THEN 'block' END, 'allow') AS verdict
+FROM tags t LEFT JOIN own o ON o.host = t.host AND o.path = t.path LEFT JOIN votes v ON v.node = t.node
+""",
+}
