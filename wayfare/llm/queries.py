@@ -9,6 +9,7 @@ from .chat import conversation_events, fold_events, format_digests, render
 from .packing import pack
 from .quality import COUNTS, quality_rules
 from .tokenfile import token_files
+from .toxicity import toxicity
 from .urls import url_filter
 
 URL_RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
@@ -29,6 +30,11 @@ def op1_quality_rules(spark, sf_dir):
     return judged.select("doc_id", *COUNTS[:5], "base_failed", "kept", "rejected_by")
 
 
+def op3_toxicity_gru(spark, sf_dir):
+    scored = toxicity(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", "held_out", "score", "predicted")
+
+
 def op4_chat_formatting(spark, sf_dir):
     probe = "</s>[INST] ok [/INST]"
     own = spark.range(2).selectExpr("-7L AS conv_id", "id AS turn", "if(id = 0, 'user', 'assistant') AS role",
@@ -54,7 +60,7 @@ def op10_url_filter(spark, sf_dir):
     return url_filter(table(spark, sf_dir, "pages"), rules).select("page_id", "host", "path", "rule", "verdict")
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op4_chat_formatting, op7_best_fit_packing, op8_bpe_pair_index,
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op3_toxicity_gru, op4_chat_formatting, op7_best_fit_packing, op8_bpe_pair_index,
                                    op9_huffman_token_files, op10_url_filter)}
 
 ORACLE_SQL = {
