@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .bpe import bpe_round_trip
 from .chat import conversation_events, fold_events, format_digests, render
+from .jaccard import near_duplicates
 from .packing import pack
 from .quality import COUNTS, quality_rules
 from .suffix import remove_repeats
@@ -48,6 +49,11 @@ def op5_suffix_dedup(spark, sf_dir):
     return remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"), length=100, keep_text=False)
 
 
+def op6_chosen_path_join(spark, sf_dir):
+    found = near_duplicates(table(spark, sf_dir, "documents"), width=5, threshold=0.8)
+    return found.select("doc_id", "class_id", "n_links", "kept")
+
+
 def op7_best_fit_packing(spark, sf_dir):
     return pack(table(spark, sf_dir, "documents"), tokenizer_file(), capacity=2048, end_id=0)
 
@@ -65,7 +71,7 @@ def op10_url_filter(spark, sf_dir):
     return url_filter(table(spark, sf_dir, "pages"), rules).select("page_id", "host", "path", "rule", "verdict")
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op3_toxicity_gru, op4_chat_formatting, op5_suffix_dedup, op7_best_fit_packing, op8_bpe_pair_index,
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op3_toxicity_gru, op4_chat_formatting, op5_suffix_dedup, op6_chosen_path_join, op7_best_fit_packing, op8_bpe_pair_index,
                                    op9_huffman_token_files, op10_url_filter)}
 
 ORACLE_SQL = {
