@@ -9,6 +9,7 @@ from .chat import conversation_events, fold_events, format_digests, render
 from .jaccard import near_duplicates
 from .packing import pack
 from .quality import COUNTS, quality_rules
+from .subspace import near_vectors
 from .suffix import remove_repeats
 from .tokenfile import token_files
 from .toxicity import toxicity
@@ -32,6 +33,10 @@ def op1_quality_rules(spark, sf_dir):
     return judged.select("doc_id", *COUNTS[:5], "base_failed", "kept", "rejected_by")
 
 
+def op2_subspace_pigeonhole(spark, sf_dir):
+    return near_vectors(table(spark, sf_dir, "embeddings"), cosine=0.98)
+
+
 def op3_toxicity_gru(spark, sf_dir):
     scored = toxicity(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels"))
     return scored.select("doc_id", "held_out", "score", "predicted")
@@ -71,7 +76,7 @@ def op10_url_filter(spark, sf_dir):
     return url_filter(table(spark, sf_dir, "pages"), rules).select("page_id", "host", "path", "rule", "verdict")
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op3_toxicity_gru, op4_chat_formatting, op5_suffix_dedup, op6_chosen_path_join, op7_best_fit_packing, op8_bpe_pair_index,
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_subspace_pigeonhole, op3_toxicity_gru, op4_chat_formatting, op5_suffix_dedup, op6_chosen_path_join, op7_best_fit_packing, op8_bpe_pair_index,
                                    op9_huffman_token_files, op10_url_filter)}
 
 ORACLE_SQL = {
