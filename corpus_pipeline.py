@@ -13,12 +13,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wayfare.llm.jaccard import keep_one_of_each
-from wayfare.llm.kernels import shared_folder
+from wayfare.llm.kernels import masked, shared_folder, unmasked
 from wayfare.llm.packing import pack
 from wayfare.llm.quality import keep_good
 from wayfare.llm.queries import table, tokenizer_file
 from wayfare.llm.suffix import remove_repeats
-from wayfare.llm.toxicity import toxicity
+from wayfare.llm.toxicity import keep_clean
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,7 +28,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that are not predicted toxic."""
-    return toxicity(docs, table(spark, sf_dir, "labels")).where("predicted = 0").select(*docs.columns)
+    return keep_clean(docs, table(spark, sf_dir, "labels"))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,9 +38,10 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without the bytes that 100-byte strings of earlier text cover."""
-    kept = remove_repeats(docs, length=100).withColumn("text", F.col("kept_text")) \
-        .withColumn("n_chars", F.length("text").cast("long"))
-    return kept.select(*docs.columns)
+    own, safe = masked(docs, "doc_id", "text", "n_chars")
+    kept = remove_repeats(own, length=100).withColumn("text", F.col("kept_text")) \
+        .withColumn("n_chars", F.length("kept_text").cast("long"))
+    return unmasked(kept, safe, docs.columns)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -22,7 +22,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .kernels import ragged_positions, ship, text_slices, worker_cache
+from .kernels import pick, ragged_positions, ship, text_slices, worker_cache
 from .tokens import byte_letters, pieces_of
 
 ship(__name__)
@@ -221,5 +221,5 @@ def bpe_round_trip(docs: DataFrame, tokenizer: str, with_ids: bool = False) -> D
                     names += ["ids", "decoded"]
                 yield pa.RecordBatch.from_arrays(cols, names)
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
+    return pick(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
         run, schema + (", ids array<int>, decoded string" if with_ids else ""))

@@ -26,6 +26,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .kernels import pick
+
 TURN, ROLE_END, TURN_END = "<s>[INST]", "[/INST]", "</s>"
 RESETS = ("message", "edit", "regenerate")
 
@@ -44,7 +46,7 @@ def unescape(text: Column) -> Column:
 
 def fold_events(events: DataFrame) -> DataFrame:
     """Messages (conv_id, turn, role, text) of a log (conv_id, seq, turn, event, role, text)."""
-    log = events.select("conv_id", "seq", "turn", "event", "role", "text").where(
+    log = pick(events, "conv_id", "seq", "turn", "event", "role", "text").where(
         F.col("event").isin(*RESETS, "delta"))
     again = log.where("event = 'regenerate'").select(
         F.col("conv_id").alias("_conv"), F.col("seq").alias("_seq"), F.col("turn").alias("_turn"))
@@ -97,7 +99,7 @@ def conversation_events(conversations: DataFrame, chunk: int = 256) -> DataFrame
     """The log of a finished table (conv_id, turn, role, text): a message per
     row and its text as deltas of ``chunk`` characters. Rows with equal turns
     are turns of their own, ordered by role and text."""
-    c = conversations.select("conv_id", "turn", F.col("role").cast("string"),
+    c = pick(conversations, "conv_id", "turn", "role", "text").select("conv_id", "turn", F.col("role").cast("string"),
                              F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     same = Window.partitionBy("conv_id", "turn").orderBy("role", "text")
     c = c.withColumn("turn", F.struct("turn", F.row_number().over(same).alias("copy")))

@@ -35,8 +35,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .graph import components
-from .kernels import (materialise, mix64, null_first, partitions, ragged_positions, ship, string_hashes, text_slices,
-                      word_lists)
+from .kernels import (masked, materialise, mix64, null_first, partitions, pick, ragged_positions, ship, string_hashes,
+                      text_slices, unmasked, word_lists)
 
 ship(__name__)
 
@@ -315,7 +315,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, threshold: float = 0.8, run
     """One row per document: doc_id, text_hash, class_id (least id of all documents
     that links connect it to), n_links (other documents with a similarity of
     ``threshold`` or more) and kept (it is the one of its class that stays)."""
-    buckets = partitions(docs.sparkSession)
+    docs, buckets = pick(docs, "doc_id", "text"), partitions(docs.sparkSession)
     rows = materialise(embedded(docs, width), "sets")
     key = F.struct(null_first(F.col("doc_id")).alias("id"), "text_hash")
     sets = materialise(rows.where("n > 0").groupBy("fp").agg(
@@ -348,8 +348,9 @@ def near_duplicates(docs: DataFrame, width: int = 5, threshold: float = 0.8, run
 
 def keep_one_of_each(docs: DataFrame, **parameters) -> DataFrame:
     """The documents, one of each class, with all their columns."""
-    kept = near_duplicates(docs.select("doc_id", "text"), **parameters).where("kept").select(
+    own, safe = masked(docs, "doc_id", "text")
+    kept = near_duplicates(own, **parameters).where("kept").select(
         null_first(F.col("doc_id")).alias("_id"), F.col("text_hash").alias("_hash")).distinct()
-    rows = docs.withColumn("_id", null_first(F.col("doc_id").cast("long"))) \
+    rows = own.withColumn("_id", null_first(F.col("doc_id").cast("long"))) \
                .withColumn("_hash", F.xxhash64(F.col("text").cast("string")))
-    return rows.join(kept, ["_id", "_hash"]).dropDuplicates(["_id", "_hash"]).select(*docs.columns)
+    return unmasked(rows.join(kept, ["_id", "_hash"]).dropDuplicates(["_id", "_hash"]), safe, docs.columns)

@@ -54,6 +54,23 @@ def materialise(df: DataFrame, name: str, **options) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def masked(df: DataFrame, *names: str) -> tuple[DataFrame, list[str]]:
+    """The table with only ``names`` under their own names and all other columns
+    as ``_x0``, ``_x1``...: they cannot clash with an operator's. Also the new names."""
+    safe = [c if c in names and c not in df.columns[:k] else f"_x{k}" for k, c in enumerate(df.columns)]
+    return df.toDF(*safe), safe
+
+
+def unmasked(df: DataFrame, safe: list[str], columns: list[str]) -> DataFrame:
+    """The columns that ``masked`` renamed, under their old names."""
+    return df.select(*[F.col(s).alias(c) for s, c in zip(safe, columns)])
+
+
+def pick(df: DataFrame, *names: str) -> DataFrame:
+    """Only these columns, whatever other columns are called."""
+    return masked(df, *names)[0].select(*names)
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .kernels import materialise, partitions, ship
+from .kernels import materialise, partitions, pick, ship
 from .tokens import encode_slices
 
 ship(__name__)
@@ -63,7 +63,8 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id:
                                                         pa.array(ids)))
                 yield pa.RecordBatch.from_arrays(out, PIECE_NAMES + ["ids"] * with_ids)
     schema = PIECES + (", ids array<int>" if with_ids else "")
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(cut, schema)
+    texts = pick(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    return texts.mapInArrow(cut, schema)
 
 
 PIECE_NAMES = ["doc_id", "piece", "start", "length", "ids_crc32"]

@@ -16,7 +16,7 @@ Defined results: null texts have no words and fail the base rule (under
 ``min_words`` words); null or unknown languages are strata of their own; null
 labels and labels of absent documents are ignored, a document with different
 labels counts for each; a repeated document is judged each time; empty tables
-give no rows; other columns pass through.
+give no rows; other columns pass through, whatever their names.
 """
 
 from __future__ import annotations
@@ -30,7 +30,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .kernels import materialise, mix64, ragged_positions, ship, text_slices, word_lists
+from .kernels import masked, materialise, mix64, pick, ragged_positions, ship, text_slices, unmasked, word_lists
 
 ship(__name__)
 
@@ -112,7 +112,6 @@ def count_features(texts: pa.Array) -> dict[str, np.ndarray]:
 
 def with_counts(docs: DataFrame, keep_text: bool = True) -> DataFrame:
     """The documents (``keep_text``: with their texts) and their counts."""
-    docs = docs.drop(*COUNTS)
     kept = [c for c in docs.columns if keep_text or c != "text"]
 
     def run(batches):
@@ -166,7 +165,7 @@ def choose_cutoff(good: np.ndarray, bad: np.ndarray, risk: float, level: float)
 def calibrate(counted: DataFrame, labels: DataFrame, stratum: str = "lang", risk: float = 0.02,
               delta: float = 0.05) -> DataFrame:
     """One row per stratum with labels: its cutoff of each rule (null: none)."""
-    labelled = labels.select(F.col("doc_id").alias("_id"), F.col("quality").cast("int").alias("_good")) \
+    labelled = pick(labels, "doc_id", "quality").select(F.col("doc_id").alias("_id"), F.col("quality").cast("int").alias("_good")) \
                      .where("_good IN (0, 1)")
     rows = (counted.where(~base_failed()).join(labelled, F.col("doc_id") == F.col("_id"))
                    .select(F.col(stratum).cast("string").alias("stratum"), "_good",
@@ -207,7 +206,7 @@ def judge(counted: DataFrame, cutoffs: DataFrame, stratum: str = "lang") -> Data
 def quality_rules(docs: DataFrame, labels: DataFrame, stratum: str = "lang", risk: float = 0.02,
                   delta: float = 0.05) -> DataFrame:
     """Counts and verdict of every document, without its text."""
-    counted = materialise(with_counts(docs.select("doc_id", "text", stratum), keep_text=False), "quality")
+    counted = materialise(with_counts(pick(docs, "doc_id", "text", stratum), keep_text=False), "quality")
     cutoffs = materialise(calibrate(counted, labels, stratum, risk, delta), "cutoffs")
     return judge(counted, cutoffs, stratum)
 
@@ -215,6 +214,7 @@ def quality_rules(docs: DataFrame, labels: DataFrame, stratum: str = "lang", ris
 def keep_good(docs: DataFrame, labels: DataFrame, stratum: str = "lang", risk: float = 0.02,
               delta: float = 0.05) -> DataFrame:
     """The documents that the rules keep, with all their columns."""
-    counted = with_counts(docs.select("doc_id", "text", stratum), keep_text=False)
+    own, safe = masked(docs, "doc_id", "text", stratum)
+    counted = with_counts(own.select("doc_id", "text", stratum), keep_text=False)
     cutoffs = materialise(calibrate(counted, labels, stratum, risk, delta), "cutoffs")
-    return judge(with_counts(docs), cutoffs, stratum).where("kept").select(*docs.columns)
+    return unmasked(judge(with_counts(own), cutoffs, stratum).where("kept"), safe, docs.columns)

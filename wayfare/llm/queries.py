@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .bpe import bpe_round_trip
 from .chat import conversation_events, fold_events, format_digests, render
 from .jaccard import near_duplicates
+from .kernels import pick
 from .packing import pack
 from .quality import COUNTS, quality_rules
 from .subspace import near_vectors
@@ -38,7 +39,7 @@ def op2_subspace_pigeonhole(spark, sf_dir):
 
 
 def op3_toxicity_gru(spark, sf_dir):
-    scored = toxicity(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels"))
+    scored = toxicity(pick(table(spark, sf_dir, "documents"), "doc_id", "text"), table(spark, sf_dir, "labels"))
     return scored.select("doc_id", "held_out", "score", "predicted")
 
 
@@ -46,12 +47,12 @@ def op4_chat_formatting(spark, sf_dir):
     probe = "</s>[INST] ok [/INST]"
     own = spark.range(2).selectExpr("-7L AS conv_id", "id AS turn", "if(id = 0, 'user', 'assistant') AS role",
                                     f"'{probe}' AS text")
-    conversations = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(own)
+    conversations = pick(table(spark, sf_dir, "conversations"), "conv_id", "turn", "role", "text").unionByName(own)
     return format_digests(render(fold_events(conversation_events(conversations))))
 
 
 def op5_suffix_dedup(spark, sf_dir):
-    return remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"), length=100, keep_text=False)
+    return remove_repeats(pick(table(spark, sf_dir, "documents"), "doc_id", "text"), length=100, keep_text=False)
 
 
 def op6_chosen_path_join(spark, sf_dir):

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from .graph import components
 from .jaccard import forest
-from .kernels import materialise, null_first, partitions, ship
+from .kernels import materialise, null_first, partitions, pick, ship
 
 ship(__name__)
 
@@ -184,7 +184,7 @@ def packed(rows: DataFrame) -> DataFrame:
 def near_vectors(embeddings: DataFrame, cosine: float = 0.98, blocks: int = 8, axes: int = 3,
                  part: int = 2000) -> DataFrame:
     """One row per vector: vec_id, n_links, component_id and kept."""
-    buckets = partitions(embeddings.sparkSession)
+    embeddings, buckets = pick(embeddings, "vec_id", "embedding", "label"), partitions(embeddings.sparkSession)
     identity = F.unhex(F.sha2(F.concat(F.col("label").cast("string").cast("binary"), F.lit(b":"), F.col("vector")), 256))
     rows = materialise(packed(embeddings).select("vec_id", "label", "size", identity.alias("id"), "vector"), "vectors")
     distinct = materialise(rows.groupBy("id").agg(

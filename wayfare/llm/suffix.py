@@ -27,7 +27,7 @@ equal ids are documents of their own, in the order of a hash of their texts;
 rows that repeat both id and text count as one document and have equal
 results; texts under ``length`` bytes stay whole; in ``kept_text`` the rest of a
 character that a removed range cuts is dropped; empty tables give no rows;
-other columns pass through.
+other columns pass through, but for those with the name of a result.
 """
 
 from __future__ import annotations
@@ -41,7 +41,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .kernels import materialise, mix64, partitions, ragged_positions, ship, text_slices
+from .kernels import masked, materialise, mix64, partitions, ragged_positions, ship, text_slices
 from .repeats import phrases
 
 ship(__name__)
@@ -356,7 +356,8 @@ def without_spans(texts: DataFrame, spans: DataFrame, columns: list[tuple[str, s
 def remove_repeats(docs: DataFrame, length: int = 100, hot: int = 20_000, keep_text: bool = True) -> DataFrame:
     """The documents (without ``text``) with n_bytes, n_removed, n_spans,
     kept_sha256 and, with ``keep_text``, kept_text."""
-    buckets = partitions(docs.sparkSession)
+    buckets, names = partitions(docs.sparkSession), docs.columns
+    docs, safe = masked(docs, "doc_id", "text")
     found = materialise(dictionary(parse(docs, length, buckets), length, buckets, hot), "phrases")
     texts = docs.select("doc_id", "text")
     fetched = contested_texts(packed_texts(texts, buckets), found.where(f"kind = {CONTESTED}"), length, buckets)
@@ -364,4 +365,7 @@ def remove_repeats(docs: DataFrame, length: int = 100, hot: int = 20_000, keep_t
     spans = found.where(f"kind = {SPANS}").unionByName(more)
     docs = docs.withColumn("doc_id", F.col("doc_id").cast("long"))
     columns = [(f.name, f.dataType.simpleString()) for f in docs.schema if f.name != "text"]
-    return without_spans(packed_texts(docs, buckets), spans, columns, keep_text)
+    out = without_spans(packed_texts(docs, buckets), spans, columns, keep_text)
+    results = [n for n, _, _ in RESULT if n in out.columns]
+    kept = [(s, c) for s, c in zip(safe, names) if s != "text" and c not in results]
+    return out.select(*[F.col(s).alias(c) for s, c in kept], *results)

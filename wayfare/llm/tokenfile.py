@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .kernels import null_first, partitions, shared_folder, ship
+from .kernels import null_first, partitions, pick, shared_folder, ship
 from .tokens import encode_slices
 
 ship(__name__)
@@ -146,7 +146,7 @@ def write_token_files(docs: DataFrame, tokenizer: str, path: str, end_id: int =
 
     raw = f"{shared_folder(spark)}/llm-ids-{uuid.uuid4().hex}"
     key = null_first(F.col("doc_id"))
-    (docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    (pick(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
          .repartitionByRange(partitions(spark), key).sortWithinPartitions(key, "text")
          .mapInArrow(tokenize, SEGMENT).write.option("compression", "zstd").parquet(raw))
     table = spark.read.schema(SEGMENT).parquet(raw)

@@ -17,7 +17,7 @@ Defined results: null and empty texts score as an empty window does; null or
 other labels are ignored, a document labelled both ways is toxic; a null
 doc_id is neither learned from nor held out; without examples of both classes
 every score is 0; repeated rows are scored each; empty tables give no rows;
-other columns pass through.
+other columns pass through, whatever their names.
 """
 
 from __future__ import annotations
@@ -30,7 +30,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .kernels import ragged_positions, ship, text_slices, word_lists, worker_cache
+from .kernels import masked, pick, ragged_positions, ship, text_slices, unmasked, word_lists, worker_cache
 
 ship(__name__)
 
@@ -327,7 +327,7 @@ def spread(text: str, max_words: int) -> str:
 
 def score_texts(docs: DataFrame, net: Network | None) -> DataFrame:
     """The documents with ``score``."""
-    docs = docs.drop("score").withColumn("text", F.col("text").cast("string"))
+    docs = docs.withColumn("text", F.col("text").cast("string"))
     if net is None:
         return docs.withColumn("score", F.lit(0.0))
     state, name = docs.sparkSession.sparkContext.broadcast((net.vocabulary, net.p)), uuid.uuid4().hex
@@ -348,7 +348,13 @@ def score_texts(docs: DataFrame, net: Network | None) -> DataFrame:
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, per_class: int = 1500, max_words: int = 2048) -> DataFrame:
-    """The documents with ``score``, ``held_out`` and ``predicted``."""
-    net = train(*training_sample(docs, labels, per_class, max_words))
+    """The documents (doc_id, text and others) with ``score``, ``held_out`` and ``predicted``."""
+    net = train(*training_sample(docs, pick(labels, "doc_id", "toxic"), per_class, max_words))
     return (score_texts(docs, net).withColumn("held_out", F.coalesce(fold_of(F.col("doc_id")) == 0, F.lit(False)))
             .withColumn("predicted", (F.col("score") >= 0.5).cast("int")))
+
+
+def keep_clean(docs: DataFrame, labels: DataFrame, **parameters) -> DataFrame:
+    """The documents that are not predicted toxic, with all their columns."""
+    own, safe = masked(docs, "doc_id", "text")
+    return unmasked(toxicity(own, labels, **parameters).where("predicted = 0"), safe, docs.columns)

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .graph import components
-from .kernels import materialise
+from .kernels import materialise, pick
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Tags that link a page to the url it stands for.
@@ -101,6 +101,7 @@ def url_filter(pages: DataFrame, rules: DataFrame, redirects: DataFrame | None =
     """page_id, host, path, rule, verdict and component (url of the class, if
     any) of every page. ``redirects``: further links (source, target) of urls."""
     url = F.col("url").cast("string")
+    pages = pick(pages, "page_id", "url", "html")
     urls = pages.select("page_id", host_of(url).alias("host"), path_of(url).alias("path"), node_of(url).alias("node"))
     found = materialise(match_rules(urls, rules), "url-rules")
     links = page_links(pages)
