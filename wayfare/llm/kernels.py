@@ -56,8 +56,13 @@ def materialise(df: DataFrame, name: str, **options) -> DataFrame:
 
 def masked(df: DataFrame, *names: str) -> tuple[DataFrame, list[str]]:
     """The table with only ``names`` under their own names and all other columns
-    as ``_x0``, ``_x1``...: they cannot clash with an operator's. Also the new names."""
-    safe = [c if c in names and c not in df.columns[:k] else f"_x{k}" for k, c in enumerate(df.columns)]
+    as ``_x0``, ``_x1``...: they cannot clash with an operator's. Also the new
+    names. The first column with exactly a name is meant, else the first with it in other case."""
+    safe = [f"_x{k}" for k in range(len(df.columns))]
+    lower = [c.lower() for c in df.columns]
+    for n in names:
+        if n.lower() in lower:
+            safe[df.columns.index(n) if n in df.columns else lower.index(n.lower())] = n
     return df.toDF(*safe), safe
 
 

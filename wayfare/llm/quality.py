@@ -173,19 +173,20 @@ def calibrate(counted: DataFrame, labels: DataFrame, stratum: str = "lang", risk
                                                for r in RULES])).alias("x"))
                    .groupBy("stratum", "x.rule", "x.value")
                    .agg(F.sum("_good").alias("good"), F.sum(1 - F.col("_good")).alias("bad")))
-    strata = rows.select("stratum").distinct().agg(F.count(F.lit(1)).alias("strata"))
-    names = list(RULES)
+    # Strata x rules x 101 rows at most.
+    rows = materialise(rows, "rule-values")
+    names, strata = list(RULES), max(1, rows.select("stratum").distinct().count())
 
     def cutoffs(f: pd.DataFrame) -> pd.DataFrame:
         out: dict[str, list] = {"stratum": [f["stratum"].iloc[0]]}
         for rule in names:
             part = f[f["rule"] == rule]
             good, bad = (np.bincount(part["value"], part[c], TOP + 1) for c in ("good", "bad"))
-            out[rule] = [choose_cutoff(good, bad, risk / len(names), delta / len(names) / f["strata"].iloc[0])]
+            out[rule] = [choose_cutoff(good, bad, risk / len(names), delta / len(names) / strata)]
         return pd.DataFrame(out)
 
     # A stratum's rows: at most rules x 101 values.
-    return rows.crossJoin(strata).groupBy("stratum").applyInPandas(
+    return rows.groupBy("stratum").applyInPandas(
         cutoffs, "stratum string, " + ", ".join(f"{r} int" for r in names))
 
 
