@@ -81,8 +81,25 @@ def test_similar_flights_fallback(spark, t):
 
 def test_unknown_cities(spark, t):
     _, f, _ = t
-    req = spark.createDataFrame([(1, "X"), (2, "Atlantis")], "request_id long, from string")
-    assert [r.request_id for r in an.unknown_cities(req, f).collect()] == [2]
+    req = spark.createDataFrame([(1, "X", "X"), (2, "Atlantis", None), (3, None, "Lemuria"), (4, "", "X"), (5, "Atlantis", "Mu")],
+                                "request_id long, from string, to string")
+    got = {(r.request_id, r.field, r.city) for r in an.unknown_cities(req, f).collect()}
+    assert got == {(2, "from", "Atlantis"), (3, "to", "Lemuria"), (5, "from", "Atlantis"), (5, "to", "Mu")}
+
+
+def test_quantiles_with_an_extreme_value(spark):
+    import numpy as np
+    rng = np.random.default_rng(2)
+    values = np.concatenate([rng.random(4000), [1e15]])
+    df = spark.createDataFrame([("a", float(v)) for v in values] + [("b", 1.0), ("b", 1.0), ("c", 2.0), (None, 1.0)], "g string, x double")
+    ranged = an.in_value_order(an.value_counts(df, "g", "x"), "g", "x")
+    longest = max(r["n"] for r in ranged.groupBy("_p").agg(F.count(F.lit(1)).alias("n")).collect())
+    assert longest < 0.6 * len(values), "no task ranks a whole group"
+    got = {r["g"]: r for r in an.exact_quantiles(df, "g", "x", [0.0, 0.25, 0.5, 0.99, 1.0]).collect()}
+    want = np.quantile(values, [0.0, 0.25, 0.5, 0.99, 1.0])
+    assert np.allclose([got["a"][f"q{i}"] for i in range(5)], want, rtol=1e-12)
+    assert got["b"]["q2"] == 1.0 and got["c"]["q0"] == 2.0 and set(got) == {"a", "b", "c"}
+
 
 
 def test_sample_points_reproducible(t):
@@ -110,7 +127,7 @@ def test_exact_quantiles_match_numpy_on_skewed_groups(spark):
     df = spark.createDataFrame(rows, "g string, v double")
     probs = [0.0, 0.25, 0.5, 0.999, 1.0]
     got = {r["g"]: [r[f"q{i}"] for i in range(len(probs))]
-           for r in an.exact_quantiles(df, "g", "v", probs, buckets=64).collect()}
+           for r in an.exact_quantiles(df, "g", "v", probs).collect()}
     d = collections.defaultdict(list)
     for g, v in rows:
         if g is not None and v is not None:

@@ -37,6 +37,6 @@ def test_processed_sink_round_trip(spark, tmp_path):
     out = str(tmp_path / "p")
     for fmt in ("parquet", "csv"):
         sinks.write_processed({"flights": f, "hotels": h}, out + fmt, fmt)
-        back = sinks.read_processed(spark, out + fmt, fmt)
+        back = sinks.read_processed(spark, out + fmt, fmt, ("flights", "hotels"))
         s = {r.table: (r.rows, r.checksum) for r in sinks.processed_summary(back).collect()}
         assert s == {"flights": (1, 10.25), "hotels": (1, 10.0)}

@@ -2,8 +2,9 @@
 
 import numpy as np
 import pandas as pd
+import pytest
 
-from wayfare.operators.knn import _kernel, topk_cosine
+from wayfare.operators.knn import _kernel, pack_long, topk_cosine
 
 
 def brute(Q, C, qids, cids, k, exclude_self, min_score, digits=9):
@@ -24,27 +25,46 @@ def brute(Q, C, qids, cids, k, exclude_self, min_score, digits=9):
     return out
 
 
-def long(ids, M):
-    return [(int(i), int(j), float(M[r, j])) for r, i in enumerate(ids) for j in range(M.shape[1]) if M[r, j] != 0]
+def vectors(ids, M):
+    return [(int(i), [int(j) for j in np.flatnonzero(M[r])], [float(x) for x in M[r][M[r] != 0]]) for r, i in enumerate(ids)]
 
 
-def test_topk_matches_brute_force(spark):
+def sample(n=300, d=12):
     rng = np.random.default_rng(1)
-    n, d = 300, 12
     M = (rng.random((n, d)) < 0.3) * rng.integers(1, 4, (n, d)).astype(float)
     M[5] = M[7]            # identical twins -> exact ties
     M[9] = 0.0             # zero vector
     M[:, 0] += 1.0 * (np.arange(n) % 3 == 0)  # a hot key shared by a third of the ids
-    ids = np.arange(1000, 1000 + n)
-    df = spark.createDataFrame(long(ids, M), "id long, key int, value double")
-    got = topk_cosine(df, df, 10, exclude_self=True, min_score=0.0, block_rows=64).collect()
-    exp = brute(M, M, ids, ids, 10, True, 0.0)
+    return np.arange(1000, 1000 + n), M
+
+
+@pytest.mark.parametrize("grid, chunk, min_score", [(1, 512, 0.0), (2, 512, None), (3, 17, 0.0), (7, 64, None), (None, 100, 0.0)])
+def test_topk_matches_brute_force_for_any_grid(spark, grid, chunk, min_score):
+    ids, M = sample()
+    df = spark.createDataFrame(vectors(ids, M), "id long, keys array<long>, vals array<double>")
+    got = topk_cosine(df, df, 10, exclude_self=True, min_score=min_score, grid=grid, chunk=chunk).collect()
+    exp = brute(M, M, ids, ids, 10, True, min_score)
     g = {}
     for r in got:
         g.setdefault(r.qid, []).append((r.rank, r.cid, r.score))
     for q, lst in exp.items():
-        have = [(c, s) for _, c, s in sorted(g.get(q, []))]
-        assert have == lst, q
+        assert [(c, s) for _, c, s in sorted(g.get(q, []))] == lst, q
+
+
+def test_every_group_has_a_task_of_its_own_and_building_runs_no_job(spark):
+    ids, M = sample(120)
+    df = spark.createDataFrame(vectors(ids, M), "id long, keys array<long>, vals array<double>")
+    tracker = spark.sparkContext.statusTracker()
+    before = len(tracker.getJobIdsForGroup(None))
+    out = topk_cosine(df, df, 3, grid=4)
+    assert len(tracker.getJobIdsForGroup(None)) == before
+    assert out.count() == 360
+
+
+def test_pack_long(spark):
+    df = spark.createDataFrame([(1, 5, 2.0), (1, 6, 3.0), (2, 5, 1.0)], "id long, key long, value double")
+    got = {r.id: dict(zip(r["keys"], r["vals"])) for r in pack_long(df).collect()}
+    assert got == {1: {5: 2.0, 6: 3.0}, 2: {5: 1.0}}
 
 
 def test_kernel_handles_string_candidates():

@@ -86,3 +86,154 @@ def test_classifier_save_load(spark, tmp_path):
     assert a == b
     acc = EV.classification_metrics(m.transform(df), "label").first().accuracy
     assert acc > 0.9
+
+
+def test_folds_are_contiguous_and_of_equal_length(spark):
+    rows = [(int(k * 7919 % 1003), float(k % 3)) for k in range(503)]
+    df = spark.createDataFrame(rows + [(5, 1.0)] * 20, "k long, x double").repartition(6)
+    got = sorted((r["k"], r["x"], r["fold"]) for r in SP.contiguous_folds(df, ["k", "x"], 5).collect())
+    assert [f for _, _, f in got] == sorted(f for _, _, f in got)
+    assert np.bincount([f for _, _, f in got]).tolist() == [105, 105, 105, 104, 104]
+    assert SP.contiguous_folds(df.limit(0), ["k"], 5).count() == 0
+
+
+def test_lasso_meets_its_optimality_conditions(reg):
+    df, X, y = reg
+    m = T.train_price_model(df, ["a", "b", "c"], "lasso", label="y")
+    Xs, yc = (X - X.mean(0)) / X.std(0), y - y.mean()
+    w = m.stages[-1].coefficients.toArray()
+    slope = Xs.T @ (yc - Xs @ w) / len(y)
+    for j in range(3):
+        if abs(w[j]) > 1e-9:
+            assert slope[j] == pytest.approx(T.LASSO_ALPHA * np.sign(w[j]), abs=1e-3)
+        else:
+            assert abs(slope[j]) <= T.LASSO_ALPHA + 1e-3
+
+
+@pytest.fixture(scope="module")
+def ring(spark):
+    """A label that no line separates: inside or outside a circle."""
+    rng = np.random.default_rng(4)
+    X = rng.normal(size=(500, 2))
+    label = (np.hypot(X[:, 0], X[:, 1]) < 1.1).astype(float)
+    rows = [(i, float(a), float(b), float(t), float(3 * t + a)) for i, ((a, b), t) in enumerate(zip(X, label))]
+    return spark.createDataFrame(rows, "k long, a double, b double, label double, price double").persist(), X, label
+
+
+def test_logistic_meets_its_optimality_conditions(spark):
+    rng = np.random.default_rng(5)
+    X = rng.normal(size=(300, 2))
+    y = (X[:, 0] - X[:, 1] + rng.normal(size=300) > 0).astype(float)
+    df = spark.createDataFrame([(float(a), float(b), float(t)) for (a, b), t in zip(X, y)], "a double, b double, label double")
+    m = T.train_classifier(df, ["a", "b"], "logistic").stages[-1]
+    Xs, w = (X - X.mean(0)) / X.std(0), m.coefficients.toArray()
+    p = 1 / (1 + np.exp(-(Xs @ w + m.intercept)))
+    assert np.allclose(Xs.T @ (p - y) + w / T.LOGISTIC_C, 0, atol=0.05) and abs((p - y).sum()) < 0.05
+
+
+@pytest.mark.parametrize("model", ["random_forest", "gradient_boosting"])
+def test_price_trees_beat_the_mean_and_survive_saving(ring, tmp_path, model):
+    from wayfare.sources import sinks
+    df, _, _ = ring
+    m = T.train_price_model(df.where("k % 5 > 0"), ["a", "b"], model, num_trees=20)
+    test = df.where("k % 5 = 0")
+    assert EV.regression_metrics(m.transform(test), "price").first().r2 > 0.7
+    sinks.save_model(m, str(tmp_path / "m"))
+    again = sinks.load_model(str(tmp_path / "m")).transform(test)
+    assert [r.prediction for r in again.orderBy("k").collect()] == [r.prediction for r in m.transform(test).orderBy("k").collect()]
+
+
+@pytest.mark.parametrize("model", ["random_forest", "gradient_boosting", "svm"])
+def test_classifiers_beat_the_majority_and_survive_saving(ring, tmp_path, model):
+    from wayfare.sources import sinks
+    df, _, label = ring
+    args = {"num_trees": 20} if model != "svm" else {"gamma": 1.0}
+    m = T.train_classifier(df.where("k % 5 > 0"), ["a", "b"], model, **args)
+    test = df.where("k % 5 = 0")
+    got = EV.classification_metrics(m.transform(test), "label").first().accuracy
+    assert got > max(label.mean(), 1 - label.mean()) + 0.15
+    sinks.save_model(m, str(tmp_path / "m"))
+    again = sinks.load_model(str(tmp_path / "m")).transform(test)
+    assert [r.prediction for r in again.orderBy("k").collect()] == [r.prediction for r in m.transform(test).orderBy("k").collect()]
+
+
+def test_importances_favour_what_decides(ring):
+    df, _, _ = ring
+    noise = df.withColumn("c", F.col("k") % 7)
+    m = T.train_classifier(noise, ["a", "b", "c"], "random_forest", num_trees=10)
+    imp = [(r.feature, r.importance) for r in T.feature_importance(m, ["a", "b", "c"], top=2).collect()]
+    assert {f for f, _ in imp} == {"a", "b"} and imp[0][1] >= imp[1][1]
+
+
+def flights(spark, n=300):
+    from conftest import flights_df
+    import datetime
+    rng = np.random.default_rng(6)
+    rows = [(k, k % 40, "ABC"[k % 3], "XYZ"[k % 2], "economic", float(rng.integers(50, 90) + 100 * (k % 3)), 2.0 + k % 5, 500 + k % 50,
+             "CloudFy", datetime.date(2023, 1, 1) + datetime.timedelta(days=k % 300)) for k in range(n)]
+    return flights_df(spark, rows)
+
+
+def test_cross_validation_matches_numpy(spark):
+    from wayfare.ml import features as MF
+    from wayfare.ml import runs as RN
+    f = MF.flight_features(flights(spark), keep=["travelCode"])
+    order = ["travelCode", *MF.FLIGHT_FEATURES_8, "price"]
+    got = {r["fold"]: r["r2"] for r in RN.cross_validate(f, MF.FLIGHT_FEATURES_8, ["ridge"], order).collect()}
+    data = f.orderBy(*order).toPandas()
+    X, y = data[MF.FLIGHT_FEATURES_8].to_numpy(float), data["price"].to_numpy()
+    sd = X.std(0)
+    X = (X - X.mean(0)) / np.where(sd == 0, 1, sd)
+    scores = []
+    for part in np.array_split(np.arange(len(y)), 5):
+        rest = np.setdiff1d(np.arange(len(y)), part)
+        A, b = X[rest], y[rest]
+        w = np.linalg.solve((A - A.mean(0)).T @ (A - A.mean(0)) + np.eye(X.shape[1]), (A - A.mean(0)).T @ (b - b.mean()))
+        e = y[part] - (b.mean() + (X[part] - A.mean(0)) @ w)
+        scores.append(1 - (e ** 2).sum() / ((y[part] - y[part].mean()) ** 2).sum())
+    assert [got[f"fold_{k}"] for k in range(5)] == pytest.approx(scores, abs=1e-4)
+    assert got["mean"] == pytest.approx(np.mean(scores), abs=1e-4) and got["std"] == pytest.approx(np.std(scores), abs=1e-4)
+
+
+def test_tracked_training_logs_all_models_and_the_best(spark, tmp_path):
+    from wayfare.ml import runs as RN
+    f = flights(spark)
+    path = str(tmp_path / "runs")
+    RN.tracked_training(f, runs_path=path, num_trees=3, max_depth=3)
+    rows = RN.read_runs(spark, path).collect()
+    wide = {}
+    for r in rows:
+        wide.setdefault(r["model_type"], {})[r["metric"]] = r["value"]
+    assert set(wide) == set(RN.TRACKED_MODELS)
+    assert wide["ridge"]["param_alpha"] == 1.0 and wide["random_forest"]["param_max_depth"] == 3.0
+    best = max(RN.TRACKED_MODELS, key=lambda m: wide[m]["test_r2"])
+    assert [m for m in RN.TRACKED_MODELS if wide[m]["is_best"] == 1.0] == [best]
+    assert all({"train_r2", "test_rmse", "cv_r2_mean", "cv_r2_std"} <= set(v) for v in wide.values())
+
+
+def test_missing_request_features_are_zero_and_legacy_names_count(spark):
+    from wayfare.ml import features as MF
+    from wayfare.operators import encoding as E
+    companies = E.build_dictionary(spark.createDataFrame([("A",), ("B",), ("C",)], "company string"), "company")
+    rows = [(1, "B", None, 7.0, 30), (2, "B", 0.0, 7.0, 30), (3, "New", 5.0, None, None), (4, None, 5.0, 1.0, 2)]
+    req = spark.createDataFrame(rows, "request_id long, company string, avg_distance double, avg_price double, age int")
+    got = {r["request_id"]: r.asDict() for r in MF.request_features(req, companies).collect()}
+    same = lambda k: {c: v for c, v in got[k].items() if c != "request_id"}
+    assert same(1) == same(2) and got[1]["avg_flight_price"] == 7.0 and got[1]["company_encoded"] == 1.0
+    assert got[3]["avg_flight_price"] == 0.0 == got[3]["age"] and got[3]["company_encoded"] == 0.0 == got[4]["company_encoded"]
+    named = req.withColumnRenamed("avg_price", "avg_flight_price")
+    assert [r.asDict() for r in MF.request_features(named, companies).orderBy("request_id").collect()] == [got[k] for k in (1, 2, 3, 4)]
+    assert all(v is not None for r in got.values() for v in r.values())
+
+
+def test_dictionary_row_matches_the_join_form(spark):
+    from wayfare.operators import encoding as E
+    df = spark.createDataFrame([("b", 1), ("a", 2), (None, 1), ("c", None)], "x string, y int")
+    row = E.dictionary_row(df, ["x", "y"])
+    asked = spark.createDataFrame([("a", 1), ("zz", 2), (None, None)], "x string, y int")
+    got = [(r.x_encoded, r.y_encoded) for r in E.encode_columns(asked, row).collect()]
+    assert got == [(0, 0), (0, 1), (0, 0)]
+    table = {(r["field"], r["value"]): r["code"] for r in E.dictionary_table(row).collect()}
+    assert table == {("x", "a"): 0, ("x", "b"): 1, ("x", "c"): 2, ("y", "1"): 0, ("y", "2"): 1}
+    back = E.decode_column(spark.createDataFrame([(2,), (9,)], "c int"), row, "x", "c", "label")
+    assert [r["label"] for r in back.collect()] == ["c", None]

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ..functions.scalar import date_features
 from ..operators import encoding as E
 
+# The feature names and their order are the models' interface.
 FLIGHT_CATEGORICALS = ["from", "to", "flightType", "agency"]
 FLIGHT_FEATURES = ["time", "distance", "from_encoded", "to_encoded", "flightType_encoded",
                    "agency_encoded", "month", "day_of_week", "is_weekend"]
@@ -33,22 +34,20 @@ USER_FEATURE_ALIASES = {"avg_price": "avg_flight_price", "total_spent": "total_f
                         "avg_days": "avg_stay_days"}
 
 
-def flight_dictionaries(flights: DataFrame) -> dict[str, DataFrame]:
-    return {c: E.build_dictionary(flights, c) for c in FLIGHT_CATEGORICALS}
+def flight_dictionaries(flights: DataFrame) -> DataFrame:
+    """The sorted distinct values of all categorical columns: one row, one pass."""
+    return E.dictionary_row(flights, FLIGHT_CATEGORICALS)
 
 
-def flight_features(flights: DataFrame, dictionaries: dict[str, DataFrame] | None = None,
+def flight_features(flights: DataFrame, dictionaries: DataFrame | None = None,
                     keep: list[str] | None = None) -> DataFrame:
     """Encoded categoricals + date features; unseen values encode to 0.
 
     Only features whose source column exists are produced (a request table
     without a date column gets no date features unless it carries them).
     """
-    dictionaries = dictionaries or flight_dictionaries(flights)
-    df = flights
-    for c, d in dictionaries.items():
-        if c in df.columns:
-            df = E.encode(df, c, d)
+    dictionaries = dictionaries if dictionaries is not None else flight_dictionaries(flights)
+    df = E.encode_columns(flights, dictionaries, [c for c in dictionaries.columns if c in flights.columns])
     if "date" in df.columns and "month" not in df.columns:
         df = df.select("*", *date_features("date"))
     keep = keep or []
@@ -69,6 +68,17 @@ def user_model_table(user_feats: DataFrame, company_dict: DataFrame | None = Non
     return df
 
 
+def request_features(requests: DataFrame, company_dict: DataFrame) -> DataFrame:
+    """Classification requests as model inputs: legacy names applied, an unseen
+    or missing company is code 0, any other missing feature (or column) is 0."""
+    df = apply_aliases(requests)
+    if "company" not in df.columns:
+        df = df.withColumn("company", F.lit(None).cast("string"))
+    df = E.encode(df, "company", company_dict)
+    names = {c: F.col(c) if c in df.columns else F.lit(None).cast("double") for c in USER_FEATURES}
+    return df.select("request_id", *[F.coalesce(x.cast("double"), F.lit(0.0)).alias(c) for c, x in names.items()])
+
+
 def apply_aliases(requests: DataFrame) -> DataFrame:
     """Map legacy feature names onto current ones when the current one is absent/NULL."""
     df = requests

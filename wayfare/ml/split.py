@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import shared_folder
+
 MODULUS = 1000003  # prime; keeps intermediate products far from overflow
 
 
@@ -53,3 +55,27 @@ def stratified_flag(df: DataFrame, key: str, label: str, test_fraction: float =
     rank = F.col("_before") + F.row_number().over(Window.partitionBy(label, "_h").orderBy(F.col(key)))
     n_test = F.floor(F.col("_n") * test_fraction + 0.5)
     return j.withColumn("is_train", rank > n_test).drop("_h", "_before", "_n")
+
+
+def contiguous_folds(df: DataFrame, order: list[str], folds: int = 5) -> DataFrame:
+    """Adds ``fold``: the rows in the total order of ``order``, cut into ``folds``
+    runs of equal length (the first ones a row longer if need be).
+
+    No task sorts the table: rows are range-partitioned by the order (written
+    to the shared folder, so that the ranges stay what they were), numbered
+    within their range, and shifted by the counts of the ranges before.
+    """
+    spark = df.sparkSession
+    shared_folder(spark)
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranged = df.repartitionByRange(parts, *order).withColumn("_range", F.spark_partition_id()).checkpoint()
+    counts = ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("_c"))
+    # one row per range partition
+    counts = counts.select(F.col("_range").alias("_r"), (F.sum("_c").over(Window.orderBy("_range")) - F.col("_c")).alias("_before"))
+    n = ranged.count()
+    place = F.col("_before") + F.row_number().over(Window.partitionBy("_range").orderBy(*order)) - 1
+    size, longer = max(n // folds, 1), n % folds
+    fold = F.when(F.col("_place") < longer * (size + 1), F.floor(F.col("_place") / (size + 1))) \
+            .otherwise(longer + F.floor((F.col("_place") - longer * (size + 1)) / size))
+    return (ranged.join(counts, F.col("_range") == F.col("_r")).withColumn("_place", place)
+                  .withColumn("fold", fold.cast("int")).drop("_range", "_r", "_before", "_place"))

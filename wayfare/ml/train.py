@@ -39,8 +39,14 @@ SEED = 42
 # Tree training knobs: larger per-iteration aggregation memory trains more
 # nodes per pass over the data; node-id caching avoids re-walking the trees;
 # periodic checkpoints (to spark.checkpoint.dir) cut the cached lineage.
-TREE_OPTS = dict(maxMemoryInMB=1024, cacheNodeIds=True, checkpointInterval=10, maxBins=32)
-GBT_OPTS = dict(maxMemoryInMB=1024, maxBins=32)
+#
+# ``maxBins`` bounds the distinct thresholds that a feature offers: codes of
+# a dictionary with more values than that share bins. 64 keeps every code of
+# this data model's dictionaries (25 places, 7 agencies, 3 classes) apart;
+# pass a larger ``max_bins`` for larger dictionaries.
+MAX_BINS = 64
+TREE_OPTS = dict(maxMemoryInMB=512, cacheNodeIds=True, checkpointInterval=10)
+GBT_OPTS = dict(maxMemoryInMB=512)
 REGRESSORS = ["linear", "ridge", "lasso", "random_forest", "gradient_boosting"]
 CLASSIFIERS = ["logistic", "random_forest", "gradient_boosting", "svm"]
 RIDGE_ALPHA = 1.0
@@ -65,8 +71,15 @@ def _label_stats(train: DataFrame, label: str):
     return int(r["n"]), float(r["sd"] or 0.0)
 
 
+def model_parameters(model_type: str, num_trees: int = 100, max_depth: int | None = None) -> dict[str, float]:
+    """The parameters of a tracked model, as they are logged with its run."""
+    return {"ridge": {"alpha": RIDGE_ALPHA}, "lasso": {"alpha": LASSO_ALPHA}, "linear": {},
+            "gradient_boosting": {"n_estimators": num_trees, "max_depth": max_depth or 5, "learning_rate": 0.1}}.get(
+        model_type, {"n_estimators": num_trees, "max_depth": max_depth or 15})
+
+
 def regressor(model_type: str, n: int, y_sd: float, num_trees: int = 100, max_depth: int | None = None,
-              label: str = "price"):
+              label: str = "price", max_bins: int = MAX_BINS):
     common = dict(featuresCol="features", labelCol=label, predictionCol="prediction")
     if model_type == "linear":
         return LinearRegression(regParam=0.0, solver="normal", standardization=False, **common)
@@ -78,24 +91,24 @@ def regressor(model_type: str, n: int, y_sd: float, num_trees: int = 100, max_de
         return LinearRegression(regParam=LASSO_ALPHA, elasticNetParam=1.0, standardization=False,
                                 maxIter=1000, tol=1e-10, **common)
     if model_type == "gradient_boosting":
-        return GBTRegressor(maxIter=num_trees, maxDepth=max_depth or 5, stepSize=0.1, seed=SEED,
+        return GBTRegressor(maxIter=num_trees, maxDepth=max_depth or 5, stepSize=0.1, seed=SEED, maxBins=max_bins,
                             **GBT_OPTS, **common)
     # default (and unknown names): random forest
     return RandomForestRegressor(numTrees=num_trees, maxDepth=max_depth or 15, featureSubsetStrategy="all",
-                                 seed=SEED, **TREE_OPTS, **common)
+                                 seed=SEED, maxBins=max_bins, **TREE_OPTS, **common)
 
 
 def classifier(model_type: str, n: int, num_trees: int = 100, max_depth: int | None = None,
-               label: str = "label"):
+               label: str = "label", max_bins: int = MAX_BINS):
     common = dict(featuresCol="features", labelCol=label, predictionCol="prediction")
     if model_type == "logistic":
         return LogisticRegression(maxIter=1000, regParam=1.0 / (LOGISTIC_C * max(n, 1)), elasticNetParam=0.0,
                                   standardization=False, probabilityCol="probability", **common)
     if model_type == "gradient_boosting":
-        return GBTClassifier(maxIter=num_trees, maxDepth=max_depth or 5, stepSize=0.1, seed=SEED,
+        return GBTClassifier(maxIter=num_trees, maxDepth=max_depth or 5, stepSize=0.1, seed=SEED, maxBins=max_bins,
                              **GBT_OPTS, **common)
     return RandomForestClassifier(numTrees=num_trees, maxDepth=max_depth or 10, seed=SEED,
-                                  featureSubsetStrategy="sqrt", **TREE_OPTS, **common)
+                                  featureSubsetStrategy="sqrt", maxBins=max_bins, **TREE_OPTS, **common)
 
 
 def fit_pipeline(train: DataFrame, features: list[str], estimator, extra_stages=None) -> PipelineModel:

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalar import (AGE_LABELS, age_group, exact_avg, exact_sum,
                                 month_bucket, route)
+from ..session import shared_folder
 
 
 def _one_row(df: DataFrame, *aggs) -> DataFrame:
@@ -181,23 +182,23 @@ def hotel_price_histogram(hotels: DataFrame, bins: int = 30) -> DataFrame:
     return histogram(hotels, "price", bins)
 
 
-def exact_quantiles(df: DataFrame, group: str, value: str, probs: list[float],
-                    buckets: int = 1 << 20) -> DataFrame:
+def exact_quantiles(df: DataFrame, group: str, value: str, probs: list[float]) -> DataFrame:
     """Exact linear-interpolation quantiles per group without one task
     holding a group's values.
 
     1. distinct (group, value) counts (partial aggregation; a hot value is one
        row per partition);
-    2. an equal-width histogram of at most ``buckets`` buckets per group over
-       [min, max]. The bucket index is a monotone function of the value, so
-       the buckets are in value order and cumulative counts over them give
-       the rank range of every bucket (a window over <= ``buckets`` rows);
-    3. only the buckets that hold a target rank (two per probability) are
-       ranked value by value.
+    2. these rows are range-partitioned by (group, value) from sampled bounds
+       and written to the shared folder, so every partition is a run of the
+       sorted order, about equally long whatever the values are (one extreme
+       value makes no partition larger);
+    3. counts per (group, partition), summed over the partitions before, tell
+       which partitions hold the target ranks (two per probability); only
+       those are ranked value by value, each by itself.
 
     Returns ``group, q0, q1, ...`` (NULL-free values only).
     """
-    return quantiles_from_counts(value_counts(df, group, value), group, value, probs, buckets)
+    return quantiles_from_counts(value_counts(df, group, value), group, value, probs)
 
 
 def value_counts(df: DataFrame, group: str, value: str) -> DataFrame:
@@ -209,37 +210,39 @@ def value_counts(df: DataFrame, group: str, value: str) -> DataFrame:
               .groupBy(group, value).agg(F.count(F.lit(1)).alias("_c")))
 
 
-def quantiles_from_counts(counts: DataFrame, group: str, value: str, probs: list[float],
-                          buckets: int = 1 << 20) -> DataFrame:
-    """``exact_quantiles`` over a ``value_counts`` table."""
-    v = F.col(value)
-    stats = counts.groupBy(group).agg(F.sum("_c").alias("_n"), F.min(v).alias("_lo"),
-                                      F.max(v).alias("_hi"))
-    span = F.col("_hi") - F.col("_lo")
-    bucket = F.when(span > 0, F.least(F.floor((v - F.col("_lo")) / span * buckets),
-                                      F.lit(buckets - 1))).otherwise(F.lit(0)).cast("long")
-    vc = counts.join(stats, group).select(group, value, "_c", bucket.alias("_b"))
-    hist = vc.groupBy(group, "_b").agg(F.sum("_c").alias("_bc"))
-    wb = Window.partitionBy(group).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    hist = hist.withColumn("_below", F.coalesce(F.sum("_bc").over(wb), F.lit(0)))
+def in_value_order(counts: DataFrame, group: str, value: str) -> DataFrame:
+    """A ``value_counts`` table in range partitions by (group, value), numbered
+    ``_p`` and written to the shared folder (the numbers stay valid)."""
+    shared_folder(counts.sparkSession)
+    parts = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return counts.repartitionByRange(parts, group, value).withColumn("_p", F.spark_partition_id()).checkpoint()
+
+
+def quantiles_from_counts(counts: DataFrame, group: str, value: str, probs: list[float]) -> DataFrame:
+    """``exact_quantiles`` over a ``value_counts`` table (one that is
+    ``in_value_order`` already is not partitioned again)."""
+    vc = counts if "_p" in counts.columns else in_value_order(counts, group, value)
+    # at most one row per group and partition, and groups that share a partition
+    runs = vc.groupBy(group, "_p").agg(F.sum("_c").alias("_pc"))
+    wp = Window.partitionBy(group).orderBy("_p")
+    runs = runs.withColumn("_below", F.sum("_pc").over(wp) - F.col("_pc")) \
+               .withColumn("_n", F.sum("_pc").over(Window.partitionBy(group)))
     # target ranks (0-based): floor and ceil of (n - 1) * p for every p
-    tp = F.explode(F.array(*[F.struct(F.lit(i).alias("_i"), F.lit(float(p)).alias("_p"))
-                             for i, p in enumerate(probs)])).alias("_t")
-    t = stats.select(group, "_n", tp).select(group, "_t._i", ((F.col("_n") - 1) * F.col("_t._p")).alias("_pos"))
-    t = t.select(group, "_i", "_pos", F.explode(F.array(F.floor("_pos").cast("long"), F.ceil("_pos").cast("long"))).alias("_r"))
-    tb = (t.join(hist, group)
-           .where((F.col("_r") >= F.col("_below")) & (F.col("_r") < F.col("_below") + F.col("_bc")))
-           .select(group, "_i", "_pos", "_r", "_b", "_below"))
-    keys = tb.select(group, "_b", "_below").distinct()
-    wv = Window.partitionBy(group, "_b").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
-    cand = (vc.join(keys, [group, "_b"])
-              .withColumn("_start", F.col("_below") + F.coalesce(F.sum("_c").over(wv), F.lit(0)))
-              .select(group, "_b", value, "_start", "_c"))
-    hit = (tb.drop("_below").join(cand, [group, "_b"])
-             .where((F.col("_r") >= F.col("_start")) & (F.col("_r") < F.col("_start") + F.col("_c")))
-             .select(group, "_i", "_pos", "_r", F.col(value).alias("_v")))
-    per = hit.groupBy(group, "_i", "_pos").agg(
-        F.min_by("_v", "_r").alias("_vlo"), F.max_by("_v", "_r").alias("_vhi"))
+    targets = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), ((F.col("_n") - 1) * float(p)).alias("pos"))
+                                  for i, p in enumerate(probs)])).alias("_t")
+    t = runs.select(group, "_p", "_pc", "_below", targets).select(group, "_p", "_pc", "_below", "_t.i", "_t.pos")
+    t = t.select(group, "_p", "_pc", "_below", "i", "pos",
+                 F.explode(F.array(F.floor("pos").cast("long"), F.ceil("pos").cast("long"))).alias("_r"))
+    t = t.where((F.col("_r") >= F.col("_below")) & (F.col("_r") < F.col("_below") + F.col("_pc")))
+    wanted = t.groupBy(group, "_p").agg(F.first("_below").alias("_below"),
+                                        F.collect_set(F.struct("i", "pos", "_r")).alias("_t"))
+    wv = Window.partitionBy(group, "_p").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
+    hit = (vc.join(wanted, [group, "_p"])
+             .withColumn("_start", F.col("_below") + F.coalesce(F.sum("_c").over(wv), F.lit(0)))
+             .select(group, value, "_start", "_c", F.explode("_t").alias("_t"))
+             .where((F.col("_t._r") >= F.col("_start")) & (F.col("_t._r") < F.col("_start") + F.col("_c"))))
+    per = hit.groupBy(group, F.col("_t.i").alias("_i"), F.col("_t.pos").alias("_pos")).agg(
+        F.min_by(value, "_t._r").alias("_vlo"), F.max_by(value, "_t._r").alias("_vhi"))
     q = F.col("_vlo") + (F.col("_pos") - F.floor("_pos")) * (F.col("_vhi") - F.col("_vlo"))
     per = per.select(group, "_i", q.alias("_q"))
     return per.groupBy(group).agg(*[F.max(F.when(F.col("_i") == i, F.col("_q"))).alias(f"q{i}")
@@ -255,7 +258,7 @@ def price_box(flights: DataFrame, group: str = "flightType", value: str = "price
     sketch instead.
     """
     v = F.col(value)
-    vc = value_counts(flights, group, value)
+    vc = in_value_order(value_counts(flights, group, value), group, value)
     agg = vc.groupBy(group).agg(F.sum("_c").alias("n"), F.min(v).alias("min"), F.max(v).alias("max"))
     if approx:
         probs = F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))
@@ -310,6 +313,13 @@ def distinct_values(df: DataFrame, column: str) -> DataFrame:
     return df.where(F.col(column).isNotNull()).select(column).distinct().orderBy(column)
 
 
+def distinct_values_by_column(df: DataFrame, columns: list[str]) -> DataFrame:
+    """(column, value): the distinct non-null values of several columns, in one pass over the table."""
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").cast("string").alias("value"))
+                                for c in columns])).alias("p")
+    return df.select(pairs).select("p.*").where(F.col("value").isNotNull()).distinct()
+
+
 def known_cities(flights: DataFrame) -> DataFrame:
     """Every city seen as origin or destination."""
     a = flights.select(F.col("from").alias("city"))
@@ -317,10 +327,14 @@ def known_cities(flights: DataFrame) -> DataFrame:
     return a.union(b).where(F.col("city").isNotNull()).distinct()
 
 
-def unknown_cities(requests: DataFrame, flights: DataFrame, column: str = "from") -> DataFrame:
-    """Requests whose city is not among the known cities (anti join)."""
-    kc = known_cities(flights)
-    return requests.join(kc, requests[column] == kc.city, "left_anti")
+def unknown_cities(requests: DataFrame, flights: DataFrame, columns: tuple[str, ...] = ("from", "to")) -> DataFrame:
+    """Requests with a city that is not among the known cities: one row per
+    such ``field``, with the ``city``. A missing or empty city is not unknown."""
+    kc = known_cities(flights).withColumnRenamed("city", "_known")
+    sides = F.explode(F.array(*[F.struct(F.lit(c).alias("field"), F.col(c).alias("city")) for c in columns]))
+    asked = requests.select("*", sides.alias("_side")).select(*requests.columns, "_side.*")
+    asked = asked.where(F.col("city").isNotNull() & (F.col("city") != ""))
+    return asked.join(kc, F.col("city") == F.col("_known"), "left_anti")
 
 
 def head_preview(df: DataFrame, key: str | list[str], n: int = 20) -> DataFrame:

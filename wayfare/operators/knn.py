@@ -1,25 +1,22 @@
 """Exact top-k cosine neighbours between two sets of sparse vectors.
 
-Inputs are long tables ``(id, key, value)``: one row per non-zero entry of a
-vector (a user's rating of a hotel, or one feature of a hotel profile).
-
-Plan (no pair rows are ever materialised):
-
-1. Query ids and candidate ids are hashed into blocks of about
-   ``block_rows`` ids (block counts come from two distinct-count jobs over
-   the persisted inputs).
-2. Each vector is packed into one row (key and value arrays), and every
-   query vector is sent to each candidate block and every candidate vector
-   to each query block (``explode`` over the block range), keyed by
-   ``(query_block, candidate_block)``. A group therefore holds at most
-   ``2 * block_rows`` whole vectors no matter how the keys are skewed: a
-   hotel booked by a third of all users does not make any group larger.
-3. Per group, ``applyInPandas`` builds two dense matrices over the keys
-   present in the group, computes all cosines with one matrix product and
-   emits only each query's local top-k.
-4. The local lists (at most k rows per query and candidate block) are merged
-   with ``row_number() <= k``, which Spark plans with a partial window group
-   limit before the shuffle.
+A vector is one row ``(id, keys, vals)``; ``pack_long`` makes them from long
+rows ``(id, key, value)``.
+
+Plan (no pair rows are materialised, no job runs while it is built):
+
+1. Query ids and candidate ids are hashed into ``grid`` blocks each. A vector
+   is sent to the ``grid`` groups of its block's row or column, so the shuffle
+   carries ``grid`` copies of each vector, and ``grid * grid`` tasks share the
+   work. By default the grid follows the session's shuffle partitions
+   (about their square root); more data needs more partitions, as everywhere.
+   ``repartitionById`` gives every group a task of its own.
+2. A task walks its group in chunks: of ``chunk`` queries, and of candidates
+   against them, over the keys that the query chunk has. Beside the packed
+   vectors it holds one small block of products and a running top-k per query.
+3. The local lists (at most k rows per query and group) are merged with
+   ``row_number() <= k``, which Spark plans with a partial window group limit
+   before the shuffle.
 
 Scores are rounded half-up to ``digits`` decimals before ranking, so equal
 cosines computed in a different summation order rank equal; ties are broken
@@ -36,15 +33,9 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import task_slots
-
-
-MIN_BLOCK = 256
-
 # The kernel runs in Python workers; ship this module's code by value so the
 # executors do not need the package installed (only numpy and pandas).
 try:
@@ -81,116 +72,113 @@ def _topk_rows(S: np.ndarray, k: int):
     return r[keep], c[keep]
 
 
-def _kernel(k: int, exclude_self: bool, min_score, digits: int, cid_is_str: bool, chunk: int = 1024):
+def _flat(frame: pd.DataFrame):
+    """(row, key, value) of all entries of packed vectors."""
+    lens = frame["keys"].map(len).to_numpy(dtype="int64")
+    if not lens.sum():
+        return np.zeros(0, "int64"), np.zeros(0, "int64"), np.zeros(0)
+    return (np.repeat(np.arange(len(frame)), lens), np.concatenate(frame["keys"].to_numpy()).astype("int64"),
+            np.concatenate(frame["vals"].to_numpy()).astype("float64"))
+
+
+def _norms(frame: pd.DataFrame) -> np.ndarray:
+    # summed key by key, as a plain sum over the vector's entries
+    return np.array([np.sqrt((np.asarray(v, "float64") ** 2).sum()) for v in frame["vals"]])
+
+
+def _dense(frame: pd.DataFrame, known: np.ndarray) -> np.ndarray:
+    """Vectors over the sorted keys ``known``; other keys are left out."""
+    row, key, value = _flat(frame)
+    out = np.zeros((len(frame), len(known)))
+    if len(known):
+        at = np.minimum(np.searchsorted(known, key), len(known) - 1)
+        ok = known[at] == key
+        np.add.at(out, (row[ok], at[ok]), value[ok])
+    return out
+
+
+def _kernel(k: int, exclude_self: bool, min_score, digits: int, cid_is_str: bool, chunk: int = 512):
     scale = float(10 ** digits)
     cid_dtype = object if cid_is_str else "int64"
 
-    def empty():
-        return pd.DataFrame({"qid": pd.Series([], dtype="int64"),
-                             "cid": pd.Series([], dtype=cid_dtype),
-                             "score": pd.Series([], dtype="float64")})
-
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         isq = (pdf["role"] == 0).to_numpy()
-        if isq.all() or not isq.any():
-            return empty()
-        # one row per vector: keys / values arrays -> flat entries
-        lens = pdf["keys"].map(len).to_numpy()
-        flat_k = np.concatenate(pdf["keys"].to_numpy()) if lens.sum() else np.array([])
-        flat_v = (np.concatenate(pdf["vals"].to_numpy()).astype("float64") if lens.sum()
-                  else np.array([], dtype="float64"))
-        row = np.repeat(np.arange(len(pdf)), lens)
-        keys, kinv = np.unique(flat_k, return_inverse=True)
-        eq = isq[row]
-        q = pdf[isq]
-        c = pdf[~isq]
-        qids = q["qid"].to_numpy(dtype="int64")
-        cids = c["cid"].to_numpy(dtype=object) if cid_is_str else c["cid"].to_numpy(dtype="int64")
-        qpos = np.full(len(pdf), -1)
-        qpos[np.nonzero(isq)[0]] = np.arange(len(qids))
-        corder = np.argsort(cids, kind="stable")   # candidate columns in ascending id order
-        cids = cids[corder]
-        cpos = np.full(len(pdf), -1)
-        cpos[np.nonzero(~isq)[0][corder]] = np.arange(len(cids))
-        Qm = np.zeros((len(qids), len(keys)))
-        np.add.at(Qm, (qpos[row[eq]], kinv[eq]), flat_v[eq])
-        Cm = np.zeros((len(cids), len(keys)))
-        np.add.at(Cm, (cpos[row[~eq]], kinv[~eq]), flat_v[~eq])
-        nq = np.sqrt((Qm * Qm).sum(axis=1))
-        nc = np.sqrt((Cm * Cm).sum(axis=1))
-        CmT = Cm.T
-        out_q, out_c, out_s = [], [], []
-        # query rows in chunks bound the similarity block to chunk x |C| doubles
-        for lo in range(0, len(qids), chunk):
-            hi = min(lo + chunk, len(qids))
-            denom = np.outer(nq[lo:hi], nc)
-            S = np.where(denom == 0, 0.0, (Qm[lo:hi] @ CmT) / np.where(denom == 0, 1.0, denom))
-            S = np.floor(S * scale + 0.5) / scale
-            if exclude_self and not cid_is_str:
-                S[qids[lo:hi, None] == cids[None, :]] = -np.inf
-            if min_score is not None:
-                S[~(S > min_score)] = -np.inf
-            r, cc = _topk_rows(S, k)
-            out_q.append(qids[lo + r])
-            out_c.append(cids[cc])
-            out_s.append(S[r, cc])
-        qv = np.concatenate(out_q)
-        if qv.size == 0:
-            return empty()
-        return pd.DataFrame({"qid": qv.astype("int64"),
-                             "cid": pd.Series(np.concatenate(out_c), dtype=cid_dtype),
-                             "score": np.concatenate(out_s).astype("float64")})
+        q, c = pdf[isq], pdf[~isq].sort_values("cid", kind="stable")
+        qids, cids = q["qid"].to_numpy(dtype="int64"), c["cid"].to_numpy(dtype=cid_dtype)
+        nq, nc = _norms(q), _norms(c)
+        out = {"qid": [], "cid": [], "score": []}
+        for lo in range(0, len(q) if len(c) else 0, chunk):
+            part = q.iloc[lo:lo + chunk]
+            n = len(part)
+            known = np.unique(_flat(part)[1])
+            left = _dense(part, known)
+            # the best so far: rows of (query, candidate place, score), candidate places ascend
+            best_r, best_c, best_s = np.zeros(0, "int64"), np.zeros(0, "int64"), np.zeros(0)
+            for at in range(0, len(c), chunk):
+                right = _dense(c.iloc[at:at + chunk], known)
+                denom = np.outer(nq[lo:lo + chunk], nc[at:at + chunk])
+                s = np.where(denom == 0, 0.0, (left @ right.T) / np.where(denom == 0, 1.0, denom))
+                s = np.floor(s * scale + 0.5) / scale
+                if exclude_self and not cid_is_str:
+                    s[qids[lo:lo + n, None] == cids[None, at:at + chunk]] = -np.inf
+                if min_score is not None:
+                    s[~(s > min_score)] = -np.inf
+                r, place = _topk_rows(s, k)
+                r, place, sc = (np.concatenate(x) for x in ((best_r, r), (best_c, place + at), (best_s, s[r, place])))
+                order = np.lexsort((place, -sc, r))
+                r, place, sc = r[order], place[order], sc[order]
+                keep = np.arange(len(r)) - np.searchsorted(r, r, side="left") < k
+                best_r, best_c, best_s = r[keep], place[keep], sc[keep]
+            out["qid"].append(qids[lo + best_r])
+            out["cid"].append(cids[best_c])
+            out["score"].append(best_s)
+        return pd.DataFrame({"qid": np.concatenate([np.zeros(0, "int64"), *out["qid"]]),
+                             "cid": pd.Series(np.concatenate([np.zeros(0, cid_dtype), *out["cid"]]), dtype=cid_dtype),
+                             "score": np.concatenate([np.zeros(0), *out["score"]])})
 
     return run
 
 
+def pack_long(df: DataFrame) -> DataFrame:
+    """Long rows (id, key, value) -> one row (id, keys, vals) per vector. A
+    vector has at most one entry per key of the catalog."""
+    return df.groupBy("id").agg(F.collect_list(F.col("key").cast("long")).alias("keys"),
+                                F.collect_list(F.col("value").cast("double")).alias("vals"))
+
+
 def topk_cosine(queries: DataFrame, candidates: DataFrame, k: int, *,
                 exclude_self: bool = False, min_score: float | None = None,
-                block_rows: int = 2048, digits: int = 9) -> DataFrame:
+                grid: int | None = None, digits: int = 9, chunk: int = 512) -> DataFrame:
     """Top-k candidates per query id by cosine similarity.
 
-    ``queries``: (id long, key, value double); ``candidates``: (id, key, value)
-    with the same key type; candidate ids may be long or string. Returns
+    Both inputs are vectors (id, keys array<long>, vals array<double>); query
+    ids are long, candidate ids long or string. Returns
     ``(qid, cid, score, rank)`` with ``rank`` 1..k.
     """
     ctype = dict(candidates.dtypes)["id"]
     cid_is_str = ctype == "string"
-    key_t = dict(queries.dtypes)["key"]
-
-    # Pack each vector into one row (key and value arrays) before it is
-    # replicated: a vector has at most one entry per key (bounded by the key
-    # catalog), so the kernel receives bq / bc copies of one row per id
-    # instead of one row per entry. Both packed inputs are read twice (row
-    # count, then the kernel) and are persisted; lost blocks are recomputed.
-    def packed(df):
-        return (df.groupBy("id").agg(F.collect_list(F.col("key").cast(key_t)).alias("keys"),
-                                     F.collect_list(F.col("value").cast("double")).alias("vals"))
-                  .persist(StorageLevel.MEMORY_AND_DISK))
-    qp, cp = packed(queries), packed(candidates)
-    nq, nc = qp.count(), cp.count()
-    bc = max(1, math.ceil(nc / block_rows))
-    # Enough (query, candidate) groups to occupy every task slot twice, but
-    # no block smaller than MIN_BLOCK ids (tiny blocks only add replication).
-    slots = task_slots(queries.sparkSession)
-    bq = max(math.ceil(nq / block_rows), math.ceil(2 * slots / bc))
-    bq = max(1, min(bq, math.ceil(nq / MIN_BLOCK)))
-    q = qp.select(
-        F.lit(0).alias("role"), F.col("id").cast("long").alias("qid"),
-        F.lit("" if cid_is_str else 0).cast(ctype).alias("cid"),  # placeholder, never null
-        "keys", "vals",
-        F.pmod(F.xxhash64("id"), F.lit(bq)).cast("int").alias("qb"),
-        F.explode(F.sequence(F.lit(0), F.lit(bc - 1))).alias("cb"))
-    c = cp.select(
-        F.lit(1).alias("role"), F.lit(-1).cast("long").alias("qid"),  # placeholder
-        F.col("id").cast(ctype).alias("cid"),
-        "keys", "vals",
-        F.explode(F.sequence(F.lit(0), F.lit(bq - 1))).alias("qb"),
-        F.pmod(F.xxhash64("id"), F.lit(bc)).cast("int").alias("cb"))
-    schema = f"qid long, cid {ctype}, score double"
-    # One task per group: an explicit repartition on the group key (which AQE
-    # does not coalesce) keeps the compute-heavy groups spread over all slots;
-    # the groupBy reuses this partitioning without another shuffle.
-    local = (q.unionByName(c).repartition(bq * bc, "qb", "cb").groupBy("qb", "cb")
-              .applyInPandas(_kernel(k, exclude_self, min_score, digits, cid_is_str), schema))
+    if grid is None:
+        slots = int(queries.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        grid = max(1, round(slots ** 0.5))
+    block = F.pmod(F.xxhash64("id"), F.lit(grid)).cast("int")
+    # a query block's groups are block * grid + 0.., a candidate block's 0.. * grid + block
+    row = F.explode(F.transform(F.sequence(F.lit(0), F.lit(grid - 1)), lambda x: block * grid + x))
+    col = F.explode(F.transform(F.sequence(F.lit(0), F.lit(grid - 1)), lambda x: x * grid + block))
+    q = queries.select(F.lit(0).alias("role"), F.col("id").cast("long").alias("qid"),
+                       F.lit("" if cid_is_str else 0).cast(ctype).alias("cid"),  # placeholder, never null
+                       "keys", "vals", row.alias("group"))
+    c = candidates.select(F.lit(1).alias("role"), F.lit(-1).cast("long").alias("qid"),  # placeholder
+                          F.col("id").cast(ctype).alias("cid"),
+                          "keys", "vals", col.alias("group"))
+    groups = q.unionByName(c)
+    kernel = _kernel(k, exclude_self, min_score, digits, cid_is_str, chunk)
+
+    def run(frames):
+        held = [f for f in frames if len(f)]
+        if held:
+            yield kernel(pd.concat(held, ignore_index=True))
+
+    local = groups.repartitionById(grid * grid, "group").drop("group").mapInPandas(
+        run, f"qid long, cid {ctype}, score double")
     w = Window.partitionBy("qid").orderBy(F.col("score").desc(), F.col("cid").asc())
     return local.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)

@@ -27,7 +27,7 @@ from ..functions.scalar import exact_sum, hotel_name_from_id, stable
 from ..ml.scale import apply_scaler, fit_scaler
 from . import encoding as E
 from .features import hotel_info, hotel_table
-from .knn import topk_cosine
+from .knn import pack_long, topk_cosine
 
 # Fixed parameters of the original recommender.
 NEIGHBOURS = 10          # similar users / nearest hotels considered
@@ -84,12 +84,10 @@ def hotel_features(hotels: DataFrame):
     return out.persist(StorageLevel.MEMORY_AND_DISK), scaler, places
 
 
-def _long_vectors(df: DataFrame, id_col: str, cols: list[str]) -> DataFrame:
-    """Dense feature columns -> long (id, key, value) rows."""
-    arr = F.array(*[F.struct(F.lit(i).alias("key"), F.col(c).cast("double").alias("value"))
-                    for i, c in enumerate(cols)])
-    return (df.select(F.col(id_col).alias("id"), F.explode(arr).alias("e"))
-              .select("id", "e.key", "e.value"))
+def _vectors(df: DataFrame, id_col: str, cols: list[str]) -> DataFrame:
+    """Dense feature columns -> vectors (id, keys, vals)."""
+    return df.select(F.col(id_col).alias("id"), F.array(*[F.lit(i).cast("long") for i in range(len(cols))]).alias("keys"),
+                     F.array(*[F.col(c).cast("double") for c in cols]).alias("vals"))
 
 
 def scale_queries(queries: DataFrame, scaler: DataFrame, id_col: str = "request_id") -> DataFrame:
@@ -107,8 +105,8 @@ def scale_queries(queries: DataFrame, scaler: DataFrame, id_col: str = "request_
 def nearest_hotels(query_features: DataFrame, hotel_feats: DataFrame, id_col: str = "request_id",
                    k: int = NEIGHBOURS) -> DataFrame:
     """k nearest hotels by cosine of scaled profiles: (id, hotel_id, similarity, rank)."""
-    qv = _long_vectors(query_features, id_col, FEATURES)
-    hv = _long_vectors(hotel_feats, "hotel_id", FEATURES)
+    qv = _vectors(query_features, id_col, FEATURES)
+    hv = _vectors(hotel_feats, "hotel_id", FEATURES)
     nn = topk_cosine(qv, hv, k, digits=SCORE_DIGITS)
     return nn.select(F.col("qid").alias(id_col), F.col("cid").alias("hotel_id"),
                      F.col("score").alias("similarity"), "rank")
@@ -123,22 +121,19 @@ def _with_info(df: DataFrame, feats: DataFrame) -> DataFrame:
 # ----------------------------------------------------------- collaborative
 
 def user_similarity(ratings: DataFrame, users: DataFrame | None = None,
-                    k: int = NEIGHBOURS, block_rows: int = 2048) -> DataFrame:
+                    k: int = NEIGHBOURS, positive_only: bool = False, grid: int | None = None) -> DataFrame:
     """Top-k other users by cosine of rating vectors for each user in
     ``users`` (column ``user_code``; default: every user with ratings).
-    Only positive similarities are kept (a zero-similarity neighbour adds
-    nothing to a score)."""
+    ``positive_only`` leaves out neighbours with similarity 0, which add
+    nothing to a score."""
     # Integer keys: the kernel factorises keys per group, which is much
-    # cheaper on int64 than on strings. Codes come from the hotel dictionary
-    # (a bounded catalog).
-    hotels_dict = E.build_dictionary(ratings, "hotel_id")
-    coded = E.encode(ratings, "hotel_id", hotels_dict, "_hcode", unseen=None)
-    cand = coded.select(F.col("userCode").alias("id"), F.col("_hcode").cast("long").alias("key"),
-                        F.col("rating").alias("value"))
+    # cheaper on 64-bit hashes than on strings.
+    cand = pack_long(ratings.select(F.col("userCode").alias("id"), F.xxhash64("hotel_id").alias("key"),
+                                    F.col("rating").alias("value")))
     q = cand
     if users is not None:
         q = cand.join(users.select(F.col("user_code").alias("id")).distinct(), "id", "left_semi")
-    nn = topk_cosine(q, cand, k, exclude_self=True, min_score=0.0, block_rows=block_rows,
+    nn = topk_cosine(q, cand, k, exclude_self=True, min_score=0.0 if positive_only else None, grid=grid,
                      digits=SCORE_DIGITS)
     return nn.select(F.col("qid").alias("userCode"), F.col("cid").alias("neighbor"),
                      F.col("score").alias("similarity"), "rank")
@@ -162,17 +157,19 @@ def collab_scores(ratings: DataFrame, neighbours: DataFrame) -> DataFrame:
 
 def _top_n(df: DataFrame, part: str, score: str, n_col) -> DataFrame:
     w = Window.partitionBy(part).orderBy(F.col(score).desc(), F.col("hotel_id").asc())
+    # planned with a partial group limit before the shuffle
     return df.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n_col)
 
 
 def recommend_collab(hotels: DataFrame, requests: DataFrame, n_factor: int = 1,
-                     feats: DataFrame | None = None, ratings: DataFrame | None = None) -> DataFrame:
+                     feats: DataFrame | None = None, ratings: DataFrame | None = None,
+                     scores: DataFrame | None = None) -> DataFrame:
     """Collaborative top-n per request (columns request_id, user_code,
-    n_recommendations). Unknown users and users without stays get no rows."""
+    n_recommendations). Unknown users and users without stays get no rows.
+    ``scores``: ``collab_scores`` of at least these users, if known already."""
     ratings = ratings if ratings is not None else user_item(hotels)
     feats = feats if feats is not None else hotel_info(hotels)
-    nb = user_similarity(ratings, requests)
-    sc = collab_scores(ratings, nb)
+    sc = scores if scores is not None else collab_scores(ratings, user_similarity(ratings, requests, positive_only=True))
     req = requests.select("request_id", "user_code", (F.col("n_recommendations") * n_factor).alias("_n"))
     j = req.join(sc, req.user_code == sc.userCode).drop("userCode")
     top = _top_n(j, "request_id", "score", F.col("_n")).drop("_n")
@@ -277,27 +274,24 @@ def recommend(hotels: DataFrame, requests: DataFrame) -> DataFrame:
     """Per request ``method``: 'collaborative', 'content', anything else hybrid."""
     model = hotel_features(hotels)
     ratings = user_item(hotels)
-    m = F.col("method")
-    r_col = requests.where(m == "collaborative")
-    r_con = requests.where(m == "content")
-    r_hyb = requests.where(~m.isin("collaborative", "content") | m.isNull())
-    a = recommend_collab(hotels, r_col, feats=model[0], ratings=ratings) \
-        .select("request_id", "user_code", "rank", "hotel_id", "name", "place", "avg_price", "score")
-    b = recommend_content(hotels, r_con, model=model) \
-        .select("request_id", "user_code", "rank", "hotel_id", "name", "place", "avg_price",
-                F.col("similarity").alias("score"))
-    c = recommend_hybrid(hotels, r_hyb, model=model, ratings=ratings) \
-        .select("request_id", "user_code", "rank", "hotel_id", "name", "place", "avg_price",
-                F.col("hybrid_score").alias("score"))
-    meth = requests.select("request_id", "method")
-    return a.unionByName(b).unionByName(c).join(meth, "request_id").select(*OUT_COLS)
+    m = F.coalesce(F.col("method"), F.lit("hybrid"))
+    # One collaborative and one content search serve all methods; a list is 2n long for hybrids and n otherwise.
+    twice = ~m.isin("collaborative", "content")
+    asked = requests.withColumn("_n", F.col("n_recommendations") * F.when(twice, 2).otherwise(1))
+    lists = asked.select("request_id", "user_code", "preferences", F.col("_n").alias("n_recommendations"), m.alias("_m"))
+    col = recommend_collab(hotels, lists.where("_m <> 'content'"), feats=model[0], ratings=ratings)
+    con = recommend_content(hotels, lists.where("_m <> 'collaborative'"), model=model)
+    both = collab_content_merge(col, con).join(requests.select("request_id", "user_code", "n_recommendations", "method"), "request_id")
+    mixed = stable(HYBRID_COLLAB_WEIGHT * F.col("collab_score") + HYBRID_CONTENT_WEIGHT * F.col("content_score"), SCORE_DIGITS)
+    score = F.when(m == "collaborative", F.col("collab_score")).when(m == "content", F.col("content_score")).otherwise(mixed)
+    top = _top_n(both.withColumn("score", score), "request_id", "score", F.col("n_recommendations"))
+    return _with_info(top, model[0]).select(*OUT_COLS)
 
 
 def recommend_api(hotels: DataFrame, requests: DataFrame) -> DataFrame:
     """API dispatch: content-based only for method 'content' with preferences;
     every other request is collaborative (including 'hybrid')."""
-    model = hotel_features(hotels)
-    feats, scaler, places = model
+    feats, scaler, places = hotel_features(hotels)
     content_mask = (F.col("method") == "content") & F.col("preferences").isNotNull()
     r_con = requests.where(content_mask)
     r_col = requests.where(~content_mask | F.col("method").isNull())

@@ -51,24 +51,31 @@ def daily_pipeline(spark: SparkSession, users: DataFrame, flights: DataFrame, ho
     out_dir = out_dir or os.path.join(sinks.scratch_dir(spark), "daily")
     Q.raise_on_fail(Q.validate_data(users, flights, hotels))
     cf, ch, _ = Q.preprocess(flights, hotels)
-    sinks.write_processed({"flights": cf, "hotels": ch}, os.path.join(out_dir, "processed"))
+    sinks.write_processed({"users": users, "flights": cf, "hotels": ch}, os.path.join(out_dir, "processed"))
     proc = sinks.read_processed(spark, os.path.join(out_dir, "processed"))
-    f, h = proc["flights"], proc["hotels"]
+    users, f, h = proc["users"], proc["flights"], proc["hotels"]
 
     def price():
         ff = MF.flight_features(f, keep=["travelCode"]).withColumn("is_train", SP.split_flag("travelCode"))
-        tr, te = ff.where("is_train"), ff.where(~F.col("is_train"))
-        m = T.train_price_model(tr, MF.FLIGHT_FEATURES_8, num_trees=num_trees)
-        sinks.save_model(m, os.path.join(out_dir, "models", "flight_price"))
-        return T.evaluate_regressor(m, tr, te).where("split = 'test'").collect()
+        ff = ff.persist()
+        try:
+            tr, te = ff.where("is_train"), ff.where(~F.col("is_train"))
+            m = T.train_price_model(tr, MF.FLIGHT_FEATURES_8, num_trees=num_trees)
+            sinks.save_model(m, os.path.join(out_dir, "models", "flight_price"))
+            return T.evaluate_regressor(m, tr, te).where("split = 'test'").collect()
+        finally:
+            ff.unpersist()
 
     def gender():
         uf = MF.user_model_table(FT.user_features_slim(users, f, h))
-        st = SP.stratified_flag(uf, "code", "gender")
-        tr, te = st.where("is_train"), st.where(~F.col("is_train"))
-        m = T.train_classifier(tr, MF.USER_FEATURES_SLIM, num_trees=num_trees)
-        sinks.save_model(m, os.path.join(out_dir, "models", "gender"))
-        return T.evaluate_classifier(m, tr, te).where("split = 'test'").collect()
+        st = SP.stratified_flag(uf, "code", "gender").persist()
+        try:
+            tr, te = st.where("is_train"), st.where(~F.col("is_train"))
+            m = T.train_classifier(tr, MF.USER_FEATURES_SLIM, num_trees=num_trees)
+            sinks.save_model(m, os.path.join(out_dir, "models", "gender"))
+            return T.evaluate_classifier(m, tr, te).where("split = 'test'").collect()
+        finally:
+            st.unpersist()
 
     def recommender():
         feats, scaler, places = RC.hotel_features(h)
@@ -79,8 +86,10 @@ def daily_pipeline(spark: SparkSession, users: DataFrame, flights: DataFrame, ho
 
     with ThreadPoolExecutor(max_workers=3) as ex:
         pm, gm, _ = [fut.result() for fut in [ex.submit(price), ex.submit(gender), ex.submit(recommender)]]
-    pm_df = spark.createDataFrame(pm) if pm else None
-    gm_df = spark.createDataFrame(gm) if gm else None
-    report = pipeline_report(users, f, h, pm_df, gm_df)
+    # Without test rows a model has no metrics, and the report no rows for it.
+    pm_df = spark.createDataFrame([(r["rmse"], r["r2"]) for r in pm], "rmse double, r2 double")
+    gm_df = spark.createDataFrame([(r["accuracy"], r["f1"]) for r in gm], "accuracy double, f1 double")
+    report = pipeline_report(users, f, h, pm_df, gm_df).collect()  # seven rows at most
+    report = spark.createDataFrame(report, "section string, metric string, value double")
     sinks.write_report(report, os.path.join(out_dir, "report"))
     return report

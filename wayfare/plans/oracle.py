@@ -15,7 +15,7 @@ users AS (
          CAST(22 + c_custkey % 44 AS INTEGER) AS age
   FROM customer),
 flights AS (
-  SELECT l_orderkey AS "travelCode", o_custkey AS "userCode",
+  SELECT l_orderkey AS "travelCode", CASE WHEN o_custkey % 17 <> 5 THEN o_custkey END AS "userCode",
          nf.n_name AS "from", nt.n_name AS "to",
          CASE l_returnflag WHEN 'A' THEN 'economic' WHEN 'N' THEN 'business'
               ELSE 'firstClass' END AS "flightType",
@@ -28,10 +28,9 @@ flights AS (
   JOIN customer ON o_custkey = c_custkey
   JOIN supplier ON l_suppkey = s_suppkey
   JOIN nation nf ON s_nationkey = nf.n_nationkey
-  JOIN nation nt ON c_nationkey = nt.n_nationkey
-  WHERE nf.n_name <> nt.n_name),
+  JOIN nation nt ON c_nationkey = nt.n_nationkey),
 hotels AS (
-  SELECT l_orderkey AS "travelCode", o_custkey AS "userCode", p_brand AS "name",
+  SELECT l_orderkey AS "travelCode", CASE WHEN o_custkey % 23 <> 7 THEN o_custkey END AS "userCode", p_brand AS "name",
          n_name AS place,
          CAST(1 + CAST(l_quantity AS BIGINT) % 14 AS INTEGER) AS "days",
          floor(l_extendedprice / (1 + CAST(l_quantity AS BIGINT) % 14) * 100 + 0.5) / 100 AS price,
@@ -40,8 +39,7 @@ hotels AS (
   JOIN orders ON l_orderkey = o_orderkey
   JOIN part ON l_partkey = p_partkey
   JOIN supplier ON l_suppkey = s_suppkey
-  JOIN nation ON s_nationkey = n_nationkey
-  WHERE l_linestatus = 'O')
+  JOIN nation ON s_nationkey = n_nationkey)
 """
 
 

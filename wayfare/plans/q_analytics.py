@@ -251,12 +251,9 @@ UNION SELECT 'place', place FROM hotels WHERE place IS NOT NULL
 """)
 def q_distinct_values(spark, sf):
     u, f, h = tables(spark, sf)
-    parts = [(f, "from"), (f, "to"), (f, "agency"), (u, "company"), (h, "place")]
-    out = None
-    for df, c in parts:
-        d = an.distinct_values(df, c).select(F.lit(c).alias("field"), F.col(c).alias("value"))
-        out = d if out is None else out.unionByName(d)
-    return out
+    parts = [an.distinct_values_by_column(df, cols) for df, cols in ((f, ["from", "to", "agency"]), (u, ["company"]), (h, ["place"]))]
+    out = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return out.select(F.col("column").alias("field"), "value")
 
 
 @query("known_cities", """
@@ -277,7 +274,7 @@ pr0 AS (
 price_requests AS (
   SELECT request_id,
          CASE WHEN request_id % 223 = 13 THEN NULL WHEN request_id % 97 = 3 THEN 'Atlantis' ELSE "from" END AS "from",
-         "to",
+         CASE WHEN request_id % 83 = 6 THEN 'Lemuria' WHEN request_id % 227 = 17 THEN NULL ELSE "to" END AS "to",
          CASE WHEN request_id % 101 = 7 THEN 'economy' ELSE "flightType" END AS "flightType",
          CASE WHEN request_id % 7 = 0 THEN NULL WHEN request_id % 89 = 5 THEN 'NewCo' ELSE agency END AS agency,
          CASE WHEN request_id % 5 = 0 THEN NULL ELSE "time" END AS "time",
@@ -291,13 +288,14 @@ price_requests AS (
 
 @query("unknown_city", f"""
 , {_PRICE_REQ.strip()}
-SELECT r.* FROM price_requests r
-WHERE NOT EXISTS (SELECT 1 FROM (SELECT "from" AS city FROM flights UNION SELECT "to" FROM flights) k
-                  WHERE k.city = r."from")
+SELECT r.*, s.field, s.city
+FROM price_requests r, LATERAL (VALUES ('from', r."from"), ('to', r."to")) s(field, city)
+WHERE s.city IS NOT NULL AND s.city <> ''
+  AND s.city NOT IN (SELECT "from" FROM flights WHERE "from" IS NOT NULL UNION SELECT "to" FROM flights WHERE "to" IS NOT NULL)
 """)
 def q_unknown_city(spark, sf):
     _, f, _ = tables(spark, sf)
-    return an.unknown_cities(A.price_requests(f), f, "from")
+    return an.unknown_cities(A.price_requests(f), f)
 
 
 @query("similar_flights", f"""
@@ -307,14 +305,17 @@ br AS (SELECT "from", "flightType", {eavg('price')} AS m1, count(price) AS n1
 bt AS (SELECT "flightType", {eavg('price')} AS m2 FROM flights WHERE price IS NOT NULL GROUP BY 1)
 SELECT r.*,
        CASE WHEN coalesce(br.n1, 0) > 0 THEN 'route' WHEN bt.m2 IS NOT NULL THEN 'type' END AS basis,
-       CASE WHEN coalesce(br.n1, 0) > 0 THEN br.m1 ELSE bt.m2 END AS similar_avg_price
-FROM price_requests r
+       CASE WHEN coalesce(br.n1, 0) > 0 THEN br.m1 ELSE bt.m2 END AS similar_avg_price,
+       CASE WHEN coalesce(br.n1, 0) > 0 THEN r.predicted_price - br.m1 END AS difference
+FROM (SELECT *, floor(distance * 0.15 * 100 + 0.5) / 100 AS predicted_price FROM price_requests) r
 LEFT JOIN br ON r."from" = br."from" AND r."flightType" = br."flightType"
 LEFT JOIN bt ON r."flightType" = bt."flightType"
 """)
 def q_similar_flights(spark, sf):
     _, f, _ = tables(spark, sf)
-    return an.similar_flights(A.price_requests(f), f)
+    # A prediction by a fixed rule, so that the difference to it has an SQL form.
+    asked = A.price_requests(f).withColumn("predicted_price", A.round2(F.col("distance") * 0.15))
+    return an.similar_flights(asked, f, "predicted_price")
 
 
 @query("head_preview", """

@@ -180,11 +180,8 @@ UNION ALL SELECT 'company', value, CAST(row_number() OVER (ORDER BY value) - 1 A
 """)
 def q_label_encode(spark, sf):
     u, f, _ = tables(spark, sf)
-    out = None
-    for df, c in [(f, "from"), (f, "to"), (f, "flightType"), (f, "agency"), (u, "company")]:
-        d = E.build_dictionary(df, c).select(F.lit(c).alias("field"), "value", "code")
-        out = d if out is None else out.unionByName(d)
-    return out
+    of_flights = E.dictionary_row(f, ["from", "to", "flightType", "agency"])
+    return E.dictionary_table(of_flights).unionByName(E.dictionary_table(E.dictionary_row(u, ["company"])))
 
 
 _ENC_SQL = """
@@ -208,9 +205,8 @@ enc AS (
 def _encoded_requests(spark, sf):
     _, f, _ = tables(spark, sf)
     r = A.price_requests(f).select("request_id", "from", "flightType", "agency")
-    for c in ("from", "flightType", "agency"):
-        r = E.encode(r, c, E.build_dictionary(f, c))
-    return f, r
+    row = E.dictionary_row(f, ["from", "flightType", "agency"])
+    return row, E.encode_columns(r, row)
 
 
 @query("encode_unseen", f", {_PRICE_REQ.strip()}, {_ENC_SQL.strip()}\nSELECT * FROM enc")
@@ -224,8 +220,8 @@ SELECT enc.request_id, enc."flightType_encoded", dtype.value AS "flightType_labe
 FROM enc LEFT JOIN dtype ON enc."flightType_encoded" = dtype.code
 """)
 def q_label_decode(spark, sf):
-    f, r = _encoded_requests(spark, sf)
-    d = E.decode(r, "flightType_encoded", E.build_dictionary(f, "flightType"), "flightType_label")
+    row, r = _encoded_requests(spark, sf)
+    d = E.decode_column(r, row, "flightType", "flightType_encoded", "flightType_label")
     return d.select("request_id", "flightType_encoded", "flightType_label")
 
 

@@ -12,8 +12,10 @@ from __future__ import annotations
 import os
 import uuid
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark import StorageLevel
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalar import stable
@@ -23,6 +25,7 @@ from ..ml import runs as RN
 from ..ml import split as SP
 from ..ml import train as T
 from ..operators import features as FT
+from ..operators import recommend as RC
 from ..operators import requests as R
 from ..sources import adapters as A
 from ..sources import sinks
@@ -348,33 +351,39 @@ def q_predict_price(spark, sf):
 
 @query("predict_gender")
 def q_predict_gender(spark, sf):
-    """Batch scoring of every user with the default (random forest) classifier;
-    label, confidence (max probability) and the class -> probability map."""
+    """Batch scoring of the classification requests (one per user, some
+    features missing or under legacy names, some companies unseen) with the
+    default (random forest) classifier: label, confidence (max probability)
+    and the class -> probability map."""
     from ..operators import encoding as E
     u, f, h = tables(spark, sf)
     ufe = FT.user_features(u, f, h)
-    gdict = E.build_dictionary(ufe, "gender")
-    uf = MF.user_model_table(ufe, gender_dict=gdict)
+    gdict, cdict = E.build_dictionary(u, "gender"), E.build_dictionary(u, "company")
+    uf = MF.user_model_table(ufe, company_dict=cdict, gender_dict=gdict)
     st = SP.stratified_flag(uf, "code", "gender")
     model = T.train_classifier(st.where("is_train"), MF.USER_FEATURES)
-    reqs = MF.apply_aliases(uf.drop("label"))
-    scored = model.transform(reqs)
+    scored = model.transform(MF.request_features(A.gender_requests(ufe), cdict))
     scored = E.decode(scored, "prediction", gdict, "predicted_gender")
     classes = [r["value"] for r in gdict.orderBy("code").collect()]  # the label dictionary (2 rows)
-    return T.probabilities(scored, classes).select("code", "predicted_gender", "confidence", "probabilities")
+    return T.probabilities(scored, classes).select("request_id", "predicted_gender", "confidence", "probabilities")
 
 
 @query("feature_importance")
 def q_feature_importance(spark, sf):
+    """Importances of the price forest (all features) and of the classifier forest (the ten greatest)."""
     tr, _ = _flight_splits(spark, sf)
     m = T.train_price_model(tr, MF.FLIGHT_FEATURES, "random_forest")
-    return T.feature_importance(m, MF.FLIGHT_FEATURES).select(F.lit("flight_price").alias("model"), "*")
+    price = T.feature_importance(m, MF.FLIGHT_FEATURES).select(F.lit("flight_price").alias("model"), "*")
+    ut, _ = _user_splits(spark, sf)
+    g = T.train_classifier(ut, MF.USER_FEATURES, "random_forest")
+    return price.unionByName(T.feature_importance(g, MF.USER_FEATURES, top=10).select(F.lit("gender").alias("model"), "*"))
 
 
 @query("cross_validate")
 def q_cross_validate(spark, sf):
     tr, _ = _flight_splits(spark, sf)
-    return RN.cross_validate(tr, MF.FLIGHT_FEATURES_8, "ridge", "travelCode", 5)
+    return RN.cross_validate(tr, MF.FLIGHT_FEATURES_8, ["ridge", "lasso"],
+                             ["travelCode", *MF.FLIGHT_FEATURES_8, "price"], 5)
 
 
 def _parallel(fns):
@@ -385,7 +394,6 @@ def _parallel(fns):
 @query("compare_regressors")
 def q_compare_regressors(spark, sf):
     tr, te = _flight_splits(spark, sf)
-    tr, te = tr.persist(), te.persist()
 
     def fit(mt):
         return lambda: RN._materialise(T.evaluate_regressor(
@@ -400,7 +408,6 @@ def q_compare_regressors(spark, sf):
 @query("compare_classifiers")
 def q_compare_classifiers(spark, sf):
     tr, te = _user_splits(spark, sf)
-    tr, te = tr.persist(), te.persist()
 
     def fit(mt):
         return lambda: RN._materialise(T.evaluate_classifier(
@@ -417,19 +424,43 @@ def q_tracked_training(spark, sf):
     _, f, _ = tables(spark, sf)
     path = os.path.join(sinks.scratch_dir(spark), f"runs-{uuid.uuid4().hex}")
     RN.tracked_training(f, runs_path=path)
+    wanted = ["test_r2", "test_rmse", "test_mae", "train_r2", "cv_r2_mean", "cv_r2_std", "is_best"]
     runs = RN.read_runs(spark, path)
-    return RN.compare_runs(runs)
-
-
-@query("model_store")
+    params = (runs.where(F.startswith("metric", F.lit("param_"))).groupBy("run_id")
+                  .agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct(F.substr("metric", F.lit(7)), "value")))).alias("params")))
+    wide = runs.groupBy("run_id", "model_type").pivot("metric", wanted).agg(F.first("value"))
+    return wide.join(params, "run_id", "left")
+
+
+@query("model_store", f"""
+, {STRAT_SQL.strip()}
+SELECT 'flight_price' AS model, count(*) AS "rows", CAST(0 AS BIGINT) AS differences FROM flights WHERE NOT ({SPLIT_SQL})
+UNION ALL SELECT 'gender', count(*), 0 FROM strat WHERE NOT is_train
+UNION ALL SELECT 'recommender_hotel_features', count(DISTINCT "name" || '_' || place), 0 FROM hotels
+UNION ALL SELECT 'recommender_places', count(DISTINCT place), 0 FROM hotels WHERE "name" || '_' || place IS NOT NULL
+UNION ALL SELECT 'recommender_user_item', count(DISTINCT ("userCode", "name", place)), 0 FROM hotels
+  WHERE "userCode" IS NOT NULL AND "name" || '_' || place IS NOT NULL AND total IS NOT NULL
+""")
 def q_model_store(spark, sf):
-    """Save a fitted pipeline, load it back and check identical predictions."""
+    """Save and load the three models, and compare what they give: the price
+    model and the classifier on their test rows, the recommender's tables row by row."""
+    folder = f"{sinks.scratch_dir(spark)}/models-{uuid.uuid4().hex}"
+    parts = []
     tr, te = _flight_splits(spark, sf)
-    m = T.train_price_model(tr, MF.FLIGHT_FEATURES, "ridge")
-    path = os.path.join(sinks.scratch_dir(spark), f"model-{uuid.uuid4().hex}")
-    sinks.save_model(m, path)
-    m2 = sinks.load_model(path)
-    a = m.transform(te).select(*te.columns, F.col("prediction").alias("p1"))
-    both = m2.transform(a)
-    return both.agg(F.count(F.lit(1)).alias("rows"),
-                    F.max(F.abs(F.col("p1") - F.col("prediction"))).alias("max_abs_diff"))
+    ut, ue = _user_splits(spark, sf)
+    for name, model, rows in (("flight_price", T.train_price_model(tr, MF.FLIGHT_FEATURES, "ridge"), te),
+                              ("gender", T.train_classifier(ut, MF.USER_FEATURES, "logistic"), ue)):
+        sinks.save_model(model, f"{folder}/{name}")
+        before = model.transform(rows).select(*rows.columns, F.col("prediction").alias("_before"))
+        after = sinks.load_model(f"{folder}/{name}").transform(before)
+        parts.append(after.agg(F.lit(name).alias("model"), F.count(F.lit(1)).alias("rows"),
+                               F.count_if(~F.col("_before").eqNullSafe(F.col("prediction"))).alias("differences")))
+    _, _, h = tables(spark, sf)
+    feats, _, places = RC.hotel_features(h)
+    for name, table in (("hotel_features", feats), ("places", places), ("user_item", RC.user_item(h))):
+        sinks.save_table(table, f"{folder}/{name}")
+        loaded = spark.read.schema(table.schema).parquet(f"{folder}/{name}")
+        lost = table.exceptAll(loaded).unionByName(loaded.exceptAll(table))
+        parts.append(loaded.agg(F.lit(f"recommender_{name}").alias("model"), F.count(F.lit(1)).alias("rows")).withColumn(
+            "differences", lost.agg(F.count(F.lit(1))).scalar()))
+    return reduce(DataFrame.unionByName, parts)

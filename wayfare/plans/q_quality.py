@@ -136,16 +136,19 @@ def q_audit_hotels(spark, sf):
 
 
 @query("write_processed", """
-SELECT 'flights' AS "table", count(*) AS "rows", coalesce(CAST(sum(CAST(price AS DECIMAL(38,2))) AS DOUBLE), 0) AS checksum
+SELECT 'users' AS "table", count(*) AS "rows", coalesce(CAST(sum(CAST(age AS DECIMAL(38,2))) AS DOUBLE), 0) AS checksum
+FROM users
+UNION ALL
+SELECT 'flights', count(*), coalesce(CAST(sum(CAST(price AS DECIMAL(38,2))) AS DOUBLE), 0)
 FROM flights WHERE price IS NOT NULL AND price > 0
 UNION ALL
 SELECT 'hotels', count(*), coalesce(CAST(sum(CAST(total AS DECIMAL(38,2))) AS DOUBLE), 0)
 FROM hotels WHERE total IS NOT NULL AND total > 0
 """)
 def q_write_processed(spark, sf):
-    _, f, h = tables(spark, sf)
+    u, f, h = tables(spark, sf)
     cf, ch, _ = Q.preprocess(f, h)
     out = os.path.join(sinks.scratch_dir(spark), f"processed-{uuid.uuid4().hex}")
-    sinks.write_processed({"flights": cf, "hotels": ch}, out)
+    sinks.write_processed({"users": u, "flights": cf, "hotels": ch}, out)
     back = sinks.read_processed(spark, out)
     return sinks.processed_summary(back)

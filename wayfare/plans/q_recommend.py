@@ -111,8 +111,13 @@ def q_row_normalize(spark, sf):
 
 
 @query("user_similarity", f"""
-, {RATINGS_SQL.strip()}, {NEIGHBOURS_SQL.strip()}
-SELECT u AS "userCode", v AS neighbor, sim AS similarity, CAST(rk AS INTEGER) AS rank FROM nbrs
+, {RATINGS_SQL.strip()}, {NEIGHBOURS_SQL.strip()},
+people AS (SELECT DISTINCT u FROM ratings),
+everyone AS (SELECT a.u, b.u AS v, coalesce(c.sim, 0.0) AS sim
+             FROM people a JOIN people b ON a.u <> b.u LEFT JOIN cos c ON c.u = a.u AND c.v = b.u)
+SELECT u AS "userCode", v AS neighbor, sim AS similarity, rank
+FROM (SELECT *, CAST(row_number() OVER (PARTITION BY u ORDER BY sim DESC, v ASC) AS INTEGER) AS rank FROM everyone)
+WHERE rank <= 10
 """)
 def q_user_similarity(spark, sf):
     _, _, h = tables(spark, sf)
@@ -128,7 +133,7 @@ WHERE NOT EXISTS (SELECT 1 FROM ratings b WHERE b.u = cand.u AND b.h = cand.h AN
 def q_not_booked(spark, sf):
     _, _, h = tables(spark, sf)
     r = RC.user_item(h)
-    nb = RC.user_similarity(r)
+    nb = RC.user_similarity(r, positive_only=True)
     cand = (nb.join(r.select(F.col("userCode").alias("neighbor"), "hotel_id"), "neighbor")
               .select("userCode", "hotel_id").distinct())
     booked = r.where(F.col("rating") > 0).select("userCode", "hotel_id")

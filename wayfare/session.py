@@ -7,6 +7,7 @@ takes DataFrames. ``get_session`` is for tests, the bench and scripts.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -42,7 +43,7 @@ def get_session(master: str | None = None, app: str = "wayfare",
     conf = {**CORRECTNESS_CONF, **SCALE_CONF,
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
-            "spark.driver.memory": os.environ.get("WAYFARE_DRIVER_MEMORY", "16g")}
+            "spark.driver.memory": os.environ.get("WAYFARE_DRIVER_MEMORY", "8g")}
     if shuffle_partitions is not None:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
@@ -53,42 +54,30 @@ def get_session(master: str | None = None, app: str = "wayfare",
         spark.sparkContext.setLogLevel("ERROR")
     except Exception:  # pragma: no cover - sessions without a local SparkContext
         pass
-    ensure_checkpoint_dir(spark)
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
+# Folders chosen for local sessions without a setting, by application.
+_LOCAL_FOLDERS: dict[str, str] = {}
 
-    On a cluster this must be a shared, fault-tolerant path set by the
-    deployment; it is only filled in here when unset (local runs and tests).
-    """
-    cur = spark.conf.get("spark.checkpoint.dir", None)
-    if not cur:
-        cur = tempfile.mkdtemp(prefix="wayfare-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", cur)
-    try:
-        spark.sparkContext.setCheckpointDir(cur)
-    except Exception:  # pragma: no cover - sessions without a local SparkContext
-        pass
-    return cur
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder named by ``spark.checkpoint.dir``, which the driver and all
+    executors share.
 
-def cut_lineage(df):
-    """Reliable checkpoint (written to the shared checkpoint dir).
-
-    Used where an iterative driver loop would otherwise grow the plan, and
-    where a recomputation after a lost executor would be expensive. Never a
-    local checkpoint: those die with the executor that holds them.
+    Only a session in one process (master ``local`` or ``local[...]``, as in
+    tests) gets a temporary folder when the setting is missing. On a cluster
+    a machine-local folder would be invisible to the other machines, so there
+    it is an error.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
-def task_slots(spark: SparkSession) -> int:
-    """Parallel task slots of the cluster (falls back to the shuffle
-    partition setting when the SparkContext is not reachable)."""
-    try:
-        return int(spark.sparkContext.defaultParallelism)
-    except Exception:  # pragma: no cover
-        return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    if not folder:
+        if not re.fullmatch(r"local(\[.*\])?", context.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        if context.applicationId not in _LOCAL_FOLDERS:
+            _LOCAL_FOLDERS[context.applicationId] = tempfile.mkdtemp(prefix="wayfare-shared-")
+        folder = _LOCAL_FOLDERS[context.applicationId]
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(folder)
+    return folder.rstrip("/")

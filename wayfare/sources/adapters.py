@@ -6,9 +6,10 @@ full base tables (all rows are read; nothing is sampled):
 
 * users   = customer (segment -> company, nation parity -> gender)
 * flights = one line item of an order, from the supplier's nation to the
-  customer's nation; a flight never starts and ends in the same place
-* hotels  = one open line item (``l_linestatus = 'O'``), a stay with the
-  part's brand as hotel name in the supplier's nation
+  customer's nation (the same nation at times: ``audit_flights`` reports it);
+  customers with key % 17 = 5 have no user key on their flights
+* hotels  = one line item, a stay with the part's brand as hotel name in the
+  supplier's nation; customers with key % 23 = 7 have no user key on their stays
 
 Numeric columns are mapped so they keep at most two decimals (money and
 hours), which lets every engine sum them exactly as DECIMAL(18,2).
@@ -25,49 +26,14 @@ from pyspark.sql import functions as F
 BASE_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
 
 
-# The probe side of the adapter joins (orders is a build side or is large
-# enough to be split already).
-FACT_KEYS = {"lineitem": "l_orderkey"}
-
-
-# Parquet schema per path, inferred once per process. Without a declared
-# schema every ``spark.read.parquet`` runs a footer-reading job before
-# planning, and one query reads up to a dozen base tables.
-_SCHEMAS: dict[str, object] = {}
+def base(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def base(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    path = f"{sf_dir}/{name}.parquet"
-    schema = _SCHEMAS.get(path)
-    if schema is None:
-        df = spark.read.parquet(path)
-        _SCHEMAS[path] = df.schema
-    else:
-        df = spark.read.schema(schema).parquet(path)
-    if name in FACT_KEYS:
-        df = spread_small_scan(df, FACT_KEYS[name])
-    return df
-
-
-def spread_small_scan(df: DataFrame, key: str) -> DataFrame:
-    """Give a fact scan at least one partition per task slot.
-
-    Parquet is split by row group; a small file written as one row group is
-    read by a single task, and every join and projection fused into that
-    scan stage then runs on one core. Only in that case the scan is spread by
-    a hash of its key (one shuffle of the pruned columns; deterministic, so a
-    retried stage sees the same rows); a scan that already has enough
-    partitions (any large input) is returned unchanged.
-    """
-    from ..session import task_slots
-    slots = task_slots(df.sparkSession)
-    try:
-        parts = df.rdd.getNumPartitions()
-    except Exception:  # pragma: no cover - no RDD access (e.g. a remote session)
-        return df
-    if parts < slots:
-        return df.repartition(slots, key)
-    return df
+def keyed(custkey, modulus: int, residue: int):
+    """A customer key as user key; NULL for one residue class of customers, so
+    that rules about missing keys (and users with stays but no flights) meet real rows."""
+    return F.when(custkey % modulus != residue, custkey)
 
 
 def round2(c):
@@ -98,11 +64,10 @@ def flights(spark: SparkSession, sf_dir: str) -> DataFrame:
            .join(c, o.o_custkey == c.c_custkey)
            .join(s, li.l_suppkey == s.s_suppkey)
            .join(nf, s.s_nationkey == nf.nf_key)
-           .join(nt, c.c_nationkey == nt.nt_key)
-           .where(F.col("from") != F.col("to")))
+           .join(nt, c.c_nationkey == nt.nt_key))
     return j.select(
         F.col("l_orderkey").alias("travelCode"),
-        F.col("o_custkey").alias("userCode"),
+        keyed(F.col("o_custkey"), 17, 5).alias("userCode"),
         F.col("from"), F.col("to"),
         F.when(F.col("l_returnflag") == "A", "economic")
          .when(F.col("l_returnflag") == "N", "business")
@@ -116,7 +81,7 @@ def flights(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def hotels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = base(spark, sf_dir, "lineitem").where(F.col("l_linestatus") == "O")
+    li = base(spark, sf_dir, "lineitem")
     o = base(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     p = base(spark, sf_dir, "part").select("p_partkey", "p_brand")
     s = base(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
@@ -128,7 +93,7 @@ def hotels(spark: SparkSession, sf_dir: str) -> DataFrame:
     days = (F.lit(1) + F.col("l_quantity").cast("bigint") % 14)
     return j.select(
         F.col("l_orderkey").alias("travelCode"),
-        F.col("o_custkey").alias("userCode"),
+        keyed(F.col("o_custkey"), 23, 7).alias("userCode"),
         F.col("p_brand").alias("name"),
         F.col("n_name").alias("place"),
         days.cast("int").alias("days"),
@@ -163,7 +128,8 @@ def price_requests(flights_df: DataFrame) -> DataFrame:
         k,
         F.when(k % 223 == 13, F.lit(None).cast("string"))
          .when(k % 97 == 3, F.lit("Atlantis")).otherwise(F.col("from")).alias("from"),
-        F.col("to"),
+        F.when(k % 83 == 6, F.lit("Lemuria")).when(k % 227 == 17, F.lit(None).cast("string"))
+         .otherwise(F.col("to")).alias("to"),
         F.when(k % 101 == 7, F.lit("economy")).otherwise(F.col("flightType")).alias("flightType"),
         F.when(k % 7 == 0, F.lit(None).cast("string"))
          .when(k % 89 == 5, F.lit("NewCo")).otherwise(F.col("agency")).alias("agency"),
@@ -176,6 +142,25 @@ def price_requests(flights_df: DataFrame) -> DataFrame:
     )
 
 
+def gender_requests(user_feats: DataFrame) -> DataFrame:
+    """One classification request per user from the user's feature row
+    (``user_features``): some features missing, some under their legacy names,
+    some companies unseen."""
+    k = F.col("code")
+    legacy = {"avg_price": "avg_flight_price", "total_spent": "total_flight_spent", "avg_hotel": "avg_hotel_total",
+              "hotel_count": "hotel_booking_count", "avg_days": "avg_stay_days"}
+    blank = {"age": 13, "avg_distance": 11, "total_distance": 29, "first_class_count": 31, "total_stay_days": 37}
+    cols = [k.alias("request_id"),
+            F.when(k % 41 == 3, F.lit("NewCo")).when(k % 43 != 5, F.col("company")).alias("company")]
+    for new in ("age", "avg_flight_price", "total_flight_spent", "flight_count", "avg_distance", "total_distance",
+                "avg_flight_time", "first_class_count", "avg_hotel_total", "total_hotel_spent", "hotel_booking_count",
+                "avg_stay_days", "total_stay_days", "avg_hotel_price_per_day"):
+        renamed = new in legacy.values()
+        cols.append(F.when((k % 3 != 1) if renamed else (k % blank.get(new, 47) != 2), F.col(new)).alias(new))
+    cols += [F.when(k % 3 == 1, F.col(new)).alias(old) for old, new in legacy.items()]
+    return user_feats.select(*cols)
+
+
 def rec_requests(users_df: DataFrame, nation_df: DataFrame | None = None) -> DataFrame:
     """One recommendation request per user; method and preferences vary by code."""
     code = F.col("code")
@@ -184,7 +169,7 @@ def rec_requests(users_df: DataFrame, nation_df: DataFrame | None = None) -> Dat
     if nation_df is not None:
         # Preferred place: a nation name picked by the code (a known place or not).
         n = nation_df.select(F.col("n_nationkey").alias("_nk"), F.col("n_name").alias("_place"))
-        df = df.join(F.broadcast(n), (code % 25) == n._nk, "left")
+        df = df.join(n, (code % 25) == n._nk, "left")
         place = F.col("_place")
     price = (F.lit(80) + code % 420).cast("double")
     days = (F.lit(1) + code % 14).cast("double")
@@ -207,7 +192,7 @@ def budget_requests(users_df: DataFrame, nation_df: DataFrame) -> DataFrame:
     """One budget search per user: budget, stay length and destination (or Any)."""
     code = F.col("code")
     n = nation_df.select(F.col("n_nationkey").alias("_nk"), F.col("n_name").alias("_place"))
-    df = users_df.join(F.broadcast(n), (code % 25) == n._nk, "left")
+    df = users_df.join(n, (code % 25) == n._nk, "left")
     return df.select(
         code.alias("request_id"),
         (F.lit(50) + code % 450).cast("double").alias("budget"),

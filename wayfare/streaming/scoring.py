@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 
 from ..ml import features as MF
 from ..operators import requests as R
-from ..session import ensure_checkpoint_dir
+from ..session import shared_folder
 
 PRICE_REQUEST_SCHEMA = T.StructType([
     T.StructField("request_id", T.LongType()),
@@ -53,7 +53,7 @@ def start_price_scoring(spark: SparkSession, source_dir: str, sink_dir: str, mod
                         available_now: bool = True, fmt: str = "parquet",
                         max_files_per_trigger: int | None = None):
     """Start the streaming query; returns the ``StreamingQuery``."""
-    checkpoint = checkpoint or os.path.join(ensure_checkpoint_dir(spark), "streams", "price_scoring")
+    checkpoint = checkpoint or os.path.join(shared_folder(spark), "streams", "price_scoring")
     reader = spark.readStream.schema(PRICE_REQUEST_SCHEMA).format(fmt)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
