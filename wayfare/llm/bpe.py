@@ -29,7 +29,7 @@ ship(__name__)
 
 #: The byte-level pre-token pattern (a fixed value of this kind of vocabulary).
 PRE_TOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-MEMO = 600_000
+MEMO = 400_000
 
 
 class PairIndexBpe:

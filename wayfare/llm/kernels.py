@@ -7,6 +7,7 @@ model or a memo for the life of a Python worker, across tasks.
 
 from __future__ import annotations
 
+import ctypes
 import sys
 import types
 import uuid
@@ -83,6 +84,15 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x
 
 
+def release() -> None:
+    """Give freed memory back to the system: Python workers live on between
+    stages, and what they keep adds up with the next stage's needs."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def text_slices(texts: pa.Array, max_bytes: int = 8_000_000):
     """(first row, end row) ranges of about ``max_bytes`` text each; a row is never cut."""
     sizes = np.asarray(pc.fill_null(pc.binary_length(texts), 0)).astype(np.int64)
@@ -93,6 +103,7 @@ def text_slices(texts: pa.Array, max_bytes: int = 8_000_000):
         b = max(a + 1, int(np.searchsorted(ends, before + max_bytes, side="right")))
         yield a, b
         a = b
+    release()
 
 
 def word_lists(texts: pa.Array):

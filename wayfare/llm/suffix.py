@@ -41,7 +41,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .kernels import masked, materialise, mix64, partitions, ragged_positions, ship, text_slices
+from .kernels import masked, materialise, mix64, partitions, ragged_positions, release, ship, text_slices
 from .repeats import phrases
 
 ship(__name__)
@@ -144,7 +144,7 @@ def merged_spans(doc, sub, start, end) -> dict[str, np.ndarray]:
 
 # --------------------------------------------------------------------- steps
 
-def parse(docs: DataFrame, length: int, buckets: int, flush: int = 1_200_000) -> DataFrame:
+def parse(docs: DataFrame, length: int, buckets: int, flush: int = 500_000) -> DataFrame:
     """Each task's distinct phrases, dealt by trigger, and the spans of their repetitions in the task."""
     def rows_of(held):
         c = {n: np.concatenate([x[n] for x in held]) for n in held[0]}
@@ -162,7 +162,7 @@ def parse(docs: DataFrame, length: int, buckets: int, flush: int = 1_200_000) ->
     def run(batches):
         held, n = [], 0
         for batch in batches:
-            for a, b in text_slices(batch.column(1), 6_000_000):
+            for a, b in text_slices(batch.column(1), 2_000_000):
                 raw, starts = raw_texts(batch.column(1)[a:b])
                 ids, sub = doc_keys(batch.column(0)[a:b], raw, starts)
                 doc, first, last, _, h, g = phrases(raw, starts, length)
@@ -197,6 +197,7 @@ def dictionary(parsed: DataFrame, length: int, buckets: int, hot: int) -> DataFr
             some = new & (distinct > 1)
             shared = {n: v[some] for n, v in c.items()} | {"hot": distinct[some] > hot}
             out += dealt(CONTESTED, shared, by_doc(shared["doc"], buckets))
+        release()
         return pa.Table.from_batches([as_batch(out)])
     return parsed.groupBy("kind", "bucket").applyInArrow(run, ROWS)
 
@@ -303,6 +304,7 @@ def suffix_order(fetched: DataFrame, length: int, buckets: int) -> DataFrame:
             equal = suffix[by[1:]] == suffix[by[:-1]]
             doc, sub, first = doc[own], sub[own], first[own] + place - begin[own]
         again = np.sort(by[1:][equal])
+        release()
         spans = merged_spans(doc[again], sub[again], first[again], first[again] + length)
         return pa.Table.from_batches([as_batch(dealt(SPANS, spans, by_doc(spans["doc"], buckets)))])
     return fetched.groupBy("kind", "bucket").applyInArrow(run, ROWS)
@@ -343,6 +345,7 @@ def without_spans(texts: DataFrame, spans: DataFrame, columns: list[tuple[str, s
         kept = raw[keep].tobytes()
         ends = np.cumsum(np.diff(starts) - removed)
         texts = [kept[a:b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist())]
+        release()
         out = [column(docs, n) for n in names]
         out += [pa.array(np.diff(starts)), pa.array(removed), pa.array(runs[starts[1:]] - runs[starts[:-1]]),
                 pa.array([hashlib.sha256(t).hexdigest() for t in texts], pa.string())]
