@@ -36,17 +36,19 @@ from .evaluate import classification_metrics, regression_metrics
 from .scale import fit_scaler
 
 SEED = 42
-# Tree training knobs: larger per-iteration aggregation memory trains more
-# nodes per pass over the data; node-id caching avoids re-walking the trees;
+# Tree training knobs: per-iteration aggregation memory bounds the nodes
+# trained per pass over the data (it is held per task, and a few fits may run
+# at a time); node-id caching avoids re-walking the trees;
 # periodic checkpoints (to spark.checkpoint.dir) cut the cached lineage.
 #
 # ``maxBins`` bounds the distinct thresholds that a feature offers: codes of
-# a dictionary with more values than that share bins. 64 keeps every code of
+# a dictionary with more values than that share bins. 32 keeps every code of
 # this data model's dictionaries (25 places, 7 agencies, 3 classes) apart;
-# pass a larger ``max_bins`` for larger dictionaries.
-MAX_BINS = 64
-TREE_OPTS = dict(maxMemoryInMB=512, cacheNodeIds=True, checkpointInterval=10)
-GBT_OPTS = dict(maxMemoryInMB=512)
+# pass a larger ``max_bins`` for larger dictionaries (statistics and time per
+# tree node grow with it).
+MAX_BINS = 32
+TREE_OPTS = dict(maxMemoryInMB=256, cacheNodeIds=True, checkpointInterval=10)
+GBT_OPTS = dict(maxMemoryInMB=256)
 REGRESSORS = ["linear", "ridge", "lasso", "random_forest", "gradient_boosting"]
 CLASSIFIERS = ["logistic", "random_forest", "gradient_boosting", "svm"]
 RIDGE_ALPHA = 1.0
