@@ -30,7 +30,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .kernels import masked, pick, ragged_positions, ship, text_slices, unmasked, word_lists, worker_cache
+from .kernels import masked, pick, ragged_positions, release, ship, text_slices, unmasked, word_lists, worker_cache
 
 ship(__name__)
 
@@ -108,7 +108,7 @@ class Network:
         if not len(words):
             return own, ends, grams, np.zeros((0, 2 * SIZE), np.float32)
         mean = np.add.reduceat(self.p["gram"][grams], ends[:-1], axis=0) / np.diff(ends)[:, None]
-        return own, ends, grams, np.concatenate([self.p["word"][own], mean], 1).astype(np.float32)
+        return own, ends, grams, np.concatenate([self.p["word"][own], mean], 1).astype(np.float32, copy=False)
 
     def run(self, table: np.ndarray, codes: np.ndarray, mask: np.ndarray | None, keep: bool = False):
         """Logits of windows. table: input part of the gates per word; codes:
@@ -199,8 +199,11 @@ class Network:
 
     def text_logits(self, starts: np.ndarray, codes: np.ndarray, words: pa.Array) -> tuple[np.ndarray, ...]:
         """(row, first word, size, logit) of all windows of rows of words."""
-        table = self.inputs(words)[-1] @ self.p["input"] + self.p["bias"]
-        table = np.concatenate([table, self.p["bias"][None]]).astype(np.float32)
+        # The words' input to the gates, a part of the words at a time; the last row is no word's.
+        table = np.empty((len(words) + 1, 6 * HIDDEN), np.float32)
+        table[:] = self.p["bias"]
+        for k in range(0, len(words), 20_000):
+            table[k:k + 20_000][:len(words) - k] += self.inputs(words[k:k + 20_000])[-1] @ self.p["input"]
         row, first, size = windows_of(starts)
         return row, first, size, self.window_logits(table, codes, first, size)
 
@@ -226,16 +229,20 @@ def log_odds(starts, codes, n_words, y) -> np.ndarray:
 
 
 def train(texts: list[str], labels: np.ndarray, toxic_share: float | None = None, epochs: int = 5, batch: int = 256, rate: float = 0.01,
-          vocabulary_size: int = 50_000, seed: int = 7) -> Network | None:
+          vocabulary_size: int = 30_000, seed: int = 7) -> Network | None:
     """Fit on texts with labels 0 and 1; None without both. ``toxic_share``: of
     all labelled documents, if the texts are not drawn in proportion."""
     y = np.asarray(labels, np.float32)
     if not len(y) or y.min() == y.max():
         return None
+    # Empty texts are clean.
+    empty = 1 + len(y) // 100
+    texts, y = [*texts, *[""] * empty], np.concatenate([y, np.zeros(empty, np.float32)])
     rng = np.random.default_rng(seed)
     starts, raw, words = word_lists(pa.array(texts, pa.string()))
     enc = plain_words(words).dictionary_encode()
-    codes, words = np.asarray(enc.indices).astype(np.int64)[raw], enc.dictionary
+    codes, words = np.asarray(enc.indices).astype(np.int32)[raw], enc.dictionary
+    del texts, raw, enc
     odds = log_odds(starts, codes, len(words), y)
     counts = np.bincount(codes, minlength=len(words))
     names = words.to_numpy(zero_copy_only=False)
@@ -247,8 +254,10 @@ def train(texts: list[str], labels: np.ndarray, toxic_share: float | None = None
     word_hint = np.maximum(odds, 0)[codes]
     run_sum = np.concatenate([[0], np.cumsum(word_hint)])
     logit = (run_sum[first + size] - run_sum[first]).astype(np.float32)
+    del word_hint, run_sum, names
+    release()
     moments = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in net.p.items() if k != "scale"}
-    step, padded = 0, np.concatenate([codes, np.zeros(WINDOW, np.int64)])
+    step, padded = 0, np.concatenate([codes, np.zeros(WINDOW, codes.dtype)])
     time = np.arange(WINDOW)[:, None]
     for epoch in range(epochs):
         # Each text's most toxic window so far; of clean texts a random one too.
@@ -313,6 +322,7 @@ def training_sample(docs: DataFrame, labels: DataFrame, per_class: int, max_word
             f["text"] = [spread(t, max_words) for t in f["text"]]
             yield f
     found = one.mapInPandas(cut, "doc_id long, text string, toxic int").toPandas().sort_values("doc_id")
+    release()
     return found["text"].tolist(), found["toxic"].to_numpy(np.float32), share
 
 
@@ -347,9 +357,10 @@ def score_texts(docs: DataFrame, net: Network | None) -> DataFrame:
     return docs.mapInArrow(run, f"{types}, score double")
 
 
-def toxicity(docs: DataFrame, labels: DataFrame, per_class: int = 1500, max_words: int = 2048) -> DataFrame:
+def toxicity(docs: DataFrame, labels: DataFrame, per_class: int = 1200, max_words: int = 2048) -> DataFrame:
     """The documents (doc_id, text and others) with ``score``, ``held_out`` and ``predicted``."""
     net = train(*training_sample(docs, pick(labels, "doc_id", "toxic"), per_class, max_words))
+    release()
     return (score_texts(docs, net).withColumn("held_out", F.coalesce(fold_of(F.col("doc_id")) == 0, F.lit(False)))
             .withColumn("predicted", (F.col("score") >= 0.5).cast("int")))
 
