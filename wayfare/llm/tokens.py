@@ -21,7 +21,7 @@ from .kernels import ragged_positions, ship, text_slices, worker_cache
 
 ship(__name__)
 
-MEMO = 400_000
+MEMO = 800_000
 ODD = ("[\\x{00}-\\x{09}\\x{0b}-\\x{1f}\\x{85}\\x{a0}\\x{1680}\\x{180e}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}"
        "\\x{202f}\\x{205f}\\x{3000}]|[ \n][ \n]|^[ \n]|[ \n]$|^$")
 #: A comma or full stop between a letter or digit and white space is a pre-token of its own.
