@@ -152,6 +152,20 @@ def test_repeated_ids_and_rows(spark):
     assert first_short or (got[(1, 180, 180)] == 2 and got[(1, 184, 0)] == 1)
 
 
+@pytest.mark.parametrize("parameters", [{}, {"hot": 0}])
+@pytest.mark.parametrize("tasks", [1, 5])
+def test_repeated_rows_count_as_one_document(spark, tasks, parameters):
+    rows = repeated() + [(None, "only here " + "".join(map(chr, range(300, 500))))]
+    rows = [(k, t) for k, (_, t) in enumerate(rows)]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    out = suffix.remove_repeats(table.unionByName(table).unionByName(table).repartition(tasks), **parameters).collect()
+    want = without_repeats(rows, 100)
+    assert collections.Counter((r["doc_id"], r["n_removed"], r["kept_sha256"]) for r in out) == {
+        (k, gone, sha(kept)): 3 for k, (_, gone, _, kept) in want.items()}
+    alone = spark.createDataFrame([(None, rows[-1][1])] * 2, "doc_id long, text string")
+    assert [r["n_removed"] for r in suffix.remove_repeats(alone.repartition(tasks), **parameters).collect()] == [0, 0]
+
+
 def test_equal_windows_have_their_trigger_at_the_same_place():
     rng = np.random.default_rng(8)
     raw = rng.integers(97, 100, 3000).astype(np.uint8)

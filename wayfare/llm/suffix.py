@@ -142,6 +142,14 @@ def merged_spans(doc, sub, start, end) -> dict[str, np.ndarray]:
     return {"doc": doc[cut], "sub": sub[cut], "start": start[cut], "end": top[last]}
 
 
+def distinct_places(c: dict[str, np.ndarray], *names: str) -> dict[str, np.ndarray]:
+    """Sorted rows, one of those that are equal in these columns. Rows that repeat
+    id and text have the same phrases at the same places: no repetitions."""
+    new = np.ones(len(c["doc"]), bool)
+    new[1:] = np.any([c[n][1:] != c[n][:-1] for n in names], 0)
+    return {n: v[new] for n, v in c.items()}
+
+
 # --------------------------------------------------------------------- steps
 
 def parse(docs: DataFrame, length: int, buckets: int, flush: int = 500_000) -> DataFrame:
@@ -149,7 +157,7 @@ def parse(docs: DataFrame, length: int, buckets: int, flush: int = 500_000) -> D
     def rows_of(held):
         c = {n: np.concatenate([x[n] for x in held]) for n in held[0]}
         order = np.lexsort((c["first"], c["sub"], c["doc"]))
-        c = {n: v[order] for n, v in c.items()}
+        c = distinct_places({n: v[order] for n, v in c.items()}, "doc", "sub", "first")
         by = np.argsort(c["g"], kind="stable")
         again = np.zeros(len(by), bool)
         again[by[1:]] = (c["g"][by[1:]] == c["g"][by[:-1]]) & (c["h"][by[1:]] == c["h"][by[:-1]])
@@ -186,7 +194,7 @@ def dictionary(parsed: DataFrame, length: int, buckets: int, hot: int) -> DataFr
         c = unpack(PHRASES, payloads(table, PHRASES))
         if len(c["h"]):
             order = np.lexsort((c["first"], c["sub"], c["doc"], c["g"], c["h"]))
-            c = {n: v[order] for n, v in c.items()}
+            c = distinct_places({n: v[order] for n, v in c.items()}, "h", "g", "doc", "sub", "first")
             new_h = np.concatenate([[True], c["h"][1:] != c["h"][:-1]])
             new = new_h | np.concatenate([[True], c["g"][1:] != c["g"][:-1]])
             again = {n: v[~new].astype(np.int64) if n in ("first", "more") else v[~new] for n, v in c.items()}
