@@ -92,6 +92,37 @@ def test_near_duplicates_match_all_pairs(spark, parameters):
     assert jaccard.near_duplicates(table.limit(0)).count() == 0
 
 
+def short_pairs(n=4000):
+    """Texts of 8 to 50 words, each with a longer one at a similarity of 0.8 to 0.9."""
+    rng, rows = random.Random(9), []
+    for k in range(n):
+        size = rng.randrange(8, 51)
+        more = rng.randrange(-(-(size - 4) // 9), (size - 4) // 4 + 1)
+        words = [f"p{k}w{j}" for j in range(size + more)]
+        rows += [(2 * k, " ".join(words[:size])), (2 * k + 1, " ".join(words))]
+    return rows
+
+
+def test_short_near_duplicates_match_all_pairs(spark):
+    rows = short_pairs()
+    want = plain_near(rows)
+    assert all(n == 1 for _, _, n in want)
+    got = jaccard.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)).collect()
+    assert collections.Counter((r["doc_id"], r["class_id"], r["n_links"]) for r in got) == want
+
+
+def test_places_of_small_sets_agree_independently():
+    rng = np.random.default_rng(10)
+    for common, more in ((4, 1), (8, 2), (40, 10)):
+        sets = rng.integers(0, 1 << 63, (3000, common + more)).astype(np.uint64)
+        both = np.concatenate([np.concatenate([s[:common], s]) for s in sets])
+        sizes = np.tile([common, common + more], 3000)
+        sketch = jaccard.embed(np.concatenate([[0], np.cumsum(sizes)]), both)
+        same = (sketch[::2] == sketch[1::2]).mean(1)
+        assert abs(same.mean() - 0.8) < 0.005 and abs(same.std() / (0.16 / 128) ** 0.5 - 1) < 0.1
+        assert same.min() > 0.588
+
+
 def test_one_of_each_class_stays_even_of_repeated_rows(spark):
     rows = documents(10)
     table = spark.createDataFrame([(*r, k) for k, r in enumerate(rows)], "doc_id long, text string, _hash int")
