@@ -15,18 +15,3 @@ def spark():
                            "spark.checkpoint.dir": tempfile.mkdtemp(prefix="wayfare-test-ckpt-")})
     yield s
     s.stop()
-
-
-def users_df(spark, rows):
-    from wayfare.sources.tables import USERS_SCHEMA
-    return spark.createDataFrame(rows, USERS_SCHEMA)
-
-
-def flights_df(spark, rows):
-    from wayfare.sources.tables import FLIGHTS_SCHEMA
-    return spark.createDataFrame(rows, FLIGHTS_SCHEMA)
-
-
-def hotels_df(spark, rows):
-    from wayfare.sources.tables import HOTELS_SCHEMA
-    return spark.createDataFrame(rows, HOTELS_SCHEMA)

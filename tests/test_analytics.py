@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from wayfare.operators import analytics as an
-from conftest import flights_df, hotels_df, users_df
+from small_tables import flights_df, hotels_df, users_df
 
 D1, D2 = dt.date(2024, 1, 5), dt.date(2024, 2, 7)
 

@@ -3,7 +3,7 @@ import datetime as dt
 import pytest
 
 from wayfare.operators import features as FT
-from conftest import flights_df, hotels_df, users_df
+from small_tables import flights_df, hotels_df, users_df
 
 D = dt.date(2024, 1, 1)
 

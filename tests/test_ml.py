@@ -166,7 +166,7 @@ def test_importances_favour_what_decides(ring):
 
 
 def flights(spark, n=300):
-    from conftest import flights_df
+    from small_tables import flights_df
     import datetime
     rng = np.random.default_rng(6)
     rows = [(k, k % 40, "ABC"[k % 3], "XYZ"[k % 2], "economic", float(rng.integers(50, 90) + 100 * (k % 3)), 2.0 + k % 5, 500 + k % 50,

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from wayfare.operators import recommend as RC
-from conftest import hotels_df
+from small_tables import hotels_df
 
 D = dt.date(2024, 1, 1)
 
