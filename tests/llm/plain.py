@@ -2,6 +2,8 @@
 
 import collections
 import hashlib
+import itertools
+import math
 import re
 import zlib
 
@@ -111,3 +113,94 @@ def ids_sha(ids):
 
 def ids_crc(ids):
     return zlib.crc32(np.array(ids, "<u4").tobytes())
+
+
+CANONICAL = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+LOWER = {c: c + 32 for c in range(65, 91)}
+
+
+def canonical(text):
+    return CANONICAL.findall((text or "").translate(LOWER))
+
+
+def decontaminated(docs, benchmark, size=10):
+    """[(doc_id, n_words, n_hit, items, spans)] of rows (doc_id, text), items (item_id, text)."""
+    having = collections.defaultdict(set)
+    for item, text in benchmark:
+        words = canonical(text)
+        for k in range(max(len(words) - size + 1, min(len(words), 1))):
+            having[tuple(words[k:k + size])].add("" if item is None else str(item))
+    lengths, out = {len(p) for p in having}, []
+    for doc, text in docs:
+        words, hit, items = canonical(text), set(), set()
+        for n in lengths:
+            for k in range(len(words) - n + 1):
+                if tuple(words[k:k + n]) in having:
+                    hit |= set(range(k, k + n))
+                    items |= having[tuple(words[k:k + n])]
+        firsts, lasts = sorted(h for h in hit if h - 1 not in hit), sorted(h for h in hit if h + 1 not in hit)
+        out.append((doc, len(words), len(hit), sorted(items), list(zip(firsts, lasts))))
+    return out
+
+
+def features(text, width, buckets):
+    words = canonical(text)
+    return [zlib.crc32(" ".join(words[k:k + n]).encode()) % buckets
+            for n in range(1, width + 1) for k in range(len(words) - n + 1)]
+
+
+def resampled(docs, target, percent, min_words, width, buckets, seed):
+    """[(doc_id, n_features, weight, score, rank)], the first drawn first, undrawn ones in any order."""
+    raw, aim = collections.Counter(), collections.Counter()
+    for _, t in docs:
+        raw.update(features(t, width, buckets))
+    for t in target:
+        aim.update(features(t, width, buckets))
+    up, down = sum(raw.values()) + buckets, sum(aim.values()) + buckets
+    rows = []
+    for doc, text in docs:
+        own = features(text, width, buckets)
+        gains = [math.floor(1000 * math.log(((aim[b] + 1) * up) / ((raw[b] + 1) * down))) for b in own]
+        weight = sum(gains) // len(gains) if gains else 0
+        h = int(sha(f"{seed}:{'' if doc is None else doc}".encode())[:8], 16)
+        score = weight + math.floor(-1000 * math.log(-math.log((h + 0.5) / 2 ** 32)))
+        rows.append((doc, len(own), weight, score, len(canonical(text))))
+    fit = sorted((r for r in rows if r[4] >= min_words), key=lambda r: (-r[3], r[0] is not None, r[0]))
+    quota = percent * len(fit) // 100
+    rest = [r for r in rows if r[4] < min_words] + fit[quota:]
+    return [(*r[:4], k + 1) for k, r in enumerate(fit[:quota])] + [(*r[:4], None) for r in rest]
+
+
+def audited(docs, labels):
+    """{(part, order, step): counts} of rows (doc_id, text, source), labels (doc_id, quality, toxic)."""
+    good, bad = {d for d, q, _ in labels if q == 1}, {d for d, _, t in labels if t == 1}
+    least = {}
+    for d, text, _ in docs:
+        d = -2 ** 63 if d is None else d
+        least[text or ""] = min(least.get(text or "", d), d)
+    judged = []
+    for d, text, part in docs:
+        t, words = text or "", WORD.findall(text or "")
+        fails = {"A": len(words) < 50, "B": 100 * len(set(words)) < 65 * len(words),
+                 "C": 100 * len(re.findall("[A-Z]", t)) > 5 * len(t), "D": bool(re.search(r"[#$%&*|]", t)),
+                 "E": (-2 ** 63 if d is None else d) > least[t]}
+        judged.append((part or "", fails, d in good, d in bad))
+    out = collections.defaultdict(lambda: [0] * 7)
+    for order in itertools.permutations("ABCDE"):
+        for part, fails, is_good, is_bad in judged:
+            gone = False
+            for k, name in enumerate(order):
+                c, here = out[part, "".join(order), k + 1], fails[name] and not gone
+                c[2] += fails[name] and gone
+                gone |= fails[name]
+                c[0] += not gone
+                c[1] += here
+                c[3] += fails[name] and sum(fails.values()) == 1
+                c[4] += here and is_good
+                c[5] += here and is_bad
+    total = collections.Counter()
+    for (part, order, k), c in out.items():
+        total[part, order[k - 1]] += c[1]
+    for (part, order, k), c in out.items():
+        c[6] = total[part, order[k - 1]]
+    return {k: tuple(map(int, c)) for k, c in out.items()}
