@@ -33,8 +33,8 @@ def test_ridge_matches_closed_form(reg):
     Xs = (X - X.mean(0)) / X.std(0)
     Xc, yc = Xs - Xs.mean(0), y - y.mean()
     w = np.linalg.solve(Xc.T @ Xc + 1.0 * np.eye(3), Xc.T @ yc)
-    got = m.stages[-1].coefficients.toArray()
-    assert np.allclose(got, w, atol=1e-4)
+    got = [r.prediction for r in m.transform(df).orderBy("k").collect()]
+    assert np.allclose(got, y.mean() + Xs @ w, atol=1e-9)
 
 
 def test_ols_and_metrics(reg):
@@ -99,15 +99,20 @@ def test_folds_are_contiguous_and_of_equal_length(spark):
 
 def test_lasso_meets_its_optimality_conditions(reg):
     df, X, y = reg
-    m = T.train_price_model(df, ["a", "b", "c"], "lasso", label="y")
-    Xs, yc = (X - X.mean(0)) / X.std(0), y - y.mean()
-    w = m.stages[-1].coefficients.toArray()
+    from wayfare.ml import gram
+    noise = df.withColumn("d", F.col("k") % 7)
+    fit = gram.fit("lasso", ["a", "b", "c", "d"], gram.fold_sums(noise, ["a", "b", "c", "d"], "y")[None])
+    X = np.column_stack([X, np.arange(len(y)) % 7])
+    Xs, yc, w = (X - X.mean(0)) / X.std(0), y - y.mean(), fit.weights
     slope = Xs.T @ (yc - Xs @ w) / len(y)
-    for j in range(3):
-        if abs(w[j]) > 1e-9:
-            assert slope[j] == pytest.approx(T.LASSO_ALPHA * np.sign(w[j]), abs=1e-3)
+    assert w[3] == 0
+    for j in range(4):
+        if w[j]:
+            assert slope[j] == pytest.approx(T.LASSO_ALPHA * np.sign(w[j]), abs=1e-9)
         else:
-            assert abs(slope[j]) <= T.LASSO_ALPHA + 1e-3
+            assert abs(slope[j]) <= T.LASSO_ALPHA + 1e-9
+    got = [r.prediction for r in fit.pipeline().transform(noise).orderBy("k").collect()]
+    assert np.allclose(got, y.mean() + Xs @ w, atol=1e-9)
 
 
 @pytest.fixture(scope="module")
@@ -191,8 +196,8 @@ def test_cross_validation_matches_numpy(spark):
         w = np.linalg.solve((A - A.mean(0)).T @ (A - A.mean(0)) + np.eye(X.shape[1]), (A - A.mean(0)).T @ (b - b.mean()))
         e = y[part] - (b.mean() + (X[part] - A.mean(0)) @ w)
         scores.append(1 - (e ** 2).sum() / ((y[part] - y[part].mean()) ** 2).sum())
-    assert [got[f"fold_{k}"] for k in range(5)] == pytest.approx(scores, abs=1e-4)
-    assert got["mean"] == pytest.approx(np.mean(scores), abs=1e-4) and got["std"] == pytest.approx(np.std(scores), abs=1e-4)
+    assert [got[f"fold_{k}"] for k in range(5)] == pytest.approx(scores, abs=1e-9)
+    assert got["mean"] == pytest.approx(np.mean(scores), abs=1e-9) and got["std"] == pytest.approx(np.std(scores), abs=1e-9)
 
 
 def test_tracked_training_logs_all_models_and_the_best(spark, tmp_path):

@@ -57,8 +57,8 @@ def stratified_flag(df: DataFrame, key: str, label: str, test_fraction: float =
     return j.withColumn("is_train", rank > n_test).drop("_h", "_before", "_n")
 
 
-def contiguous_folds(df: DataFrame, order: list[str], folds: int = 5) -> DataFrame:
-    """Adds ``fold``: the rows in the total order of ``order``, cut into ``folds``
+def contiguous_folds(df: DataFrame, order: list[str], folds: int = 5, place: str | None = None) -> DataFrame:
+    """Adds ``fold`` (and under the name ``place`` the row's number): the rows in the total order of ``order``, cut into ``folds``
     runs of equal length (the first ones a row longer if need be).
 
     No task sorts the table: rows are range-partitioned by the order (written
@@ -73,9 +73,10 @@ def contiguous_folds(df: DataFrame, order: list[str], folds: int = 5) -> DataFra
     # one row per range partition
     counts = counts.select(F.col("_range").alias("_r"), (F.sum("_c").over(Window.orderBy("_range")) - F.col("_c")).alias("_before"))
     n = ranged.count()
-    place = F.col("_before") + F.row_number().over(Window.partitionBy("_range").orderBy(*order)) - 1
+    number = F.col("_before") + F.row_number().over(Window.partitionBy("_range").orderBy(*order)) - 1
     size, longer = max(n // folds, 1), n % folds
     fold = F.when(F.col("_place") < longer * (size + 1), F.floor(F.col("_place") / (size + 1))) \
             .otherwise(longer + F.floor((F.col("_place") - longer * (size + 1)) / size))
-    return (ranged.join(counts, F.col("_range") == F.col("_r")).withColumn("_place", place)
-                  .withColumn("fold", fold.cast("int")).drop("_range", "_r", "_before", "_place"))
+    return (ranged.join(counts, F.col("_range") == F.col("_r")).withColumn("_place", number)
+                  .withColumn("fold", fold.cast("int")).withColumn(place or "_place", F.col("_place"))
+                  .drop("_range", "_r", "_before", "_place"))

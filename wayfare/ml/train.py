@@ -1,22 +1,15 @@
 """Training, scoring and comparison of the price and classification models.
 
-A fitted model is a ``PipelineModel``: [population-std scaler as a
-``SQLTransformer`` with the fitted constants, ``VectorAssembler``,
-estimator]. It saves and loads with the standard ML writer, and scoring a
-table is one ``transform`` (a projection plus the model's UDF-free
-prediction expression), so batch scoring is a map-only job.
-
-Penalty mapping to match the original objectives (both use unstandardised,
-already-scaled inputs):
-
-* Ridge(alpha):  LinearRegression(elasticNetParam=0, regParam=alpha*sd(y)/n)
-  (Spark standardises the label internally, hence sd(y)).
-* Lasso(alpha):  LinearRegression(elasticNetParam=1, regParam=alpha).
-* Logistic(C):   LogisticRegression(elasticNetParam=0, regParam=1/(C*n)).
-
-Tree ensembles keep the original sizes (100 trees; depth 15 / 10 / 5). The
-RBF-kernel SVM has no Spark counterpart; it is approximated with random
-Fourier features (column arithmetic) + LinearSVC + Platt scaling.
+* Linear price models come from sums of products (``gram``) and are a
+  ``PipelineModel`` of two projections.
+* Forests (``forest``) and boosting (``boosting``) are ``TreeModel``s: a table of
+  nodes, in the original sizes (100 trees; depth 15 / 10 / 5).
+* Logistic regression is ``pyspark.ml``'s, with regParam 1 / (C n) for the
+  original penalty C.
+* The RBF-kernel SVM has no Spark counterpart; it is approximated with random
+  Fourier features (column arithmetic), ``LinearSVC`` and Platt scaling.
+
+All are saved and loaded by ``sources.sinks`` and score a table by ``transform``.
 """
 
 from __future__ import annotations
@@ -24,36 +17,27 @@ from __future__ import annotations
 import math
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import (GBTClassifier, LinearSVC, LogisticRegression,
-                                       RandomForestClassifier)
+from pyspark.ml.classification import LinearSVC, LogisticRegression
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import gram
+from .boosting import fit_boosting
 from .evaluate import classification_metrics, regression_metrics
+from .forest import fit_forests
+from .gram import LASSO_ALPHA, RIDGE_ALPHA
+from .rows import model_rows
 from .scale import fit_scaler
+from .trees import TreeModel
 
 SEED = 42
-# Tree training knobs: per-iteration aggregation memory bounds the nodes
-# trained per pass over the data (it is held per task, and a few fits may run
-# at a time); node-id caching avoids re-walking the trees;
-# periodic checkpoints (to spark.checkpoint.dir) cut the cached lineage.
-#
-# ``maxBins`` bounds the distinct thresholds that a feature offers: codes of
-# a dictionary with more values than that share bins. 32 keeps every code of
-# this data model's dictionaries (25 places, 7 agencies, 3 classes) apart;
-# pass a larger ``max_bins`` for larger dictionaries (statistics and time per
-# tree node grow with it).
-MAX_BINS = 32
-TREE_OPTS = dict(maxMemoryInMB=256, cacheNodeIds=True, checkpointInterval=10)
-GBT_OPTS = dict(maxMemoryInMB=256)
 REGRESSORS = ["linear", "ridge", "lasso", "random_forest", "gradient_boosting"]
+LINEAR = ["linear", "ridge", "lasso"]
 CLASSIFIERS = ["logistic", "random_forest", "gradient_boosting", "svm"]
-RIDGE_ALPHA = 1.0
-LASSO_ALPHA = 0.1
 LOGISTIC_C = 1.0
+RATE = 0.1
 
 
 def scaler_stage(train: DataFrame, cols: list[str], suffix: str = "_scaled") -> SQLTransformer:
@@ -68,72 +52,49 @@ def scaler_stage(train: DataFrame, cols: list[str], suffix: str = "_scaled") ->
     return SQLTransformer(statement=f"SELECT *, {', '.join(parts)} FROM __THIS__")
 
 
-def _label_stats(train: DataFrame, label: str):
-    r = train.agg(F.count(label).alias("n"), F.stddev_samp(label).alias("sd")).first()
-    return int(r["n"]), float(r["sd"] or 0.0)
-
-
-def model_parameters(model_type: str, num_trees: int = 100, max_depth: int | None = None) -> dict[str, float]:
+def model_parameters(model_type: str, num_trees: int = 100, max_depth: int | None = None, **_) -> dict[str, float]:
     """The parameters of a tracked model, as they are logged with its run."""
     return {"ridge": {"alpha": RIDGE_ALPHA}, "lasso": {"alpha": LASSO_ALPHA}, "linear": {},
-            "gradient_boosting": {"n_estimators": num_trees, "max_depth": max_depth or 5, "learning_rate": 0.1}}.get(
+            "gradient_boosting": {"n_estimators": num_trees, "max_depth": max_depth or 5, "learning_rate": RATE}}.get(
         model_type, {"n_estimators": num_trees, "max_depth": max_depth or 15})
 
 
-def regressor(model_type: str, n: int, y_sd: float, num_trees: int = 100, max_depth: int | None = None,
-              label: str = "price", max_bins: int = MAX_BINS):
-    common = dict(featuresCol="features", labelCol=label, predictionCol="prediction")
-    if model_type == "linear":
-        return LinearRegression(regParam=0.0, solver="normal", standardization=False, **common)
-    if model_type == "ridge":
-        # exact normal-equation solve (one pass over the data)
-        return LinearRegression(regParam=RIDGE_ALPHA * y_sd / max(n, 1), elasticNetParam=0.0,
-                                standardization=False, solver="normal", **common)
-    if model_type == "lasso":
-        return LinearRegression(regParam=LASSO_ALPHA, elasticNetParam=1.0, standardization=False,
-                                maxIter=1000, tol=1e-10, **common)
-    if model_type == "gradient_boosting":
-        return GBTRegressor(maxIter=num_trees, maxDepth=max_depth or 5, stepSize=0.1, seed=SEED, maxBins=max_bins,
-                            **GBT_OPTS, **common)
-    # default (and unknown names): random forest
-    return RandomForestRegressor(numTrees=num_trees, maxDepth=max_depth or 15, featureSubsetStrategy="all",
-                                 seed=SEED, maxBins=max_bins, **TREE_OPTS, **common)
-
-
-def classifier(model_type: str, n: int, num_trees: int = 100, max_depth: int | None = None,
-               label: str = "label", max_bins: int = MAX_BINS):
-    common = dict(featuresCol="features", labelCol=label, predictionCol="prediction")
-    if model_type == "logistic":
-        return LogisticRegression(maxIter=1000, regParam=1.0 / (LOGISTIC_C * max(n, 1)), elasticNetParam=0.0,
-                                  standardization=False, probabilityCol="probability", **common)
+def tree_fits(rows: DataFrame, features: list[str], model_type: str, fits: list[int], num_trees: int = 100,
+              max_depth: int | None = None, classes: int = 0, **sizes) -> dict[int, TreeModel]:
+    """Forests or boosted trees over ``model_rows``, one per fit (-1: all training
+    rows; k: without fold k). Unknown names give a forest, as the default."""
     if model_type == "gradient_boosting":
-        return GBTClassifier(maxIter=num_trees, maxDepth=max_depth or 5, stepSize=0.1, seed=SEED, maxBins=max_bins,
-                             **GBT_OPTS, **common)
-    return RandomForestClassifier(numTrees=num_trees, maxDepth=max_depth or 10, seed=SEED,
-                                  featureSubsetStrategy="sqrt", maxBins=max_bins, **TREE_OPTS, **common)
-
-
-def fit_pipeline(train: DataFrame, features: list[str], estimator, extra_stages=None) -> PipelineModel:
-    scal = scaler_stage(train, features)
-    asm = VectorAssembler(inputCols=[f"{c}_scaled" for c in features], outputCol="features",
-                          handleInvalid="keep")
-    return Pipeline(stages=[scal, asm, *(extra_stages or []), estimator]).fit(train)
+        if classes > 2:
+            raise ValueError("boosting takes a number or two classes")
+        return fit_boosting(rows, features, fits, num_trees, max_depth or 5, RATE, logistic=classes == 2, **sizes)
+    mtry = max(1, math.isqrt(len(features))) if classes else None
+    return fit_forests(rows, features, fits, num_trees, max_depth or (10 if classes else 15), classes, mtry, SEED, **sizes)
 
 
 def train_price_model(train: DataFrame, features: list[str], model_type: str = "random_forest",
-                      label: str = "price", num_trees: int = 100, max_depth: int | None = None) -> PipelineModel:
-    n, sd = _label_stats(train, label)
-    est = regressor(model_type, n, sd, num_trees, max_depth, label)
-    return fit_pipeline(train, features, est)
+                      label: str = "price", num_trees: int = 100, max_depth: int | None = None, **sizes) -> PipelineModel | TreeModel:
+    if model_type in LINEAR:
+        sums = gram.fold_sums(train, features, label)
+        return gram.fit(model_type, features, sums.get(None, gram.none(len(features)))).pipeline()
+    return tree_fits(model_rows(train, features, label), features, model_type, [-1], num_trees, max_depth, **sizes)[-1]
 
 
 def train_classifier(train: DataFrame, features: list[str], model_type: str = "random_forest",
                      label: str = "label", num_trees: int = 100, max_depth: int | None = None,
-                     rff_dim: int = 64, gamma: float | None = None) -> PipelineModel:
+                     rff_dim: int = 64, gamma: float | None = None, **sizes) -> PipelineModel | TreeModel:
+    """``label`` holds class codes 0, 1, ..."""
     if model_type == "svm":
         return train_svm(train, features, label, rff_dim, gamma)
-    n = train.where(F.col(label).isNotNull()).count()
-    return fit_pipeline(train, features, classifier(model_type, n, num_trees, max_depth, label))
+    if model_type == "logistic":
+        n = train.where(F.col(label).isNotNull()).count()
+        est = LogisticRegression(featuresCol="features", labelCol=label, predictionCol="prediction", maxIter=1000,
+                                 regParam=1.0 / (LOGISTIC_C * max(n, 1)), elasticNetParam=0.0, standardization=False,
+                                 probabilityCol="probability")
+        asm = VectorAssembler(inputCols=[f"{c}_scaled" for c in features], outputCol="features", handleInvalid="keep")
+        return Pipeline(stages=[scaler_stage(train, features), asm, est]).fit(train)
+    rows = model_rows(train, features, label)
+    classes = max(2, int(rows.agg(F.max("y")).first()[0] or 0) + 1)
+    return tree_fits(rows, features, model_type, [-1], num_trees, max_depth, classes, **sizes)[-1]
 
 
 # ----------------------------------------------------------- RBF-SVM approx
@@ -177,11 +138,11 @@ def train_svm(train: DataFrame, features: list[str], label: str = "label", dim:
 
 # --------------------------------------------------------------- scoring
 
-def score(model: PipelineModel, df: DataFrame) -> DataFrame:
+def score(model: PipelineModel | TreeModel, df: DataFrame) -> DataFrame:
     return model.transform(df)
 
 
-def evaluate_regressor(model: PipelineModel, train: DataFrame, test: DataFrame, label: str = "price",
+def evaluate_regressor(model: PipelineModel | TreeModel, train: DataFrame, test: DataFrame, label: str = "price",
                        model_type: str = "") -> DataFrame:
     both = (model.transform(train).withColumn("split", F.lit("train"))
             .unionByName(model.transform(test).withColumn("split", F.lit("test"))))
@@ -189,7 +150,7 @@ def evaluate_regressor(model: PipelineModel, train: DataFrame, test: DataFrame,
         F.lit(model_type).alias("model_type"), "*")
 
 
-def evaluate_classifier(model: PipelineModel, train: DataFrame, test: DataFrame, label: str = "label",
+def evaluate_classifier(model: PipelineModel | TreeModel, train: DataFrame, test: DataFrame, label: str = "label",
                         model_type: str = "") -> DataFrame:
     cols = [label, "prediction"]
     both = (model.transform(train).select(*cols).withColumn("split", F.lit("train"))
@@ -198,23 +159,19 @@ def evaluate_classifier(model: PipelineModel, train: DataFrame, test: DataFrame,
         F.lit(model_type).alias("model_type"), "*")
 
 
-def feature_importance(model: PipelineModel, features: list[str], top: int | None = None) -> DataFrame:
+def feature_importance(model: PipelineModel | TreeModel, features: list[str], top: int | None = None) -> DataFrame:
     """(feature, importance) sorted desc; empty for models without importances."""
     from pyspark.sql import SparkSession
-    est = model.stages[-1]
-    imp = getattr(est, "featureImportances", None)
-    s = SparkSession.getActiveSession()
-    if imp is None:
+    s = SparkSession.builder.getOrCreate()
+    if not isinstance(model, TreeModel):
         return s.createDataFrame([], "feature string, importance double")
-    rows = sorted(zip(features, [float(x) for x in imp.toArray()]), key=lambda t: (-t[1], t[0]))
-    if top:
-        rows = rows[:top]
-    return s.createDataFrame(rows, "feature string, importance double")
+    rows = sorted(zip(features, model.importances().tolist()), key=lambda t: (-t[1], t[0]))
+    return s.createDataFrame(rows[:top] if top else rows, "feature string, importance double")
 
 
 def probabilities(scored: DataFrame, classes: list[str]) -> DataFrame:
     """Adds confidence = max probability and a class -> probability map."""
-    arr = vector_to_array("probability")
+    arr = F.col("probability") if scored.schema["probability"].dataType.typeName() == "array" else vector_to_array("probability")
     keys = F.array(*[F.lit(c) for c in classes])
     return scored.withColumn("confidence", F.array_max(arr)) \
                  .withColumn("probabilities", F.map_from_arrays(keys, F.slice(arr, 1, len(classes))))

@@ -21,9 +21,10 @@ QueryFn = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, tuple[QueryFn, str | None]] = {}
 
 
-def query(name: str, sql: str | None = None):
+def query(name: str, sql: str | None = None, recursive: bool = False):
     def deco(fn: QueryFn) -> QueryFn:
-        REGISTRY[name] = (fn, O.with_adapters(sql) if sql else None)
+        text = O.with_adapters(sql) if sql else None
+        REGISTRY[name] = (fn, text.replace("WITH ", "WITH RECURSIVE ", 1) if text and recursive else text)
         return fn
     return deco
 

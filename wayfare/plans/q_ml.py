@@ -14,7 +14,6 @@ import uuid
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,6 +26,7 @@ from ..ml import train as T
 from ..operators import features as FT
 from ..operators import recommend as RC
 from ..operators import requests as R
+from ..session import written
 from ..sources import adapters as A
 from ..sources import sinks
 from .catalog import query, tables
@@ -72,8 +72,8 @@ def q_stratified_split(spark, sf):
     return SP.stratified_flag(u.select("code", "gender"), "code", "gender")
 
 
-@query("flight_features", """
-, d_from AS (SELECT value, CAST(row_number() OVER (ORDER BY value) - 1 AS INTEGER) AS code
+FEATURE_DICTS = """
+d_from AS (SELECT value, CAST(row_number() OVER (ORDER BY value) - 1 AS INTEGER) AS code
              FROM (SELECT DISTINCT "from" AS value FROM flights WHERE "from" IS NOT NULL)),
 d_to AS (SELECT value, CAST(row_number() OVER (ORDER BY value) - 1 AS INTEGER) AS code
          FROM (SELECT DISTINCT "to" AS value FROM flights WHERE "to" IS NOT NULL)),
@@ -81,6 +81,8 @@ d_type AS (SELECT value, CAST(row_number() OVER (ORDER BY value) - 1 AS INTEGER)
            FROM (SELECT DISTINCT "flightType" AS value FROM flights WHERE "flightType" IS NOT NULL)),
 d_agency AS (SELECT value, CAST(row_number() OVER (ORDER BY value) - 1 AS INTEGER) AS code
              FROM (SELECT DISTINCT agency AS value FROM flights WHERE agency IS NOT NULL))
+"""
+FLIGHT_FEATURE_SQL = """
 SELECT f."travelCode", f."time", f.distance, coalesce(d_from.code, 0) AS from_encoded,
        coalesce(d_to.code, 0) AS to_encoded, coalesce(d_type.code, 0) AS "flightType_encoded",
        coalesce(d_agency.code, 0) AS agency_encoded, CAST(month(f."date") AS INTEGER) AS "month",
@@ -88,7 +90,10 @@ SELECT f."travelCode", f."time", f.distance, coalesce(d_from.code, 0) AS from_en
        f.price
 FROM flights f LEFT JOIN d_from ON f."from" = d_from.value LEFT JOIN d_to ON f."to" = d_to.value
 LEFT JOIN d_type ON f."flightType" = d_type.value LEFT JOIN d_agency ON f.agency = d_agency.value
-""")
+"""
+
+
+@query("flight_features", f", {FEATURE_DICTS.strip()}\n{FLIGHT_FEATURE_SQL.strip()}")
 def q_flight_features(spark, sf):
     _, f, _ = tables(spark, sf)
     return MF.flight_features(f, keep=["travelCode"])
@@ -288,14 +293,110 @@ def q_pipeline_report(spark, sf):
                            _metric_cols(cls.where(F.col("split") == "test"), ["accuracy", "f1"]))
 
 
+# ------------------------------------------- linear models, independently in SQL
+
+def solve_sql(name: str, start: str, k: int) -> str:
+    """CTEs that solve k normal equations per group by Gauss-Jordan elimination:
+    ``start`` gives (grp, m), m a list of k rows of k + 1 numbers; ``name`` has (grp, w)."""
+    return f"""
+{name}_gj AS (
+  SELECT grp, 0 AS step, m FROM ({start})
+  UNION ALL
+  SELECT grp, step + 1, list_transform(range(1, {k + 1}), lambda i: CASE WHEN i = step + 1
+           THEN list_transform(m[i], lambda v: v / m[step + 1][step + 1])
+           ELSE list_transform(range(1, {k + 2}), lambda j: m[i][j] - m[i][step + 1] * m[step + 1][j] / m[step + 1][step + 1]) END)
+  FROM {name}_gj WHERE step < {k}),
+{name} AS (SELECT grp, list_transform(m, lambda r: r[{k + 1}]) AS w FROM {name}_gj WHERE step = {k})"""
+
+
+def scaled_rows_sql(features: list[str]) -> str:
+    """CTEs: ``ml`` (features as list x, y, is_train), ``sc`` (means, deviations), ``z`` (scaled)."""
+    names = ", ".join(f'CAST("{c}" AS DOUBLE)' for c in features)
+    k = len(features)
+    return f"""
+{FEATURE_DICTS.strip()},
+ff AS ({FLIGHT_FEATURE_SQL.strip()}),
+ml AS (SELECT "travelCode", [{names}] AS x, price AS y, {SPLIT_SQL} AS is_train,
+              row_number() OVER (PARTITION BY {SPLIT_SQL} ORDER BY "travelCode", {', '.join(f'"{c}"' for c in features)}, price) - 1 AS place
+       FROM ff WHERE price IS NOT NULL),
+sc AS (SELECT list(m ORDER BY i) AS m, list(CASE WHEN s = 0 THEN 1 ELSE s END ORDER BY i) AS s
+       FROM (SELECT i, avg(x[i]) AS m, stddev_pop(x[i]) AS s FROM ml, range(1, {k + 1}) r(i) WHERE is_train GROUP BY i)),
+z AS (SELECT "travelCode", is_train, place, y, list_transform(range(1, {k + 1}), lambda i: (x[i] - m[i]) / s[i]) AS x FROM ml, sc)"""
+
+
+def system_sql(kind: str, train: str, k: int, extra: str = "") -> str:
+    """The normal equations (grp, m) of the rows ``train`` (grp, x, y); ``extra`` is taken off the right side."""
+    ridge = " + CASE WHEN i = j THEN 1.0 ELSE 0.0 END" if kind == "ridge" else ""
+    return f"""
+  SELECT grp, list(row_ ORDER BY i) AS m FROM (
+    SELECT grp, i, list_append(list(g{ridge} ORDER BY j), any_value(c){extra}) AS row_ FROM (
+      SELECT t.grp, i, j, sum((x[i] - xm[i]) * (x[j] - xm[j])) AS g, sum((x[i] - xm[i]) * (y - ym)) AS c, count(*) AS n
+      FROM {train} t JOIN {train}_mean USING (grp), range(1, {k + 1}) a(i), range(1, {k + 1}) b(j) GROUP BY t.grp, i, j) q
+    GROUP BY grp, i) q2 GROUP BY grp"""
+
+
+def mean_sql(train: str, k: int) -> str:
+    return f"""
+{train}_mean AS (SELECT grp, list(m ORDER BY i) AS xm, any_value(ym) AS ym, any_value(n) AS n FROM (
+  SELECT grp, i, avg(x[i]) AS m, avg(y) AS ym, count(*) AS n FROM {train}, range(1, {k + 1}) a(i) GROUP BY grp, i) GROUP BY grp)"""
+
+
+def weights_sql(kind: str, train: str, k: int, out: str = "wt") -> str:
+    """Weights (grp, w) of one kind. The lasso's come from the signs of least squares:
+    where all weights keep their signs they satisfy its optimality conditions."""
+    if kind != "lasso":
+        return f"{mean_sql(train, k)},{solve_sql(out, system_sql(kind, train, k), k)}"
+    signed = f""" - 0.1 * any_value(q.n) * any_value(sign(ols.w[i])) """
+    system = system_sql(kind, train, k, signed).replace(") q\n", ") q JOIN ols USING (grp)\n")
+    return f"{mean_sql(train, k)},{solve_sql('ols', system_sql('linear', train, k), k)},{solve_sql(out, system, k)}"
+
+
+def r2_sql(y: str, p: str) -> str:
+    return f"1 - sum(({y} - {p}) * ({y} - {p})) / (var_pop({y}) * count({y}))"
+
+
+def linear_sql(kind: str) -> str:
+    k = len(MF.FLIGHT_FEATURES)
+    return f""", {scaled_rows_sql(MF.FLIGHT_FEATURES)},
+tr AS (SELECT 0 AS grp, x, y FROM z WHERE is_train),
+{weights_sql(kind, "tr", k).strip()},
+pr AS (SELECT CASE WHEN is_train THEN 'train' ELSE 'test' END AS split, y,
+              ym + list_dot_product(list_transform(range(1, {k + 1}), lambda i: x[i] - xm[i]), w) AS p FROM z, wt, tr_mean)
+SELECT '{kind}' AS model_type, split, count(y) AS n, {s6('sqrt(avg((y - p) * (y - p)))')} AS rmse, {s6('avg(abs(y - p))')} AS mae,
+       {s9(r2_sql('y', 'p'))} AS r2 FROM pr GROUP BY split"""
+
+
+def fold_sql(folds: int = 5) -> str:
+    k = len(MF.FLIGHT_FEATURES_8)
+    parts = []
+    for kind in ("ridge", "lasso"):
+        w = weights_sql(kind, "fr", k, f"wt_{kind}")
+        parts.append(w.replace("ols", f"ols_{kind}") if kind == "lasso" else w)
+    lasso = parts[1][len(mean_sql("fr", k)) + 1:]
+    scores = " UNION ALL ".join(
+        f"""SELECT '{kind}' AS model_type, z.fold, {r2_sql('y', f'(ym + list_dot_product(list_transform(range(1, {k + 1}), lambda i: x[i] - xm[i]), w))')} AS r2
+FROM zf z JOIN wt_{kind} t ON z.fold = t.grp JOIN fr_mean f ON z.fold = f.grp GROUP BY z.fold""" for kind in ("ridge", "lasso"))
+    return f""", {scaled_rows_sql(MF.FLIGHT_FEATURES_8)},
+nt AS (SELECT count(*) AS n FROM z WHERE is_train),
+zf AS (SELECT x, y, CASE WHEN place < (n % {folds}) * (n // {folds} + 1) THEN place // (n // {folds} + 1)
+                         ELSE n % {folds} + (place - (n % {folds}) * (n // {folds} + 1)) // (n // {folds}) END AS fold
+       FROM z, nt WHERE is_train),
+fr AS (SELECT g.grp, x, y FROM zf, range({folds}) g(grp) WHERE fold <> g.grp),
+{parts[0].strip()},
+{lasso.strip()},
+scores AS ({scores})
+SELECT model_type, 'fold_' || fold AS fold, {s9('r2')} AS r2 FROM scores
+UNION ALL SELECT model_type, 'mean', {s9('avg(r2)')} FROM scores GROUP BY model_type
+UNION ALL SELECT model_type, 'std', {s9('stddev_pop(r2)')} FROM scores GROUP BY model_type"""
+
+
 # ------------------------------------------------------------ model fits
 
 def _flight_splits(spark, sf, features=None):
-    """Model table persisted once: the scaler fit, the estimator's passes and
-    the evaluation all read it (lost blocks are recomputed from lineage)."""
+    """(train, test) of the model table, written once: the fits and the evaluation read it."""
     _, f, _ = tables(spark, sf)
     ff = MF.flight_features(f, keep=["travelCode"]).withColumn("is_train", SP.split_flag("travelCode"))
-    ff = ff.persist(StorageLevel.MEMORY_AND_DISK)
+    ff = written(ff, "flight-model")
     return ff.where("is_train"), ff.where(~F.col("is_train"))
 
 
@@ -303,19 +404,21 @@ def _price_query(model_type):
     def run(spark, sf):
         tr, te = _flight_splits(spark, sf)
         m = T.train_price_model(tr, MF.FLIGHT_FEATURES, model_type)
-        return T.evaluate_regressor(m, tr, te, model_type=model_type)
+        got = T.evaluate_regressor(m, tr, te, model_type=model_type)
+        return _metric_cols(_metric_cols(got, ["rmse", "mae"], 6), ["r2"])
     return run
 
 
-for _key, _mt in [("price_linear", "linear"), ("price_ridge", "ridge"), ("price_lasso", "lasso"),
-                  ("price_rf", "random_forest"), ("price_gbt", "gradient_boosting")]:
+for _key, _mt in [("price_rf", "random_forest"), ("price_gbt", "gradient_boosting")]:
     query(_key)(_price_query(_mt))
+for _mt in ("linear", "ridge", "lasso"):
+    query(f"price_{_mt}", linear_sql(_mt), recursive=True)(_price_query(_mt))
 
 
 def _user_splits(spark, sf):
     u, f, h = tables(spark, sf)
     uf = MF.user_model_table(FT.user_features(u, f, h))
-    st = SP.stratified_flag(uf, "code", "gender").persist(StorageLevel.MEMORY_AND_DISK)
+    st = written(SP.stratified_flag(uf, "code", "gender"), "user-model")
     return st.where("is_train"), st.where(~F.col("is_train"))
 
 
@@ -379,11 +482,22 @@ def q_feature_importance(spark, sf):
     return price.unionByName(T.feature_importance(g, MF.USER_FEATURES, top=10).select(F.lit("gender").alias("model"), "*"))
 
 
+CV_ORDER = ["travelCode", *MF.FLIGHT_FEATURES_8, "price"]
+
+
 @query("cross_validate")
 def q_cross_validate(spark, sf):
+    """All four tracked models."""
+    tr, _ = _flight_splits(spark, sf)
+    return RN.cross_validate(tr, MF.FLIGHT_FEATURES_8, RN.TRACKED_MODELS, CV_ORDER, 5)
+
+
+@query("cross_validate_linear", fold_sql(), recursive=True)
+def q_cross_validate_linear(spark, sf):
+    """The linear ones alone: one scan for all fits."""
     tr, _ = _flight_splits(spark, sf)
-    return RN.cross_validate(tr, MF.FLIGHT_FEATURES_8, ["ridge", "lasso"],
-                             ["travelCode", *MF.FLIGHT_FEATURES_8, "price"], 5)
+    got = RN.cross_validate(tr, MF.FLIGHT_FEATURES_8, ["ridge", "lasso"], CV_ORDER, 5)
+    return got.select("model_type", "fold", stable("r2", 9).alias("r2"))
 
 
 def _parallel(fns):

@@ -9,6 +9,7 @@ from __future__ import annotations
 import os
 import re
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -81,3 +82,12 @@ def shared_folder(spark: SparkSession) -> str:
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(folder)
     return folder.rstrip("/")
+
+
+def written(df, name: str):
+    """The table written to the shared folder and read back: later passes read
+    it instead of computing it again, a lost executor costs a re-read, and no
+    cache has to be released."""
+    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
