@@ -152,7 +152,7 @@ def evaluate_regressor(model: PipelineModel | TreeModel, train: DataFrame, test:
 
 def evaluate_classifier(model: PipelineModel | TreeModel, train: DataFrame, test: DataFrame, label: str = "label",
                         model_type: str = "") -> DataFrame:
-    cols = [label, "prediction"]
+    cols = [F.col(label).cast("double").alias(label), F.col("prediction").cast("double")]  # both as codes
     both = (model.transform(train).select(*cols).withColumn("split", F.lit("train"))
             .unionByName(model.transform(test).select(*cols).withColumn("split", F.lit("test"))))
     return classification_metrics(both, label, "prediction", ["split"]).select(
