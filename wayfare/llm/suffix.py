@@ -13,13 +13,13 @@ starts earlier in the corpus (a smaller doc_id, or earlier in the document).
   phrase that a third of all documents have is one row per task.
 * Only dictionary phrases that share their trigger with others can hold
   further repetitions. Their texts are fetched, and per bucket the suffixes of
-  the dictionary that start a window are sorted, cut to ``length`` bytes, with
-  their places in the parse: of equal ones, all but the first in corpus order
-  are covered. Triggers with more than ``hot`` such phrases are dealt by window
+  the dictionary that start a window are ranked by their first ``length`` bytes
+  (a suffix array by prefix doubling) and, where equal, ordered by their place in
+  the parse: of equal ones, all but the first in corpus order are covered. Triggers with more than ``hot`` such phrases are dealt by window
   instead (one row per distinct window and task), with the same result.
 
 All tables move as packed rows, one per task and bucket; the number of buckets
-follows the session's shuffle partitions. Covered ranges meet the texts again
+follows the amount of text. Covered ranges meet the texts again
 in a join by document.
 
 Defined results: a null text is empty and a null doc_id comes first; rows with
@@ -55,7 +55,7 @@ LAYOUT = {
     SPANS: [*PLACE, ("start", "<u4"), ("end", "<u4")],
     PHRASES: [("h", "<u8"), ("g", "<u8"), *PLACE, ("first", "<u4"), ("more", "u1")],
     CONTESTED: [("h", "<u8"), *PLACE, ("first", "<u4"), ("more", "u1"), ("hot", "u1")],
-    TEXTS: [*PLACE, ("first", "<u4"), ("more", "u1"), ("data", "u1")],
+    TEXTS: [("h", "<u8"), *PLACE, ("first", "<u4"), ("more", "u1"), ("data", "u1")],
     WINDOWS: [("h", "<u8"), ("g", "<u8"), *PLACE, ("first", "<u4")],
 }
 
@@ -95,8 +95,10 @@ def as_batch(rows) -> pa.RecordBatch:
                                       schema=ROWS_ARROW)
 
 
-def by_doc(doc: np.ndarray, buckets: int) -> np.ndarray:
-    return (mix64(doc.astype(np.int64).view(np.uint64)) % np.uint64(buckets)).astype(np.int64)
+def by_doc(doc: np.ndarray, sub: np.ndarray, buckets: int) -> np.ndarray:
+    """By id and text: rows that share only their id are dealt apart."""
+    key = mix64(doc.astype(np.int64).view(np.uint64)) + sub.astype(np.uint64)
+    return (mix64(key) % np.uint64(buckets)).astype(np.int64)
 
 
 def by_hash(h: np.ndarray, buckets: int) -> np.ndarray:
@@ -152,7 +154,7 @@ def distinct_places(c: dict[str, np.ndarray], *names: str) -> dict[str, np.ndarr
 
 # --------------------------------------------------------------------- steps
 
-def parse(docs: DataFrame, length: int, buckets: int, flush: int = 500_000) -> DataFrame:
+def parse(docs: DataFrame, length: int, buckets: int, flush: int = 250_000) -> DataFrame:
     """Each task's distinct phrases, dealt by trigger, and the spans of their repetitions in the task."""
     def rows_of(held):
         c = {n: np.concatenate([x[n] for x in held]) for n in held[0]}
@@ -163,14 +165,14 @@ def parse(docs: DataFrame, length: int, buckets: int, flush: int = 500_000) -> D
         again[by[1:]] = (c["g"][by[1:]] == c["g"][by[:-1]]) & (c["h"][by[1:]] == c["h"][by[:-1]])
         rep = {n: v[again] for n, v in c.items()}
         spans = merged_spans(rep["doc"], rep["sub"], rep["first"], rep["first"] + rep["more"] + length)
-        yield from dealt(SPANS, spans, by_doc(spans["doc"], buckets))
+        yield from dealt(SPANS, spans, by_doc(spans["doc"], spans["sub"], buckets))
         own = {n: v[~again] for n, v in c.items()}
         yield from dealt(PHRASES, own, by_hash(own["h"], buckets))
 
     def run(batches):
         held, n = [], 0
         for batch in batches:
-            for a, b in text_slices(batch.column(1), 2_000_000):
+            for a, b in text_slices(batch.column(1), 1_000_000):
                 raw, starts = raw_texts(batch.column(1)[a:b])
                 ids, sub = doc_keys(batch.column(0)[a:b], raw, starts)
                 doc, first, last, _, h, g = phrases(raw, starts, length)
@@ -199,12 +201,12 @@ def dictionary(parsed: DataFrame, length: int, buckets: int, hot: int) -> DataFr
             new = new_h | np.concatenate([[True], c["g"][1:] != c["g"][:-1]])
             again = {n: v[~new].astype(np.int64) if n in ("first", "more") else v[~new] for n, v in c.items()}
             spans = merged_spans(again["doc"], again["sub"], again["first"], again["first"] + again["more"] + length)
-            out += dealt(SPANS, spans, by_doc(spans["doc"], buckets))
+            out += dealt(SPANS, spans, by_doc(spans["doc"], spans["sub"], buckets))
             group = np.cumsum(new_h) - 1
             distinct = np.bincount(group[new])[group]
             some = new & (distinct > 1)
             shared = {n: v[some] for n, v in c.items()} | {"hot": distinct[some] > hot}
-            out += dealt(CONTESTED, shared, by_doc(shared["doc"], buckets))
+            out += dealt(CONTESTED, shared, by_doc(shared["doc"], shared["sub"], buckets))
         release()
         return pa.Table.from_batches([as_batch(out)])
     return parsed.groupBy("kind", "bucket").applyInArrow(run, ROWS)
@@ -217,10 +219,9 @@ def packed_texts(docs: DataFrame, buckets: int) -> DataFrame:
     def run(batches):
         for batch in batches:
             texts = batch.column(names.index("text"))
-            for a, b in text_slices(texts, 16_000_000):
+            for a, b in text_slices(texts, 8_000_000):
                 part = batch.slice(a, b - a)
-                ids = np.asarray(pc.fill_null(part.column(names.index("doc_id")), -(2 ** 63)))
-                bucket = by_doc(ids, buckets)
+                bucket = by_doc(*doc_keys(part.column(names.index("doc_id")), *raw_texts(part.column(names.index("text")))), buckets)
                 out = []
                 for k in np.unique(bucket):
                     sink = pa.BufferOutputStream()
@@ -279,42 +280,80 @@ def contested_texts(texts: DataFrame, contested: DataFrame, length: int, buckets
                 w = {n: v[order] for n, v in w.items()}
                 again = np.concatenate([[False], (w["h"][1:] == w["h"][:-1]) & (w["g"][1:] == w["g"][:-1])])
                 spans = merged_spans(w["doc"][again], w["sub"][again], w["first"][again], w["first"][again] + length)
-                out += dealt(SPANS, spans, by_doc(spans["doc"], buckets))
+                out += dealt(SPANS, spans, by_doc(spans["doc"], spans["sub"], buckets))
                 rest = {n: v[~again] for n, v in w.items()}
                 out += dealt(WINDOWS, rest, by_hash(rest["h"], buckets))
         return pa.Table.from_batches([as_batch(out)])
     return texts.groupBy("bucket").cogroup(contested.groupBy("bucket")).applyInArrow(run, ROWS)
 
 
-def suffix_order(fetched: DataFrame, length: int, buckets: int) -> DataFrame:
-    """Spans of the dictionary's windows that also start earlier."""
+def suffix_ranks(data: np.ndarray, places: np.ndarray, length: int) -> np.ndarray:
+    """Ranks of the suffixes of ``data`` at ``places`` by their first ``length``
+    bytes, from the suffix ranks of all places by prefix doubling."""
+    wide = np.zeros(len(data) + length, np.int64)
+    wide[:len(data)] = data
+    rank, known = wide, 1
+    while known < length:
+        step = min(known, length - known)
+        key = rank[:-step] * (int(rank.max()) + 1) + rank[step:]
+        rank = np.zeros(len(wide), np.int64)
+        by = np.argsort(key, kind="stable")
+        rank[by] = np.cumsum(np.concatenate([[0], np.diff(key[by]) != 0]))
+        known += step
+    return rank[places]
+
+
+def trigger_runs(h: np.ndarray, size: np.ndarray, most: int) -> list[tuple[int, int]]:
+    """Ranges of whole groups of equal ``h`` (sorted) of about ``most`` bytes."""
+    ends = np.append(np.flatnonzero(h[1:] != h[:-1]) + 1, len(h)) if len(h) else np.zeros(0, np.int64)
+    total, out, a = np.concatenate([[0], np.cumsum(size)]), [], 0
+    while a < len(h):
+        k = int(np.searchsorted(total[ends], total[a] + most, side="right"))
+        b = int(ends[min(max(k - 1, int(np.searchsorted(ends, a, side="right"))), len(ends) - 1)])
+        out.append((a, b))
+        a = b
+    return out
+
+
+def suffix_order(fetched: DataFrame, length: int, buckets: int, most: int = 1_000_000) -> DataFrame:
+    """Spans of the dictionary's windows that also start earlier. Phrases with one
+    trigger are sorted together, about ``most`` bytes of them at a time."""
+    def repeated(doc, sub, first, group):
+        """Of windows of equal group, all but the first in corpus order."""
+        by = np.lexsort((first, sub, doc, group))
+        again = by[1:][group[by[1:]] == group[by[:-1]]]
+        return doc[again], sub[again], first[again]
+
     def run(table: pa.Table) -> pa.Table:
         kind = table["kind"][0].as_py()
         if kind == SPANS:
             return table
         c = unpack(kind, table["payload"].to_pylist())
-        order = np.lexsort((c["first"], c["sub"], c["doc"]))
-        doc, sub, first = c["doc"][order], c["sub"][order], c["first"][order].astype(np.int64)
+        found = []
         if kind == WINDOWS:
-            h, g = c["h"][order], c["g"][order]
-            by = np.lexsort((np.arange(len(h)), g, h))
-            equal = (h[by[1:]] == h[by[:-1]]) & (g[by[1:]] == g[by[:-1]])
+            by = np.lexsort((c["g"], c["h"]))
+            new = np.concatenate([[True], (np.diff(c["h"][by]) != 0) | (np.diff(c["g"][by]) != 0)]) if len(by) else by
+            group = np.empty(len(by), np.int64)
+            group[by] = np.cumsum(new)
+            found.append(repeated(c["doc"], c["sub"], c["first"].astype(np.int64), group))
         else:
-            more = c["more"].astype(np.int64)
-            begin = (np.cumsum(more + length) - (more + length))[order]
-            more = more[order]
-            # The dictionary's suffixes in corpus order, and sorted by their first ``length`` bytes.
-            place = ragged_positions(begin, more + 1)
-            own = np.repeat(np.arange(len(more)), more + 1)
-            view = np.lib.stride_tricks.sliding_window_view(c["data"], length)
-            suffix = np.ascontiguousarray(view[place]).view(f"S{length}").ravel()
-            by = np.argsort(suffix, kind="stable")
-            equal = suffix[by[1:]] == suffix[by[:-1]]
-            doc, sub, first = doc[own], sub[own], first[own] + place - begin[own]
-        again = np.sort(by[1:][equal])
+            size = c["more"].astype(np.int64) + length
+            begin = np.cumsum(size) - size
+            order = np.argsort(c["h"], kind="stable")
+            for a, b in trigger_runs(c["h"][order], size[order], most):
+                some = order[a:b]
+                data = c["data"][ragged_positions(begin[some], size[some])]
+                start = np.cumsum(size[some]) - size[some]
+                more = c["more"][some].astype(np.int64)
+                place = ragged_positions(start, more + 1)
+                own = np.repeat(some, more + 1)
+                first = c["first"][own].astype(np.int64) + place - np.repeat(start, more + 1)
+                found.append(repeated(c["doc"][own], c["sub"][own], first, suffix_ranks(data, place, length)))
+        doc, sub, first = (np.concatenate([np.zeros(0, t), *(x[k] for x in found)]) for k, t in enumerate(("<i8", "<u4", "<i8")))
+        del c
         release()
-        spans = merged_spans(doc[again], sub[again], first[again], first[again] + length)
-        return pa.Table.from_batches([as_batch(dealt(SPANS, spans, by_doc(spans["doc"], buckets)))])
+        spans = merged_spans(doc, sub, first, first + length)
+        return pa.Table.from_batches([as_batch(dealt(SPANS, spans, by_doc(spans["doc"], spans["sub"], buckets)))])
     return fetched.groupBy("kind", "bucket").applyInArrow(run, ROWS)
 
 
@@ -336,39 +375,49 @@ def without_spans(texts: DataFrame, spans: DataFrame, columns: list[tuple[str, s
         row: dict[tuple, list[int]] = {}
         for r, k in enumerate(zip(ids.tolist(), sub.tolist())):
             row.setdefault(k, []).append(r)
-        step = np.zeros(len(raw) + 1, np.int32)
+        # The spans of each row, rows that repeat id and text having the same ones.
         at = [row[k] for k in zip(c["doc"].tolist(), c["sub"].tolist())]
         times = np.fromiter(map(len, at), np.int64, len(at))
-        base = starts[np.array([r for x in at for r in x], np.int64)]
-        np.add.at(step, base + np.repeat(c["start"].astype(np.int64), times), 1)
-        np.add.at(step, base + np.repeat(c["end"].astype(np.int64), times), -1)
-        keep = np.cumsum(step[:-1]) == 0
-        removed = np.concatenate([[0], np.cumsum(~keep)])
-        removed = removed[starts[1:]] - removed[starts[:-1]]
-        # A run begins where a removed byte follows a kept one or the document's start.
-        begins = ~keep & np.concatenate([[True], keep[:-1]])
-        inner = starts[:-1][np.diff(starts) > 0]
-        begins[inner] |= ~keep[inner]
-        runs = np.concatenate([[0], np.cumsum(begins)])
-        kept = raw[keep].tobytes()
-        ends = np.cumsum(np.diff(starts) - removed)
-        texts = [kept[a:b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist())]
-        release()
+        own = np.array([r for x in at for r in x], np.int64)
+        spans = merged_spans(own, np.zeros(len(own), np.int64), np.repeat(c["start"], times), np.repeat(c["end"], times))
+        cuts = np.searchsorted(spans["doc"], np.arange(len(ids) + 1)).tolist()
+        first, last = spans["start"].tolist(), spans["end"].tolist()
+        view, ends = memoryview(np.ascontiguousarray(raw)), starts.tolist()
+        removed, digests, kept = [], [], []
+        for r in range(len(ids)):
+            base, pieces, done = ends[r], [], 0
+            for k in range(cuts[r], cuts[r + 1]):
+                pieces.append(view[base + done:base + first[k]])
+                done = last[k]
+            pieces.append(view[base + done:ends[r + 1]])
+            left = sum(map(len, pieces))
+            removed.append(ends[r + 1] - base - left)
+            h = hashlib.sha256()
+            for p in pieces:
+                h.update(p)
+            digests.append(h.hexdigest())
+            if keep_text:
+                kept.append(str(pieces[0], "utf-8", "ignore") if len(pieces) == 1 else b"".join(pieces).decode("utf-8", "ignore"))
         out = [column(docs, n) for n in names]
-        out += [pa.array(np.diff(starts)), pa.array(removed), pa.array(runs[starts[1:]] - runs[starts[:-1]]),
-                pa.array([hashlib.sha256(t).hexdigest() for t in texts], pa.string())]
+        out += [pa.array(np.diff(starts)), pa.array(removed, pa.int64()), pa.array(np.diff(cuts)), pa.array(digests, pa.string())]
         if keep_text:
-            out.append(pa.array([t.decode("utf-8", "ignore") for t in texts], pa.string()))
+            out.append(pa.array(kept, pa.string()))
+        del docs, raw, view, kept
+        release()
         return pa.Table.from_arrays(out, names=[*names, *(n for n, _, _ in result)])
     types = [f"`{n}` {t}" for n, t in columns] + [f"{n} {t}" for n, _, t in result]
     return texts.groupBy("bucket").cogroup(spans.groupBy("bucket")).applyInArrow(run, ", ".join(types))
 
 
-def remove_repeats(docs: DataFrame, length: int = 100, hot: int = 20_000, keep_text: bool = True) -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = 100, hot: int = 20_000, keep_text: bool = True,
+                   bucket_bytes: int = 16_000_000) -> DataFrame:
     """The documents (without ``text``) with n_bytes, n_removed, n_spans,
-    kept_sha256 and, with ``keep_text``, kept_text."""
-    buckets, names = partitions(docs.sparkSession), docs.columns
+    kept_sha256 and, with ``keep_text``, kept_text. A task holds one bucket of
+    about ``bucket_bytes`` of text, or a longer document, at a time."""
+    names = docs.columns
     docs, safe = masked(docs, "doc_id", "text")
+    total = docs.agg(F.sum(F.octet_length(F.col("text").cast("string")))).first()[0] or 0
+    buckets = max(partitions(docs.sparkSession), -(-total // bucket_bytes))
     found = materialise(dictionary(parse(docs, length, buckets), length, buckets, hot), "phrases")
     texts = docs.select("doc_id", "text")
     fetched = contested_texts(packed_texts(texts, buckets), found.where(f"kind = {CONTESTED}"), length, buckets)
