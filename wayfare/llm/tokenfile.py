@@ -8,7 +8,8 @@ bit stream, and the bit offset of every block of 256 ids, so that all blocks
 decode at the same time through one table of 2**16 entries.
 
 Defined results: a null text is empty (the end id alone); documents with equal
-ids keep an order by text; null ids come first; empty tables give no rows;
+ids keep an order by a hash of the text; null ids come first; more distinct
+ids than 16-bit codes can tell apart (65,536) are an error; empty tables give no rows;
 other columns are ignored.
 """
 
@@ -88,17 +89,21 @@ class Coder:
         """(bit stream, bit offset of every block)."""
         size = self.size[ids]
         ends = np.cumsum(size)
-        blocks = (ends - size)[::BLOCK]
-        packed, rest = [], np.zeros(0, np.uint8)
-        lane = np.arange(LIMIT)
-        for k in range(0, len(ids), 1 << 16):
-            code = self.code[ids[k:k + (1 << 16)]].astype(">u2")
-            bits = np.unpackbits(code.view(np.uint8)).reshape(-1, LIMIT)
-            bits = np.concatenate([rest, bits[lane < size[k:k + (1 << 16), None]]])
-            whole = len(bits) // 8 * 8
-            packed.append(np.packbits(bits[:whole]).tobytes())
-            rest = bits[whole:]
-        return b"".join([*packed, np.packbits(rest).tobytes()]), blocks
+        at = ends - size
+        blocks = at[::BLOCK]
+        total = int(ends[-1]) if len(ids) else 0
+        words = np.zeros(total // 32 + 2, np.uint64)
+        # Each code in its place of 64 bits from the 32-bit word it begins in; as a
+        # code has at most 16 bits, one begins in every word.
+        for k in range(0, len(ids), 1 << 18):
+            own = slice(k, k + (1 << 18))
+            word = at[own] >> 5
+            placed = self.code[ids[own]].astype(np.uint64) << (48 - (at[own] & 31)).astype(np.uint64)
+            first = np.flatnonzero(np.diff(word, prepend=-1))
+            both = np.add.reduceat(placed, first)
+            words[word[first]] |= both >> np.uint64(32)
+            words[word[first] + 1] |= both & np.uint64(0xFFFFFFFF)
+        return words.astype(">u4").tobytes()[:-(-total // 8)], blocks
 
     def decode(self, stream: bytes, blocks: np.ndarray, total: int) -> np.ndarray:
         """All blocks step by step together."""
@@ -127,32 +132,35 @@ def write_token_files(docs: DataFrame, tokenizer: str, path: str, end_id: int =
     spark = docs.sparkSession
 
     def tokenize(batches):
-        part, seq, seen = TaskContext.get().partitionId(), 0, np.zeros(0, np.int64)
+        seen = np.zeros(0, np.int64)
         for batch in batches:
-            for a, b, counts, ids in encode_slices(batch.column(1), tokenizer, end_id):
+            for a, b, counts, ids in encode_slices(batch.column(2), tokenizer, end_id):
                 own = np.bincount(ids)
                 seen = np.pad(seen, (0, max(0, len(own) - len(seen))))
                 seen[:len(own)] += own
-                ends = np.cumsum(counts)
-                # Segments of whole documents, closed when they have enough ids.
-                cuts = np.flatnonzero(np.diff((ends - 1) // segment_ids, append=-1)) + 1
-                for x, y in zip([0, *cuts[:-1].tolist()], cuts.tolist()):
-                    first = int(ends[x] - counts[x])
-                    yield segment(part, seq, batch.column(0)[a + x:a + y].to_pylist(), counts[x:y],
-                                  ids[first:int(ends[y - 1])])
-                    seq += 1
+                ends = np.concatenate([[0], np.cumsum(counts)]) * 4
+                flat = pa.Array.from_buffers(pa.binary(), len(counts), [
+                    None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(ids.astype("<u4"))])
+                yield pa.RecordBatch.from_arrays([batch.column(0)[a:b], batch.column(1)[a:b], pa.array(counts), flat], RAW_NAMES)
         some = np.flatnonzero(seen)
-        yield segment(part, -1, some.tolist(), seen[some], np.zeros(0, np.int32))
+        both = np.stack([some, seen[some]]).astype("<i8").tobytes()
+        yield pa.RecordBatch.from_arrays([pa.array([None], pa.int64()), pa.array([None], pa.int64()), pa.array([-1]),
+                                          pa.array([both], pa.binary())], RAW_NAMES)
 
     raw = f"{shared_folder(spark)}/llm-ids-{uuid.uuid4().hex}"
-    key = null_first(F.col("doc_id"))
-    (pick(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-         .repartitionByRange(partitions(spark), key).sortWithinPartitions(key, "text")
-         .mapInArrow(tokenize, SEGMENT).write.option("compression", "zstd").parquet(raw))
-    table = spark.read.schema(SEGMENT).parquet(raw)
-    # The rows with seq -1 have a task's ids and counts: at most the vocabulary each.
-    totals = (table.where("seq = -1").select(F.explode(F.arrays_zip("doc_ids", "counts")).alias("x"))
-                   .groupBy(F.col("x.doc_ids").alias("id")).agg(F.sum("x.counts").alias("n")).toPandas())
+    text = F.col("text").cast("string")
+    (pick(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), F.xxhash64(text).alias("tie"), text.alias("text"))
+         .mapInArrow(tokenize, RAW).write.option("compression", "zstd").parquet(raw))
+    table = spark.read.schema(RAW).parquet(raw)
+
+    def count(batches):
+        for batch in batches:
+            both = np.concatenate([np.zeros((2, 0), np.int64), *(np.frombuffer(x, "<i8").reshape(2, -1)
+                                                                for x in batch.column(0).to_pylist())], axis=1)
+            yield pa.RecordBatch.from_arrays([pa.array(both[0]), pa.array(both[1])], ["id", "n"])
+    # The rows with n_ids -1 have a task's ids and counts: at most the vocabulary each.
+    totals = (table.where("n_ids = -1").select("ids").mapInArrow(count, "id long, n long")
+                   .groupBy("id").agg(F.sum("n").alias("n")).toPandas())
     ids = totals["id"].to_numpy(np.int64)
     length = code_lengths(totals["n"].to_numpy(np.int64))
     spark.createDataFrame([(int(i), int(n)) for i, n in zip(ids, length)], "id int, length int").coalesce(1) \
@@ -160,26 +168,36 @@ def write_token_files(docs: DataFrame, tokenizer: str, path: str, end_id: int =
     coder = Coder(ids, length)
 
     def compress(batches):
+        part, seq = TaskContext.get().partitionId(), 0
+        doc_ids, counts, held, n = [], [], [], 0
         for batch in batches:
-            for row in batch.to_pylist():
-                got = np.frombuffer(row["ids"], "<u4")
-                stream, blocks = coder.encode(got)
-                yield segment(row["part"], row["seq"], row["doc_ids"], np.array(row["counts"]), got, stream, blocks)
+            for doc, size, own in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), batch.column(3).to_pylist()):
+                doc_ids.append(doc)
+                counts.append(size)
+                held.append(own)
+                n += size
+                # Segments of whole documents, closed when they have enough ids.
+                if n >= segment_ids:
+                    yield segment(part, seq, doc_ids, counts, *coder.encode(np.frombuffer(b"".join(held), "<u4")))
+                    doc_ids, counts, held, n, seq = [], [], [], 0, seq + 1
+        if doc_ids:
+            yield segment(part, seq, doc_ids, counts, *coder.encode(np.frombuffer(b"".join(held), "<u4")))
 
-    (table.where("seq >= 0").mapInArrow(compress, SEGMENT)
-          .write.mode("overwrite").option("compression", "none").parquet(f"{path}/segments"))
+    key = [null_first(F.col("doc_id")), F.col("tie")]
+    (table.where("n_ids >= 0").repartitionByRange(partitions(spark), *key).sortWithinPartitions(*key)
+          .mapInArrow(compress, SEGMENT).write.mode("overwrite").option("compression", "none").parquet(f"{path}/segments"))
 
 
-#: ``ids``: as they are, or the bit stream if there are blocks.
+RAW = "doc_id long, tie long, n_ids long, ids binary"
+RAW_NAMES = ["doc_id", "tie", "n_ids", "ids"]
 SEGMENT = "part int, seq long, doc_ids array<long>, counts array<long>, n_ids long, ids binary, blocks binary"
 SEGMENT_ARROW = pa.schema([("part", pa.int32()), ("seq", pa.int64()), ("doc_ids", pa.list_(pa.int64())),
                            ("counts", pa.list_(pa.int64())), ("n_ids", pa.int64()), ("ids", pa.binary()),
                            ("blocks", pa.binary())])
 
 
-def segment(part, seq, doc_ids, counts, ids, stream=None, blocks=None) -> pa.RecordBatch:
-    values = [part, seq, doc_ids, counts.tolist(), len(ids), ids.astype("<u4").tobytes() if stream is None else stream,
-              b"" if blocks is None else blocks.astype("<u4").tobytes()]
+def segment(part, seq, doc_ids, counts, stream, blocks) -> pa.RecordBatch:
+    values = [part, seq, doc_ids, counts, sum(counts), stream, blocks.astype("<u4").tobytes()]
     return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(values, SEGMENT_ARROW)],
                                       schema=SEGMENT_ARROW)
 
