@@ -259,6 +259,35 @@ def test_url_rules_and_aliases(spark):
     assert {r["page_id"]: r["verdict"] for r in urls.url_filter(pages, rules, more).collect()}[6] == "block"
 
 
+def link(*targets, tag='<link rel="canonical" href="{}">'):
+    return "\n".join(tag.format(t) for t in targets)
+
+
+#: Pages whose blocked alias is behind a second tag or a relative target, or is not an alias at all.
+LINKED = [(100, "http://r.org/a/b/c.html", link("http://r.org/free", "http://x1.net/es/")),
+          (101, "http://r1.org/a", link("http://r1.org/b") + "<META url='http://x2.net/fr/' HTTP-EQUIV='refresh'>"),
+          (102, "http://r2.org/a/b/c.html?z", link("en/x.html")), (103, "http://r2.org/a/b/en/x.html", link("http://x3.net/es/")),
+          (104, "http://r3.org/a/b/c", link("../x")), (105, "http://r3.org/a/x", link("http://x4.net/es/")),
+          (106, "http://r4.org/q?p=1", link("?p=2")), (107, "http://r4.org/q?p=2", link("http://x5.net/es/")),
+          (108, "http://r5.org", link("./k/../../m/.")), (109, "http://r5.org/m/", link("http://x6.net/es/")),
+          (110, "http://r6.org/a", link("mailto:a@x.net/es/", "#top", "javascript:x")), (111, "http://r6.org/b", link("http://x7.net/es/")),
+          (112, "http://r7.org/a", link("/x?u=http://x8.net/es/")), (113, "http://r7.org/x?u=http://x8.net/es/", None),
+          (114, "http://r8.org/a/b", link("../../..")), (115, "http://r8.org/", link("http://x9.net/fr/")),
+          (116, "http://r9.org/a", "<link rel=icon href=http://x.net/es/>"), (117, "http://r10.org/d/", link("e;f//g")),
+          (118, "http://r10.org/d/e;f//g", link("http://x10.net/fr/"))]
+
+
+def test_every_tag_and_relative_target_counts(spark, tmp_path):
+    pages = spark.createDataFrame(LINKED + PAGES, "page_id long, url string, html string")
+    pages.write.parquet(str(tmp_path / "pages.parquet"))
+    got = sorted((tuple(r) for r in queries.op10_url_filter(spark, str(tmp_path)).collect()), key=str)
+    verdicts = {r[0]: r[4] for r in got}
+    assert {k for k in verdicts if k and k >= 100 and verdicts[k] == "allow"} == {110, 112, 113, 116}
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
+    assert got == sorted(con.sql(queries.ORACLE_SQL["op10_url_filter"]).fetchall(), key=str)
+
+
 def test_url_query_matches_its_sql(spark, tmp_path):
     spark.createDataFrame(PAGES, "page_id long, url string, html string").coalesce(1).write.parquet(str(tmp_path / "pages.parquet"))
     got = sorted((tuple(r) for r in queries.op10_url_filter(spark, str(tmp_path)).collect()), key=str)

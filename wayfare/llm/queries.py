@@ -132,17 +132,32 @@ p AS (
          regexp_extract(rest, '^[^/?#]*([^#]*)', 1) AS tail FROM split_),
 tags AS (
   SELECT *, scheme || '://' || host || tail AS node,
-    regexp_extract(list_filter(regexp_extract_all(html, '(?is)<link\b[^>]*>'),
-      lambda x: regexp_matches(x, '(?is)\brel\s*=\s*["'']?canonical\b'))[1], '(?is)\bhref\s*=\s*["'']?([^\s"''>]+)', 1) AS canonical,
-    regexp_extract(list_filter(regexp_extract_all(html, '(?is)<meta\b[^>]*>'),
-      lambda x: regexp_matches(x, '(?is)\bhttp-equiv\s*=\s*["'']?refresh\b'))[1], '(?is)\burl\s*=\s*[''"]?([^\s"''>]+)', 1) AS refresh
+    list_transform(list_filter(regexp_extract_all(html, '(?is)<link\b[^>]*>'),
+      lambda x: regexp_matches(x, '(?is)\brel\s*=\s*["'']?canonical\b')),
+      lambda x: regexp_extract(x, '(?is)\bhref\s*=\s*["'']?([^\s"''>]+)', 1)) AS canonical,
+    list_transform(list_filter(regexp_extract_all(html, '(?is)<meta\b[^>]*>'),
+      lambda x: regexp_matches(x, '(?is)\bhttp-equiv\s*=\s*["'']?refresh\b')),
+      lambda x: regexp_extract(x, '(?is)\burl\s*=\s*[''"]?([^\s"''>]+)', 1)) AS refresh
   FROM p),
 targets AS (
-  SELECT node, scheme, host, replace(target, '&amp;', '&') AS target
-  FROM (SELECT node, scheme, host, unnest([canonical, refresh]) AS target FROM tags) WHERE target <> ''),
+  SELECT node, scheme, host, path, replace(target, '&amp;', '&') AS target
+  FROM (SELECT node, scheme, host, path, unnest(list_concat(canonical, refresh)) AS target FROM tags) WHERE target <> ''),
+relative AS (
+  SELECT *, regexp_extract(target, '^[^?#]*') AS own, regexp_extract(target, '^[^?#]*(.*)$', 1) AS rest,
+         CASE WHEN starts_with(target, '/') THEN '' ELSE coalesce(nullif(regexp_extract(path, '^(.*/)', 1), ''), '/') END AS folder
+  FROM targets),
+segments AS (SELECT *, string_split(folder || own, '/')[2:] AS parts FROM relative),
+resolved AS (
+  SELECT *, '/' || array_to_string(list_reduce(
+      list_prepend(CAST([] AS VARCHAR[]), list_transform(CASE WHEN parts[-1] IN ('.', '..') THEN list_append(parts, '') ELSE parts END, lambda x: [x])),
+      lambda acc, x: CASE WHEN x[1] = '..' THEN (CASE WHEN len(acc) > 1 THEN acc[1:len(acc) - 1] ELSE CAST([] AS VARCHAR[]) END)
+                          WHEN x[1] = '.' THEN acc ELSE list_concat(acc, x) END), '/') AS clean FROM segments),
 absolute AS (
-  SELECT node, CASE WHEN instr(target, '://') > 0 THEN target WHEN starts_with(target, '//') THEN scheme || ':' || target
-                    WHEN starts_with(target, '/') THEN scheme || '://' || host || target END AS target FROM targets),
+  SELECT node, CASE WHEN regexp_matches(target, '^[A-Za-z][A-Za-z0-9+.-]*://') THEN target
+                    WHEN regexp_matches(target, '^[A-Za-z][A-Za-z0-9+.-]*:') OR starts_with(target, '#') THEN NULL
+                    WHEN starts_with(target, '//') THEN scheme || ':' || target
+                    WHEN starts_with(target, '?') THEN scheme || '://' || host || path || target
+                    ELSE scheme || '://' || host || clean || rest END AS target FROM resolved),
 ends AS (
   SELECT node AS a, lower(substr(target, 1, instr(target, '://') - 1)) || '://'
     || translate(regexp_extract(substr(target, instr(target, '://') + 3), '^[^/?#]*', 0), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',

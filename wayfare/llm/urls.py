@@ -9,7 +9,8 @@ allowed; a url's own rule always stands.
 
 Only DataFrame functions are used. Defined results: a null url, or one without
 ``://``, has an empty host and path, fits no rule, and is an alias of nothing;
-null html has no links; repeated rows and urls are judged each; rules with a
+null html has no links; all canonical and refresh tags count, relative targets
+are taken from the page's url, those of other schemes ignored; repeated rows and urls are judged each; rules with a
 null host, path or verdict are ignored; an empty table gives no rows; other
 columns are ignored.
 """
@@ -23,11 +24,10 @@ from .graph import components
 from .kernels import materialise, pick
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: Tags that link a page to the url it stands for.
-CANONICAL = r"(?is)<link\b(?=[^>]*\brel\s*=\s*[\"']?canonical\b)[^>]*>"
-REFRESH = r"(?is)<meta\b(?=[^>]*\bhttp-equiv\s*=\s*[\"']?refresh\b)[^>]*>"
-HREF = r"(?is)\bhref\s*=\s*[\"']?([^\s\"'>]+)"
-TARGET = r"(?is)\burl\s*=\s*['\"]?([^\s\"'>]+)"
+#: Tags that may link a page to the url it stands for, what says that they do, and where the url is.
+LINK, CANONICAL, HREF = r"(?is)<link\b[^>]*>", r"(?is)\brel\s*=\s*[\"']?canonical\b", r"(?is)\bhref\s*=\s*[\"']?([^\s\"'>]+)"
+META, REFRESH, TARGET = (r"(?is)<meta\b[^>]*>", r"(?is)\bhttp-equiv\s*=\s*[\"']?refresh\b",
+                         r"(?is)\burl\s*=\s*['\"]?([^\s\"'>]+)")
 
 
 def after_scheme(url: Column) -> Column:
@@ -52,21 +52,43 @@ def node_of(url: Column) -> Column:
     return F.when(F.instr(url, "://") > 0, F.concat(scheme, F.lit("://"), host_of(url), rest))
 
 
+def without_dots(path: Column) -> Column:
+    """A path from the root with its ``.`` and ``..`` segments resolved."""
+    parts = F.slice(F.split(path, "/"), 2, F.size(F.split(path, "/")))
+    # A last segment of dots names a folder.
+    parts = F.when(F.element_at(parts, -1).isin(".", ".."), F.array_append(parts, "")).otherwise(parts)
+    empty = F.array().cast("array<string>")
+    kept = F.aggregate(parts, empty, lambda acc, x: F.when(
+        x == "..", F.when(F.size(acc) > 1, F.slice(acc, F.lit(1), F.size(acc) - 1)).otherwise(empty))
+        .when(x == ".", acc).otherwise(F.array_append(acc, x)))
+    return F.concat(F.lit("/"), F.array_join(kept, "/"))
+
+
 def absolute(target: Column, url: Column) -> Column:
-    """A link's target; ``/path`` and ``//host`` are taken relative to the page."""
+    """A link's target, relative ones taken from the page's url; null for other
+    schemes and for places in the page itself."""
     scheme = F.substring_index(url, "://", 1)
-    return (F.when(F.instr(target, "://") > 0, target)
+    root = F.concat(scheme, F.lit("://"), host_of(url))
+    own, rest = F.regexp_extract(target, "^[^?#]*", 0), F.regexp_extract(target, "^[^?#]*(.*)$", 1)
+    folder = F.coalesce(F.nullif(F.regexp_extract(path_of(url), "^(.*/)", 1), F.lit("")), F.lit("/"))
+    return (F.when(target.rlike("^[A-Za-z][A-Za-z0-9+.-]*://"), target)
+             .when(target.rlike("^[A-Za-z][A-Za-z0-9+.-]*:") | F.startswith(target, F.lit("#")), F.lit(None))
              .when(F.startswith(target, F.lit("//")), F.concat(scheme, F.lit(":"), target))
-             .when(F.startswith(target, F.lit("/")), F.concat(scheme, F.lit("://"), host_of(url), target)))
+             .when(F.startswith(target, F.lit("/")), F.concat(root, without_dots(own), rest))
+             .when(F.startswith(target, F.lit("?")), F.concat(root, path_of(url), target))
+             .otherwise(F.concat(root, without_dots(F.concat(folder, own)), rest)))
 
 
 def page_links(pages: DataFrame) -> DataFrame:
-    """Links (a, b) between url nodes from canonical tags and refresh redirects."""
+    """Links (a, b) between url nodes from all canonical tags and refresh redirects."""
     url, html = F.col("url").cast("string"), F.col("html").cast("string")
-    found = F.array(F.regexp_extract(F.regexp_extract(html, CANONICAL, 0), HREF, 1),
-                    F.regexp_extract(F.regexp_extract(html, REFRESH, 0), TARGET, 1))
+
+    def targets(tag: str, says: str, where: str) -> Column:
+        tags = F.filter(F.regexp_extract_all(html, F.lit(tag), 0), lambda x: F.rlike(x, F.lit(says)))
+        return F.transform(tags, lambda x: F.regexp_extract(x, where, 1))
     # Most pages have neither: one search for the words comes first.
     likely = F.lower(html).rlike("canonical|refresh")
+    found = F.array_distinct(F.concat(targets(LINK, CANONICAL, HREF), targets(META, REFRESH, TARGET)))
     links = pages.where(likely & F.col("url").isNotNull()).select(url.alias("url"), F.explode(found).alias("target"))
     links = links.where("target <> ''").withColumn("target", F.regexp_replace("target", "&amp;", "&"))
     return links.select(node_of(F.col("url")).alias("a"), node_of(absolute(F.col("target"), F.col("url"))).alias("b")) \
@@ -82,19 +104,18 @@ def match_rules(urls: DataFrame, rules: DataFrame) -> DataFrame:
     labels = F.split("host", r"\.")
     suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)),
                            lambda k: F.array_join(F.slice(labels, k, F.size(labels)), "."))
-    # Hosts are few beside urls: the rules are found by host first.
-    hosts = (urls.where("host <> ''").select("host").distinct().withColumn("_suffix", F.explode(suffixes))
-                 .join(r, F.col("_suffix") == F.col("_rule_host"))
-                 .groupBy("host").agg(F.collect_set(F.struct(
-                     F.length(F.concat("_rule_host", "_rule_path")).alias("size"),
-                     (F.col("_verdict") == "allow").alias("allow"),
-                     F.concat("_rule_host", "_rule_path").alias("rule"),
-                     F.col("_rule_path").alias("start"))).alias("_rules")))
-    best = F.array_max(F.filter("_rules", lambda x: F.startswith(F.col("path"), x["start"])))
-    return (urls.where("host <> ''").select("host", "path").distinct().join(hosts, "host")
-                .withColumn("_best", best).where("_best IS NOT NULL")
-                .select("host", "path", F.col("_best.rule").alias("rule"),
-                        F.when(F.col("_best.allow"), "allow").otherwise("block").alias("decision")))
+    # A rule host's path lengths are as many as a path may have characters, however many rules it has.
+    sizes = r.groupBy("_rule_host").agg(F.collect_set(F.length("_rule_path")).alias("_sizes"))
+    hosts = (urls.where("host <> ''").select("host").distinct().withColumn("_rule_host", F.explode(suffixes))
+                 .join(sizes, "_rule_host").select("host", "_rule_host", F.explode("_sizes").alias("_size")))
+    tried = (urls.where("host <> ''").select("host", "path").distinct().join(hosts, "host")
+                 .where(F.col("_size") <= F.length("path"))
+                 .select("host", "path", "_rule_host", F.substring("path", F.lit(1), F.col("_size")).alias("_rule_path")))
+    best = F.max(F.struct(F.length(F.concat("_rule_host", "_rule_path")).alias("size"),
+                          (F.col("_verdict") == "allow").alias("allow"), F.concat("_rule_host", "_rule_path").alias("rule")))
+    return (tried.join(r, ["_rule_host", "_rule_path"]).groupBy("host", "path").agg(best.alias("_best"))
+                 .select("host", "path", F.col("_best.rule").alias("rule"),
+                         F.when(F.col("_best.allow"), "allow").otherwise("block").alias("decision")))
 
 
 def url_filter(pages: DataFrame, rules: DataFrame, redirects: DataFrame | None = None) -> DataFrame:
