@@ -134,13 +134,85 @@ def test_gradients_match_finite_differences():
             assert (ends[0] - ends[1]) / 2e-3 == pytest.approx(g[name].ravel()[k], rel=0.05, abs=2e-4), name
 
 
-def test_all_windows_cover_every_word():
-    starts = np.array([0, 0, 5, 37, 70, 200])
-    row, first, size = toxicity.windows_of(starts)
-    for k in range(5):
+def test_every_window_is_in_one_stretch():
+    starts = np.array([0, 0, 5, 37, 70, 1200, 1232])
+    row, first, n, begin, size = toxicity.stretches(starts)
+    sizes = np.diff(starts)
+    for k in range(6):
         mine = row == k
-        covered = {j for a, n in zip(first[mine], size[mine]) for j in range(a, a + n)}
-        assert mine.any() and covered == set(range(starts[k], starts[k + 1]))
+        assert sorted(j for a, c in zip(first[mine], n[mine]) for j in range(a, a + c)) == list(range(max(sizes[k] - 31, 1)))
+        for a, c, b, z in zip(first[mine], n[mine], begin[mine] - starts[k], size[mine]):
+            assert b == max(a - 16, 0) and b + z == min(a + c - 1 + 32 + 16, sizes[k])
+
+
+def plain_scores(net, words, table):
+    """(greatest logit, its window) of one text: a loop over its stretches, words and windows."""
+    H, best = toxicity.HIDDEN, (-np.inf, 0)
+    windows = max(len(words) - 31, 1)
+    for a in range(0, windows, toxicity.STRETCH):
+        b = min(a + toxicity.STRETCH, windows)
+        lo, hi = max(a - 16, 0), min(b - 1 + 32 + 16, len(words))
+        states = np.zeros((hi - lo, 2 * H))
+        for side, name in enumerate(("forth", "back")):
+            u, h = net.p[name], np.zeros(H)
+            for t in range(lo, hi) if side == 0 else range(hi - 1, lo - 1, -1):
+                x, hu = table[words[t], side * 3 * H:(side + 1) * 3 * H], h @ u
+                r, z = (toxicity.sigmoid(x[k * H:(k + 1) * H] + hu[k * H:(k + 1) * H]) for k in (0, 1))
+                c = np.tanh(x[2 * H:] + r * hu[2 * H:])
+                h = c + z * (h - c)
+                states[t - lo, side * H:(side + 1) * H] = h
+        for w in range(a, b):
+            own = states[w - lo:min(w + 32, len(words)) - lo]
+            if len(own):
+                e = np.exp(own @ net.p["attend"])
+                logit = (e / e.sum()) @ own @ net.p["out"] + net.p["shift"][0]
+            else:
+                logit = net.p["shift"][0]
+            best = max(best, (logit, w), key=lambda x: x[0])
+    return best
+
+
+def test_scores_match_a_plain_scorer():
+    rng = np.random.default_rng(3)
+    names = [f"w{k}" for k in range(60)]
+    net = toxicity.Network.fresh({n: k + 1 for k, n in enumerate(names[:40])}, rng.normal(size=41).astype(np.float32), seed=2)
+    net.p["attend"] *= 4
+    texts = [[], *(rng.integers(0, 60, n).tolist() for n in (1, 5, 31, 32, 33, 64, 190, 223, 224, 225, 700, 40, 40))]
+    starts = np.cumsum([0, *map(len, texts)])
+    codes = np.array([c for t in texts for c in t], np.int64)
+    table = net.gate_table(pa.array(names))
+    for block in (3, 1024):
+        top, at = net.text_logits(starts, codes, pa.array(names), block=block)
+        for k, t in enumerate(texts):
+            want, window = plain_scores(net, t, table)
+            assert top[k] == pytest.approx(want, abs=1e-4) and at[k] == window
+    # One window by itself, as training sees it.
+    t = texts[11]
+    place = np.arange(100, 164)
+    pool = ((np.arange(64) >= 16) & (np.arange(64) < 48))[:, None]
+    logit = net.run(table, np.array(t)[place][:, None], np.ones((64, 1), bool), pool)[0][0]
+    both = net.all_windows(table, np.array(t)[place][:, None], np.array([64]))
+    assert both[16, 0] == pytest.approx(logit, abs=1e-4)
+
+
+def test_a_passage_at_any_place_is_found(spark):
+    rows, labels = toxic_table(800, seed=5)
+    rng = random.Random(6)
+    clean = prose(rng, 300).split()
+    placed = [(10_000 + k, " ".join(clean[:60 + k] + ["grumf", "vexling", "grumfed"] * 2 + clean[60 + k:])) for k in range(40)]
+    docs = spark.createDataFrame(rows + placed + [(20_000, " ".join(clean))], "doc_id long, text string")
+    got = {r["doc_id"]: r["predicted"] for r in toxicity.toxicity(
+        docs, spark.createDataFrame(labels, "doc_id long, toxic int")).where("doc_id >= 10000").collect()}
+    assert got.pop(20_000) == 0 and set(got.values()) == {1}
+
+
+def test_training_texts_are_whole(spark):
+    rng = random.Random(8)
+    rows = [(k, prose(rng, 9000 if k % 5 else 20)) for k in range(40)]
+    labels = spark.createDataFrame([(k, k % 2) for k in range(40)], "doc_id long, toxic int")
+    texts, y, share = toxicity.training_sample(spark.createDataFrame(rows, "doc_id long, text string"), labels, 100)
+    want = [(t, k % 2) for k, t in rows if zlib.crc32(str(k).encode()) % 5]
+    assert list(zip(texts, y.astype(int).tolist())) == want and share == pytest.approx(np.mean([c for _, c in want]))
 
 
 def test_toxicity_held_out_accuracy(spark):

@@ -1,17 +1,21 @@
 """Toxicity scores from a small recurrent network.
 
 Each word enters as a learned vector of the word (if it is in the vocabulary)
-and of its character trigrams. A gated recurrent unit reads a window of words
-in both directions, attention pools its states, a logistic unit gives the
-window's score. A text's score is that of its most toxic window, over all
-overlapping windows of the whole text. Training (numpy, Adam, back-propagation
-through time) knows only labels of whole texts, so it learns from each text's
-currently most toxic windows.
-
-The training sample is bounded: ``per_class`` toxic documents and twice as many
-clean ones, those with the least hash of doc_id, and of a document with more words than
-``max_words`` that many, in windows spread evenly over it. Everything else
-reads whole texts.
+and of its character trigrams. A gated recurrent unit reads the words in both
+directions, attention pools its states over a window of 32 words, a logistic unit
+gives the window's score. A text's score is that of its most toxic window, over
+all overlapping windows (one per word) of the whole text.
+
+Windows share their states: a run of the unit covers a stretch of the text and 16
+words around it, every window in the stretch pools its part of them. Pooled logits
+are weighted means, so all windows cost two sliding sums. Training (numpy, Adam,
+back-propagation through time) runs over a window and the 16 words on either side
+and pools the window alone. It knows only labels of whole texts, so it learns from
+each text's currently most toxic windows.
+
+The training sample is bounded in rows: ``per_class`` toxic documents and twice as
+many clean ones, those with the least hash of doc_id, in their whole texts, which
+are scored a stretch at a time.
 
 Defined results: null and empty texts score as an empty window does; null or
 other labels are ignored, a document labelled both ways is toxic; a null
@@ -34,7 +38,9 @@ from .kernels import masked, pick, ragged_positions, release, ship, text_slices,
 
 ship(__name__)
 
-WINDOW, STRIDE = 32, 16
+WINDOW, MARGIN = 32, 16
+#: Windows that one run scores.
+STRETCH = 192
 HIDDEN, SIZE, GRAMS = 8, 12, 1 << 13
 TOUCH = "[^\\p{L}\\p{N}]+"
 
@@ -58,14 +64,24 @@ def gram_lists(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate([[0], np.cumsum(count)]), (key * np.uint32(2654435761) >> np.uint32(19)) % GRAMS
 
 
-def windows_of(starts: np.ndarray, width: int = WINDOW, stride: int = STRIDE):
-    """(row, first word, words) of all windows: one per stride, the last ends the row; empty rows have one."""
+def window_counts(sizes: np.ndarray) -> np.ndarray:
+    """Windows of texts of these sizes: one per word that has ``WINDOW`` words from it on, at least one."""
+    return np.maximum(sizes - WINDOW + 1, 1)
+
+
+def stretches(starts: np.ndarray):
+    """Runs over the texts: (text, first window, windows, first word, words).
+    Windows are numbered within the text; words count over all texts."""
     sizes = np.diff(starts)
-    count = 1 + -(-np.maximum(sizes - width, 0) // stride)
+    windows = window_counts(sizes)
+    count = -(-windows // STRETCH)
     row = np.repeat(np.arange(len(sizes)), count)
     number = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
-    first = np.minimum(number * stride, np.maximum(sizes[row] - width, 0))
-    return row, starts[:-1][row] + first, np.minimum(sizes[row], width)
+    first = number * STRETCH
+    n = np.minimum(STRETCH, windows[row] - first)
+    begin = np.maximum(first - MARGIN, 0)
+    end = np.minimum(first + n - 1 + WINDOW + MARGIN, sizes[row])
+    return row, first, n, starts[:-1][row] + begin, end - begin
 
 
 # ----------------------------------------------------------------- network
@@ -110,17 +126,14 @@ class Network:
         mean = np.add.reduceat(self.p["gram"][grams], ends[:-1], axis=0) / np.diff(ends)[:, None]
         return own, ends, grams, np.concatenate([self.p["word"][own], mean], 1).astype(np.float32, copy=False)
 
-    def run(self, table: np.ndarray, codes: np.ndarray, mask: np.ndarray | None, keep: bool = False):
-        """Logits of windows. table: input part of the gates per word; codes:
-        words by time and window; mask: 0 where a window has no word."""
-        steps, n = codes.shape
-        H, states, saved = HIDDEN, [], []
+    def steps(self, table: np.ndarray, codes: np.ndarray, mask: np.ndarray | None, each):
+        """Runs the unit over ``codes`` (time x runs) in both directions; ``each``
+        gets (side, time, state before, r, z, candidate, recurrent part, state)."""
+        n, H = codes.shape[1], HIDDEN
         for side, name in enumerate(("forth", "back")):
-            u = self.p[name]
-            h = np.zeros((n, H), np.float32)
-            all_h = np.empty((steps, n, H), np.float32)
-            part = table[:, side * 3 * H:(side + 1) * 3 * H]
-            for t in range(steps) if side == 0 else range(steps - 1, -1, -1):
+            u, h = self.p[name], np.zeros((n, H), np.float32)
+            part = np.ascontiguousarray(table[:, side * 3 * H:(side + 1) * 3 * H])
+            for t in range(len(codes)) if side == 0 else range(len(codes) - 1, -1, -1):
                 x, hu = part[codes[t]], h @ u
                 rz = 1 / (1 + np.exp(-(x[:, :2 * H] + hu[:, :2 * H])))
                 r, z = rz[:, :H], rz[:, H:]
@@ -128,26 +141,52 @@ class Network:
                 new = c + z * (h - c)
                 if mask is not None:
                     new = np.where(mask[t][:, None], new, h)
-                if keep:
-                    saved.append((side, t, h, r, z, c, hu[:, 2 * H:]))
-                h = all_h[t] = new
-            states.append(all_h)
-        both = np.concatenate(states, 2)
-        att = both @ self.p["attend"]
-        if mask is not None:
-            att = np.where(mask, att, -1e4)
-        att = np.exp(att - att.max(0))
-        att /= att.sum(0)
+                each(side, t, h, r, z, c, hu[:, 2 * H:], new)
+                h = new
+
+    def run(self, table: np.ndarray, codes: np.ndarray, mask: np.ndarray, pool: np.ndarray):
+        """Logits of one window per run. table: input part of the gates per word;
+        codes: words by time and run; mask: 0 where there is no word; pool: 1
+        where the word is the window's."""
+        H = HIDDEN
+        both, saved = np.empty((*codes.shape, 2 * H), np.float32), []
+
+        def each(side, t, h, r, z, c, hun, new):
+            saved.append((side, t, h, r, z, c, hun))
+            both[t][:, side * H:(side + 1) * H] = new
+        self.steps(table, codes, mask, each)
+        att = np.where(pool, both @ self.p["attend"], -1e4)
+        att = np.exp(att - att.max(0)) * pool
+        att /= np.maximum(att.sum(0), 1e-30)
         pooled = np.einsum("tn,tnh->nh", att, both)
-        logit = pooled @ self.p["out"] + self.p["shift"][0]
-        return (logit, both, att, pooled, saved) if keep else logit
+        return pooled @ self.p["out"] + self.p["shift"][0], both, att, pooled, saved
 
-    def gradients(self, words: pa.Array, codes: np.ndarray, mask: np.ndarray, y: np.ndarray):
-        """Mean logistic loss of windows and its gradient by parameter."""
+    def all_windows(self, table: np.ndarray, codes: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """Logits (time x runs) of the windows that begin at each time of runs of ``size`` words."""
+        steps, n = codes.shape
+        mask = np.arange(steps)[:, None] < size
+        att, part = np.zeros((steps, n), np.float32), np.zeros((steps, n), np.float32)
+        H, attend, out = HIDDEN, self.p["attend"], self.p["out"]
+
+        def each(side, t, h, r, z, c, hun, new):
+            att[t] += new @ attend[side * H:(side + 1) * H]
+            part[t] += new @ out[side * H:(side + 1) * H]
+        self.steps(table, codes, None if mask.all() else mask, each)
+        # Weights relative to the run's greatest, none so small that a window has no weight.
+        att = np.where(mask, att, -np.inf)
+        weight = np.exp(np.maximum(att - att.max(0, initial=-1e4), -60)) * mask
+        total, logit, reach = weight, weight * part, 1
+        while reach < WINDOW:
+            total, logit = (x + np.concatenate([x[reach:], np.zeros((min(reach, steps), n), np.float32)])[:steps] for x in (total, logit))
+            reach *= 2
+        return logit / np.maximum(total, 1e-30) + self.p["shift"][0]
+
+    def gradients(self, words: pa.Array, codes: np.ndarray, mask: np.ndarray, y: np.ndarray, pool: np.ndarray | None = None):
+        """Mean logistic loss of windows and its gradient by parameter (``pool`` as in ``run``)."""
         H, p = HIDDEN, self.p
         own, ends, grams, vectors = self.inputs(words)
         table = vectors @ p["input"] + p["bias"]
-        logit, both, att, pooled, saved = self.run(table, codes, mask, keep=True)
+        logit, both, att, pooled, saved = self.run(table, codes, mask, mask if pool is None else pool)
         prob = sigmoid(logit)
         loss = float(-np.mean(np.log(np.where(y > 0, prob, 1 - prob) + 1e-7)))
         dlogit = ((prob - y) / len(y)).astype(np.float32)
@@ -183,35 +222,42 @@ class Network:
 
     # --------------------------------------------------------------- scoring
 
-    def window_logits(self, table: np.ndarray, codes: np.ndarray, first: np.ndarray, size: np.ndarray,
-                      block: int = 2048) -> np.ndarray:
-        out = np.empty(len(first), np.float32)
-        padded = np.concatenate([codes, np.zeros(WINDOW, codes.dtype)])
-        whole = np.flatnonzero(size == WINDOW)
-        short = np.flatnonzero(size < WINDOW)
-        step = np.arange(WINDOW)[:, None]
-        for some, full in ((whole, True), (short, False)):
-            for k in range(0, len(some), block):
-                w = some[k:k + block]
-                mask = None if full else step < size[w]
-                out[w] = self.run(table, padded[first[w] + step], mask)
-        return out
-
-    def text_logits(self, starts: np.ndarray, codes: np.ndarray, words: pa.Array) -> tuple[np.ndarray, ...]:
-        """(row, first word, size, logit) of all windows of rows of words."""
-        # The words' input to the gates, a part of the words at a time; the last row is no word's.
+    def gate_table(self, words: pa.Array) -> np.ndarray:
+        """The words' input to the gates, a part of the words at a time; the last row is no word's."""
         table = np.empty((len(words) + 1, 6 * HIDDEN), np.float32)
         table[:] = self.p["bias"]
         for k in range(0, len(words), 20_000):
             table[k:k + 20_000][:len(words) - k] += self.inputs(words[k:k + 20_000])[-1] @ self.p["input"]
-        row, first, size = windows_of(starts)
-        return row, first, size, self.window_logits(table, codes, first, size)
+        return table
+
+    def text_logits(self, starts: np.ndarray, codes: np.ndarray, words: pa.Array, rng=None, block: int = 1024):
+        """(greatest logit, its window) of each text, and with ``rng`` a random window of each."""
+        table, texts = self.gate_table(words), len(starts) - 1
+        top, at = np.full(texts, -np.inf, np.float32), np.zeros(texts, np.int64)
+        row, first, n, begin, size = stretches(starts)
+        order = np.argsort(size, kind="stable")
+        none = np.int64(len(words))
+        for k in range(0, len(order), block):
+            own = order[k:k + block]
+            steps = np.arange(max(int(size[own[-1]]), 1))[:, None]
+            place = np.minimum(begin[own] + steps, max(len(codes) - 1, 0))
+            run = np.where(steps < size[own], codes[place] if len(codes) else none, none)
+            logit = self.all_windows(table, run, size[own])
+            lead = first[own] - (begin[own] - starts[:-1][row[own]])
+            logit = np.where((steps >= lead) & (steps < lead + n[own]), logit, -np.inf)
+            best = logit.argmax(0)
+            value = logit[best, np.arange(len(own))]
+            # Stretches of one text may meet in a block: the greatest comes last.
+            for j in np.argsort(value, kind="stable").tolist():
+                if value[j] > top[row[own[j]]]:
+                    top[row[own[j]]], at[row[own[j]]] = value[j], first[own[j]] + best[j] - lead[j]
+        if rng is None:
+            return top, at
+        return top, at, (rng.random(texts) * window_counts(np.diff(starts))).astype(np.int64)
 
     def scores(self, texts: pa.Array) -> np.ndarray:
         starts, codes, words = word_lists(texts)
-        row, _, _, logit = self.text_logits(starts, codes, plain_words(words))
-        top = np.full(len(texts), -np.inf)
-        np.maximum.at(top, row, logit)
+        top, _ = self.text_logits(starts, codes, plain_words(words))
         return sigmoid(self.p["scale"][0] * top + self.p["scale"][1])
 
 
@@ -228,8 +274,19 @@ def log_odds(starts, codes, n_words, y) -> np.ndarray:
     return np.where(toxic + clean >= 3, odds, 0)
 
 
+def hinted_windows(starts: np.ndarray, hint: np.ndarray, rng):
+    """(sum, window) with the greatest sum of ``hint`` in each text, and a random window of each."""
+    total = np.concatenate([[0.0], np.cumsum(hint, dtype=np.float64)])
+    top, at = np.zeros(len(starts) - 1), np.zeros(len(starts) - 1, np.int64)
+    for r, (a, b) in enumerate(zip(starts[:-1].tolist(), starts[1:].tolist())):
+        sums = total[min(a + WINDOW, b):b + 1] - total[a:max(b - WINDOW, a) + 1]
+        at[r] = sums.argmax()
+        top[r] = sums[at[r]]
+    return top, at, (rng.random(len(top)) * window_counts(np.diff(starts))).astype(np.int64)
+
+
 def train(texts: list[str], labels: np.ndarray, toxic_share: float | None = None, epochs: int = 5, batch: int = 256, rate: float = 0.01,
-          vocabulary_size: int = 30_000, seed: int = 7) -> Network | None:
+          vocabulary_size: int = 50_000, seed: int = 7) -> Network | None:
     """Fit on texts with labels 0 and 1; None without both. ``toxic_share``: of
     all labelled documents, if the texts are not drawn in proportion."""
     y = np.asarray(labels, np.float32)
@@ -250,30 +307,28 @@ def train(texts: list[str], labels: np.ndarray, toxic_share: float | None = None
     vocabulary = {names[c]: k + 1 for k, c in enumerate(known)}
     hints = np.concatenate([[0], np.clip(odds[known], -2, 4) / 2]).astype(np.float32)
     net = Network.fresh(vocabulary, hints, seed)
-    row, first, size = windows_of(starts)
-    word_hint = np.maximum(odds, 0)[codes]
-    run_sum = np.concatenate([[0], np.cumsum(word_hint)])
-    logit = (run_sum[first + size] - run_sum[first]).astype(np.float32)
-    del word_hint, run_sum, names
+    # The first windows are those with the most toxic words.
+    sizes = np.diff(starts)
+    top, at, other = hinted_windows(starts, np.maximum(odds, 0).astype(np.float32)[codes], rng)
+    del names
     release()
     moments = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in net.p.items() if k != "scale"}
-    step, padded = 0, np.concatenate([codes, np.zeros(WINDOW, codes.dtype)])
-    time = np.arange(WINDOW)[:, None]
+    step, time = 0, np.arange(WINDOW + 2 * MARGIN)[:, None]
     for epoch in range(epochs):
-        # Each text's most toxic window so far; of clean texts a random one too.
-        order = np.lexsort((logit, row))
-        last = np.flatnonzero(np.diff(row[order], append=-1))
-        top = order[last]
-        extra = np.flatnonzero(y[row] == 0)
-        extra = rng.choice(extra, min(len(extra), len(top) // 2), replace=False)
-        chosen = rng.permutation(np.concatenate([top, extra]))
-        for k in range(0, len(chosen), batch):
-            w = chosen[k:k + batch]
-            mask = time < size[w]
-            mask[0] |= size[w] == 0
-            at = padded[first[w] + time]
-            used, at = np.unique(at, return_inverse=True)
-            _, g = net.gradients(words.take(pa.array(used)), at.reshape(WINDOW, -1), mask, y[row[w]])
+        # Each text's most toxic window so far; of some clean texts a random one too.
+        clean = np.flatnonzero(y == 0)
+        extra = rng.choice(clean, min(len(clean), len(y) // 2), replace=False)
+        row, window = np.concatenate([np.arange(len(y)), extra]), np.concatenate([at, other[extra]])
+        order = rng.permutation(len(row))
+        for k in range(0, len(order), batch):
+            own, w = row[order[k:k + batch]], window[order[k:k + batch]]
+            begin = np.maximum(w - MARGIN, 0)
+            end = np.minimum(w + WINDOW + MARGIN, sizes[own])
+            mask = time < end - begin
+            pool = mask & (time >= w - begin) & (time < w - begin + WINDOW)
+            place = np.minimum(starts[:-1][own] + begin + time, len(codes) - 1)
+            used, codes_at = np.unique(codes[place], return_inverse=True)
+            _, g = net.gradients(words.take(pa.array(used)), codes_at.reshape(place.shape), mask, y[own], pool)
             step += 1
             for name, grad in g.items():
                 m, v = moments[name]
@@ -281,9 +336,7 @@ def train(texts: list[str], labels: np.ndarray, toxic_share: float | None = None
                 v += 0.001 * (grad * grad - v)
                 net.p[name] -= (rate * 0.7 ** epoch * (m / (1 - 0.9 ** step))
                                 / (np.sqrt(v / (1 - 0.999 ** step)) + 1e-8)).astype(np.float32)
-        logit = net.text_logits(starts, codes, words)[-1]
-    top = np.full(len(y), -np.inf)
-    np.maximum.at(top, row, logit)
+        top, at, other = net.text_logits(starts, codes, words, rng)
     # Scale and shift of the text's logit (Newton steps of a logistic fit with a little damping).
     x, beta = np.stack([top, np.ones(len(y))], 1), np.array([1.0, 0.0])
     for _ in range(25):
@@ -303,7 +356,7 @@ def fold_of(doc_id: Column, folds: int = 5) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % folds
 
 
-def training_sample(docs: DataFrame, labels: DataFrame, per_class: int, max_words: int):
+def training_sample(docs: DataFrame, labels: DataFrame, per_class: int):
     """(texts, labels, toxic share of all labelled documents that may be learned from)."""
     known = (labels.where("toxic IN (0, 1) AND doc_id IS NOT NULL").groupBy("doc_id")
                    .agg(F.max(F.col("toxic").cast("int")).alias("toxic")).where(fold_of(F.col("doc_id")) != 0))
@@ -317,24 +370,11 @@ def training_sample(docs: DataFrame, labels: DataFrame, per_class: int, max_word
     one = rows.groupBy("doc_id").agg(F.min(F.struct(F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
                                                     "toxic")).alias("x")).select("doc_id", "x.*")
 
-    def cut(frames):
-        for f in frames:
-            f["text"] = [spread(t, max_words) for t in f["text"]]
-            yield f
-    found = one.mapInPandas(cut, "doc_id long, text string, toxic int").toPandas().sort_values("doc_id")
+    found = one.toPandas().sort_values("doc_id")
     release()
     return found["text"].tolist(), found["toxic"].to_numpy(np.float32), share
 
 
-def spread(text: str, max_words: int) -> str:
-    """The text, or windows of it at even distances with ``max_words`` words together."""
-    words = text.split()
-    if len(words) <= max_words:
-        return text
-    n = max_words // WINDOW
-    return " ".join(w for k in np.linspace(0, len(words) - WINDOW, n).astype(int) for w in words[k:k + WINDOW])
-
-
 def score_texts(docs: DataFrame, net: Network | None) -> DataFrame:
     """The documents with ``score``."""
     docs = docs.withColumn("text", F.col("text").cast("string"))
@@ -357,9 +397,9 @@ def score_texts(docs: DataFrame, net: Network | None) -> DataFrame:
     return docs.mapInArrow(run, f"{types}, score double")
 
 
-def toxicity(docs: DataFrame, labels: DataFrame, per_class: int = 1200, max_words: int = 2048) -> DataFrame:
+def toxicity(docs: DataFrame, labels: DataFrame, per_class: int = 1500) -> DataFrame:
     """The documents (doc_id, text and others) with ``score``, ``held_out`` and ``predicted``."""
-    net = train(*training_sample(docs, pick(labels, "doc_id", "toxic"), per_class, max_words))
+    net = train(*training_sample(docs, pick(labels, "doc_id", "toxic"), per_class))
     release()
     return (score_texts(docs, net).withColumn("held_out", F.coalesce(fold_of(F.col("doc_id")) == 0, F.lit(False)))
             .withColumn("predicted", (F.col("score") >= 0.5).cast("int")))
