@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .kernels import null_first, partitions, pick, shared_folder, ship
-from .tokens import encode_slices
+from .tokens import encode_slices, vocabulary_size
 
 ship(__name__)
 
@@ -130,6 +130,7 @@ def write_token_files(docs: DataFrame, tokenizer: str, path: str, end_id: int =
                       segment_ids: int = 1 << 18) -> None:
     """Tokenize all documents and write the data set to ``path``."""
     spark = docs.sparkSession
+    cell = np.dtype("<u2" if max(vocabulary_size(tokenizer), end_id + 1) <= 1 << 16 else "<u4")
 
     def tokenize(batches):
         seen = np.zeros(0, np.int64)
@@ -138,9 +139,9 @@ def write_token_files(docs: DataFrame, tokenizer: str, path: str, end_id: int =
                 own = np.bincount(ids)
                 seen = np.pad(seen, (0, max(0, len(own) - len(seen))))
                 seen[:len(own)] += own
-                ends = np.concatenate([[0], np.cumsum(counts)]) * 4
+                ends = np.concatenate([[0], np.cumsum(counts)]) * cell.itemsize
                 flat = pa.Array.from_buffers(pa.binary(), len(counts), [
-                    None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(ids.astype("<u4"))])
+                    None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(ids.astype(cell))])
                 yield pa.RecordBatch.from_arrays([batch.column(0)[a:b], batch.column(1)[a:b], pa.array(counts), flat], RAW_NAMES)
         some = np.flatnonzero(seen)
         both = np.stack([some, seen[some]]).astype("<i8").tobytes()
@@ -178,10 +179,10 @@ def write_token_files(docs: DataFrame, tokenizer: str, path: str, end_id: int =
                 n += size
                 # Segments of whole documents, closed when they have enough ids.
                 if n >= segment_ids:
-                    yield segment(part, seq, doc_ids, counts, *coder.encode(np.frombuffer(b"".join(held), "<u4")))
+                    yield segment(part, seq, doc_ids, counts, *coder.encode(np.frombuffer(b"".join(held), cell)))
                     doc_ids, counts, held, n, seq = [], [], [], 0, seq + 1
         if doc_ids:
-            yield segment(part, seq, doc_ids, counts, *coder.encode(np.frombuffer(b"".join(held), "<u4")))
+            yield segment(part, seq, doc_ids, counts, *coder.encode(np.frombuffer(b"".join(held), cell)))
 
     key = [null_first(F.col("doc_id")), F.col("tie")]
     (table.where("n_ids >= 0").repartitionByRange(partitions(spark), *key).sortWithinPartitions(*key)

@@ -134,6 +134,12 @@ class PieceEncoder:
         return counts, ids
 
 
+def vocabulary_size(path: str) -> int:
+    """One more than the greatest id of a tokenizer file."""
+    from tokenizers import Tokenizer
+    return 1 + max(Tokenizer.from_file(path).get_vocab().values(), default=0)
+
+
 def encoder(path: str) -> PieceEncoder:
     """This worker's encoder of a tokenizer file."""
     cache = worker_cache()
