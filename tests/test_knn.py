@@ -38,27 +38,61 @@ def sample(n=300, d=12):
     return np.arange(1000, 1000 + n), M
 
 
-@pytest.mark.parametrize("grid, chunk, min_score", [(1, 512, 0.0), (2, 512, None), (3, 17, 0.0), (7, 64, None), (None, 100, 0.0)])
-def test_topk_matches_brute_force_for_any_grid(spark, grid, chunk, min_score):
-    ids, M = sample()
-    df = spark.createDataFrame(vectors(ids, M), "id long, keys array<long>, vals array<double>")
-    got = topk_cosine(df, df, 10, exclude_self=True, min_score=min_score, grid=grid, chunk=chunk).collect()
-    exp = brute(M, M, ids, ids, 10, True, min_score)
+def lists(got):
     g = {}
     for r in got:
         g.setdefault(r.qid, []).append((r.rank, r.cid, r.score))
+    return {q: [(c, s) for _, c, s in sorted(v)] for q, v in g.items()}
+
+
+@pytest.mark.parametrize("grid, chunk, min_score, stretch", [
+    ((1, 1), 512, 0.0, 1024), ((2, 2), 512, None, 50), ((3, 1), 17, 0.0, 7), ((1, 7), 64, None, 33), (None, 100, 0.0, 100)])
+def test_topk_matches_brute_force_for_any_grid(spark, grid, chunk, min_score, stretch):
+    ids, M = sample()
+    df = spark.createDataFrame(vectors(ids, M), "id long, keys array<long>, vals array<double>")
+    got = lists(topk_cosine(df, df, 10, exclude_self=True, min_score=min_score, grid=grid, chunk=chunk, stretch=stretch).collect())
+    exp = brute(M, M, ids, ids, 10, True, min_score)
     for q, lst in exp.items():
-        assert [(c, s) for _, c, s in sorted(g.get(q, []))] == lst, q
+        assert got.get(q, []) == lst, q
 
 
-def test_every_group_has_a_task_of_its_own_and_building_runs_no_job(spark):
+def test_query_blocks_are_bounded_and_every_group_has_a_task_of_its_own(spark):
     ids, M = sample(120)
     df = spark.createDataFrame(vectors(ids, M), "id long, keys array<long>, vals array<double>")
-    tracker = spark.sparkContext.statusTracker()
-    before = len(tracker.getJobIdsForGroup(None))
-    out = topk_cosine(df, df, 3, grid=4)
-    assert len(tracker.getJobIdsForGroup(None)) == before
-    assert out.count() == 360
+    out = topk_cosine(df, df, 3, query_block=25)
+    assert lists(out.collect()) == {q: v for q, v in brute(M, M, ids, ids, 3, False, None).items()}
+    assert out.rdd.getNumPartitions() >= 1 and "RepartitionById" in out._jdf.queryExecution().analyzed().toString() \
+        or "Repartition" in out._jdf.queryExecution().analyzed().toString()
+
+
+def test_signed_dense_vectors(spark):
+    rng = np.random.default_rng(4)
+    Q, C = rng.normal(size=(60, 4)), rng.normal(size=(500, 4))
+    C[3] = 0
+    full = lambda ids, M: spark.createDataFrame([(int(i), list(range(4)), [float(x) for x in r]) for i, r in zip(ids, M)],
+                                                "id long, keys array<long>, vals array<double>")
+    got = lists(topk_cosine(full(range(60), Q), full(range(500), C), 10, grid=(2, 3), stretch=16).collect())
+    assert got == brute(Q, C, range(60), range(500), 10, False, None)
+
+
+def test_bounds_spare_most_products_on_skewed_data():
+    """Vectors that lean on one of many keys: a query meets its own posting list
+    and few others, and every list is still exact."""
+    rng = np.random.default_rng(6)
+    n, d = 3000, 60
+    lead = rng.zipf(1.5, n) % d
+    M = (rng.random((n, d)) < 0.05) * rng.random((n, d)) * 0.3
+    M[np.arange(n), lead] = 1.0
+    M[np.arange(0, n, 3), 0] += 0.5  # a key that a third of all vectors have
+    order = np.lexsort((-M.max(1), M.argmax(1)))
+    frame = lambda role, rows: pd.DataFrame({"role": role, "qid": rows, "cid": rows,
+                                             "keys": [np.flatnonzero(M[r]) for r in rows], "vals": [M[r][M[r] != 0] for r in rows]})
+    run = _kernel(10, True, 0.0, 9, False, 64, 32)
+    out = next(run(iter([frame(0, np.argsort(lead, kind="stable")), frame(1, order)])))
+    assert run.products < 0.4 * n * n
+    got = {q: sorted(zip(-g["score"], g["cid"])) for q, g in out.groupby("qid")}
+    for q, lst in brute(M[:200], M, range(200), range(n), 10, True, 0.0).items():
+        assert [(c, -s) for s, c in got[q]] == lst
 
 
 def test_pack_long(spark):
@@ -71,5 +105,6 @@ def test_kernel_handles_string_candidates():
     pdf = pd.DataFrame({"role": [0, 1, 1], "qid": [1, -1, -1], "cid": ["", "b", "a"],
                         "keys": [np.array([0, 1]), np.array([0]), np.array([0, 1])],
                         "vals": [np.array([1.0, 1.0]), np.array([1.0]), np.array([1.0, 1.0])]})
-    out = _kernel(1, False, None, 9, True)(pdf)
+    out = next(_kernel(1, False, None, 9, True)(iter([pdf])))
     assert out.cid.tolist() == ["a"] and out.score.tolist() == [1.0]
+    assert list(_kernel(1, False, None, 9, True)(iter([pdf[pdf.role == 0]]))) == []

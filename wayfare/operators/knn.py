@@ -3,18 +3,21 @@
 A vector is one row ``(id, keys, vals)``; ``pack_long`` makes them from long
 rows ``(id, key, value)``.
 
-Plan (no pair rows are materialised, no job runs while it is built):
-
-1. Query ids and candidate ids are hashed into ``grid`` blocks each. A vector
-   is sent to the ``grid`` groups of its block's row or column, so the shuffle
-   carries ``grid`` copies of each vector, and ``grid * grid`` tasks share the
-   work. By default the grid follows the session's shuffle partitions
-   (about their square root); more data needs more partitions, as everywhere.
-   ``repartitionById`` gives every group a task of its own.
-2. A task walks its group in chunks: of ``chunk`` queries, and of candidates
-   against them, over the keys that the query chunk has. Beside the packed
-   vectors it holds one small block of products and a running top-k per query.
-3. The local lists (at most k rows per query and group) are merged with
+Plan (no pair rows are materialised):
+
+1. Queries are hashed into blocks of about ``query_block``, candidates into as
+   many columns as fill the session's shuffle partitions. A candidate is sent to
+   each query block once, a query to each column. ``repartitionById`` gives every
+   group a task of its own, sorted so that its queries come first.
+2. A task holds its query block and streams the candidates, in the order of their
+   *postings*: by the key with their greatest entry, and by its share of the norm.
+   So what a worker holds does not grow with either table.
+3. A stretch of a posting list is bounded per query before it is multiplied: by the
+   greatest entries of the stretch per key, and by the leading key's product plus
+   the norms of what remains of both sides (Cauchy-Schwarz). Only queries whose
+   bound reaches their k-th best score so far are multiplied. First passes over the
+   heads of the posting lists give every query a good k-th score early.
+4. The local lists (at most k rows per query and group) are merged with
    ``row_number() <= k``, which Spark plans with a partial window group limit
    before the shuffle.
 
@@ -22,9 +25,8 @@ Scores are rounded half-up to ``digits`` decimals before ranking, so equal
 cosines computed in a different summation order rank equal; ties are broken
 by the candidate id (ascending). A zero vector has cosine 0 with everything.
 
-Work is |Q| x |C| dot products (exact all-pairs is inherently quadratic);
-serving a batch of requests keeps |Q| = batch size, so the work grows
-linearly with the candidate table.
+Where no bound helps (all vectors alike) the work is |Q| x |C| dot products, as
+exact all-pairs similarity is; serving a batch of requests keeps |Q| = batch size.
 """
 
 from __future__ import annotations
@@ -86,56 +88,117 @@ def _norms(frame: pd.DataFrame) -> np.ndarray:
     return np.array([np.sqrt((np.asarray(v, "float64") ** 2).sum()) for v in frame["vals"]])
 
 
-def _dense(frame: pd.DataFrame, known: np.ndarray) -> np.ndarray:
+def _dense(frame: pd.DataFrame, known: np.ndarray, flat=None) -> np.ndarray:
     """Vectors over the sorted keys ``known``; other keys are left out."""
-    row, key, value = _flat(frame)
+    row, key, value = flat or _flat(frame)
     out = np.zeros((len(frame), len(known)))
     if len(known):
         at = np.minimum(np.searchsorted(known, key), len(known) - 1)
         ok = known[at] == key
-        np.add.at(out, (row[ok], at[ok]), value[ok])
+        out[row[ok], at[ok]] = value[ok]
     return out
 
 
-def _kernel(k: int, exclude_self: bool, min_score, digits: int, cid_is_str: bool, chunk: int = 512):
-    scale = float(10 ** digits)
-    cid_dtype = object if cid_is_str else "int64"
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        isq = (pdf["role"] == 0).to_numpy()
-        q, c = pdf[isq], pdf[~isq].sort_values("cid", kind="stable")
-        qids, cids = q["qid"].to_numpy(dtype="int64"), c["cid"].to_numpy(dtype=cid_dtype)
-        nq, nc = _norms(q), _norms(c)
-        out = {"qid": [], "cid": [], "score": []}
-        for lo in range(0, len(q) if len(c) else 0, chunk):
-            part = q.iloc[lo:lo + chunk]
-            n = len(part)
-            known = np.unique(_flat(part)[1])
-            left = _dense(part, known)
-            # the best so far: rows of (query, candidate place, score), candidate places ascend
-            best_r, best_c, best_s = np.zeros(0, "int64"), np.zeros(0, "int64"), np.zeros(0)
-            for at in range(0, len(c), chunk):
-                right = _dense(c.iloc[at:at + chunk], known)
-                denom = np.outer(nq[lo:lo + chunk], nc[at:at + chunk])
-                s = np.where(denom == 0, 0.0, (left @ right.T) / np.where(denom == 0, 1.0, denom))
-                s = np.floor(s * scale + 0.5) / scale
-                if exclude_self and not cid_is_str:
-                    s[qids[lo:lo + n, None] == cids[None, at:at + chunk]] = -np.inf
-                if min_score is not None:
-                    s[~(s > min_score)] = -np.inf
-                r, place = _topk_rows(s, k)
-                r, place, sc = (np.concatenate(x) for x in ((best_r, r), (best_c, place + at), (best_s, s[r, place])))
-                order = np.lexsort((place, -sc, r))
-                r, place, sc = r[order], place[order], sc[order]
-                keep = np.arange(len(r)) - np.searchsorted(r, r, side="left") < k
-                best_r, best_c, best_s = r[keep], place[keep], sc[keep]
-            out["qid"].append(qids[lo + best_r])
-            out["cid"].append(cids[best_c])
-            out["score"].append(best_s)
-        return pd.DataFrame({"qid": np.concatenate([np.zeros(0, "int64"), *out["qid"]]),
-                             "cid": pd.Series(np.concatenate([np.zeros(0, cid_dtype), *out["cid"]]), dtype=cid_dtype),
-                             "score": np.concatenate([np.zeros(0), *out["score"]])})
-
+def _bounds(left: np.ndarray, norm: np.ndarray, right: np.ndarray, right_norm: np.ndarray) -> np.ndarray:
+    """Upper bound of each query's cosine with any of the candidates ``right``."""
+    unit = right / np.where(right_norm == 0, 1.0, right_norm)[:, None]
+    high, low = unit.max(0), unit.min(0)
+    by_key = np.maximum(left, 0) @ high + np.minimum(left, 0) @ low
+    lead = int(np.argmax(high))
+    rest = np.sqrt(np.maximum(1.0 - unit[:, lead] ** 2, 0)).max()
+    q = left[:, lead]
+    own = np.sqrt(np.maximum(norm ** 2 - q ** 2, 0))
+    by_norm = np.maximum(q * high[lead], q * low[lead]) + own * rest
+    return np.minimum(by_key, by_norm) / np.where(norm == 0, 1.0, norm)
+
+
+class _Search:
+    """A block of queries and their best candidates so far."""
+
+    def __init__(self, queries: pd.DataFrame, k: int, exclude_self: bool, min_score, digits: int, chunk: int):
+        self.k, self.min_score, self.scale, self.chunk = k, min_score, float(10 ** digits), chunk
+        self.exclude_self, self.products = exclude_self, 0
+        self.qids = queries["qid"].to_numpy(dtype="int64")
+        self.parts = [queries.iloc[lo:lo + chunk] for lo in range(0, len(queries), chunk)]
+        self.norms = [_norms(p) for p in self.parts]
+        self.known = [np.unique(_flat(p)[1]) for p in self.parts]
+        # Per part the best so far: (query, score, candidate id), and every query's k-th score.
+        self.best = [(np.zeros(0, "int64"), np.zeros(0), np.zeros(0, object)) for _ in self.parts]
+        self.floor = [np.full(len(p), -np.inf if min_score is None else min_score) for p in self.parts]
+
+    def add(self, c: pd.DataFrame) -> None:
+        """Offers candidates (cid, keys, vals); each only once."""
+        c = c.sort_values("cid", kind="stable")  # ties go to the least id
+        cids, flat, nc = c["cid"].to_numpy(), _flat(c), _norms(c)
+        for p in range(len(self.parts)):
+            right = _dense(c, self.known[p], flat)
+            left = _dense(self.parts[p], self.known[p])
+            nq, floor = self.norms[p], self.floor[p]
+            # Rounding may lift a score by half a unit of its last decimal.
+            bound = _bounds(left, nq, right, nc) + 2.0 / self.scale
+            some = np.flatnonzero(bound > floor if self.min_score is not None else bound >= floor)
+            if not len(some):
+                continue
+            self.products += len(some) * len(c)
+            denom = np.outer(nq[some], nc)
+            sc = np.where(denom == 0, 0.0, (left[some] @ right.T) / np.where(denom == 0, 1.0, denom))
+            sc = np.floor(sc * self.scale + 0.5) / self.scale
+            if self.exclude_self:
+                sc[self.qids[p * self.chunk + some, None] == cids[None, :]] = -np.inf
+            if self.min_score is not None:
+                sc[~(sc > self.min_score)] = -np.inf
+            sc[sc < floor[some, None]] = -np.inf
+            r, place = _topk_rows(sc, self.k)
+            if not len(r):
+                continue
+            rows, score, ids = (np.concatenate(x) for x in zip(self.best[p], (some[r], sc[r, place], cids[place])))
+            # Order by (query, score desc, id): ids ranked by value, whatever their type.
+            _, rank = np.unique(ids, return_inverse=True)
+            order = np.lexsort((rank, -score, rows))
+            rows, score, ids = rows[order], score[order], ids[order]
+            first = np.searchsorted(rows, rows, side="left")
+            keep = np.arange(len(rows)) - first < self.k
+            full = np.flatnonzero(np.arange(len(rows)) - first == self.k - 1)
+            floor[rows[full]] = score[full]
+            self.best[p] = rows[keep], score[keep], ids[keep]
+
+    def result(self, cid_is_str: bool) -> pd.DataFrame:
+        at = [p * self.chunk + b[0] for p, b in enumerate(self.best)]
+        cids = np.concatenate([np.zeros(0, object), *(b[2] for b in self.best)])
+        return pd.DataFrame({"qid": self.qids[np.concatenate([np.zeros(0, "int64"), *at]).astype("int64")],
+                             "cid": pd.Series(cids if cid_is_str else cids.astype("int64"), dtype=object if cid_is_str else "int64"),
+                             "score": np.concatenate([np.zeros(0), *(b[1] for b in self.best)])})
+
+
+def _kernel(k: int, exclude_self: bool, min_score, digits: int, cid_is_str: bool, chunk: int = 512, stretch: int = 1024):
+    """Search of one group: frames in which the queries (role 0) come before the
+    candidates (role 1); yields one frame of the queries' local lists."""
+    def run(frames):
+        queries, held, search, n = [], [], None, 0
+        for f in frames:
+            q, c = f[f["role"] == 0], f[f["role"] == 1]
+            if len(q):
+                queries.append(q)
+            if len(c):
+                if not queries:
+                    return
+                if search is None:
+                    search = _Search(pd.concat(queries, ignore_index=True), k, exclude_self and not cid_is_str, min_score,
+                                     digits, chunk)
+                held.append(c)
+                n += len(c)
+                if n >= stretch:
+                    c, held, n = pd.concat(held, ignore_index=True), [], 0
+                    for lo in range(0, len(c), stretch):
+                        search.add(c.iloc[lo:lo + stretch])
+        if search is None:
+            return
+        if held:
+            c = pd.concat(held, ignore_index=True)
+            for lo in range(0, len(c), stretch):
+                search.add(c.iloc[lo:lo + stretch])
+        run.products = search.products
+        yield search.result(cid_is_str)
     return run
 
 
@@ -147,38 +210,44 @@ def pack_long(df: DataFrame) -> DataFrame:
 
 
 def topk_cosine(queries: DataFrame, candidates: DataFrame, k: int, *,
-                exclude_self: bool = False, min_score: float | None = None,
-                grid: int | None = None, digits: int = 9, chunk: int = 512) -> DataFrame:
+                exclude_self: bool = False, min_score: float | None = None, grid: tuple[int, int] | None = None,
+                digits: int = 9, chunk: int = 512, query_block: int = 100_000, stretch: int = 1024) -> DataFrame:
     """Top-k candidates per query id by cosine similarity.
 
     Both inputs are vectors (id, keys array<long>, vals array<double>); query
     ids are long, candidate ids long or string. Returns
-    ``(qid, cid, score, rank)`` with ``rank`` 1..k.
+    ``(qid, cid, score, rank)`` with ``rank`` 1..k. ``grid``: (query blocks,
+    candidate columns); by default the queries are counted.
     """
     ctype = dict(candidates.dtypes)["id"]
     cid_is_str = ctype == "string"
     if grid is None:
         slots = int(queries.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        grid = max(1, round(slots ** 0.5))
-    block = F.pmod(F.xxhash64("id"), F.lit(grid)).cast("int")
-    # a query block's groups are block * grid + 0.., a candidate block's 0.. * grid + block
-    row = F.explode(F.transform(F.sequence(F.lit(0), F.lit(grid - 1)), lambda x: block * grid + x))
-    col = F.explode(F.transform(F.sequence(F.lit(0), F.lit(grid - 1)), lambda x: x * grid + block))
+        rows = max(1, -(-queries.count() // query_block))
+        grid = rows, max(1, -(-slots // rows))
+    rows, cols = grid
+
+    def spread(own: int, others: int, first: bool):
+        """The groups of a row: its block with every one of the other side's."""
+        block = F.pmod(F.xxhash64("id"), F.lit(own)).cast("int")
+        return F.explode(F.transform(F.sequence(F.lit(0), F.lit(others - 1)),
+                                     lambda x: block * cols + x if first else x * cols + block))
+    # The leading entry of a vector: its posting list, and its share of the norm.
+    pairs = F.arrays_zip(F.transform("vals", F.abs).alias("v"), F.col("keys").alias("k"))
+    lead = F.array_max(pairs)
+    norm = F.sqrt(F.aggregate("vals", F.lit(0.0), lambda a, x: a + x * x))
+    share = F.when(norm > 0, lead["v"] / norm).otherwise(F.lit(0.0))
     q = queries.select(F.lit(0).alias("role"), F.col("id").cast("long").alias("qid"),
                        F.lit("" if cid_is_str else 0).cast(ctype).alias("cid"),  # placeholder, never null
-                       "keys", "vals", row.alias("group"))
+                       "keys", "vals", F.lit(0).alias("head"), F.lit(0).cast("long").alias("lead"), F.lit(0.0).alias("share"),
+                       spread(rows, cols, True).alias("group"))
+    # The head of each list: vectors that are nearly their leading key alone.
     c = candidates.select(F.lit(1).alias("role"), F.lit(-1).cast("long").alias("qid"),  # placeholder
-                          F.col("id").cast(ctype).alias("cid"),
-                          "keys", "vals", col.alias("group"))
-    groups = q.unionByName(c)
-    kernel = _kernel(k, exclude_self, min_score, digits, cid_is_str, chunk)
-
-    def run(frames):
-        held = [f for f in frames if len(f)]
-        if held:
-            yield kernel(pd.concat(held, ignore_index=True))
-
-    local = groups.repartitionById(grid * grid, "group").drop("group").mapInPandas(
-        run, f"qid long, cid {ctype}, score double")
+                          F.col("id").cast(ctype).alias("cid"), "keys", "vals",
+                          F.when(share > 0.95, 0).otherwise(1).alias("head"), F.coalesce(lead["k"], F.lit(0)).alias("lead"),
+                          share.alias("share"), spread(cols, rows, False).alias("group"))
+    kernel = _kernel(k, exclude_self, min_score, digits, cid_is_str, chunk, stretch)
+    groups = q.unionByName(c).repartitionById(rows * cols, "group").sortWithinPartitions("role", "head", "lead", F.desc("share"), "cid")
+    local = groups.select("role", "qid", "cid", "keys", "vals").mapInPandas(kernel, f"qid long, cid {ctype}, score double")
     w = Window.partitionBy("qid").orderBy(F.col("score").desc(), F.col("cid").asc())
     return local.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)

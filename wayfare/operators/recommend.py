@@ -121,7 +121,7 @@ def _with_info(df: DataFrame, feats: DataFrame) -> DataFrame:
 # ----------------------------------------------------------- collaborative
 
 def user_similarity(ratings: DataFrame, users: DataFrame | None = None,
-                    k: int = NEIGHBOURS, positive_only: bool = False, grid: int | None = None) -> DataFrame:
+                    k: int = NEIGHBOURS, positive_only: bool = False, grid: tuple[int, int] | None = None) -> DataFrame:
     """Top-k other users by cosine of rating vectors for each user in
     ``users`` (column ``user_code``; default: every user with ratings).
     ``positive_only`` leaves out neighbours with similarity 0, which add
