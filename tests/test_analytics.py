@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from wayfare.operators import analytics as an
+from wayfare.operators import quantiles as Q
 from small_tables import flights_df, hotels_df, users_df
 
 D1, D2 = dt.date(2024, 1, 5), dt.date(2024, 2, 7)
@@ -92,16 +93,39 @@ def test_quantiles_with_an_extreme_value(spark):
     rng = np.random.default_rng(2)
     values = np.concatenate([rng.random(4000), [1e15]])
     df = spark.createDataFrame([("a", float(v)) for v in values] + [("b", 1.0), ("b", 1.0), ("c", 2.0), (None, 1.0)], "g string, x double")
-    ranged = an.in_value_order(an.value_counts(df, "g", "x"), "g", "x")
+    counts = df.where("g IS NOT NULL").groupBy("g", "x").agg(F.count(F.lit(1)).alias("_c"))
+    ranged = Q.in_value_order(counts, ["g"], "x")
     longest = max(r["n"] for r in ranged.groupBy("_p").agg(F.count(F.lit(1)).alias("n")).collect())
     assert longest < 0.6 * len(values), "no task ranks a whole group"
-    got = {r["g"]: r for r in an.exact_quantiles(df, "g", "x", [0.0, 0.25, 0.5, 0.99, 1.0]).collect()}
+    got = {r["g"]: r for r in Q.exact_quantiles(df, "g", "x", [0.0, 0.25, 0.5, 0.99, 1.0]).collect()}
     want = np.quantile(values, [0.0, 0.25, 0.5, 0.99, 1.0])
     assert np.allclose([got["a"][f"q{i}"] for i in range(5)], want, rtol=1e-12)
     assert got["b"]["q2"] == 1.0 and got["c"]["q0"] == 2.0 and set(got) == {"a", "b", "c"}
 
 
 
+def test_brackets_move_a_small_part_and_wrong_ones_are_noticed(spark, monkeypatch):
+    import numpy as np
+    rng = np.random.default_rng(5)
+    values = {g: rng.normal(size=20_000) for g in "ab"}
+    df = spark.createDataFrame([(g, float(v)) for g in "ab" for v in values[g]], "g string, x double")
+    bound = Q.brackets(df, "g", "x", [0.25, 0.5, 0.75], 1000)
+    moved = Q.inside(df, "g", "x", bound).where("x IS NOT NULL").agg(F.sum("_c")).first()[0]
+    assert moved < 0.05 * 40_000
+    plain = Q.brackets
+
+    def off(rows, group, value, probs, accuracy):
+        """Brackets that miss group b's ranks, below and above."""
+        shift = lambda t: F.struct(t["i"].alias("i"), t["pos"].alias("pos"), (t["lo"] + 1 - t["i"]).alias("lo"), (t["hi"] + 1 - t["i"]).alias("hi"))
+        t = plain(rows, group, value, probs, accuracy)
+        return t.withColumn("_t", F.when(F.col("g") == "b", F.transform("_t", shift)).otherwise(F.col("_t")))
+    for f in (plain, off):
+        monkeypatch.setattr(Q, "brackets", f)
+        for r in Q.exact_quantiles(df, "g", "x", [0.25, 0.5, 0.75], accuracy=1000).collect():
+            assert [r["q0"], r["q1"], r["q2"]] == pytest.approx(np.quantile(values[r["g"]], [0.25, 0.5, 0.75]).tolist(), rel=1e-12)
+            assert (r["n"], r["min"], r["max"]) == (20_000, values[r["g"]].min(), values[r["g"]].max())
+
+
 def test_sample_points_reproducible(t):
     _, f, _ = t
     a = an.sample_points(f, 3).collect()
@@ -127,7 +151,7 @@ def test_exact_quantiles_match_numpy_on_skewed_groups(spark):
     df = spark.createDataFrame(rows, "g string, v double")
     probs = [0.0, 0.25, 0.5, 0.999, 1.0]
     got = {r["g"]: [r[f"q{i}"] for i in range(len(probs))]
-           for r in an.exact_quantiles(df, "g", "v", probs).collect()}
+           for r in Q.exact_quantiles(df, "g", "v", probs).collect()}
     d = collections.defaultdict(list)
     for g, v in rows:
         if g is not None and v is not None:

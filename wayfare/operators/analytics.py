@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalar import (AGE_LABELS, age_group, exact_avg, exact_sum,
                                 month_bucket, route)
-from ..session import shared_folder
+from .quantiles import exact_quantiles
 
 
 def _one_row(df: DataFrame, *aggs) -> DataFrame:
@@ -182,103 +182,33 @@ def hotel_price_histogram(hotels: DataFrame, bins: int = 30) -> DataFrame:
     return histogram(hotels, "price", bins)
 
 
-def exact_quantiles(df: DataFrame, group: str, value: str, probs: list[float]) -> DataFrame:
-    """Exact linear-interpolation quantiles per group without one task
-    holding a group's values.
-
-    1. distinct (group, value) counts (partial aggregation; a hot value is one
-       row per partition);
-    2. these rows are range-partitioned by (group, value) from sampled bounds
-       and written to the shared folder, so every partition is a run of the
-       sorted order, about equally long whatever the values are (one extreme
-       value makes no partition larger);
-    3. counts per (group, partition), summed over the partitions before, tell
-       which partitions hold the target ranks (two per probability); only
-       those are ranked value by value, each by itself.
-
-    Returns ``group, q0, q1, ...`` (NULL-free values only).
-    """
-    return quantiles_from_counts(value_counts(df, group, value), group, value, probs)
-
-
-def value_counts(df: DataFrame, group: str, value: str) -> DataFrame:
-    """Distinct (group, value) rows with their count ``_c`` (NULLs dropped).
-    The one pass over the facts that the exact quantiles and box statistics
-    share; partial aggregation makes a hot value one row per partition."""
-    v = F.col(value)
-    return (df.where(F.col(group).isNotNull() & v.isNotNull())
-              .groupBy(group, value).agg(F.count(F.lit(1)).alias("_c")))
-
-
-def in_value_order(counts: DataFrame, group: str, value: str) -> DataFrame:
-    """A ``value_counts`` table in range partitions by (group, value), numbered
-    ``_p`` and written to the shared folder (the numbers stay valid)."""
-    shared_folder(counts.sparkSession)
-    parts = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return counts.repartitionByRange(parts, group, value).withColumn("_p", F.spark_partition_id()).checkpoint()
-
-
-def quantiles_from_counts(counts: DataFrame, group: str, value: str, probs: list[float]) -> DataFrame:
-    """``exact_quantiles`` over a ``value_counts`` table (one that is
-    ``in_value_order`` already is not partitioned again)."""
-    vc = counts if "_p" in counts.columns else in_value_order(counts, group, value)
-    # at most one row per group and partition, and groups that share a partition
-    runs = vc.groupBy(group, "_p").agg(F.sum("_c").alias("_pc"))
-    wp = Window.partitionBy(group).orderBy("_p")
-    runs = runs.withColumn("_below", F.sum("_pc").over(wp) - F.col("_pc")) \
-               .withColumn("_n", F.sum("_pc").over(Window.partitionBy(group)))
-    # target ranks (0-based): floor and ceil of (n - 1) * p for every p
-    targets = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), ((F.col("_n") - 1) * float(p)).alias("pos"))
-                                  for i, p in enumerate(probs)])).alias("_t")
-    t = runs.select(group, "_p", "_pc", "_below", targets).select(group, "_p", "_pc", "_below", "_t.i", "_t.pos")
-    t = t.select(group, "_p", "_pc", "_below", "i", "pos",
-                 F.explode(F.array(F.floor("pos").cast("long"), F.ceil("pos").cast("long"))).alias("_r"))
-    t = t.where((F.col("_r") >= F.col("_below")) & (F.col("_r") < F.col("_below") + F.col("_pc")))
-    wanted = t.groupBy(group, "_p").agg(F.first("_below").alias("_below"),
-                                        F.collect_set(F.struct("i", "pos", "_r")).alias("_t"))
-    wv = Window.partitionBy(group, "_p").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
-    hit = (vc.join(wanted, [group, "_p"])
-             .withColumn("_start", F.col("_below") + F.coalesce(F.sum("_c").over(wv), F.lit(0)))
-             .select(group, value, "_start", "_c", F.explode("_t").alias("_t"))
-             .where((F.col("_t._r") >= F.col("_start")) & (F.col("_t._r") < F.col("_start") + F.col("_c"))))
-    per = hit.groupBy(group, F.col("_t.i").alias("_i"), F.col("_t.pos").alias("_pos")).agg(
-        F.min_by(value, "_t._r").alias("_vlo"), F.max_by(value, "_t._r").alias("_vhi"))
-    q = F.col("_vlo") + (F.col("_pos") - F.floor("_pos")) * (F.col("_vhi") - F.col("_vlo"))
-    per = per.select(group, "_i", q.alias("_q"))
-    return per.groupBy(group).agg(*[F.max(F.when(F.col("_i") == i, F.col("_q"))).alias(f"q{i}")
-                                    for i in range(len(probs))])
-
-
 def price_box(flights: DataFrame, group: str = "flightType", value: str = "price",
               approx: bool = False, accuracy: int = 10000) -> DataFrame:
     """Box-plot statistics per group: quartiles, IQR fences, whiskers, outliers.
 
-    Quartiles are exact with linear interpolation (``exact_quantiles``: no
-    task holds a whole group); ``approx=True`` uses the mergeable quantile
-    sketch instead.
+    Quartiles are exact with linear interpolation (``exact_quantiles``: a sketch
+    brackets them, only values inside the brackets are moved); ``approx=True`` uses
+    the mergeable quantile sketch alone.
     """
     v = F.col(value)
-    vc = in_value_order(value_counts(flights, group, value), group, value)
-    agg = vc.groupBy(group).agg(F.sum("_c").alias("n"), F.min(v).alias("min"), F.max(v).alias("max"))
+    rows = flights.where(F.col(group).isNotNull() & v.isNotNull()).select(group, value)
     if approx:
-        probs = F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))
-        base = flights.where(F.col(group).isNotNull() & v.isNotNull())
-        qs = base.groupBy(group).agg(F.percentile_approx(v, probs, accuracy).alias("_q")).select(
-            group, F.col("_q")[0].alias("q0"), F.col("_q")[1].alias("q1"), F.col("_q")[2].alias("q2"))
+        quart = rows.groupBy(group).agg(F.count(F.lit(1)).alias("n"), F.min(v).alias("min"), F.max(v).alias("max"),
+                                        F.percentile_approx(v, [0.25, 0.5, 0.75], accuracy).alias("_q")).select(
+            group, "n", "min", "max", F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"), F.col("_q")[2].alias("q3"))
     else:
-        qs = quantiles_from_counts(vc, group, value, [0.25, 0.5, 0.75])
-    quart = agg.join(qs, group).select(group, "n", "min", "max", F.col("q0").alias("q1"),
-                                       F.col("q1").alias("median"), F.col("q2").alias("q3"))
+        quart = exact_quantiles(rows, group, value, [0.25, 0.5, 0.75]).select(
+            group, "n", "min", "max", F.col("q0").alias("q1"), F.col("q1").alias("median"), F.col("q2").alias("q3"))
     quart = quart.withColumn("iqr", F.col("q3") - F.col("q1")) \
                  .withColumn("lower_fence", F.col("q1") - 1.5 * F.col("iqr")) \
                  .withColumn("upper_fence", F.col("q3") + 1.5 * F.col("iqr"))
-    # Whiskers and outliers from the distinct values with the per-group fences.
-    j = vc.join(quart.select(group, "lower_fence", "upper_fence"), group)
+    # Whiskers and outliers by one aggregation with the per-group fences.
+    j = rows.join(quart.select(group, "lower_fence", "upper_fence"), group)
     inside = (v >= F.col("lower_fence")) & (v <= F.col("upper_fence"))
     wh = j.groupBy(group).agg(
         F.min(F.when(inside, v)).alias("lower_whisker"),
         F.max(F.when(inside, v)).alias("upper_whisker"),
-        F.sum(F.when(~inside, F.col("_c")).otherwise(F.lit(0))).alias("outliers"))
+        F.count_if(~inside).alias("outliers"))
     return quart.join(wh, group)
 
 

@@ -103,7 +103,7 @@ def describe(df: DataFrame, cols: list[str] | None = None, approx: bool = False)
     percentiles (linear interpolation) come from ``exact_quantiles`` over the
     (column, value) long form, so no task holds a whole column's values.
     ``approx`` uses the mergeable sketch in the aggregate pass instead."""
-    from .analytics import exact_quantiles
+    from .quantiles import exact_quantiles
     cols = cols or numeric_columns(df)
     probs = [0.25, 0.5, 0.75]
     aggs = []
