@@ -9,6 +9,7 @@ from ..functions import scalar as S
 from ..functions.scalar import stable
 from ..ml.scale import standard_scale
 from ..ml.split import split_flag
+from ..operators import dictionary as D
 from ..operators import encoding as E
 from ..operators import features as FT
 from ..operators import requests as R
@@ -180,8 +181,8 @@ UNION ALL SELECT 'company', value, CAST(row_number() OVER (ORDER BY value) - 1 A
 """)
 def q_label_encode(spark, sf):
     u, f, _ = tables(spark, sf)
-    of_flights = E.dictionary_row(f, ["from", "to", "flightType", "agency"])
-    return E.dictionary_table(of_flights).unionByName(E.dictionary_table(E.dictionary_row(u, ["company"])))
+    both = D.distributed_dictionary(f, ["from", "to", "flightType", "agency"]).unionByName(D.distributed_dictionary(u, ["company"]))
+    return both.select("field", "value", F.col("code").cast("int").alias("code"))
 
 
 _ENC_SQL = """
@@ -205,8 +206,10 @@ enc AS (
 def _encoded_requests(spark, sf):
     _, f, _ = tables(spark, sf)
     r = A.price_requests(f).select("request_id", "from", "flightType", "agency")
-    row = E.dictionary_row(f, ["from", "flightType", "agency"])
-    return row, E.encode_columns(r, row)
+    columns = ["from", "flightType", "agency"]
+    d = D.distributed_dictionary(f, columns)
+    e = D.encode_by(r, d, columns)
+    return d, e.select(*r.columns, *[F.col(f"{c}_encoded").cast("int").alias(f"{c}_encoded") for c in columns])
 
 
 @query("encode_unseen", f", {_PRICE_REQ.strip()}, {_ENC_SQL.strip()}\nSELECT * FROM enc")
@@ -220,8 +223,8 @@ SELECT enc.request_id, enc."flightType_encoded", dtype.value AS "flightType_labe
 FROM enc LEFT JOIN dtype ON enc."flightType_encoded" = dtype.code
 """)
 def q_label_decode(spark, sf):
-    row, r = _encoded_requests(spark, sf)
-    d = E.decode_column(r, row, "flightType", "flightType_encoded", "flightType_label")
+    dictionary, r = _encoded_requests(spark, sf)
+    d = D.decode_by(r, dictionary, "flightType", "flightType_encoded", "flightType_label")
     return d.select("request_id", "flightType_encoded", "flightType_label")
 
 
