@@ -1,8 +1,9 @@
-"""The daily batch pipeline: validate -> preprocess -> train -> report.
+"""The daily batch pipeline: checked publication -> train -> report.
 
-One driver program: the cleaned tables are written once (shared input of
-the three trainings, which then read the written copy, so the lineage of
-each training starts at a file, not at the raw scans), the three models are
+One driver program: every raw table is scanned once, checked and cleaned on its
+way to the run's folder (``sources.staged``), and published if all required rules
+hold. The three trainings read the published copy, so the lineage of each starts
+at a file, not at the raw scans; the three models are
 fitted concurrently from driver threads, and the metrics are collected into
 one report table.
 """
@@ -19,9 +20,8 @@ from ..ml import features as MF
 from ..ml import split as SP
 from ..ml import train as T
 from ..operators import features as FT
-from ..operators import quality as Q
 from ..operators import recommend as RC
-from ..sources import sinks
+from ..sources import sinks, staged
 
 
 def pipeline_report(users: DataFrame, flights: DataFrame, hotels: DataFrame,
@@ -49,11 +49,10 @@ def daily_pipeline(spark: SparkSession, users: DataFrame, flights: DataFrame, ho
                    out_dir: str | None = None, num_trees: int = 100) -> DataFrame:
     """Run the whole pipeline and return the report (also written as text)."""
     out_dir = out_dir or os.path.join(sinks.scratch_dir(spark), "daily")
-    Q.raise_on_fail(Q.validate_data(users, flights, hotels))
-    cf, ch, _ = Q.preprocess(flights, hotels)
-    sinks.write_processed({"users": users, "flights": cf, "hotels": ch}, os.path.join(out_dir, "processed"))
-    proc = sinks.read_processed(spark, os.path.join(out_dir, "processed"))
-    users, f, h = proc["users"], proc["flights"], proc["hotels"]
+    processed = os.path.join(out_dir, "processed")
+    staged.raise_unless(*staged.publish(spark, staged.booking_sources(users, flights, hotels), processed))
+    users, f, h = (staged.read_published(spark, processed, n, df.schema) for n, df in
+                   (("users", users), ("flights", flights), ("hotels", hotels)))
 
     def price():
         ff = MF.flight_features(f, keep=["travelCode"]).withColumn("is_train", SP.split_flag("travelCode"))

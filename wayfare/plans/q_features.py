@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -13,7 +15,9 @@ from ..operators import dictionary as D
 from ..operators import encoding as E
 from ..operators import features as FT
 from ..operators import requests as R
+from ..operators import state as ST
 from ..operators import recommend as RC
+from ..session import shared_folder, written
 from ..sources import adapters as A
 from .catalog import query, tables
 from .oracle import eavg, esum, stable as sstable
@@ -55,6 +59,26 @@ def q_flight_agg(spark, sf):
     return FT.flight_agg(f).withColumn("flight_price_std", stable("flight_price_std"))
 
 
+@query("flight_state", f"""
+, {FA_SQL.strip()}
+SELECT "userCode", avg_flight_price, total_flight_spent, flight_count,
+       {sstable('flight_price_std')} AS flight_price_std, avg_distance, total_distance,
+       avg_flight_time, total_flight_time, first_class_count FROM fa
+""")
+def q_flight_state(spark, sf):
+    """``flight_agg`` from mergeable state after three daily runs: an older half in
+    which some days are wrong, the newer half, and the wrong days' corrections."""
+    _, f, _ = tables(spark, sf)
+    f = written(f, "flights")
+    cut, odd = F.lit("1995-06-01").cast("date"), F.dayofmonth("date") == 13
+    state = ST.FlightState(spark, f"{shared_folder(spark)}/flight-state-{uuid.uuid4().hex}")
+    wrong = f.where(F.col("date") < cut).where(~(odd & (F.pmod("travelCode", F.lit(3)) == 0)))
+    state.apply(wrong.withColumn("price", F.when(odd, F.col("price") * 2).otherwise(F.col("price"))))
+    state.apply(f.where(F.col("date") >= cut))
+    state.apply(f.where((F.col("date") < cut) & odd))
+    return state.flight_agg().withColumn("flight_price_std", stable("flight_price_std"))
+
+
 @query("hotel_agg", f", {HA_SQL.strip()}\nSELECT * FROM ha")
 def q_hotel_agg(spark, sf):
     _, _, h = tables(spark, sf)

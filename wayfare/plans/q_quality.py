@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalar import stable
 from ..operators import quality as Q
-from ..sources import sinks
+from ..sources import sinks, staged
 from .catalog import query, tables
 from .oracle import stable as sstable
 
@@ -51,6 +51,27 @@ def q_preprocess(spark, sf):
     return Q.preprocess(f, h)[2]
 
 
+@query("staged_publish", """
+, c AS (
+  SELECT 'users' AS "table", 'users_not_empty' AS "check", CASE WHEN count(*) > 0 THEN 0 ELSE 1 END AS bad_rows, count(*) AS rows_before,
+         count(*) AS rows_after, true AS required FROM users
+  UNION ALL SELECT 'users', 'users_no_nulls', count(*) FILTER (WHERE code IS NULL OR "name" IS NULL OR gender IS NULL), count(*), count(*), true FROM users
+  UNION ALL SELECT 'flights', 'flights_not_empty', CASE WHEN count(*) > 0 THEN 0 ELSE 1 END, count(*), count(*) FILTER (WHERE coalesce(price > 0, false)), true FROM flights
+  UNION ALL SELECT 'flights', 'flights_no_nulls', count(*) FILTER (WHERE "travelCode" IS NULL OR "userCode" IS NULL OR price IS NULL), count(*),
+         count(*) FILTER (WHERE coalesce(price > 0, false)), true FROM flights
+  UNION ALL SELECT 'flights', 'prices_positive', count(*) FILTER (WHERE NOT coalesce(price > 0, false)), count(*), count(*) FILTER (WHERE coalesce(price > 0, false)), true FROM flights
+  UNION ALL SELECT 'hotels', 'hotels_not_empty', CASE WHEN count(*) > 0 THEN 0 ELSE 1 END, count(*), count(*) FILTER (WHERE coalesce(total > 0, false)), true FROM hotels
+  UNION ALL SELECT 'hotels', 'totals_positive', count(*) FILTER (WHERE NOT coalesce(total > 0, false)), count(*), count(*) FILTER (WHERE coalesce(total > 0, false)), false FROM hotels)
+SELECT "table", "check", bad_rows = 0 AS passed, CAST(bad_rows AS BIGINT) AS bad_rows, rows_before, rows_after,
+       (SELECT count(*) FROM c WHERE required AND bad_rows > 0) = 0 AS published FROM c
+""")
+def q_staged_publish(spark, sf):
+    """The daily publication: checks and row counts observed on the one write of each table."""
+    report, published = staged.publish(spark, staged.booking_sources(*tables(spark, sf)),
+                                       f"{sinks.scratch_dir(spark)}/published-{uuid.uuid4().hex}")
+    return report.drop("run").withColumn("published", F.lit(published))
+
+
 def _describe_sql(table, cols):
     parts = []
     for c in cols:
