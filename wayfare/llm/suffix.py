@@ -13,9 +13,10 @@ starts earlier in the corpus (a smaller doc_id, or earlier in the document).
   phrase that a third of all documents have is one row per task.
 * Only dictionary phrases that share their trigger with others can hold
   further repetitions. Their texts are fetched, and per bucket the suffixes of
-  the dictionary that start a window are ranked by their first ``length`` bytes
-  (a suffix array by prefix doubling) and, where equal, ordered by their place in
-  the parse: of equal ones, all but the first in corpus order are covered. Triggers with more than ``hot`` such phrases are dealt by window
+  the dictionary that start a window are sorted by their first ``length`` bytes and,
+  where equal, by their place in the parse: of equal ones, all but the first in
+  corpus order are covered. Phrases of one trigger are sorted together, a bounded
+  slice of triggers at a time. Triggers with more than ``hot`` such phrases are dealt by window
   instead (one row per distinct window and task), with the same result.
 
 All tables move as packed rows, one per task and bucket; the number of buckets
@@ -287,20 +288,13 @@ def contested_texts(texts: DataFrame, contested: DataFrame, length: int, buckets
     return texts.groupBy("bucket").cogroup(contested.groupBy("bucket")).applyInArrow(run, ROWS)
 
 
-def suffix_ranks(data: np.ndarray, places: np.ndarray, length: int) -> np.ndarray:
-    """Ranks of the suffixes of ``data`` at ``places`` by their first ``length``
-    bytes, from the suffix ranks of all places by prefix doubling."""
-    wide = np.zeros(len(data) + length, np.int64)
-    wide[:len(data)] = data
-    rank, known = wide, 1
-    while known < length:
-        step = min(known, length - known)
-        key = rank[:-step] * (int(rank.max()) + 1) + rank[step:]
-        rank = np.zeros(len(wide), np.int64)
-        by = np.argsort(key, kind="stable")
-        rank[by] = np.cumsum(np.concatenate([[0], np.diff(key[by]) != 0]))
-        known += step
-    return rank[places]
+def repeated_suffixes(data: np.ndarray, places: np.ndarray, length: int) -> np.ndarray:
+    """Numbers of those ``places`` (in corpus order) at which ``length`` bytes begin
+    that also begin at an earlier one: the suffixes there are sorted by these bytes."""
+    view = np.lib.stride_tricks.sliding_window_view(data, length)
+    suffix = np.ascontiguousarray(view[places]).view(f"S{length}").ravel()
+    by = np.argsort(suffix, kind="stable")
+    return by[1:][suffix[by[1:]] == suffix[by[:-1]]]
 
 
 def trigger_runs(h: np.ndarray, size: np.ndarray, most: int) -> list[tuple[int, int]]:
@@ -318,12 +312,6 @@ def trigger_runs(h: np.ndarray, size: np.ndarray, most: int) -> list[tuple[int,
 def suffix_order(fetched: DataFrame, length: int, buckets: int, most: int = 1_000_000) -> DataFrame:
     """Spans of the dictionary's windows that also start earlier. Phrases with one
     trigger are sorted together, about ``most`` bytes of them at a time."""
-    def repeated(doc, sub, first, group):
-        """Of windows of equal group, all but the first in corpus order."""
-        by = np.lexsort((first, sub, doc, group))
-        again = by[1:][group[by[1:]] == group[by[:-1]]]
-        return doc[again], sub[again], first[again]
-
     def run(table: pa.Table) -> pa.Table:
         kind = table["kind"][0].as_py()
         if kind == SPANS:
@@ -331,28 +319,34 @@ def suffix_order(fetched: DataFrame, length: int, buckets: int, most: int = 1_00
         c = unpack(kind, table["payload"].to_pylist())
         found = []
         if kind == WINDOWS:
-            by = np.lexsort((c["g"], c["h"]))
-            new = np.concatenate([[True], (np.diff(c["h"][by]) != 0) | (np.diff(c["g"][by]) != 0)]) if len(by) else by
-            group = np.empty(len(by), np.int64)
-            group[by] = np.cumsum(new)
-            found.append(repeated(c["doc"], c["sub"], c["first"].astype(np.int64), group))
+            by = np.lexsort((c["first"], c["sub"], c["doc"], c["g"], c["h"]))
+            equal = (c["h"][by[1:]] == c["h"][by[:-1]]) & (c["g"][by[1:]] == c["g"][by[:-1]])
+            again = by[1:][equal]
+            first = c["first"][again].astype(np.int64)
+            found.append(merged_spans(c["doc"][again], c["sub"][again], first, first + length))
         else:
             size = c["more"].astype(np.int64) + length
             begin = np.cumsum(size) - size
-            order = np.argsort(c["h"], kind="stable")
+            order = np.lexsort((c["first"], c["sub"], c["doc"], c["h"]))
             for a, b in trigger_runs(c["h"][order], size[order], most):
+                # The slice's phrases, and so the windows in them, in corpus order.
                 some = order[a:b]
+                some = some[np.lexsort((c["first"][some], c["sub"][some], c["doc"][some]))]
                 data = c["data"][ragged_positions(begin[some], size[some])]
-                start = np.cumsum(size[some]) - size[some]
-                more = c["more"][some].astype(np.int64)
+                start, more = np.cumsum(size[some]) - size[some], c["more"][some].astype(np.int64)
                 place = ragged_positions(start, more + 1)
-                own = np.repeat(some, more + 1)
-                first = c["first"][own].astype(np.int64) + place - np.repeat(start, more + 1)
-                found.append(repeated(c["doc"][own], c["sub"][own], first, suffix_ranks(data, place, length)))
-        doc, sub, first = (np.concatenate([np.zeros(0, t), *(x[k] for x in found)]) for k, t in enumerate(("<i8", "<u4", "<i8")))
-        del c
+                again = repeated_suffixes(data, place, length)
+                if not len(again):
+                    continue
+                phrase = np.searchsorted(start, place[again], side="right") - 1
+                own = some[phrase]
+                first = c["first"][own].astype(np.int64) + place[again] - start[phrase]
+                found.append(merged_spans(c["doc"][own], c["sub"][own], first, first + length))
+        spans = {n: np.concatenate([np.zeros(0, t), *(f[n] for f in found)]) for n, t in (
+            ("doc", "<i8"), ("sub", "<u4"), ("start", "<i8"), ("end", "<i8"))}
+        del c, found
         release()
-        spans = merged_spans(doc, sub, first, first + length)
+        spans = merged_spans(spans["doc"], spans["sub"], spans["start"], spans["end"])
         return pa.Table.from_batches([as_batch(dealt(SPANS, spans, by_doc(spans["doc"], spans["sub"], buckets)))])
     return fetched.groupBy("kind", "bucket").applyInArrow(run, ROWS)
 
@@ -410,7 +404,7 @@ def without_spans(texts: DataFrame, spans: DataFrame, columns: list[tuple[str, s
 
 
 def remove_repeats(docs: DataFrame, length: int = 100, hot: int = 20_000, keep_text: bool = True,
-                   bucket_bytes: int = 16_000_000) -> DataFrame:
+                   bucket_bytes: int = 8_000_000) -> DataFrame:
     """The documents (without ``text``) with n_bytes, n_removed, n_spans,
     kept_sha256 and, with ``keep_text``, kept_text. A task holds one bucket of
     about ``bucket_bytes`` of text, or a longer document, at a time."""
