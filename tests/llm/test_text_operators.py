@@ -69,6 +69,21 @@ def labelled(spark, n=3000):
     return docs, spark.createDataFrame(labels, "doc_id long, quality int, lang boolean")
 
 
+def test_equal_texts_are_one_trial(spark):
+    """Forty good texts a hundred times over say no more than forty."""
+    rng = random.Random(4)
+    good, bad = [prose(rng, 40) for _ in range(40)], [" ".join(w + "###" for w in prose(rng, 40).split()) for _ in range(300)]
+    texts = good * 100 + bad
+    docs = spark.createDataFrame([(k, t, "en") for k, t in enumerate(texts)], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(k, int(k < 4000)) for k in range(len(texts))], "doc_id long, quality int")
+    counted = quality.with_counts(quality.with_text_hash(docs), keep_text=False)
+    assert [r[k] for r in quality.calibrate(counted, labels).collect() for k in quality.RULES] == [None] * len(quality.RULES)
+    distinct = spark.createDataFrame([(k, prose(rng, 40) if k < 4000 else texts[k], "en") for k in range(len(texts))],
+                                     "doc_id long, text string, lang string")
+    counted = quality.with_counts(quality.with_text_hash(distinct), keep_text=False)
+    assert any(r[k] is not None for r in quality.calibrate(counted, labels).collect() for k in quality.RULES)
+
+
 def test_quality_rules_learn_a_cutoff_per_stratum(spark):
     docs, labels = labelled(spark, 6000)
     got = {r["doc_id"]: r for r in quality.quality_rules(docs, labels).collect()}

@@ -162,15 +162,21 @@ def choose_cutoff(good: np.ndarray, bad: np.ndarray, risk: float, level: float)
     return best
 
 
+def with_text_hash(docs: DataFrame) -> DataFrame:
+    return docs.withColumn("_text", F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))))
+
+
 def calibrate(counted: DataFrame, labels: DataFrame, stratum: str = "lang", risk: float = 0.02,
               delta: float = 0.05) -> DataFrame:
     """One row per stratum with labels: its cutoff of each rule (null: none)."""
     labelled = pick(labels, "doc_id", "quality").select(F.col("doc_id").alias("_id"), F.col("quality").cast("int").alias("_good")) \
                      .where("_good IN (0, 1)")
-    rows = (counted.where(~base_failed()).join(labelled, F.col("doc_id") == F.col("_id"))
-                   .select(F.col(stratum).cast("string").alias("stratum"), "_good",
-                           F.explode(F.array(*[F.struct(F.lit(r).alias("rule"), rule_value(r).alias("value"))
-                                               for r in RULES])).alias("x"))
+    # The bound takes trials to be independent: a stratum's equal texts are one, good if any label says so.
+    judged = (counted.where(~base_failed()).join(labelled, F.col("doc_id") == F.col("_id"))
+                     .groupBy(F.col(stratum).cast("string").alias("stratum"), "_text").agg(
+                         F.max("_good").alias("_good"), *[F.max(rule_value(r)).alias(f"_v_{r}") for r in RULES]))
+    rows = (judged.select("stratum", "_good", F.explode(F.array(*[F.struct(F.lit(r).alias("rule"), F.col(f"_v_{r}").alias("value"))
+                                                                  for r in RULES])).alias("x"))
                    .groupBy("stratum", "x.rule", "x.value")
                    .agg(F.sum("_good").alias("good"), F.sum(1 - F.col("_good")).alias("bad")))
     # Strata x rules x 101 rows at most.
@@ -192,10 +198,9 @@ def calibrate(counted: DataFrame, labels: DataFrame, stratum: str = "lang", risk
 
 def judge(counted: DataFrame, cutoffs: DataFrame, stratum: str = "lang") -> DataFrame:
     """Adds ``base_failed``, ``rejected_by`` (rules) and ``kept``."""
-    small = cutoffs.limit(10_001).count() <= 10_000
     names = {r: f"_cut_{r}" for r in RULES}
     table = cutoffs.select(F.col("stratum").alias("_stratum"), *[F.col(r).alias(n) for r, n in names.items()])
-    joined = counted.join(F.broadcast(table) if small else table,
+    joined = counted.join(table,
                           F.col(stratum).cast("string").eqNullSafe(F.col("_stratum")), "left")
     rules = F.filter(F.array(*[F.when(rule_value(r) >= F.col(n), F.lit(r)) for r, n in names.items()]),
                      lambda x: x.isNotNull())
@@ -207,15 +212,15 @@ def judge(counted: DataFrame, cutoffs: DataFrame, stratum: str = "lang") -> Data
 def quality_rules(docs: DataFrame, labels: DataFrame, stratum: str = "lang", risk: float = 0.02,
                   delta: float = 0.05) -> DataFrame:
     """Counts and verdict of every document, without its text."""
-    counted = materialise(with_counts(pick(docs, "doc_id", "text", stratum), keep_text=False), "quality")
+    counted = materialise(with_counts(with_text_hash(pick(docs, "doc_id", "text", stratum)), keep_text=False), "quality")
     cutoffs = materialise(calibrate(counted, labels, stratum, risk, delta), "cutoffs")
-    return judge(counted, cutoffs, stratum)
+    return judge(counted.drop("_text"), cutoffs, stratum)
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, stratum: str = "lang", risk: float = 0.02,
               delta: float = 0.05) -> DataFrame:
     """The documents that the rules keep, with all their columns."""
     own, safe = masked(docs, "doc_id", "text", stratum)
-    counted = with_counts(own.select("doc_id", "text", stratum), keep_text=False)
+    counted = with_counts(with_text_hash(own.select("doc_id", "text", stratum)), keep_text=False)
     cutoffs = materialise(calibrate(counted, labels, stratum, risk, delta), "cutoffs")
     return unmasked(judge(with_counts(own), cutoffs, stratum).where("kept"), safe, docs.columns)
