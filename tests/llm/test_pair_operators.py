@@ -82,7 +82,8 @@ def documents(n=60):
                    (4006, "x " * 20_000), (4007, "x " * 15_000), (None, "alone here"), (4008, "é " * 9)]
 
 
-@pytest.mark.parametrize("parameters", [{}, {"small": 10, "block": 30, "depth": 2}, {"small": 4, "depth": 4}])
+@pytest.mark.parametrize("parameters", [{}, {"small": 10, "block": 30, "depth": 2}, {"small": 4, "depth": 4},
+                                        {"small": 2, "depth": 6}, {"small": 2, "depth": 5, "recall": 0.999999}])
 def test_near_duplicates_match_all_pairs(spark, parameters):
     rows = documents()
     table = spark.createDataFrame(rows, "doc_id long, text string").select("*", F.lit(1).alias("Text"), F.lit("f").alias("fp"))
@@ -92,6 +93,13 @@ def test_near_duplicates_match_all_pairs(spark, parameters):
     assert jaccard.near_duplicates(table.limit(0)).count() == 0
 
 
+def test_runs_follow_the_recall_and_the_deepest_level():
+    for levels in range(1, 7):
+        for recall in (0.9, 0.999, 0.9999):
+            r = jaccard.runs_needed(0.8, recall, levels)
+            assert (1 - 0.8 ** levels) ** r <= 1 - recall + 1e-12 and (r == 1 or (1 - 0.8 ** levels) ** (r - 1) > 1 - recall)
+
+
 def short_pairs(n=4000):
     """Texts of 8 to 50 words, each with a longer one at a similarity of 0.8 to 0.9."""
     rng, rows = random.Random(9), []
