@@ -148,7 +148,7 @@ class PairIndexBpe:
             self.clear()
         parts: list[list[str]] = []
         for s in strings:
-            split = self.split_added.split(s) if self.split_added and "<" in s else [s]
+            split = self.split_added.split(s) if self.split_added else [s]
             parts.append([w for k, x in enumerate(split) for w in ([x] if k % 2 else self.pattern.findall(x))])
         words = list(dict.fromkeys(w for p in parts for w in p if w not in self.added))
         counts, ids = self.merge_all([w.encode() for w in words])

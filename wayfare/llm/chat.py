@@ -103,10 +103,12 @@ def conversation_events(conversations: DataFrame, chunk: int = 256) -> DataFrame
                              F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     same = Window.partitionBy("conv_id", "turn").orderBy("role", "text")
     c = c.withColumn("turn", F.struct("turn", F.row_number().over(same).alias("copy")))
-    starts = F.sequence(F.lit(1), F.greatest(F.length("text"), F.lit(1)), F.lit(chunk))
-    deltas = F.transform(starts, lambda s, k: F.struct(
+    # One pass over the text, however long.
+    pieces = F.when(F.col("text") == "", F.array(F.lit(""))).otherwise(
+        F.regexp_extract_all("text", F.lit(f"(?s).{{1,{chunk}}}"), F.lit(0)))
+    deltas = F.transform(pieces, lambda x, k: F.struct(
         (k + 1).cast("long").alias("seq"), F.lit("delta").alias("event"), F.lit(None).cast("string").alias("role"),
-        F.substr("text", s, F.lit(chunk)).alias("text")))
+        x.alias("text")))
     begin = F.array(F.struct(F.lit(0).cast("long").alias("seq"), F.lit("message").alias("event"),
                              F.coalesce("role", F.lit("")).alias("role"), F.lit("").alias("text")))
     return c.select("conv_id", "turn", F.inline(F.concat(begin, deltas)))
