@@ -27,6 +27,7 @@ from ..functions.scalar import exact_sum, hotel_name_from_id, stable
 from ..ml.scale import apply_scaler, fit_scaler
 from . import encoding as E
 from .features import hotel_info, hotel_table
+from .cells import nearest_by_cells
 from .knn import pack_long, topk_cosine
 
 # Fixed parameters of the original recommender.
@@ -85,9 +86,8 @@ def hotel_features(hotels: DataFrame):
 
 
 def _vectors(df: DataFrame, id_col: str, cols: list[str]) -> DataFrame:
-    """Dense feature columns -> vectors (id, keys, vals)."""
-    return df.select(F.col(id_col).alias("id"), F.array(*[F.lit(i).cast("long") for i in range(len(cols))]).alias("keys"),
-                     F.array(*[F.col(c).cast("double") for c in cols]).alias("vals"))
+    """Dense feature columns -> vectors (id, vals)."""
+    return df.select(F.col(id_col).alias("id"), F.array(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in cols]).alias("vals"))
 
 
 def scale_queries(queries: DataFrame, scaler: DataFrame, id_col: str = "request_id") -> DataFrame:
@@ -107,7 +107,7 @@ def nearest_hotels(query_features: DataFrame, hotel_feats: DataFrame, id_col: st
     """k nearest hotels by cosine of scaled profiles: (id, hotel_id, similarity, rank)."""
     qv = _vectors(query_features, id_col, FEATURES)
     hv = _vectors(hotel_feats, "hotel_id", FEATURES)
-    nn = topk_cosine(qv, hv, k, digits=SCORE_DIGITS)
+    nn = nearest_by_cells(qv, hv, k, len(FEATURES), digits=SCORE_DIGITS)
     return nn.select(F.col("qid").alias(id_col), F.col("cid").alias("hotel_id"),
                      F.col("score").alias("similarity"), "rank")
 
