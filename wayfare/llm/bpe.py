@@ -189,7 +189,7 @@ class PairIndexBpe:
 
 
 def codec(path: str) -> PairIndexBpe:
-    cache = worker_cache()
+    cache = worker_cache("bpe")
     if ("bpe", path) not in cache:
         cache["bpe", path] = PairIndexBpe(path)
     return cache["bpe", path]

@@ -255,7 +255,7 @@ def benchmark_blocks(benchmark: DataFrame, size: int, piece: int, block_bytes: i
 
 def searcher_of(rows: list[tuple[str, str]], size: int, key: tuple) -> Searcher:
     """This worker's searcher of a block: one at a time is kept."""
-    cache = worker_cache()
+    cache = worker_cache("decontam")
     if cache.get("searcher", (None,))[0] != key:
         cache.pop("searcher", None)
         cache["searcher"] = (key, Searcher([r[0] for r in rows], [r[1] for r in rows], size))

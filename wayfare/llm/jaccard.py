@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 
 from .graph import components
 from .kernels import (masked, materialise, mix64, null_first, partitions, pick, ragged_positions, ship, string_hashes,
-                      text_slices, unmasked, word_lists)
+                      text_slices, unmasked, word_lists, worker_cache)
 
 ship(__name__)
 
@@ -101,8 +101,9 @@ SETS = "doc_id long, text_hash long, fp binary, n long, tokens binary, bytes_ bi
 def embedded(docs: DataFrame, width: int) -> DataFrame:
     """One row per document: its set's fingerprint, size and tokens (whole, and their low bytes)."""
     def run(batches):
+        worker_cache("jaccard")
         for batch in batches:
-            for a, b in text_slices(batch.column(2)):
+            for a, b in text_slices(batch.column(2), 4_000_000):
                 offsets, tokens = shingle_sets(batch.column(2)[a:b], width)
                 sketch = embed(offsets, tokens)
                 yield pa.RecordBatch.from_arrays(
@@ -282,7 +283,7 @@ def exact_links(members: DataFrame, width: int, threshold: float, block: int, bu
     spanning forest of the links. ``members``: component, size (of it), fp, copies, text."""
     def cut(batches):
         for batch in batches:
-            for a, b in text_slices(batch.column("text")):
+            for a, b in text_slices(batch.column("text"), 4_000_000):
                 offsets, tokens = shingle_sets(batch.column("text")[a:b], width)
                 raw = tokens.astype("<u8")
                 own = [raw[x:y].tobytes() for x, y in zip(offsets[:-1].tolist(), offsets[1:].tolist())]

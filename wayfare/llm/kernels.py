@@ -2,7 +2,7 @@
 
 Python code that runs in tasks is shipped by value (``ship``), so executors
 need the libraries it imports but not this package. ``worker_cache`` keeps a
-model or a memo for the life of a Python worker, across tasks.
+model or a memo in a Python worker, across an operator's tasks.
 """
 
 from __future__ import annotations
@@ -30,12 +30,17 @@ def ship(module: str) -> None:
 ship(__name__)
 
 
-def worker_cache() -> dict:
-    """A dictionary that lives as long as this Python process."""
+def worker_cache(owner: str) -> dict:
+    """A dictionary that lives as long as this Python process, or until another
+    operator's task asks for its own: workers serve one stage after another, and
+    what an earlier one kept would add up."""
     holder = sys.modules.get("_task_cache")
     if holder is None:
         holder = sys.modules["_task_cache"] = types.ModuleType("_task_cache")
-        holder.items = {}
+        holder.owner, holder.items = owner, {}
+    if holder.owner != owner:
+        holder.owner, holder.items = owner, {}
+        release()
     return holder.items
 
 

@@ -30,7 +30,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .kernels import masked, materialise, mix64, pick, ragged_positions, ship, text_slices, unmasked, word_lists
+from .kernels import masked, materialise, mix64, pick, ragged_positions, ship, text_slices, unmasked, word_lists, worker_cache
 
 ship(__name__)
 
@@ -115,9 +115,10 @@ def with_counts(docs: DataFrame, keep_text: bool = True) -> DataFrame:
     kept = [c for c in docs.columns if keep_text or c != "text"]
 
     def run(batches):
+        worker_cache("quality")
         for batch in batches:
             texts = batch.column(batch.schema.names.index("text"))
-            for a, b in text_slices(texts):
+            for a, b in text_slices(texts, 3_000_000):
                 counts = count_features(texts[a:b])
                 own = [batch.column(batch.schema.names.index(c))[a:b] for c in kept]
                 yield pa.RecordBatch.from_arrays([*own, *(pa.array(counts[c], pa.int64()) for c in COUNTS)],

@@ -42,7 +42,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .kernels import masked, materialise, mix64, partitions, ragged_positions, release, ship, text_slices
+from .kernels import masked, materialise, mix64, partitions, ragged_positions, release, ship, text_slices, worker_cache
 from .repeats import phrases
 
 ship(__name__)
@@ -171,6 +171,7 @@ def parse(docs: DataFrame, length: int, buckets: int, flush: int = 250_000) -> D
         yield from dealt(PHRASES, own, by_hash(own["h"], buckets))
 
     def run(batches):
+        worker_cache("suffix")
         held, n = [], 0
         for batch in batches:
             for a, b in text_slices(batch.column(1), 1_000_000):

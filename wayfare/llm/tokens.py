@@ -142,7 +142,7 @@ def vocabulary_size(path: str) -> int:
 
 def encoder(path: str) -> PieceEncoder:
     """This worker's encoder of a tokenizer file."""
-    cache = worker_cache()
+    cache = worker_cache("tokens")
     if ("pieces", path) not in cache:
         cache["pieces", path] = PieceEncoder(path)
     return cache["pieces", path]

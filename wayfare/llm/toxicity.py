@@ -383,7 +383,7 @@ def score_texts(docs: DataFrame, net: Network | None) -> DataFrame:
     state, name = docs.sparkSession.sparkContext.broadcast((net.vocabulary, net.p)), uuid.uuid4().hex
 
     def run(batches):
-        held = worker_cache()
+        held = worker_cache("toxicity")
         if held.get("toxicity", (None,))[0] != name:
             held["toxicity"] = (name, Network(*state.value))
         own = held["toxicity"][1]
