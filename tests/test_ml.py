@@ -242,3 +242,25 @@ def test_dictionary_row_matches_the_join_form(spark):
     assert table == {("x", "a"): 0, ("x", "b"): 1, ("x", "c"): 2, ("y", "1"): 0, ("y", "2"): 1}
     back = E.decode_column(spark.createDataFrame([(2,), (9,)], "c int"), row, "x", "c", "label")
     assert [r["label"] for r in back.collect()] == ["c", None]
+
+
+def test_classifier_metrics_compare_codes_as_numbers(spark):
+    rng = np.random.default_rng(1)
+    rows = [(float(x), float(z), int(x + z > 0)) for x, z in rng.normal(size=(200, 2))]
+    df = spark.createDataFrame(rows, "x double, z double, label int")
+    m = T.train_classifier(df, ["x", "z"], "logistic")
+    got = {r["split"]: r["accuracy"] for r in T.evaluate_classifier(m, df, df.limit(50)).collect()}
+    assert got["train"] > 0.9 and got["test"] > 0.8
+
+
+def test_cross_validation_of_all_tracked_models_leaves_no_cache(spark):
+    from wayfare.ml import features as MF
+    from wayfare.ml import runs as RN
+    f = MF.flight_features(flights(spark), keep=["travelCode"])
+    before = len(spark.sparkContext._jsc.getPersistentRDDs())
+    got = RN.cross_validate(f, MF.FLIGHT_FEATURES_8, RN.TRACKED_MODELS, ["travelCode", *MF.FLIGHT_FEATURES_8, "price"], 3,
+                            num_trees=3, max_depth=3).collect()
+    assert {(r["model_type"], r["fold"]) for r in got} == {(m, k) for m in RN.TRACKED_MODELS
+                                                          for k in ("fold_0", "fold_1", "fold_2", "mean", "std")}
+    assert all(r["r2"] is not None and r["r2"] == r["r2"] for r in got)
+    assert len(spark.sparkContext._jsc.getPersistentRDDs()) <= before
