@@ -15,6 +15,7 @@ All are saved and loaded by ``sources.sinks`` and score a table by ``transform``
 from __future__ import annotations
 
 import math
+import uuid
 
 import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
@@ -24,6 +25,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import shared_folder
 from . import gram
 from .boosting import fit_boosting
 from .evaluate import classification_metrics, regression_metrics
@@ -92,7 +94,11 @@ def train_classifier(train: DataFrame, features: list[str], model_type: str = "r
                                  regParam=1.0 / (LOGISTIC_C * max(n, 1)), elasticNetParam=0.0, standardization=False,
                                  probabilityCol="probability")
         asm = VectorAssembler(inputCols=[f"{c}_scaled" for c in features], outputCol="features", handleInvalid="keep")
-        return Pipeline(stages=[scaler_stage(train, features), asm, est]).fit(train)
+        # The fitted stage holds its training summary and so the session, which cannot be
+        # shipped to tasks once a query in it was observed; the saved one does not.
+        path = f"{shared_folder(train.sparkSession)}/logistic-{uuid.uuid4().hex}"
+        Pipeline(stages=[scaler_stage(train, features), asm, est]).fit(train).write().save(path)
+        return PipelineModel.load(path)
     rows = model_rows(train, features, label)
     classes = max(2, int(rows.agg(F.max("y")).first()[0] or 0) + 1)
     if model_type == "svm":
