@@ -83,7 +83,7 @@ def documents(n=60):
 
 
 @pytest.mark.parametrize("parameters", [{}, {"small": 10, "block": 30, "depth": 2}, {"small": 4, "depth": 4},
-                                        {"small": 2, "depth": 6}, {"small": 2, "depth": 5, "recall": 0.999999}])
+                                        {"small": 2, "depth": 6}, {"small": 2, "depth": 5, "recall": 0.9999, "levels": 5}])
 def test_near_duplicates_match_all_pairs(spark, parameters):
     rows = documents()
     table = spark.createDataFrame(rows, "doc_id long, text string").select("*", F.lit(1).alias("Text"), F.lit("f").alias("fp"))
@@ -93,7 +93,8 @@ def test_near_duplicates_match_all_pairs(spark, parameters):
     assert jaccard.near_duplicates(table.limit(0)).count() == 0
 
 
-def test_runs_follow_the_recall_and_the_deepest_level():
+def test_runs_follow_the_recall_and_the_level():
+    assert jaccard.runs_needed(0.8, 0.9998, 3) == 12
     for levels in range(1, 7):
         for recall in (0.9, 0.999, 0.9999):
             r = jaccard.runs_needed(0.8, recall, levels)

@@ -5,13 +5,14 @@ Documents with equal sets of ``width``-word shingles are one class, found by a
 min-hash tokens (each by a hash function of its own). A run splits all sets on
 a sampled token (now and then on two), so that sets that share it stay together; buckets
 of at most ``small`` sets are compared by brute force, larger ones are split
-again on tokens that the bucket's own key samples. Runs are repeated until the target
+again on tokens that the bucket's own key samples. Runs are repeated for the target
 ``recall``: a pair at the threshold stays together through d levels of a run with a
-chance of at least threshold**d, so R runs miss it with (1 - threshold**d)**R at most.
-After each batch of runs, d is the deepest level that any bucket needed so far, and
-runs are added until the bound holds for it (0.9999 at 0.8: 6 runs for one level, 10 for
-two, 13, 18, 24, 31 for six). Buckets that stay large after ``depth``
-levels hold sets that agree almost everywhere; they are linked whole as candidates.
+chance of at least threshold**d, so R runs miss it with (1 - threshold**d)**R at most,
+and R is the least number with which that is below 1 - recall at ``levels`` levels
+(12 runs for 0.9998 at three levels; the same runs have a bound of 4e-9 at one level,
+5e-6 at two, 2e-3 at four, 9e-3 at five and 3e-2 at six). Buckets that stay large
+after ``depth`` levels hold sets that agree almost everywhere; they are linked whole as
+candidates.
 
 Candidates (by their min-hash tokens) only say which sets are examined
 together. All pairs within a connected group of candidates are then compared by
@@ -210,33 +211,24 @@ def runs_needed(threshold: float, recall: float, levels: int) -> int:
     return 1 if miss <= 0 else max(1, math.ceil(math.log(1.0 - recall) / math.log(miss) - 1e-9))
 
 
-def candidates(sets: DataFrame, threshold: float, recall: float, small: int, depth: int, buckets: int) -> DataFrame:
+def candidates(sets: DataFrame, threshold: float, runs: int, small: int, depth: int, buckets: int) -> DataFrame:
     """Links (a, b) that connect all sets which are likely similar."""
-    found, done, needed = [], 0, runs_needed(threshold, recall, 1)
-    while done < needed:
-        links, levels = some_runs(sets, threshold, range(done, needed), small, depth, buckets)
-        found += links
-        done, needed = needed, max(needed, runs_needed(threshold, recall, levels))
-    return reduce(DataFrame.unionByName, found)
-
-
-def some_runs(sets: DataFrame, threshold: float, runs: range, small: int, depth: int, buckets: int):
-    """(links, levels used) of these runs."""
-    nodes = materialise(split_nodes(sets.select("fp", "tokens"), runs), "paths")
-    found, level = [], 1
-    while True:
+    nodes = materialise(split_nodes(sets.select("fp", "tokens"), range(runs)), "paths")
+    found = []
+    for level in range(depth):
         counts = nodes.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
         nodes = materialise(nodes.join(counts, "key"), "buckets")
         leaves = nodes.where(F.col("size") <= small).join(sets.select("fp", "n", "bytes_"), "fp")
         found.append(materialise(likely_links(leaves, threshold, buckets), "likely"))
         large = nodes.where(F.col("size") > small)
         if large.limit(1).count() == 0:
-            return found, level
-        if level == depth:
+            break
+        if level + 1 < depth:
+            nodes = materialise(split_nodes(large.select("key", "fp").join(sets.select("fp", "tokens"), "fp")), "paths")
+        else:
             least = large.groupBy("key").agg(F.min("fp").alias("b"))
-            return [*found, large.join(least, "key").select(F.col("fp").alias("a"), "b")], level
-        nodes = materialise(split_nodes(large.select("key", "fp").join(sets.select("fp", "tokens"), "fp")), "paths")
-        level += 1
+            found.append(large.join(least, "key").select(F.col("fp").alias("a"), "b"))
+    return reduce(DataFrame.unionByName, found)
 
 
 # ---------------------------------------------------------------- exact links
@@ -324,8 +316,8 @@ def exact_links(members: DataFrame, width: int, threshold: float, block: int, bu
     return sets.groupBy("bucket").applyInArrow(run, "fp binary, links long, other binary")
 
 
-def near_duplicates(docs: DataFrame, width: int = 5, threshold: float = 0.8, recall: float = 0.9999, small: int = 1000,
-                    depth: int = 6, block: int = 2000) -> DataFrame:
+def near_duplicates(docs: DataFrame, width: int = 5, threshold: float = 0.8, recall: float = 0.9998, levels: int = 3,
+                    small: int = 1000, depth: int = 6, block: int = 2000) -> DataFrame:
     """One row per document: doc_id, text_hash, class_id (least id of all documents
     that links connect it to), n_links (other documents with a similarity of
     ``threshold`` or more) and kept (it is the one of its class that stays)."""
@@ -335,7 +327,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, threshold: float = 0.8, rec
     sets = materialise(rows.where("n > 0").groupBy("fp").agg(
         F.count(F.lit(1)).alias("copies"), F.min(key).alias("least"), F.first("n").alias("n"),
         F.first("tokens").alias("tokens"), F.first("bytes_").alias("bytes_")), "distinct")
-    likely = components(candidates(sets, threshold, recall, small, depth, buckets), name="candidates")
+    likely = components(candidates(sets, threshold, runs_needed(threshold, recall, levels), small, depth, buckets), name="candidates")
     sizes = likely.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
     chosen = (likely.join(sizes, "component").join(sets.select(F.col("fp").alias("node"), "copies", "least"), "node")
                     .select(F.col("node").alias("fp"), "component", "size", "copies",
