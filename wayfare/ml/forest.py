@@ -30,8 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .rows import Bins, partition_count, row_batches
-from .trees import (Ensemble, NodeRows, TreeModel, best_cuts, cells, choose, clean, feature_subsets, grow, hashed, middle,
-                    node_arrays)
+from .trees import NodeRows, TreeModel, best_cuts, cells, choose, feature_subsets, grow, hashed, middle, node_arrays
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 

@@ -31,8 +31,6 @@ exact all-pairs similarity is; serving a batch of requests keeps |Q| = batch siz
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window

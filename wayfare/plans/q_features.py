@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import scalar as S
@@ -12,7 +11,6 @@ from ..functions.scalar import stable
 from ..ml.scale import standard_scale
 from ..ml.split import split_flag
 from ..operators import dictionary as D
-from ..operators import encoding as E
 from ..operators import features as FT
 from ..operators import requests as R
 from ..operators import state as ST
