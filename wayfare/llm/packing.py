@@ -45,7 +45,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id:
     def cut(batches):
         for batch in batches:
             names = batch.column(0)
-            for a, b, counts, ids in encode_slices(batch.column(1), tokenizer, end_id):
+            for a, b, counts, ids in encode_slices(batch.column(1), tokenizer, end_id, 3_000_000):
                 raw = ids.astype("<u4")
                 ends = np.cumsum(counts)
                 pieces = -(-counts // capacity)

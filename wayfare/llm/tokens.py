@@ -148,12 +148,13 @@ def encoder(path: str) -> PieceEncoder:
     return cache["pieces", path]
 
 
-def encode_slices(texts: pa.Array, path: str, end_id: int | None) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def encode_slices(texts: pa.Array, path: str, end_id: int | None,
+                  max_bytes: int = 6_000_000) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, end row, tokens per row, ids), a slice of bounded text at a
     time; ``end_id`` (if any) ends each text. Null texts are empty."""
     texts = pc.fill_null(texts, "")
     enc = encoder(path)
-    for a, b in text_slices(texts, 6_000_000):
+    for a, b in text_slices(texts, max_bytes):
         counts, ids = enc.encode(texts[a:b])
         if end_id is not None:
             ids = np.insert(ids, np.cumsum(counts), end_id)
