@@ -4,7 +4,7 @@ import numpy as np
 import pandas as pd
 import pytest
 
-from wayfare.operators.knn import _kernel, pack_long, topk_cosine
+from wayfare.operators.knn import _kernel, _probe, pack_long, topk_cosine
 
 
 def brute(Q, C, qids, cids, k, exclude_self, min_score, digits=9):
@@ -108,3 +108,30 @@ def test_kernel_handles_string_candidates():
     out = next(_kernel(1, False, None, 9, True)(iter([pdf])))
     assert out.cid.tolist() == ["a"] and out.score.tolist() == [1.0]
     assert list(_kernel(1, False, None, 9, True)(iter([pdf[pdf.role == 0]]))) == []
+
+
+def test_floors_of_alike_vectors_spare_nearly_all_products():
+    """Groups of nearly equal vectors, dealt over the stream's columns: the probe's
+    floors tell what cannot enter a list before any product is taken."""
+    rng = np.random.default_rng(8)
+    base = (rng.random((60, 40)) < 0.2) * rng.random((60, 40)) + np.eye(60, 40) * 0.1 + 0.001
+    M = np.repeat(base, 30, 0) * (1 + 1e-7 * rng.random((1800, 40)))
+    unit = M / np.linalg.norm(M, axis=1)[:, None]
+    order = np.lexsort((unit.max(1), M.argmax(1)))
+    frame = lambda role, rows: pd.DataFrame({"role": role, "qid": rows, "cid": rows,
+                                             "keys": [np.arange(40) for _ in rows], "vals": [M[r] for r in rows]})
+    both = pd.concat([frame(0, order), frame(1, order)])
+    side = both.iloc[np.argsort(np.concatenate([np.arange(1800)] * 2), kind="stable")]
+    floors = pd.concat(list(_probe(10, True, 0.0, 9, False, 256)(iter([side])))).groupby("qid")["floor"].max()
+    S = unit @ unit.T
+    np.fill_diagonal(S, -1)
+    kth = np.floor(np.sort(S, 1)[:, -10] * 1e9 + 0.5) / 1e9
+    assert len(floors) > 1750 and (floors.to_numpy() <= kth[floors.index]).all() and floors.min() > 0.99
+    q = frame(0, np.arange(1800)).assign(floor=floors.reindex(np.arange(1800)).to_numpy())
+    run = _kernel(10, True, 0.0, 9, False, 64, 256)
+    out = next(run(iter([q, frame(1, order[::2])])))
+    assert run.products < 0.15 * 1800 * 900
+    got = {q: sorted(zip(-g["score"], g["cid"])) for q, g in out.groupby("qid")}
+    half = np.sort(order[::2])
+    for q, lst in brute(M[:60], M[half], range(60), half, 10, True, 0.0).items():
+        assert [(c, -s) for s, c in got[q]] == lst
