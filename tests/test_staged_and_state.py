@@ -137,3 +137,12 @@ def test_a_run_reads_only_the_days_it_replaces(spark, tmp_path):
     assert "PartitionFilters: [" in plan and "month" in plan.split("PartitionFilters: [")[1].split("]")[0]
     assert "EqualTo(day" in plan or "In(day" in plan
     assert old.count() == 1
+
+
+def test_quantiles_read_their_input_once(spark, monkeypatch):
+    from wayfare.operators import quantiles as Q
+    names, plain = [], Q.written
+    monkeypatch.setattr(Q, "written", lambda df, name: names.append(name) or plain(df, name))
+    df = spark.createDataFrame([("a", 1.0), ("a", 2.0), ("a", 4.0), (None, 1.0), ("b", None)], "g string, v double")
+    got = Q.exact_quantiles(df, "g", "v", [0.5]).collect()
+    assert names[0] == "quantile-rows" and [(r["g"], r["n"], r["q0"]) for r in got] == [("a", 3, 2.0)]

@@ -67,7 +67,8 @@ def inside(rows: DataFrame, group: str, value: str, targets: DataFrame) -> DataF
 def exact_quantiles(df: DataFrame, group: str, value: str, probs: list[float], accuracy: int = 10_000) -> DataFrame:
     """Quantiles with linear interpolation: ``group, n, min, max, q0, q1, ...`` (rows
     with a null group or value left out)."""
-    rows = df.where(F.col(group).isNotNull() & F.col(value).isNotNull()).select(group, value)
+    # Read two or three times: what makes these rows (joins of large tables) runs once.
+    rows = written(df.where(F.col(group).isNotNull() & F.col(value).isNotNull()).select(group, value), "quantile-rows")
     bound = written(brackets(rows, group, value, probs, accuracy), "quantile-brackets")
     moved = written(inside(rows, group, value, bound), "quantile-values")
 
