@@ -146,3 +146,38 @@ def test_quantiles_read_their_input_once(spark, monkeypatch):
     df = spark.createDataFrame([("a", 1.0), ("a", 2.0), ("a", 4.0), (None, 1.0), ("b", None)], "g string, v double")
     got = Q.exact_quantiles(df, "g", "v", [0.5]).collect()
     assert names[0] == "quantile-rows" and [(r["g"], r["n"], r["q0"]) for r in got] == [("a", 3, 2.0)]
+
+
+def booking_base(spark, folder):
+    def put(name, rows, schema):
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{folder}/{name}.parquet")
+    import datetime
+    put("customer", [(k, f"c{k}", "BUILDING", k % 2) for k in range(1, 5)], "c_custkey long, c_name string, c_mktsegment string, c_nationkey int")
+    put("supplier", [(1, 0), (2, 1)], "s_suppkey long, s_nationkey int")
+    put("part", [(1, "Brand#1"), (2, "Brand#2")], "p_partkey long, p_brand string")
+    put("nation", [(0, "A"), (1, "B")], "n_nationkey int, n_name string")
+    put("orders", [(k, 1 + k % 4, "1-URGENT") for k in range(1, 13)], "o_orderkey long, o_custkey long, o_orderpriority string")
+    put("lineitem", [(1 + k % 12, 1 + k % 2, 1 + k % 2, float(1 + k % 9), 100.0 + k, 0.01, "ANR"[k % 3], datetime.datetime(2020, 1, 1 + k % 28))
+                     for k in range(60)], "l_orderkey long, l_partkey long, l_suppkey long, l_quantity double, l_extendedprice double, "
+        "l_tax double, l_returnflag string, l_shipdate timestamp")
+
+
+def test_line_items_are_merged_with_orders(spark, tmp_path):
+    from wayfare.sources import adapters as A
+    booking_base(spark, str(tmp_path))
+    for view in (A.flights, A.hotels):
+        df = view(spark, str(tmp_path))
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert df.count() == 60 and "SortMergeJoin [l_orderkey" in plan
+
+
+def test_stored_differences_counts_rows_of_both_sides(spark):
+    from wayfare.plans.q_ml import stored_differences
+    schema = "a long, b string"
+    one = spark.createDataFrame([(1, "x"), (1, "x"), (None, None), (2, "y")], schema)
+    two = spark.createDataFrame([(1, "x"), (None, None), (2, "z"), (2, "z")], schema)
+    assert tuple(stored_differences(one, two).first()) == (4, 4)
+    assert tuple(stored_differences(one, one).first()) == (4, 0)
+    assert tuple(stored_differences(one.limit(0), one.limit(0)).first()) == (0, 0)
+    lost = one.exceptAll(two).unionByName(two.exceptAll(one)).count()
+    assert lost == 4

@@ -546,6 +546,15 @@ def q_tracked_training(spark, sf):
     return wide.join(params, "run_id", "left")
 
 
+def stored_differences(table: DataFrame, loaded: DataFrame) -> DataFrame:
+    """One row: ``rows`` of the loaded table, and ``differences``, the rows (as often as they
+    occur) that only one of the two has. Both are added up by row in one pass."""
+    both = (table.withColumns({"_n": F.lit(1).cast("long"), "_loaded": F.lit(0).cast("long")})
+            .unionByName(loaded.select("*", F.lit(-1).cast("long").alias("_n"), F.lit(1).cast("long").alias("_loaded"))))
+    each = both.groupBy(*table.columns).agg(F.sum("_n").alias("_n"), F.sum("_loaded").alias("_loaded"))
+    return each.agg(F.coalesce(F.sum("_loaded"), F.lit(0)).alias("rows"), F.coalesce(F.sum(F.abs("_n")), F.lit(0)).alias("differences"))
+
+
 @query("model_store", f"""
 , {STRAT_SQL.strip()}
 SELECT 'flight_price' AS model, count(*) AS "rows", CAST(0 AS BIGINT) AS differences FROM flights WHERE NOT ({SPLIT_SQL})
@@ -574,7 +583,5 @@ def q_model_store(spark, sf):
     for name, table in (("hotel_features", feats), ("places", places), ("user_item", RC.user_item(h))):
         sinks.save_table(table, f"{folder}/{name}")
         loaded = spark.read.schema(table.schema).parquet(f"{folder}/{name}")
-        lost = table.exceptAll(loaded).unionByName(loaded.exceptAll(table))
-        parts.append(loaded.agg(F.lit(f"recommender_{name}").alias("model"), F.count(F.lit(1)).alias("rows")).withColumn(
-            "differences", lost.agg(F.count(F.lit(1))).scalar()))
+        parts.append(stored_differences(table, loaded).select(F.lit(f"recommender_{name}").alias("model"), "rows", "differences"))
     return reduce(DataFrame.unionByName, parts)
