@@ -1,5 +1,7 @@
 """Forests, boosting and linear fits against plain versions, node by node and fold by fold."""
 
+import pickle
+
 import duckdb
 import numpy as np
 import pytest
@@ -102,6 +104,48 @@ def test_bags_are_poisson_and_hash_of_row_and_tree():
     assert (forest.bag_weights(np.arange(1000), 4, 42) != w[:1000]).mean() > 0.5
 
 
+def test_units_hold_codes_and_bounded_rows(spark, monkeypatch):
+    """Phase 2 gets a few bytes a row, and never more rows of a node than the limit."""
+    x, y = data(2000, seed=2)
+    rows = MR.model_rows(table(spark, x, y), X, "y", ["k"])
+    found, plain = [], forest.node_units
+
+    def units(*args):
+        df = plain(*args)
+        found.extend(pickle.loads(r["payload"]) for r in df.collect())
+        return df
+    monkeypatch.setattr(forest, "node_units", units)
+    monkeypatch.setattr(forest, "CODED_ROWS", 1)
+    forest.fit_forests(rows, X, [-1], 2, 8, node_rows=300)
+    assert len(found) > 4
+    for part in found:
+        assert len(part["y"]) <= 300 and sum(v.nbytes for v in (*part["x"], part["y"], part["w"])) <= 13 * len(part["y"])
+    # Nodes at full depth are leaves, however many rows they have.
+    found.clear()
+    m = forest.fit_forests(rows, X, [-1], 2, 1, node_rows=100)[-1]
+    assert not any(len(part["y"]) > 100 for part in found)
+    assert sorted(m.nodes["node"].tolist()) == [1, 1, 2, 2, 3, 3]
+
+
+@pytest.mark.parametrize("scale", [1.0, 1e4])
+def test_smaller_children_are_counted_alone(monkeypatch, scale):
+    """The same tree as with every node counted, with fewer rows counted; a far group of targets costs no digits."""
+    rng = np.random.default_rng(3)
+    x = np.stack([rng.integers(0, 8, 20_000), rng.integers(0, 30, 20_000), rng.integers(0, 5, 20_000)])
+    y = (np.where(x[0] > 3, scale, 0.0) + x[1] % 7 * 0.01 + rng.normal(size=20_000) * 0.01)[:, None]
+    values, w = [np.arange(s) * 1.0 for s in (8, 30, 5)], forest.bag_weights(np.arange(20_000), 0, 1)
+    counted, plain = [], np.bincount
+    monkeypatch.setattr(trees.np, "bincount", lambda k, *a, **o: counted.append(len(k)) or plain(k, *a, **o))
+    got = trees.grow(list(x), values, y, w, 6, 0).arrays()
+    few = sum(counted)
+    counted.clear()
+    monkeypatch.setattr(trees, "COARSE", np.inf)
+    want = trees.grow(list(x), values, y, w, 6, 0).arrays()
+    assert few < 0.75 * sum(counted)
+    assert (got["node"] == want["node"]).all() and (got["feature"] == want["feature"]).all()
+    assert np.allclose(got["threshold"], want["threshold"], equal_nan=True) and np.allclose(got["gain"], want["gain"], rtol=1e-9)
+
+
 def plain_boosting(x, y, rounds, depth, rate, logistic):
     """Friedman's boosting with exhaustive cuts; returns the raw predictions of the rows."""
     m = y.mean()
