@@ -75,3 +75,21 @@ def test_map_reproduces_the_kernel_between_landmarks():
     f = S.FeatureMap(np.zeros(3), np.ones(3), points, 0.7)
     phi = f(points)[:, :-1]
     assert np.allclose(phi @ phi.T, f.kernel(points), atol=1e-8)
+
+
+def test_pass_maps_sums_not_rows(spark, monkeypatch):
+    """Losses and slopes equal those on mapped rows, while no row is mapped."""
+    from wayfare.ml import svm
+    rng = np.random.default_rng(5)
+    x, y = rng.normal(size=(400, 3)), rng.integers(0, 2, 400).astype(float)
+    rows = spark.createDataFrame([(k, 0, float(t), [float(v) for v in r]) for k, (r, t) in enumerate(zip(x, y))],
+                                 "id long, fold int, y double, x array<double>").repartition(3)
+    fmap = svm.FeatureMap(x.mean(0), x.std(0), x[:40], 0.5)
+    phi, w = fmap(x), rng.normal(size=(2, fmap.root.shape[1] + 1))
+    short = 1 - (2 * y - 1)[:, None] * (phi @ w.T)
+    monkeypatch.delattr(svm.FeatureMap, "__call__")
+    loss, slope = svm.losses(rows, fmap, w, 2.0)
+    assert np.allclose(loss, 2 * np.maximum(short, 0).sum(0))
+    assert np.allclose(slope, -2 * ((short > 0) * (2 * y - 1)[:, None]).T @ phi, rtol=1e-7, atol=1e-6)
+    m = svm.SvmModel(["a", "b", "c"], fmap, w[0], (1.0, 0.0), 0.0)
+    assert np.allclose(m.margins(x), phi @ w[0])

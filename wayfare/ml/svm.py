@@ -47,26 +47,44 @@ class FeatureMap:
         self.root = vectors[:, keep] / np.sqrt(values[keep])
 
     def kernel(self, z: np.ndarray) -> np.ndarray:
-        d = (z ** 2).sum(1)[:, None] + (self.points ** 2).sum(1) - 2 * z @ self.points.T
-        return np.exp(-self.gamma * np.maximum(d, 0.0))
+        d = (z * (2 * self.gamma)) @ self.points.T
+        d -= self.gamma * (z ** 2).sum(1)[:, None]
+        d -= self.gamma * (self.points ** 2).sum(1)
+        np.minimum(d, 0.0, out=d)
+        return np.exp(d, out=d)
+
+    def kernels(self, x: np.ndarray) -> np.ndarray:
+        """K(x, L): a row's features are these times ``root``, and the constant."""
+        return self.kernel((np.where(np.isfinite(x), x, self.mean) - self.mean) / self.std)
+
+    def on_kernels(self, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Weights of features as weights of K(x, L), and the constant's."""
+        return weights[..., :-1] @ self.root.T, weights[..., -1]
 
     def __call__(self, x: np.ndarray) -> np.ndarray:
-        z = (np.where(np.isfinite(x), x, self.mean) - self.mean) / self.std
-        return np.concatenate([self.kernel(z) @ self.root, np.ones((len(x), 1))], 1)
+        return np.concatenate([self.kernels(x) @ self.root, np.ones((len(x), 1))], 1)
 
 
 def losses(rows: DataFrame, fmap: FeatureMap, weights: np.ndarray, c: float, lanes: int = 16):
-    """Per weights: c times the sum of hinge losses over all rows, and its slope."""
-    shape = (len(weights), weights.shape[1] + 1)
+    """Per weights: c times the sum of hinge losses over all rows, and its slope.
+
+    Rows are multiplied with the weights of their kernels and add up slopes on them; the
+    map from kernels to features is applied to the weights and the sums, not to each row."""
+    inner, constant = fmap.on_kernels(weights)
+    shape = (len(weights), inner.shape[1] + 2)
 
     def part(batches):
         total = np.zeros(shape)
         for b in row_batches(batches, 20_000):
-            phi, y = fmap(b["x"].T), 2.0 * b["y"] - 1.0
-            short = 1.0 - y[:, None] * (phi @ weights.T)
-            active = short > 0
-            total[:, 0] += c * np.where(active, short, 0.0).sum(0)
-            total[:, 1:] -= c * (active * y[:, None]).T @ phi
+            # Few rows at a time: their kernels stay in the cache.
+            for at in range(0, len(b["y"]), 1_000):
+                k, y = fmap.kernels(b["x"][:, at:at + 1_000].T), 2.0 * b["y"][at:at + 1_000] - 1.0
+                short = 1.0 - y[:, None] * (k @ inner.T + constant)
+                active = short > 0
+                side = active * y[:, None]
+                total[:, 0] += c * np.where(active, short, 0.0).sum(0)
+                total[:, 1:-1] -= c * (side.T @ k)
+                total[:, -1] -= c * side.sum(0)
         yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["s"])
 
     def add(batches):
@@ -77,7 +95,7 @@ def losses(rows: DataFrame, fmap: FeatureMap, weights: np.ndarray, c: float, lan
         yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["s"])
     got = rows.select("id", "fold", "y", "x").mapInArrow(part, "s binary").repartition(lanes).mapInArrow(add, "s binary").collect()
     total = np.sum([np.frombuffer(r["s"]).reshape(shape) for r in got], axis=0)
-    return total[:, 0], total[:, 1:]
+    return total[:, 0], np.concatenate([total[:, 1:-1] @ fmap.root, total[:, -1:]], 1)
 
 
 def heaviest(planes: np.ndarray, offsets: np.ndarray, beta: np.ndarray, tol: float = 1e-10) -> np.ndarray:
@@ -108,15 +126,16 @@ class SvmModel:
         self.features, self.fmap, self.w, self.curve, self.gap = list(features), fmap, w, curve, gap
 
     def margins(self, x: np.ndarray) -> np.ndarray:
-        return self.fmap(x) @ self.w
+        inner, constant = self.fmap.on_kernels(self.w)
+        return self.fmap.kernels(x) @ inner + constant
 
     def transform(self, df: DataFrame) -> DataFrame:
         """Adds ``margin``, ``probability`` of both classes and ``prediction`` (the margin's side)."""
-        fmap, w = self.fmap, self.w
+        fmap, (inner, constant) = self.fmap, self.fmap.on_kernels(self.w)
 
         @F.pandas_udf("double")
         def margin(x: pd.DataFrame) -> pd.Series:
-            return pd.Series(fmap(x.to_numpy(np.float64, na_value=np.nan)) @ w)
+            return pd.Series(fmap.kernels(x.to_numpy(np.float64, na_value=np.nan)) @ inner + constant)
         x = margin(F.struct(*[F.col(f"`{c}`").cast("double").alias(f"f{k}") for k, c in enumerate(self.features)]))
         a, b = self.curve
         p = 1.0 / (1.0 + F.exp(-(a * F.col("margin") + b)))
