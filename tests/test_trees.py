@@ -1,6 +1,7 @@
 """Forests, boosting and linear fits against plain versions, node by node and fold by fold."""
 
 import pickle
+import tempfile
 
 import duckdb
 import numpy as np
@@ -8,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from wayfare.ml import forest, gram, rows as MR, train as T, trees
+from wayfare.ml import boosting
 from wayfare.ml.boosting import fit_boosting
 from wayfare.sources import sinks
 
@@ -198,6 +200,55 @@ def test_boosting_of_all_folds_at_once(spark, logistic):
     assert both[0] == both[1]
 
 
+def test_boosting_passes(spark, monkeypatch):
+    """Whatever the partitions, the way of the sums to the driver and what was kept of the blocks: the same trees."""
+    x, y = data(360, seed=7)
+    rows = MR.model_rows(table(spark, x, y), X, "y", ["k"], 3)
+    want = fit_boosting(rows, X, [-1, 0, 2], 4, 3, 0.1, parts=1)
+    monkeypatch.setattr(boosting, "SUM_BYTES", 0)
+    monkeypatch.setattr(boosting, "state_folder", lambda tag: tempfile.mkdtemp(prefix="boosting-lost-"))
+    got = fit_boosting(rows, X, [-1, 0, 2], 4, 3, 0.1, rewrite=2, parts=3)
+    for f in want:
+        a, b = (m.nodes for m in (want[f], got[f]))
+        by, at = (np.lexsort((n["node"], n["tree"])) for n in (a, b))
+        assert all((a[c][by] == b[c][at]).all() for c in ("tree", "node", "feature", "weight"))
+        assert all(np.allclose(a[c][by], b[c][at], equal_nan=True, rtol=1e-9) for c in ("threshold", "value", "gain"))
+
+
+def test_what_boosting_keeps_of_a_block(tmp_path, monkeypatch):
+    rng = np.random.default_rng(1)
+    payload = {"codes": rng.integers(0, 4, (2, 50)).astype(np.uint8), "y": rng.normal(size=50), "fold": np.arange(50) % 2}
+    tree = boosting.new_tree(2)
+    tree[0][[1, 2, 3]], tree[1][[1, 2, 3]], tree[2][4:8] = [0, 1, 1], [1, 0, 2], [1.0, 2.0, 3.0, 4.0]
+    moves, plain = [], boosting.Held.descend
+    monkeypatch.setattr(boosting.Held, "descend", lambda self, trees: moves.append(1) or plain(self, trees))
+
+    def reach(rounds, depth, path):
+        with boosting.Held(payload, [-1, 1], [0.5, 0.0], 2, str(path)) as held:
+            held.bring([[tree, tree]] * rounds, [tree, tree], depth, 0.1)
+            return held.raw.copy(), held.node.copy()
+    for stage in ((0, 0), (0, 1), (1, 0), (1, 1)):
+        kept = reach(*stage, tmp_path / "kept")
+    assert len(moves) == 1 + 1 + 1  # a level each, none twice
+    for got, want in zip(kept, reach(1, 1, tmp_path / "new")):
+        assert (got == want).all()
+    # Left half done: begun again.
+    with boosting.Held(payload, [-1, 1], [0.5, 0.0], 2, str(tmp_path / "kept")) as held:
+        held.stage[0], held.raw[:], held.node[:] = 0, 9.0, 1
+    for got, want in zip(reach(1, 1, tmp_path / "kept"), kept):
+        assert (got == want).all()
+    c = payload["codes"]
+    leaf = np.where(c[0] > 1, np.where(c[1] > 2, 4.0, 3.0), np.where(c[1] > 0, 2.0, 1.0))
+    assert np.allclose(kept[0][0], 0.5 + 0.1 * leaf) and (kept[1][1] == np.where(payload["fold"] == 1, 0, np.where(c[0] > 1, 3, 2))).all()
+
+
+def test_partitions_of_boosting():
+    # Few rows go to few partitions, many to as many as run at once, and more where these would be large.
+    assert boosting.part_count(12, 1000, 20, 9, 4000) == 1
+    assert boosting.part_count(12, 1 << 24, 20, 9, 4000) == 12
+    assert boosting.part_count(12, 1 << 30, 20, 9, 4000) == (20 << 30) // boosting.PART_BYTES
+
+
 def test_quantile_bins_where_values_are_many(spark):
     rng = np.random.default_rng(8)
     x = rng.normal(size=(3000, 3))
