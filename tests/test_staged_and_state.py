@@ -171,6 +171,24 @@ def test_line_items_are_merged_with_orders(spark, tmp_path):
         assert df.count() == 60 and "SortMergeJoin [l_orderkey" in plan
 
 
+def test_tasks_of_the_order_join_grow_with_the_rows(spark, tmp_path, monkeypatch):
+    from pyspark.sql import functions as F
+    from wayfare.sources import adapters as A
+    booking_base(spark, str(tmp_path))
+    sides = [A.base(spark, str(tmp_path), t) for t in ("lineitem", "orders")]
+    assert A.join_tasks(spark, *sides) == 0, "72 rows are left to Spark"
+    for rows_a_task in (10_000, 6):
+        monkeypatch.setattr(A, "TASK_ROWS", rows_a_task)
+        got = [sorted(map(str, view.collect())) for view in A.booking_tables(spark, str(tmp_path))]
+        if rows_a_task == 10_000:
+            left = got
+    assert got == left and len(got[1]) == len(got[2]) == 60
+    assert A.join_tasks(spark, *sides) == 12
+    for view in A.booking_tables(spark, str(tmp_path))[1:]:
+        held = view.groupBy(F.spark_partition_id().alias("p")).agg(F.count(F.lit(1)).alias("n"), F.count_distinct("travelCode").alias("keys")).collect()
+        assert len(held) > 4 and sum(r["keys"] for r in held) == 12, "Spark alone would make one partition of them"
+
+
 def test_stored_differences_counts_rows_of_both_sides(spark):
     from wayfare.plans.q_ml import stored_differences
     schema = "a long, b string"
