@@ -55,3 +55,15 @@ def test_hotel_info(tables):
     _, _, h = tables
     rows = {r.hotel_id: r for r in FT.hotel_info(h).collect()}
     assert set(rows) == {"H_Y", "H_Z"} and rows["H_Y"].place == "Y"
+
+
+def test_hotel_info_sums_stays_by_hash(spark):
+    rows = [(1, 1, "A", "P", 2, 10.25, 20.5, D), (2, 1, "A", "P", 3, None, 30.25, D), (3, None, "A", "P", None, 20.5, None, D),
+            (4, 1, "A_B", "C", 1, 5.0, 5.0, D), (5, 1, "A", "B_C", 4, 7.0, 28.0, D),  # one id, two places
+            (6, 1, "E", "P", None, None, None, D), (7, 1, None, "P", 1, 1.0, 1.0, D), (8, 1, "A", None, 1, 1.0, 1.0, D)]
+    info = FT.hotel_info(hotels_df(spark, rows))
+    assert {tuple(r) for r in info.select("hotel_id", "price", "days", "total", "place", "bookings").collect()} == {
+        ("A_P", 15.375, 2.5, 25.375, "P", 3), ("A_B_C", 6.0, 2.5, 16.5, "B_C", 2), ("E_P", None, None, None, "P", 1)}
+    plan = info._jdf.queryExecution().executedPlan().toString().splitlines()
+    stays = [line for line in plan if "Aggregate(" in line][-1]  # the one that reads the stays
+    assert "HashAggregate(" in stays, stays
