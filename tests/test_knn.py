@@ -1,9 +1,12 @@
 """The blocked kernel against brute force (numpy), incl. ties, zero vectors, skew."""
 
+import re
+
 import numpy as np
 import pandas as pd
 import pytest
 
+from wayfare.operators import knn
 from wayfare.operators.knn import _kernel, _probe, pack_long, topk_cosine
 
 
@@ -135,3 +138,31 @@ def test_floors_of_alike_vectors_spare_nearly_all_products():
     half = np.sort(order[::2])
     for q, lst in brute(M[:60], M[half], range(60), half, 10, True, 0.0).items():
         assert [(c, -s) for s, c in got[q]] == lst
+
+
+def test_queries_are_laid_out_once_for_many_candidates(monkeypatch):
+    rng = np.random.default_rng(9)
+    M = (rng.random((12_000, 30)) < 0.2) * rng.random((12_000, 30)) + 0.001
+    frame = lambda role, rows: pd.DataFrame({"role": role, "qid": rows, "cid": rows,
+                                             "keys": [np.flatnonzero(M[r]) for r in rows], "vals": [M[r][M[r] != 0] for r in rows]})
+    laid, dense = [], knn._Sparse.dense
+    monkeypatch.setattr(knn._Sparse, "dense", lambda self, lo, hi: laid.append(hi - lo) or dense(self, lo, hi))
+    out = next(_kernel(5, True, None, 9, False)(iter([frame(0, np.arange(200)), frame(1, np.arange(12_000))])))
+    assert sum(laid) == 12_000 + 200
+    got = {q: sorted(zip(-g["score"], g["cid"])) for q, g in out.groupby("qid")}
+    for q, lst in brute(M[:200], M, range(200), range(12_000), 5, True, None).items():
+        assert [(c, -s) for s, c in got[q]] == lst
+
+
+def test_groups_are_as_many_as_tasks_need(spark):
+    """Each column of candidates costs a copy of all queries, whatever the number of shuffle partitions."""
+    ids, M = sample(60)
+    df = spark.createDataFrame(vectors(ids, M), "id long, keys array<long>, vals array<double>")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "500")
+    try:
+        plan = topk_cosine(df, df, 3)._jdf.queryExecution().analyzed().toString()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    copies = [int(n) + 1 for n in re.findall(r"sequence\(0, (\d+)", plan)]
+    assert len(copies) == 2 and max(copies) <= 3 * spark.sparkContext.defaultParallelism
