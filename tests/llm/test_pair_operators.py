@@ -56,6 +56,24 @@ def test_vectors_match_all_pairs(spark, parameters):
     assert subspace.near_vectors(table.limit(0)).count() == 0
 
 
+def test_crowded_cells_meet_in_parts(spark):
+    rows = vectors(300)
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int").repartition(4)
+    full = subspace.crowded(table.select(F.col("vec_id"), F.col("label").cast("long"), "embedding").where("label IS NOT NULL"), 0.98, 8, 3, 30)
+    assert full and min(full.values()) >= 2
+    got = subspace.near_vectors(table, cosine=0.98, cell=30, part=50).collect()
+    assert sorted((r["vec_id"], r["n_links"], r["component_id"]) for r in got) == vector_links(rows, 0.98)
+
+
+def test_cells_take_few_bytes_of_a_vector(spark):
+    """A vector visits some 20 cells; what goes there is its block's coordinates, not the vector."""
+    rng = np.random.default_rng(7)
+    x = rng.standard_normal((2000, 96)).astype("f4")
+    table = spark.createDataFrame([(k, v.tolist(), 1) for k, v in enumerate(x)], "vec_id long, embedding array<float>, label long")
+    cells = subspace.cells_of(table.select("vec_id", "label", "embedding").coalesce(1), 0.98, 8, 3, {}, 8)
+    assert cells.agg(F.sum(F.length("payload"))).first()[0] < 2 * x.nbytes
+
+
 def test_op2_on_the_test_table(spark):
     rows = [(r["vec_id"], [float(x) for x in r["embedding"]], r["label"])
             for r in spark.read.parquet(f"{SF}/embeddings.parquet").collect()]
