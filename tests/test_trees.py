@@ -335,3 +335,38 @@ def test_linear_folds_from_one_scan(spark):
             own = fold == k
             e = y[own] - (b.mean() + (z[own] - a.mean(0)) @ w)
             assert scores[k] == pytest.approx(1 - (e ** 2).sum() / ((y[own] - y[own].mean()) ** 2).sum(), abs=1e-9)
+
+
+def test_forests_stay_out_of_the_driver(spark):
+    """The models of all fits are rows of a written table; scoring reads some nine bytes a node, of one fit."""
+    rng = np.random.default_rng(11)
+    x = rng.integers(0, 30, (3000, 3)).astype(float)
+    rows = spark.createDataFrame([(k, k % 3, float(a[0] * 2 + a[1] + rng.normal()), a.tolist()) for k, a in enumerate(x)],
+                                 "id long, fold int, y double, x array<double>")
+    path = tempfile.mkdtemp() + "/rows"
+    rows.write.parquet(path)
+    got = forest.fit_forests(spark.read.parquet(path), ["a", "b", "c"], [-1, 0], 4, 9)
+    for m in got.values():
+        assert m._nodes is None
+        n = m.nodes
+        score = [bytes(r["score"]) for r in m.source.orderBy("tree").collect()]
+        assert len(score) == 4 and sum(map(len, score)) < 11 * len(n["node"]) + 4 * 500
+        one, two = trees.Ensemble(n, "mean"), trees.Ensemble.of_trees(score, "mean", 0.0, 1.0)
+        assert one.depths == two.depths and (one.raw(x) == two.raw(x)).all()
+        plain = trees.TreeModel(["a", "b", "c"], n, "regression", "mean")
+        assert np.allclose(plain.importances(), m.importances(), rtol=0, atol=1e-12)
+        table = spark.createDataFrame([tuple(a) for a in x[:200].tolist()], "a double, b double, c double")
+        assert [r["prediction"] for r in m.transform(table).collect()] == [r["prediction"] for r in plain.transform(table).collect()]
+
+
+def test_rows_are_moved_for_tasks_not_for_trees(spark, monkeypatch):
+    """A table that a task can hold goes to as many tasks as run at once, whatever the number of trees and partitions."""
+    rng = np.random.default_rng(12)
+    rows = spark.createDataFrame([(k, 0, float(rng.normal()), rng.integers(0, 5, 2).astype(float).tolist()) for k in range(500)],
+                                 "id long, fold int, y double, x array<double>")
+    path, parts, plain = tempfile.mkdtemp() + "/rows", [], forest.whole_trees
+    rows.write.parquet(path)
+    monkeypatch.setattr(forest, "whole_trees", lambda *a: parts.append(a[3]) or plain(*a))
+    monkeypatch.setattr(forest, "partition_count", lambda _: 1000)
+    forest.fit_forests(spark.read.parquet(path), ["a", "b"], [-1], 64, 3)
+    assert parts and parts[0] <= spark.sparkContext.defaultParallelism
